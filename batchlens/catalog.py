@@ -15,6 +15,7 @@ from batchlens.operators.batching import assign_batches, batch_list
 from batchlens.operators.cleaning import clean, prepare
 from batchlens.operators.features import make_time_features
 from batchlens.operators.quality import batch_meta, quality_profile, quality_totals
+from batchlens.operators import rules as R
 from batchlens.plans import sql as S
 from batchlens.sources.fixtures import ADAPTERS, adapter_sql
 from batchlens.spec import TRIPS_EV, TRIPS_LI, TableSpec
@@ -132,6 +133,97 @@ def sql_clean(adapter: str) -> str:
 select {', '.join(cols)}, {spec.duration_col} from c_final"""
 
 
+MIN_SUPPORT, MIN_CONFIDENCE, TOP_K = 0.05, 0.6, 5
+
+
+def _prepared_batches(spark, sf, adapter):
+    """Union of all kept batches (batch key kept, so cross-batch duplicates survive), prepared."""
+    b, spec = _batched(spark, sf, adapter)
+    return prepare(b, spec).df, spec, b
+
+
+def q_q75(adapter: str) -> Query:
+    def run(spark, sf):
+        p, spec, _ = _prepared_batches(spark, sf, adapter)
+        return p.agg(
+            F.percentile(spec.distance, 0.75).alias("q75_trip_distance"),
+            F.percentile(spec.duration_col, 0.75).alias("q75_trip_duration"),
+            F.percentile(spec.target, 0.75).alias("q75_total_amount"),
+        )
+
+    return run
+
+
+def sql_q75(adapter: str) -> str:
+    spec = _SPECS[adapter]
+    return f"""with {S.rules_ctes(adapter, spec, R.ITEMS, MIN_SUPPORT)}
+select qd q75_trip_distance, qu q75_trip_duration, qt q75_total_amount from q"""
+
+
+def q_conditions(adapter: str) -> Query:
+    def run(spark, sf):
+        p, spec, _ = _prepared_batches(spark, sf, adapter)
+        return R.binary_conditions(p, spec).df
+
+    return run
+
+
+def sql_conditions(adapter: str) -> str:
+    spec = _SPECS[adapter]
+    return f"with {S.rules_ctes(adapter, spec, R.ITEMS, MIN_SUPPORT)} select * from cond"
+
+
+def q_itemsets(adapter: str) -> Query:
+    def run(spark, sf):
+        p, spec, _ = _prepared_batches(spark, sf, adapter)
+        return R.frequent_itemsets(R.binary_conditions(p, spec), MIN_SUPPORT)
+
+    return run
+
+
+def sql_itemsets(adapter: str) -> str:
+    spec = _SPECS[adapter]
+    return f"""with {S.rules_ctes(adapter, spec, R.ITEMS, MIN_SUPPORT)}
+select itemset, {S.items_text_sql('itemset', R.ITEMS)} items, cnt "count", support from fi"""
+
+
+def q_rules(adapter: str, top: int | None = None) -> Query:
+    def run(spark, sf):
+        p, spec, _ = _prepared_batches(spark, sf, adapter)
+        rules, _, _ = R.mine_rules(p, spec, MIN_SUPPORT, MIN_CONFIDENCE)
+        return R.top_rules(rules, top) if top else rules
+
+    return run
+
+
+def sql_rules(adapter: str, top: int | None = None) -> str:
+    body = S.rules_sql(adapter, _SPECS[adapter], R.ITEMS, MIN_SUPPORT, MIN_CONFIDENCE)
+    if not top:
+        return body
+    return f"""select * from ({body}) r
+order by round(lift, 9) desc, round(confidence, 9) desc, round(support, 9) desc, rule limit {top}"""
+
+
+def q_rules_config(adapter: str) -> Query:
+    def run(spark, sf):
+        p, spec, b = _prepared_batches(spark, sf, adapter)
+        return p.agg(
+            F.lit(MIN_SUPPORT).alias("min_support"),
+            F.lit(MIN_CONFIDENCE).alias("min_confidence"),
+            F.count_distinct(spec.batch_col).alias("batch_count"),
+            F.count(F.lit(1)).alias("row_count"),
+        )
+
+    return run
+
+
+def sql_rules_config(adapter: str) -> str:
+    spec = _SPECS[adapter]
+    return f"""with {S.rules_ctes(adapter, spec, R.ITEMS, MIN_SUPPORT)}
+select cast({MIN_SUPPORT} as double) min_support, cast({MIN_CONFIDENCE} as double) min_confidence, count(distinct {spec.batch_col}) batch_count,
+       count(*) row_count from c_final"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "a9_quality_profile_li": q_quality("trips_li"),
@@ -144,6 +236,14 @@ def queries() -> dict[str, Query]:
         "p1_time_features_ev": q_time_features("trips_ev"),
         "clean_trips_li_dup": q_clean("trips_li_dup"),
         "clean_trips_ev": q_clean("trips_ev"),
+        "a10_q75_thresholds_ev": q_q75("trips_ev"),
+        "p6_conditions_ev": q_conditions("trips_ev"),
+        "a11_itemsets_ev": q_itemsets("trips_ev"),
+        "a11_itemsets_li_dup": q_itemsets("trips_li_dup"),
+        "a12_rules_ev": q_rules("trips_ev"),
+        "a12_rules_li_dup": q_rules("trips_li_dup"),
+        "k4_top_rules_li_dup": q_rules("trips_li_dup", TOP_K),
+        "s16_rules_config_ev": q_rules_config("trips_ev"),
     }
 
 
@@ -159,4 +259,12 @@ def oracle_sql() -> dict[str, str]:
         "p1_time_features_ev": sql_time_features("trips_ev"),
         "clean_trips_li_dup": sql_clean("trips_li_dup"),
         "clean_trips_ev": sql_clean("trips_ev"),
+        "a10_q75_thresholds_ev": sql_q75("trips_ev"),
+        "p6_conditions_ev": sql_conditions("trips_ev"),
+        "a11_itemsets_ev": sql_itemsets("trips_ev"),
+        "a11_itemsets_li_dup": sql_itemsets("trips_li_dup"),
+        "a12_rules_ev": sql_rules("trips_ev"),
+        "a12_rules_li_dup": sql_rules("trips_li_dup"),
+        "k4_top_rules_li_dup": sql_rules("trips_li_dup", TOP_K),
+        "s16_rules_config_ev": sql_rules_config("trips_ev"),
     }

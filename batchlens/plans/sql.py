@@ -103,3 +103,49 @@ c4 as (select * from c3 {coord_step}),
 c5 as (select * from c4 where {dur} > 0),
 c6 as (select * from c5 where {dur} <= (select quantile_cont({dur}, {spec.duration_q}) from c5)),
 c_final as (select distinct * from c6)"""
+
+
+def rules_ctes(adapter: str, spec: TableSpec, items: tuple[str, ...], min_support: float) -> str:
+    """CTEs through ``fi`` (frequent itemsets) for the rule-mining oracle over the kept batches."""
+    dist, dur, tgt, hr, wd = spec.distance, spec.duration_col, spec.target, spec.hour_col, spec.weekday_col
+    conds = {
+        "pickup_night": f"{hr} < 6 or {hr} >= 22",
+        "pickup_weekend": f"{wd} >= 5",
+        "trip_distance_high": f"{dist} > (select qd from q)",
+        "trip_duration_high": f"{dur} > (select qu from q)",
+        "passenger_many": f"{spec.passengers} >= 4",
+        "total_amount_high": f"{tgt} > (select qt from q)",
+    }
+    cond_sql = ", ".join(f"coalesce({conds[i]}, false) {i}" for i in items)
+    mask = " + ".join(f"cast({it} as bigint) * {1 << i}" for i, it in enumerate(items))
+    full = (1 << len(items)) - 1
+    return f"""{batched_ctes(adapter, spec)},
+{clean_ctes('bb', spec, [], bool(spec.coordinates))},
+q as (select quantile_cont({dist}, 0.75) qd, quantile_cont({dur}, 0.75) qu, quantile_cont({tgt}, 0.75) qt
+      from c_final),
+cond as (select {cond_sql} from c_final),
+m as (select {mask} mask, count(*) n from cond group by 1),
+tot as (select cast(sum(n) as double) total from m),
+ic as (select s itemset, cast(sum(n) as bigint) cnt
+       from (select unnest(list_filter(generate_series(1, {full}), lambda x: (mask & x) = x)) s, n from m) e
+       group by s),
+fi as (select itemset, cnt, cast(cnt as double) / (select total from tot) support from ic
+       where cast(cnt as double) / (select total from tot) >= {min_support})"""
+
+
+def items_text_sql(mask: str, items: tuple[str, ...]) -> str:
+    order = sorted(range(len(items)), key=lambda i: items[i])
+    parts = ", ".join(f"case when ({mask} & {1 << i}) <> 0 then '{items[i]}' end" for i in order)
+    return f"concat_ws(' & ', {parts})"
+
+
+def rules_sql(adapter: str, spec: TableSpec, items: tuple[str, ...], min_support: float, min_conf: float) -> str:
+    at, bt = items_text_sql("a", items), items_text_sql("b", items)
+    return f"""with {rules_ctes(adapter, spec, items, min_support)},
+sp as (select itemset s, support,
+              unnest(list_filter(generate_series(1, itemset), lambda a: (itemset & a) = a and a <> itemset)) a
+       from fi where (itemset & (itemset - 1)) <> 0),
+r as (select sp.a, sp.s - sp.a b, sp.support, sp.support / fa.support confidence, fb.support sup_b
+      from sp join fi fa on fa.itemset = sp.a join fi fb on fb.itemset = sp.s - sp.a),
+r2 as (select *, confidence / sup_b lift from r where confidence >= {min_conf})
+select {at} || ' -> ' || {bt} rule, support, confidence, lift, {at} "A_text", {bt} "B_text" from r2"""
