@@ -16,6 +16,9 @@ from batchlens.operators.cleaning import clean, prepare
 from batchlens.operators.features import make_time_features
 from batchlens.operators.quality import batch_meta, quality_profile, quality_totals
 from batchlens.operators import rules as R
+from batchlens.operators.evaluate import regression_metrics
+from batchlens.operators.preprocess import boosting_frame, fit_stats, mlp_frame, stats_frame
+from batchlens.operators.split import holdout_split, tail_split
 from batchlens.plans import sql as S
 from batchlens.sources.fixtures import ADAPTERS, adapter_sql
 from batchlens.spec import TRIPS_EV, TRIPS_LI, TableSpec
@@ -31,8 +34,10 @@ EV_RAW = [
     "trip_distance",
 ]
 
+NUMERIC_CATS = {"vendor_id", "ratecode_id"}
 _SPECS = {"trips_li": TRIPS_LI, "trips_li_dup": TRIPS_LI, "trips_ev": TRIPS_EV}
 _RAW = {"trips_li": LI_RAW, "trips_li_dup": LI_RAW, "trips_ev": EV_RAW}
+ADAPTERS_COLS = _RAW
 
 
 def _r(df: DataFrame, cols) -> DataFrame:
@@ -224,6 +229,184 @@ select cast({MIN_SUPPORT} as double) min_support, cast({MIN_CONFIDENCE} as doubl
        count(*) row_count from c_final"""
 
 
+# ---- split, fit statistics, preprocessing, metrics (lineitem trips: 342 weekly batches) ----
+
+
+def _split_prepared(spark, sf, adapter="trips_li"):
+    b, spec = _batched(spark, sf, adapter)
+    train, test, test_key = holdout_split(b, spec)
+    return prepare(train, spec).df, prepare(test, spec).df, spec
+
+
+def _split_sql(adapter: str, spec: TableSpec) -> str:
+    k = spec.batch_col
+    clean_tr = S.clean_ctes("tr_raw", spec, [], bool(spec.coordinates))
+    clean_te = S.clean_ctes("te_raw", spec, [], bool(spec.coordinates)).replace("c0 as", "d0 as")
+    for i in range(7):
+        clean_te = clean_te.replace(f"c{i}", f"d{i}")
+    clean_te = clean_te.replace("c_final", "d_final")
+    return f"""{S.batched_ctes(adapter, spec)},
+mx as (select max({k}) m from bb),
+tr_raw as (select * from bb where {k} < (select m from mx)),
+te_raw as (select * from bb where {k} = (select m from mx)),
+{clean_tr},
+{clean_te},
+tr as (select * from c_final), te as (select * from d_final)"""
+
+
+def q_holdout(adapter: str) -> Query:
+    def run(spark, sf):
+        tr, te, spec = _split_prepared(spark, sf, adapter)
+        agg = [F.count_distinct(spec.batch_col).alias("batches"), F.count(F.lit(1)).alias("rows")]
+        return tr.agg(F.lit("train").alias("side"), *agg).unionByName(te.agg(F.lit("test").alias("side"), *agg))
+
+    return run
+
+
+def sql_holdout(adapter: str) -> str:
+    spec = _SPECS[adapter]
+    return f"""with {_split_sql(adapter, spec)}
+select 'train' side, count(distinct {spec.batch_col}) batches, count(*) "rows" from tr
+union all select 'test', count(distinct {spec.batch_col}), count(*) from te"""
+
+
+def q_tail(adapter: str) -> Query:
+    def run(spark, sf):
+        tr, _, spec = _split_prepared(spark, sf, adapter)
+        return tail_split(tr, spec).validation
+
+    return run
+
+
+def sql_tail(adapter: str) -> str:
+    spec = _SPECS[adapter]
+    probe = ADAPTERS_COLS[adapter]
+    order = [spec.batch_col, spec.event_ts, spec.end_ts] + sorted(
+        c for c in probe + list(spec.generated) if c not in (spec.batch_col, spec.event_ts, spec.end_ts)
+    )
+    desc = ", ".join(f"{c} desc nulls last" for c in order)
+    return f"""with {_split_sql(adapter, spec)},
+n as (select count(*) n from tr)
+select * exclude (rn) from (select *, row_number() over (order by {desc}) rn from tr) t
+where rn <= (select case when n < 2000 then n - least(greatest(greatest(1, cast(floor(n * 0.8) as bigint)), 1), n - 1)
+                         else n - least(greatest(n - 1000, 1), n - 1) end from n)"""
+
+
+def q_fit_stats(adapter: str) -> Query:
+    def run(spark, sf):
+        tr, _, spec = _split_prepared(spark, sf, adapter)
+        return stats_frame(tr, spec)
+
+    return run
+
+
+def sql_fit_stats(adapter: str) -> str:
+    spec = _SPECS[adapter]
+    meds = " union all ".join(
+        f"select '{c}' feature, 'median' stat, cast(quantile_cont({c}, 0.5) as double) num_value, "
+        f"cast(null as varchar) text_value from tr"
+        for c in spec.numerical
+    )
+    pairs = " union all ".join(
+        f"select '{c}' col, cast(cast({c} as bigint) as varchar) val, cast({c} as bigint) nk from tr"
+        if c in NUMERIC_CATS
+        else f"select '{c}' col, {c} val, cast(null as bigint) nk from tr"
+        for c in spec.categorical
+    )
+    return f"""with {_split_sql(adapter, spec)},
+pairs as ({pairs}),
+cnt as (select col, val, nk, count(*) n from pairs where val is not null group by all)
+{meds}
+union all
+select col feature, 'mode' stat, cast(null as double) num_value,
+       first(val order by n desc, nk asc nulls first, val asc) text_value
+from cnt group by col"""
+
+
+def _cat_sql(c: str, fill: str) -> str:
+    txt = f"cast(cast({c} as bigint) as varchar)" if c in NUMERIC_CATS else c
+    return f"coalesce({txt}, {fill}) {c}"
+
+
+def q_boost_frame(adapter: str) -> Query:
+    def run(spark, sf):
+        tr, te, spec = _split_prepared(spark, sf, adapter)
+        st = fit_stats(tr, spec)
+        return boosting_frame(te, st).select(*spec.features, spec.target)
+
+    return run
+
+
+def sql_boost_frame(adapter: str) -> str:
+    spec = _SPECS[adapter]
+    cols = []
+    for c in spec.features:
+        if c in spec.categorical:
+            cols.append(_cat_sql(c, "'missing'"))
+        else:
+            cols.append(f"coalesce(cast({c} as double), (select quantile_cont({c}, 0.5) from tr)) {c}")
+    return f"""with {_split_sql(adapter, spec)}
+select {', '.join(cols)}, {spec.target} from te"""
+
+
+def q_scaled(adapter: str) -> Query:
+    def run(spark, sf):
+        tr, te, spec = _split_prepared(spark, sf, adapter)
+        st = fit_stats(tr, spec, scale=True)
+        out = mlp_frame(te, st).select(*spec.features, spec.target)
+        return _r(out, list(spec.numerical))
+
+    return run
+
+
+def sql_scaled(adapter: str) -> str:
+    spec = _SPECS[adapter]
+    imp_tr = ", ".join(
+        f"coalesce(cast({c} as double), (select quantile_cont({c}, 0.5) from tr)) {c}" for c in spec.numerical
+    )
+    stats = ", ".join(f"avg({c}) m_{c}, stddev_pop({c}) s_{c}" for c in spec.numerical)
+    cols = []
+    for c in spec.features:
+        if c in spec.categorical:
+            mode = (
+                f"(select first(v order by n desc, nk asc nulls first, v asc) from (select "
+                f"{'cast(cast(' + c + ' as bigint) as varchar)' if c in NUMERIC_CATS else c} v, "
+                f"{'cast(' + c + ' as bigint)' if c in NUMERIC_CATS else 'cast(null as bigint)'} nk, count(*) n "
+                f"from tr where {c} is not null group by all) z)"
+            )
+            cols.append(_cat_sql(c, mode))
+        else:
+            x = f"coalesce(cast({c} as double), (select quantile_cont({c}, 0.5) from tr))"
+            sd = f"(select case when s_{c} = 0 or s_{c} is null then 1.0 else s_{c} end from st)"
+            cols.append(f"round(({x} - (select m_{c} from st)) / {sd}, 6) {c}")
+    return f"""with {_split_sql(adapter, spec)},
+tri as (select {imp_tr} from tr),
+st as (select {stats} from tri)
+select {', '.join(cols)}, {spec.target} from te"""
+
+
+def q_median_baseline(adapter: str) -> Query:
+    def run(spark, sf):
+        tr, te, spec = _split_prepared(spark, sf, adapter)
+        med = tr.agg(F.median(spec.target)).first()[0]
+        m = regression_metrics(te.withColumn("prediction", F.lit(med)), spec.target)
+        return _r(m, ["mae", "rmse", "r2"])
+
+    return run
+
+
+def sql_median_baseline(adapter: str) -> str:
+    spec = _SPECS[adapter]
+    y = spec.target
+    return f"""with {_split_sql(adapter, spec)},
+p as (select {y} y, (select quantile_cont({y}, 0.5) from tr) p from te where {y} is not null),
+a as (select count(*) "rows", avg(abs(y - p)) mae, sqrt(avg((y - p) * (y - p))) rmse,
+             sum((y - p) * (y - p)) sse, var_pop(y) * count(*) sst from p)
+select "rows", round(mae, 6) mae, round(rmse, 6) rmse,
+       round(case when sst > 0 then 1 - sse / sst when sse = 0 then 1.0 else 0.0 end, 6) r2
+from a where "rows" > 0"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "a9_quality_profile_li": q_quality("trips_li"),
@@ -244,6 +427,17 @@ def queries() -> dict[str, Query]:
         "a12_rules_li_dup": q_rules("trips_li_dup"),
         "k4_top_rules_li_dup": q_rules("trips_li_dup", TOP_K),
         "s16_rules_config_ev": q_rules_config("trips_ev"),
+        "w2_holdout_li": q_holdout("trips_li"),
+        "w3_tail_validation_li": q_tail("trips_li"),
+        "a16_fit_stats_li": q_fit_stats("trips_li"),
+        "p7_boosting_frame_li": q_boost_frame("trips_li"),
+        "p15_scaled_features_li": q_scaled("trips_li"),
+        "a13_median_baseline_li": q_median_baseline("trips_li"),
+        "w3_tail_validation_ev": q_tail("trips_ev"),
+        "a16_fit_stats_ev": q_fit_stats("trips_ev"),
+        "p7_boosting_frame_ev": q_boost_frame("trips_ev"),
+        "p15_scaled_features_ev": q_scaled("trips_ev"),
+        "a13_median_baseline_ev": q_median_baseline("trips_ev"),
     }
 
 
@@ -267,4 +461,15 @@ def oracle_sql() -> dict[str, str]:
         "a12_rules_li_dup": sql_rules("trips_li_dup"),
         "k4_top_rules_li_dup": sql_rules("trips_li_dup", TOP_K),
         "s16_rules_config_ev": sql_rules_config("trips_ev"),
+        "w2_holdout_li": sql_holdout("trips_li"),
+        "w3_tail_validation_li": sql_tail("trips_li"),
+        "a16_fit_stats_li": sql_fit_stats("trips_li"),
+        "p7_boosting_frame_li": sql_boost_frame("trips_li"),
+        "p15_scaled_features_li": sql_scaled("trips_li"),
+        "a13_median_baseline_li": sql_median_baseline("trips_li"),
+        "w3_tail_validation_ev": sql_tail("trips_ev"),
+        "a16_fit_stats_ev": sql_fit_stats("trips_ev"),
+        "p7_boosting_frame_ev": sql_boost_frame("trips_ev"),
+        "p15_scaled_features_ev": sql_scaled("trips_ev"),
+        "a13_median_baseline_ev": sql_median_baseline("trips_ev"),
     }
