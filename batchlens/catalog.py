@@ -19,6 +19,7 @@ from batchlens.operators import rules as R
 from batchlens.operators.evaluate import regression_metrics
 from batchlens.operators.preprocess import boosting_frame, fit_stats, mlp_frame, stats_frame
 from batchlens.operators.split import holdout_split, tail_split
+from batchlens.functions.exprs import fixed4, parse_batch_range
 from batchlens.plans import sql as S
 from batchlens.sources.fixtures import ADAPTERS, adapter_sql
 from batchlens.spec import TRIPS_EV, TRIPS_LI, TableSpec
@@ -407,6 +408,60 @@ select "rows", round(mae, 6) mae, round(rmse, 6) rmse,
 from a where "rows" > 0"""
 
 
+# ---- batch names, rule report text ----
+
+
+def q_parse_names(adapter: str) -> Query:
+    def run(spark, sf):
+        b, spec = _batched(spark, sf, adapter)
+        names = batch_list(b, spec)
+        start, end = parse_batch_range(F.col("batch_name"))
+        return names.select("batch_name", start.alias("start_date"), end.alias("end_date"))
+
+    return run
+
+
+def sql_parse_names(adapter: str) -> str:
+    body = S.batch_list_sql(adapter, _SPECS[adapter])
+    return f"""select batch_name,
+  coalesce(try_cast(regexp_extract(batch_name, '_([^_]+)_[^_]+$', 1) as date), date '9999-12-31') start_date,
+  coalesce(try_cast(regexp_extract(batch_name, '_([^_]+)$', 1) as date), date '9999-12-31') end_date
+from ({body}) n"""
+
+
+def q_rules_report(adapter: str, top: int) -> Query:
+    def run(spark, sf):
+        top_df = q_rules(adapter, top)(spark, sf)
+        return top_df.select("rule", *[fixed4(c).alias(f"{c}_text") for c in ("support", "confidence", "lift")])
+
+    return run
+
+
+def sql_rules_report(adapter: str, top: int) -> str:
+    return f"""select rule, printf('%.4f', support) support_text, printf('%.4f', confidence) confidence_text,
+  printf('%.4f', lift) lift_text from ({sql_rules(adapter, top)}) t"""
+
+
+# ---- learning operators (rows-only checks: no SQL oracle for a fitted model) ----
+
+
+def q_model_predictions(adapter: str, kind: str) -> Query:
+    def run(spark, sf):
+        from batchlens.models.mlp import MLPModel
+        from batchlens.models.trees import BoostModel, TreeModel
+
+        tr, te, spec = _split_prepared(spark, sf, adapter)
+        if kind == "tree":
+            m = TreeModel.fit(tr, spec)  # the reference's default tree parameters
+        elif kind == "boost":
+            m = BoostModel.fit(tr, spec, {"iterations": 200, "depth": 6, "learning_rate": 0.1})
+        else:
+            m = MLPModel.fit(tr, spec)  # default architecture, early stopping
+        return m.predict(te).select(*spec.features, spec.target, "prediction")
+
+    return run
+
+
 def queries() -> dict[str, Query]:
     return {
         "a9_quality_profile_li": q_quality("trips_li"),
@@ -438,6 +493,11 @@ def queries() -> dict[str, Query]:
         "p7_boosting_frame_ev": q_boost_frame("trips_ev"),
         "p15_scaled_features_ev": q_scaled("trips_ev"),
         "a13_median_baseline_ev": q_median_baseline("trips_ev"),
+        "p11_parse_batch_names_li": q_parse_names("trips_li"),
+        "x19_rules_report_li_dup": q_rules_report("trips_li_dup", TOP_K),
+        "l1_tree_predictions_ev": q_model_predictions("trips_ev", "tree"),
+        "l3_boost_predictions_ev": q_model_predictions("trips_ev", "boost"),
+        "l5_mlp_predictions_ev": q_model_predictions("trips_ev", "mlp"),
     }
 
 
@@ -472,4 +532,6 @@ def oracle_sql() -> dict[str, str]:
         "p7_boosting_frame_ev": sql_boost_frame("trips_ev"),
         "p15_scaled_features_ev": sql_scaled("trips_ev"),
         "a13_median_baseline_ev": sql_median_baseline("trips_ev"),
+        "p11_parse_batch_names_li": sql_parse_names("trips_li"),
+        "x19_rules_report_li_dup": sql_rules_report("trips_li_dup", TOP_K),
     }
