@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from batchlens.functions.exprs import batch_name, period_start
 from batchlens.spec import TableSpec
 
-# Above this many kept periods the keep-list is joined instead of broadcast.
+# Above this many kept periods the keep-list is joined instead of inlined as a filter.
 BROADCAST_PERIODS = 100_000
 
 
@@ -24,17 +24,19 @@ def period_counts(df: DataFrame, spec: TableSpec) -> DataFrame:
 def assign_batches(df: DataFrame, spec: TableSpec, min_rows: int | None = None) -> DataFrame:
     """A1: drop rows without both timestamps, key each row by its period, drop periods under ``min_rows``.
 
-    The keep-list has one row per calendar period, so its size is bounded by the time span, and it is
-    checked before it is broadcast; the fact table itself is never shuffled by the (possibly hot) period.
+    The keep-list has one row per calendar period, so its size is bounded by the time span; below
+    ``BROADCAST_PERIODS`` keys it becomes a literal IN filter (no join, and later plans do not recompute
+    it), above that a semi-join. The fact table is never shuffled by the (possibly hot) period.
     """
     min_rows = spec.min_batch_rows if min_rows is None else min_rows
     rows = df.na.drop(subset=[spec.event_ts, spec.end_ts]).withColumn(
         spec.batch_col, period_start(spec.event_ts, spec.batch_freq)
     )
     kept = rows.groupBy(spec.batch_col).count().where(F.col("count") >= min_rows).select(spec.batch_col)
-    n_kept = kept.count()
-    side = F.broadcast(kept) if n_kept <= BROADCAST_PERIODS else kept
-    return rows.join(side, spec.batch_col, "left_semi")
+    keys = kept.limit(BROADCAST_PERIODS + 1).collect()
+    if len(keys) <= BROADCAST_PERIODS:  # bounded list: a literal filter, no join, no extra scan later
+        return rows.where(F.col(spec.batch_col).isin([r[0] for r in keys]))
+    return rows.join(kept, spec.batch_col, "left_semi")
 
 
 def batch_list(batched: DataFrame, spec: TableSpec) -> DataFrame:

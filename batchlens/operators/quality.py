@@ -32,8 +32,24 @@ def duplicate_counts(df: DataFrame, by: str, columns) -> DataFrame:
     )
 
 
-def _q99(c: str, accuracy: int | None) -> Column:
-    return F.percentile(c, 0.99) if accuracy is None else F.percentile_approx(c, 0.99, accuracy).cast("double")
+def _q99(c: str, weight: str, accuracy: int | None) -> Column:
+    if accuracy is None:
+        return F.percentile(c, 0.99, F.col(weight))
+    # the sketch has no weight argument: the approximate path runs over the raw rows (see quality_profile)
+    return F.percentile_approx(c, 0.99, accuracy).cast("double")
+
+
+def _row_groups(batched: DataFrame, key: str, cols: list[str], weighted: bool) -> DataFrame:
+    """Identical rows of a batch collapsed to one row with its multiplicity ``__n``.
+
+    Every profile figure is a function of (row, multiplicity): counts become sums of ``__n``, exact
+    quantiles take ``__n`` as frequency, duplicates are ``__n - 1``. So the profile is one scan and one
+    shuffle by full-row hash (balanced even when one batch holds most rows), then a per-batch aggregate
+    that moves one partial row per batch and task.
+    """
+    if not weighted:
+        return batched.withColumn("__n", F.lit(1).cast("long"))
+    return batched.groupBy(key, *cols).agg(F.count(F.lit(1)).alias("__n"))
 
 
 def quality_profile(batched: DataFrame, spec: TableSpec, accuracy: int | None = None) -> DataFrame:
@@ -44,30 +60,38 @@ def quality_profile(batched: DataFrame, spec: TableSpec, accuracy: int | None =
     """
     key = spec.batch_col
     raw_cols = [c for c in batched.columns if c != key]
-    df = make_time_features(batched, spec)
+    groups = _row_groups(batched, key, raw_cols, weighted=accuracy is None)
+    df = make_time_features(groups, spec)
     cols = raw_cols + [c for c in spec.generated if c not in raw_cols]
+    n = F.col("__n")
+
+    def count_where(cond: Column) -> Column:
+        return F.sum(F.when(cond, n).otherwise(F.lit(0))).cast("long")
+
     dist = spec.distance if spec.distance in df.columns else None
     coords = [b for b in spec.coordinates if b.column in df.columns]
     if coords and len(coords) == len(spec.coordinates):
         bad = reduce(lambda a, b: a | b, [~F.col(b.column).between(b.lo, b.hi) for b in coords])
-        invalid_coords = F.count_if(F.coalesce(bad, F.lit(True)))
+        invalid_coords = count_where(F.coalesce(bad, F.lit(True)))
     else:
         invalid_coords = F.lit(0)
     dur = F.col(spec.duration_col)
-    main = df.groupBy(key).agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.sum(null_cells(cols)).cast("long").alias("missing_total"),
-        (F.count_if(F.col(dist) < 0) if dist else F.lit(0)).cast("long").alias("negative_trip_distance_count"),
-        F.count_if(F.col(spec.target) < 0).cast("long").alias("negative_target_count"),
-        F.count_if(dur.isNull() | (dur <= 0)).cast("long").alias("invalid_duration_count"),
+    aggs = [
+        F.sum(n).cast("long").alias("row_count"),
+        F.sum(null_cells(cols) * n).cast("long").alias("missing_total"),
+        F.sum(n - 1).cast("long").alias("duplicate_count"),
+        (count_where(F.col(dist) < 0) if dist else F.lit(0)).cast("long").alias("negative_trip_distance_count"),
+        count_where(F.col(spec.target) < 0).alias("negative_target_count"),
+        count_where(dur.isNull() | (dur <= 0)).alias("invalid_duration_count"),
         invalid_coords.cast("long").alias("invalid_coordinate_count"),
-        (_q99(dist, accuracy) if dist else F.lit(None).cast("double")).alias("trip_distance_q99"),
-        _q99(spec.target, accuracy).alias("target_q99"),
-        _q99(spec.duration_col, accuracy).alias("duration_q99"),
-    )
-    # generated columns are functions of the raw ones, so duplicates over raw columns are the same rows
-    dups = duplicate_counts(batched, key, raw_cols)
-    return main.join(dups, key).select(
+        (_q99(dist, "__n", accuracy) if dist else F.lit(None).cast("double")).alias("trip_distance_q99"),
+        _q99(spec.target, "__n", accuracy).alias("target_q99"),
+        _q99(spec.duration_col, "__n", accuracy).alias("duration_q99"),
+    ]
+    out = df.groupBy(key).agg(*aggs)
+    if accuracy is not None:  # approximate path: duplicates from their own full-row aggregate
+        out = out.drop("duplicate_count").join(duplicate_counts(batched, key, raw_cols), key)
+    return out.select(
         key,
         "row_count",
         "missing_total",
@@ -83,17 +107,20 @@ def quality_profile(batched: DataFrame, spec: TableSpec, accuracy: int | None =
 
 
 def batch_meta(batched: DataFrame, spec: TableSpec, names: DataFrame | None = None) -> DataFrame:
-    """A2: rows, columns, first/last event time as ISO text, missing cells and duplicates (raw columns)."""
+    """A2: rows, columns, first/last event time as ISO text, missing cells and duplicates (raw columns),
+    from the same one-shuffle row grouping as the profile."""
     key = spec.batch_col
     cols = [c for c in batched.columns if c != key]
-    main = batched.groupBy(key).agg(
-        F.count(F.lit(1)).alias("row_count"),
+    g = _row_groups(batched, key, cols, weighted=True)
+    n = F.col("__n")
+    out = g.groupBy(key).agg(
+        F.sum(n).cast("long").alias("row_count"),
         F.lit(len(cols)).alias("column_count"),
         iso_text(F.min(spec.event_ts)).alias("pickup_min"),
         iso_text(F.max(spec.event_ts)).alias("pickup_max"),
-        F.sum(null_cells(cols)).cast("long").alias("missing_total"),
+        F.sum(null_cells(cols) * n).cast("long").alias("missing_total"),
+        F.sum(n - 1).cast("long").alias("duplicate_count"),
     )
-    out = main.join(duplicate_counts(batched, key, cols), key)
     if names is not None:
         out = out.join(names.select(key, "batch_name"), key)
     return out
