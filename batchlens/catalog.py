@@ -462,6 +462,22 @@ def q_model_predictions(adapter: str, kind: str) -> Query:
     return run
 
 
+def q_profile_named(adapter: str) -> Query:
+    def run(spark, sf):
+        from batchlens.plans.train import profile_batches
+
+        b, spec = _batched(spark, sf, adapter)
+        return _r(profile_batches(b, spec), Q99)
+
+    return run
+
+
+def sql_profile_named(adapter: str) -> str:
+    spec = _SPECS[adapter]
+    return f"""select q.*, n.batch_name from ({sql_quality(adapter)}) q
+join ({S.batch_list_sql(adapter, spec)}) n using ({spec.batch_col})"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "a9_quality_profile_li": q_quality("trips_li"),
@@ -494,6 +510,7 @@ def queries() -> dict[str, Query]:
         "p15_scaled_features_ev": q_scaled("trips_ev"),
         "a13_median_baseline_ev": q_median_baseline("trips_ev"),
         "p11_parse_batch_names_li": q_parse_names("trips_li"),
+        "g7_profile_batches_li_dup": q_profile_named("trips_li_dup"),
         "x19_rules_report_li_dup": q_rules_report("trips_li_dup", TOP_K),
         "l1_tree_predictions_ev": q_model_predictions("trips_ev", "tree"),
         "l3_boost_predictions_ev": q_model_predictions("trips_ev", "boost"),
@@ -533,5 +550,6 @@ def oracle_sql() -> dict[str, str]:
         "p15_scaled_features_ev": sql_scaled("trips_ev"),
         "a13_median_baseline_ev": sql_median_baseline("trips_ev"),
         "p11_parse_batch_names_li": sql_parse_names("trips_li"),
+        "g7_profile_batches_li_dup": sql_profile_named("trips_li_dup"),
         "x19_rules_report_li_dup": sql_rules_report("trips_li_dup", TOP_K),
     }

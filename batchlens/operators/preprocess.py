@@ -103,8 +103,10 @@ def fit_stats(df: DataFrame, spec: TableSpec, scale: bool = False) -> FitStats:
     num = [c for c in spec.numerical if c in df.columns]
     cat = [c for c in spec.categorical if c in df.columns]
     st = FitStats(num, cat)
-    if num:
-        st.medians = {r["feature"]: r["num_value"] for r in median_frame(df, num).collect()}
+    if num:  # exact medians; high-cardinality columns take the bounded-memory exact path
+        from batchlens.functions.quantiles import quantiles
+
+        st.medians = quantiles(df.select(*[F.col(c).cast("double").alias(c) for c in num]), {c: 0.5 for c in num})
     if cat:
         counts = category_counts(df, cat).collect()
         for c in cat:

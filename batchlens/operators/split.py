@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from batchlens.spec import TableSpec
 
@@ -56,6 +57,13 @@ class TailSplit:
     k: int
 
 
+def _literal(v, dtype) -> Column:
+    """Typed literal; naive timestamps go through ISO text so no time zone is applied on the way."""
+    if v is not None and isinstance(dtype, TimestampNTZType):
+        return F.lit(v.isoformat(sep=" ")).cast(dtype)
+    return F.lit(v).cast(dtype)
+
+
 def _key(cols: list[str]) -> Column:
     return F.struct(*[F.col(c) for c in cols])
 
@@ -73,6 +81,6 @@ def tail_split(df: DataFrame, spec: TableSpec, val_fraction: float = 0.2, min_va
     k = n - split_index(n, val_fraction, min_val_rows)
     tail = df.select(_key(order).alias("__k")).orderBy(F.col("__k").desc()).limit(k)
     boundary = tail.agg(F.min("__k").alias("b")).first()["b"]
-    lit = F.struct(*[F.lit(boundary[i]).cast(df.schema[c].dataType).alias(c) for i, c in enumerate(order)])
+    lit = F.struct(*[_literal(boundary[i], df.schema[c].dataType).alias(c) for i, c in enumerate(order)])
     key = _key(order)
     return TailSplit(df.where(key < lit), df.where(key >= lit), n, k)
