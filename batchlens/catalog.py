@@ -478,6 +478,16 @@ def sql_profile_named(adapter: str) -> str:
 join ({S.batch_list_sql(adapter, spec)}) n using ({spec.batch_col})"""
 
 
+def q_rules_first(adapter: str, n: int) -> Query:
+    def run(spark, sf):
+        from batchlens.plans.train import generate_rules
+
+        b, spec = _batched(spark, sf, adapter)
+        return generate_rules(b, spec, MIN_SUPPORT, MIN_CONFIDENCE, max_batches=n)["rules"]
+
+    return run
+
+
 def queries() -> dict[str, Query]:
     return {
         "a9_quality_profile_li": q_quality("trips_li"),
@@ -511,6 +521,7 @@ def queries() -> dict[str, Query]:
         "a13_median_baseline_ev": q_median_baseline("trips_ev"),
         "p11_parse_batch_names_li": q_parse_names("trips_li"),
         "g7_profile_batches_li_dup": q_profile_named("trips_li_dup"),
+        "f14_rules_first_batches_li_dup": q_rules_first("trips_li_dup", 150),
         "x19_rules_report_li_dup": q_rules_report("trips_li_dup", TOP_K),
         "l1_tree_predictions_ev": q_model_predictions("trips_ev", "tree"),
         "l3_boost_predictions_ev": q_model_predictions("trips_ev", "boost"),
@@ -551,5 +562,8 @@ def oracle_sql() -> dict[str, str]:
         "a13_median_baseline_ev": sql_median_baseline("trips_ev"),
         "p11_parse_batch_names_li": sql_parse_names("trips_li"),
         "g7_profile_batches_li_dup": sql_profile_named("trips_li_dup"),
+        "f14_rules_first_batches_li_dup": S.rules_sql(
+            "trips_li_dup", TRIPS_LI, R.ITEMS, MIN_SUPPORT, MIN_CONFIDENCE, max_batches=150
+        ),
         "x19_rules_report_li_dup": sql_rules_report("trips_li_dup", TOP_K),
     }

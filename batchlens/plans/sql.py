@@ -105,8 +105,11 @@ c6 as (select * from c5 where {dur} <= (select quantile_cont({dur}, {spec.durati
 c_final as (select distinct * from c6)"""
 
 
-def rules_ctes(adapter: str, spec: TableSpec, items: tuple[str, ...], min_support: float) -> str:
-    """CTEs through ``fi`` (frequent itemsets) for the rule-mining oracle over the kept batches."""
+def rules_ctes(
+    adapter: str, spec: TableSpec, items: tuple[str, ...], min_support: float, max_batches: int | None = None
+) -> str:
+    """CTEs through ``fi`` (frequent itemsets) for the rule-mining oracle over the kept batches
+    (the first ``max_batches`` of them in time order when given)."""
     dist, dur, tgt, hr, wd = spec.distance, spec.duration_col, spec.target, spec.hour_col, spec.weekday_col
     conds = {
         "pickup_night": f"{hr} < 6 or {hr} >= 22",
@@ -119,8 +122,16 @@ def rules_ctes(adapter: str, spec: TableSpec, items: tuple[str, ...], min_suppor
     cond_sql = ", ".join(f"coalesce({conds[i]}, false) {i}" for i in items)
     mask = " + ".join(f"cast({it} as bigint) * {1 << i}" for i, it in enumerate(items))
     full = (1 << len(items)) - 1
+    k = spec.batch_col
+    limit = (
+        f"bbn as (select * from bb where {k} in (select {k} from (select distinct {k} from bb) d "
+        f"order by {k} limit {max_batches}))"
+        if max_batches
+        else "bbn as (select * from bb)"
+    )
     return f"""{batched_ctes(adapter, spec)},
-{clean_ctes('bb', spec, [], bool(spec.coordinates))},
+{limit},
+{clean_ctes('bbn', spec, [], bool(spec.coordinates))},
 q as (select quantile_cont({dist}, 0.75) qd, quantile_cont({dur}, 0.75) qu, quantile_cont({tgt}, 0.75) qt
       from c_final),
 cond as (select {cond_sql} from c_final),
@@ -139,9 +150,12 @@ def items_text_sql(mask: str, items: tuple[str, ...]) -> str:
     return f"concat_ws(' & ', {parts})"
 
 
-def rules_sql(adapter: str, spec: TableSpec, items: tuple[str, ...], min_support: float, min_conf: float) -> str:
+def rules_sql(
+    adapter: str, spec: TableSpec, items: tuple[str, ...], min_support: float, min_conf: float,
+    max_batches: int | None = None,
+) -> str:
     at, bt = items_text_sql("a", items), items_text_sql("b", items)
-    return f"""with {rules_ctes(adapter, spec, items, min_support)},
+    return f"""with {rules_ctes(adapter, spec, items, min_support, max_batches)},
 sp as (select itemset s, support,
               unnest(list_filter(generate_series(1, itemset), lambda a: (itemset & a) = a and a <> itemset)) a
        from fi where (itemset & (itemset - 1)) <> 0),

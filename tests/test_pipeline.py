@@ -47,3 +47,21 @@ def test_train_update_replay_score(spark, tmp_store):
     tot, per = quality_section(tmp_store)
     assert tot.first()["processed_batches"] == 2
     assert summary(tmp_store).count() > 10
+
+
+def test_generate_rules_first_batches_and_no_rules(spark, tmp_store):
+    import pytest
+
+    from batchlens.operators.batching import assign_batches
+    from batchlens.plans.train import generate_rules
+    from batchlens.sources.fixtures import trips_li_dup
+    from batchlens.spec import TRIPS_LI
+
+    b = assign_batches(trips_li_dup(spark, SF01), TRIPS_LI)
+    out = generate_rules(b, TRIPS_LI, max_batches=150, store=tmp_store)
+    assert out["rules"].count() == 15 and out["top_rules"].count() == 5
+    cfg = out["config"].first()
+    assert cfg["batch_count"] == 150
+    eb = assign_batches(trips_ev(spark, SF01), TRIPS_EV)
+    with pytest.raises(ValueError, match="No association rules"):
+        generate_rules(eb, TRIPS_EV)
