@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from batchlens.llm import chat
+from batchlens.llm import chat, topk
 from batchlens.llm.shared import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,9 +22,14 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.read_chat(stored(chat.format_chat(rows), "chat")))
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = topk.valid_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", scale=1024)
+    return topk.top_k(rows, F.col("vec_id") % 100 == 0, k=10)
+
+
 def queries() -> dict[str, Query]:
-    return {"op8_chat": op8_chat}
+    return {"op6_topk": op6_topk, "op8_chat": op8_chat}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_chat": chat.SQL}
+    return {"op6_topk": topk.SQL, "op8_chat": chat.SQL}
