@@ -1,4 +1,7 @@
-"""Registered queries of the training-data operators and their DuckDB SQL."""
+"""Registered queries of the training-data operators and their DuckDB SQL.
+
+Every query works on its whole table with the operators' production parameters.
+"""
 
 from __future__ import annotations
 
@@ -7,12 +10,55 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchlens.llm import chat, topk
+from batchlens.llm import chat, decontam, idfiles, linededup, neardup, pieces, tokens, topk, toxicity, warc
 from batchlens.llm.shared import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def tokenizer(name: str) -> str:
+    """Place of a public tokenizer's file; the package is on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit_on_labels(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = warc.new_root(spark)
+    manifest = warc.write_warc(table(spark, sf_dir, "pages"), root)
+    return warc.read_warc(manifest, root).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), limit=2048)
+
+
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = topk.valid_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", scale=1024)
+    return topk.top_k(rows, F.col("vec_id") % 100 == 0, k=10)
+
+
+def op7_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = idfiles.new_root(spark)
+    manifest = idfiles.write_ids(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=1, root=root)
+    return idfiles.read_ids(manifest, root)
+
+
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = spark.createDataFrame(
         [(-7, 0, "user", r"\### Assistant: </turn> ok"), (-7, 1, "assistant", r"\### Assistant: </turn> ok")],
@@ -22,14 +68,21 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.read_chat(stored(chat.format_chat(rows), "chat")))
 
 
-def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = topk.valid_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", scale=1024)
-    return topk.top_k(rows, F.col("vec_id") % 100 == 0, k=10)
+def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_pieces(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_deleted", "text")
 
 
 def queries() -> dict[str, Query]:
-    return {"op6_topk": op6_topk, "op8_chat": op8_chat}
+    own = (
+        op1_toxicity, op2_warc, op3_decontamination, op4_token_counts, op5_near_duplicates, op6_topk, op7_id_files, op8_chat,
+        op9_pieces, op10_line_dedup,
+    )
+    return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_topk": topk.SQL, "op8_chat": chat.SQL}
+    return {"op2_warc": warc.SQL, "op6_topk": topk.SQL, "op8_chat": chat.SQL}
