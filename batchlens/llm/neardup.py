@@ -176,6 +176,10 @@ def _node(t, value):
     return F.xxhash64(F.lit(0), t, value)
 
 
+def _bit(t):
+    return F.call_function("shiftleft", F.lit(1).cast("long"), t)
+
+
 def _star_pairs(classes: DataFrame) -> DataFrame:
     """(a, b): every class with the first class of its nodes in the first trees."""
     rows = classes.select("cls", F.posexplode(F.slice("tokens", 1, STARS)).alias("t", "v")).select("cls", _node(F.col("t"), F.col("v")).alias("node"))
@@ -191,7 +195,7 @@ def _star_pairs(classes: DataFrame) -> DataFrame:
 def _tree_pairs(classes: DataFrame) -> DataFrame:
     """(a, b): pairs of different components out of all trees. ``classes``: cls, n, tokens, comp."""
     roots = classes.select("cls", "comp", F.posexplode("tokens").alias("t", "v"))
-    rows = roots.select(_node(F.col("t"), F.col("v")).alias("node"), "cls", "comp", F.shiftleft(F.lit(1).cast("long"), F.col("t")).alias("used"))
+    rows = roots.select(_node(F.col("t"), F.col("v")).alias("node"), "cls", "comp", _bit(F.col("t")).alias("used"))
     found = None
     for depth in range(DEPTH + 1):
         nodes = rows.groupBy("node").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size")).where("low <> high")
@@ -205,12 +209,12 @@ def _tree_pairs(classes: DataFrame) -> DataFrame:
             return found.distinct()
         if depth < DEPTH:
             # A node's choice depends on its path alone, so all its classes choose alike; tokens used on the path are left out.
-            free = F.filter(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.col("used").bitwiseAND(F.shiftleft(F.lit(1).cast("long"), t)) == 0)
+            free = F.filter(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.col("used").bitwiseAND(_bit(t)) == 0)
             order = F.array_sort(F.transform(free, lambda t: F.struct(F.xxhash64("node", t).alias("h"), t.alias("t"))))
             chosen = large.select("node", "cls", "comp", "used", "tokens", F.explode(F.slice(order, 1, BRANCH)).alias("c"))
             rows = chosen.select(
                 F.xxhash64("node", "c.t", F.element_at("tokens", F.col("c.t") + 1)).alias("node"), "cls", "comp",
-                F.col("used").bitwiseOR(F.expr("shiftleft(1L, c.t)")).alias("used"),
+                F.col("used").bitwiseOR(_bit(F.col("c.t"))).alias("used"),
             )
     sizes = large.groupBy("node", "comp").agg(F.count("*").alias("k"))
     main = sizes.groupBy("node").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.sum("k").alias("all"), F.max("k").alias("most"))
