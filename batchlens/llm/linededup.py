@@ -6,13 +6,13 @@ words of whole lines with an earlier one shares such a run. Every run's first ho
 one aggregation, and each later holder is paired with it: a run in n documents gives n - 1 pairs. A pair is aligned
 with patience diff: lines that occur once on either side anchor the longest increasing chain, which grows over equal
 neighbours, and the gaps are aligned again. What is left over on both sides is aligned once more until nothing is found, so that blocks in another
-order are found too. Common blocks of at least MIN_WORDS words are deleted from the later document.
+order are found too. Common blocks of at least MIN_WORDS words, and further copies of them, are deleted from the later document.
 
 A deleted line always remains in an earlier document, as the first holder of a run never loses it on that run's account.
 
 Defined results: null texts stay null and empty texts empty; lines are compared byte for byte; documents are ordered by doc_id,
 nulls first, then by a hash of the text; rows equal in doc_id and text count as one document and are kept or cut alike;
-lines repeated within one document stay; an empty table gives an empty one; all columns are carried through.
+lines repeated only within one document stay; an empty table gives an empty one; all columns are carried through.
 """
 
 from __future__ import annotations
@@ -100,27 +100,47 @@ def where_first(a: list[int], lo: int, hi: int, h: int) -> int:
 
 
 def common_lines(a: list[int], b: list[int], n_words: list[int], least: int = MIN_WORDS) -> list[int]:
-    """Places in b of the lines in common blocks of at least ``least`` words."""
+    """Places in b of the lines in common blocks of at least ``least`` words, and of further copies of such blocks in b."""
     gone: set[int] = set()
     left_a, left_b = list(range(len(a))), list(range(len(b)))
-    while True:
-        matched = [(left_a[i], left_b[j]) for i, j in patience([a[i] for i in left_a], [b[j] for j in left_b])]
-        new: set[int] = set()
-        used_a: set[int] = set()
-        block: list[tuple[int, int]] = []
-        for m in [*matched, (-9, -9)]:
-            if block and m != (block[-1][0] + 1, block[-1][1] + 1):
-                if sum(n_words[j] for _, j in block) >= least:
-                    new.update(j for _, j in block)
-                used_a.update(i for i, _ in block)
-                block = []
-            block.append(m)
-        used_b = {j for _, j in matched}
-        gone |= new
-        if not matched:
-            return sorted(gone)
+    places: dict[int, list[int]] = {}
+    for j, h in enumerate(b):
+        places.setdefault(h, []).append(j)
+    while matched := [(left_a[i], left_b[j]) for i, j in patience([a[i] for i in left_a], [b[j] for j in left_b])]:
+        blocks: list[list[tuple[int, int]]] = []
+        for m in matched:
+            if blocks and m == (blocks[-1][-1][0] + 1, blocks[-1][-1][1] + 1):
+                blocks[-1].append(m)
+            else:
+                blocks.append([m])
+        for block in blocks:
+            at, n = block[0][1], len(block)
+            if sum(n_words[at : at + n]) >= least:
+                for j in places[b[at]]:
+                    if b[j : j + n] == b[at : at + n] and gone.isdisjoint(range(j, j + n)):
+                        gone.update(range(j, j + n))
+        used_a, used_b = {i for i, _ in matched}, gone | {j for _, j in matched}
         left_a = [i for i in left_a if i not in used_a]
         left_b = [j for j in left_b if j not in used_b]
+    count = dict(zip(b, n_words))
+    known = {tuple(a[i:e]) for i, e in _runs([count.get(h, least) for h in a], least)}  # lines that b lacks end no run of b's
+    for j, e in _runs(n_words, least):  # a run whose lines were matched elsewhere one by one
+        if tuple(b[j:e]) in known:
+            gone.update(range(j, e))
+    return sorted(gone)
+
+
+def _runs(n_words: list[int], least: int):
+    """(start, end) of the shortest run of at least ``least`` words from each line on."""
+    end = total = 0
+    for start, n in enumerate(n_words):
+        while total < least and end < len(n_words):
+            total += n_words[end]
+            end += 1
+        if total < least:
+            return
+        yield start, end
+        total -= n
 
 
 # ---------------------------------------------------------------- lines of texts
