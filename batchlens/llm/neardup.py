@@ -1,19 +1,24 @@
 """Near-duplicate groups by a chosen-path set similarity join.
 
 A document's set is its distinct 5-word shingles. Documents with equal sets are one *class* from the start, so groups of exact
-copies of any size are one row. Every class has TREES minwise tokens (one for each hash function).
+copies of any size are one row. Every class has TREES minwise tokens (one for each hash function) and a sketch of SKETCH
+further minwise values.
 
 - A tree starts from one minwise token: classes that agree on it are a node. TREES trees are grown, so a pair at the threshold
-  misses all of them with probability (1 - t) ** TREES, which is about 4e-15 at 0.75.
-- First links: in the nodes of the first STARS trees every class is tried against the node's first class only. Confirmed links put classes
-  into components; nothing inside one component has to be compared again, so a group of thousands of near copies costs a
-  few links a member, not all pairs.
-- Then all trees: nodes that hold more than one component and at most LEAF classes are compared exhaustively (classes of different
-  components only). Larger nodes branch: each chooses BRANCH further minwise tokens and its classes go on to the children they
-  pick. Nodes of one component end there. What is still large after DEPTH choices is compared in blocks: the classes outside the node's
-  largest component against all of its classes. No node, class or pair is dropped.
-- Pairs in one of these nodes are confirmed on the full sets: 100 * intersection >= 75 * union. Before that only pairs are left out
-  whose sizes rule the threshold out, or that agree on fewer than AGREE of the TREES tokens (probability 2e-6 at the threshold).
+  misses all of them with probability (1 - t) ** TREES, which is 6e-8 at 0.75.
+- First links: in every node all classes are tried against the node's most popular class only (its *center*: the one whose tokens
+  most other classes share, the text that a group was copied from). Confirmed links put classes into components; nothing
+  inside one component has to be compared again, so a group of thousands of near copies costs about one link a member.
+- Families: for every class that shares half or more with a center, what it lacks of the center's set and what it has beside it is
+  kept from that comparison. Two members' intersection follows from these differences exactly, so the members that are not
+  linked with the center are compared with all members of the family, in blocks, without their sets; a block reports only
+  links that join two components.
+- Then nodes that still hold more than one component and a class outside their center's family are compared: those of at most
+  LEAF classes exhaustively, larger ones in blocks of the outside classes against all, as long as that takes at most COMPARED comparisons.
+  Larger nodes branch: each chooses BRANCH further minwise tokens and its classes go on to the children they pick,
+  at most DEPTH times; what is left then is compared in blocks whatever its size. No node, class or pair is dropped.
+- Pairs out of these nodes are confirmed on the full sets: 100 * intersection >= 75 * union. Before that only pairs are left out
+  whose sizes rule the threshold out, or that agree on fewer than AGREE of SKETCH values (probability 1e-7 at the threshold).
 
 Full sets are computed again from the texts, for the classes that occur in a pair only, and travel to the pair's first class,
 which a task holds while the others stream by.
@@ -37,18 +42,23 @@ from batchlens.llm.shared import bloom, bloom_mask, stored
 
 WIDTH = 5
 PERCENT = 75
-TREES = 24
-STARS = 3
-AGREE = 8
+TREES = 12
+SKETCH = 128
+AGREE = 70
+#: Tokens that a first link's classes share; pairs with fewer are left to the comparison of all.
+FIRST_AGREE = 6
 LEAF = 32
 BRANCH = 4
 DEPTH = 4
-BLOCK = 512
+BLOCK = 2048
+COMPARED = 4_000_000
 #: Pairs of one first class that go to one group.
 PAIRS = 512
 
 _SEED = textvec.constants(TREES, 5)
 _ODD = textvec.constants(TREES, 6)
+_SKETCH_SEED = textvec.constants(SKETCH, 7).astype(np.uint32)
+_SKETCH_ODD = textvec.constants(SKETCH, 8).astype(np.uint32) | np.uint32(1)
 
 
 # ---------------------------------------------------------------- sets
@@ -59,25 +69,29 @@ def _digest(s: np.ndarray) -> bytes:
 
 
 def _sketches(batches):
-    """doc_id, text to doc_id, n, class (digest of the set), minwise tokens."""
+    """doc_id, text to doc_id, n, class (digest of the set), minwise tokens, sketch (low 16 bits of each minwise value)."""
     for b in batches:
         w = textvec.words(b.column(1))
         sets = [textvec.shingles(w.hash[x:y], WIDTH) for x, y in zip(w.bounds[:-1], w.bounds[1:])]
         n = np.array([len(s) for s in sets], np.int32)
         full = np.flatnonzero(n)
         tokens = np.zeros((len(full), TREES), np.uint64)
-        for lo in range(0, len(full), 256):
-            part = full[lo : lo + 256]
+        sketch = np.zeros((len(full), SKETCH), np.uint16)
+        for lo in range(0, len(full), 64):
+            part = full[lo : lo + 64]
             joined = np.concatenate([sets[i] for i in part])
             at = np.concatenate(([0], np.cumsum(n[part])[:-1]))
             for t in range(TREES):
-                tokens[lo : lo + 256, t] = np.minimum.reduceat((joined ^ _SEED[t]) * _ODD[t], at)
-        lists = [None] * len(sets)
-        for i, row in zip(full, tokens.view(np.int64)):
-            lists[i] = row
+                tokens[lo : lo + 64, t] = np.minimum.reduceat((joined ^ _SEED[t]) * _ODD[t], at)
+            short = (joined >> np.uint64(32)).astype(np.uint32)
+            for t in range(SKETCH):
+                sketch[lo : lo + 64, t] = np.minimum.reduceat((short ^ _SKETCH_SEED[t]) * _SKETCH_ODD[t], at) & np.uint32(0xFFFF)
+        lists, sketches = [None] * len(sets), [None] * len(sets)
+        for i, row, k in zip(full, tokens.view(np.int64), sketch):
+            lists[i], sketches[i] = row, k.tobytes()
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array(n), pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()), pa.array(lists, pa.list_(pa.int64()))],
-            ["doc_id", "n", "cls", "tokens"],
+            [b.column(0), pa.array(n), pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()), pa.array(lists, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
+            ["doc_id", "n", "cls", "tokens", "sketch"],
         )
 
 
@@ -99,9 +113,11 @@ class _Rows:
         self.keys = np.stack([b.column(k).to_numpy() for k in keys], 1)
         self.cls = b.column("cls").to_pylist()
         self.comp = b.column("comp").to_numpy()
+        self.inside = b.column("inside").to_numpy(zero_copy_only=False)
         self.n = b.column("n").to_numpy().astype(np.int64)
-        tokens = b.column("tokens")
-        self.tokens = tokens.flatten().to_numpy().reshape(len(tokens), TREES)
+        sketch = b.column("sketch")
+        first = np.frombuffer(sketch.buffers()[1], np.int32)[sketch.offset] if len(sketch) else 0
+        self.sketch = np.frombuffer(sketch.buffers()[2], np.uint16, len(sketch) * SKETCH, first).reshape(len(sketch), SKETCH)
 
 
 _PAIR = pa.schema([("a", pa.binary()), ("b", pa.binary())])
@@ -112,7 +128,7 @@ def _pair_batch(pairs):
 
 
 def _leaf_pairs(batches):
-    """Rows sorted by node, few a node: all pairs of different components that may reach the threshold."""
+    """Rows sorted by node, few a node: all pairs of different components, not both of the family, that may reach the threshold."""
     held: list[tuple] = []
     node = None
     out: list[tuple] = []
@@ -121,11 +137,12 @@ def _leaf_pairs(batches):
         cls = [h[0] for h in held]
         comp, n = np.array([h[1] for h in held]), np.array([h[2] for h in held])
         i, j = np.triu_indices(len(held), 1)
-        fit = (comp[i] != comp[j]) & _sizes_fit(n[i], n[j])
+        inside = np.array([h[4] for h in held])
+        fit = (comp[i] != comp[j]) & _sizes_fit(n[i], n[j]) & ~(inside[i] & inside[j])
         i, j = i[fit], j[fit]
         if len(i):
-            tokens = np.array([h[3] for h in held])
-            fit = _agree(tokens[i], tokens[j]) >= AGREE
+            sketch = np.array([h[3] for h in held])
+            fit = _agree(sketch[i], sketch[j]) >= AGREE
             for x, y in zip(i[fit].tolist(), j[fit].tolist()):
                 out.append((min(cls[x], cls[y]), max(cls[x], cls[y])))
 
@@ -137,7 +154,7 @@ def _leaf_pairs(batches):
                 if len(held) > 1:
                     pairs()
                 held, node = [], here
-            held.append((r.cls[k], r.comp[k], r.n[k], r.tokens[k]))
+            held.append((r.cls[k], r.comp[k], r.n[k], r.sketch[k], r.inside[k]))
         if len(out) > 5000:
             yield _pair_batch(set(out))
             out = []
@@ -159,14 +176,16 @@ def _block_pairs(batches):
             if here != key:
                 key, held, block = here, [], None
             if r.keys[k, 2] == 0:
-                held.append((r.cls[k], r.comp[k], r.n[k], r.tokens[k]))
+                held.append((r.cls[k], r.comp[k], r.n[k], r.sketch[k]))
+                continue
+            if not held:  # no class fell into this block
                 continue
             if block is None:
                 cls = [h[0] for h in held]
                 block = (np.array([h[1] for h in held]), np.array([h[2] for h in held]), np.array([h[3] for h in held]))
-            comp, n, tokens = block
+            comp, n, sketch = block
             fit = np.flatnonzero((comp != r.comp[k]) & _sizes_fit(n, r.n[k]))
-            for i in fit[_agree(tokens[fit], r.tokens[k]) >= AGREE].tolist():
+            for i in fit[_agree(sketch[fit], r.sketch[k]) >= AGREE].tolist():
                 out.add((min(cls[i], r.cls[k]), max(cls[i], r.cls[k])))
         if out:
             yield _pair_batch(out)
@@ -180,50 +199,121 @@ def _bit(t):
     return F.call_function("shiftleft", F.lit(1).cast("long"), t)
 
 
-def _star_pairs(classes: DataFrame) -> DataFrame:
-    """(a, b): every class with the first class of its nodes in the first trees."""
-    rows = classes.select("cls", F.posexplode(F.slice("tokens", 1, STARS)).alias("t", "v")).select("cls", _node(F.col("t"), F.col("v")).alias("node"))
-    first = rows.groupBy("node").agg(F.min("cls").alias("a"), F.max("cls").alias("z")).where("a <> z").drop("z")
-    pairs = rows.join(first, "node").where("a <> cls").select("a", F.col("cls").alias("b")).distinct()
+def shared_nodes(classes: DataFrame) -> DataFrame:
+    """(node, t, cls, center): every class in the nodes it shares with others, t the tree, center the node's most popular class."""
+    rows = classes.select("cls", F.posexplode("tokens").alias("t", "v")).select(_node(F.col("t"), F.col("v")).alias("node"), "t", "cls")
+    sizes = rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
+    shared = stored(rows.join(sizes, "node"), "nodes")
+    popular = shared.groupBy("cls").agg(F.sum("size").alias("fame"))
+    center = shared.join(popular, "cls").groupBy("node").agg(F.max_by("cls", F.struct("fame", "cls")).alias("center"))
+    return stored(shared.drop("size").join(center, "node"), "nodes")
+
+
+def _star_pairs(classes: DataFrame, shared: DataFrame) -> DataFrame:
+    """(a, b): every class with the centers of its nodes."""
+    pairs = shared.where("center <> cls").select(F.col("center").alias("a"), F.col("cls").alias("b")).distinct()
     one = classes.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("tokens").alias("t_a"))
     two = classes.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("tokens").alias("t_b"))
     same = F.size(F.filter(F.zip_with("t_a", "t_b", lambda x, y: x == y), lambda e: e))
-    fits = (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT) & (same >= AGREE)
+    fits = (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT) & (same >= FIRST_AGREE)
     return pairs.join(two, "b").join(one, "a").where(fits).select("a", "b")
 
 
-def _tree_pairs(classes: DataFrame) -> DataFrame:
-    """(a, b): pairs of different components out of all trees. ``classes``: cls, n, tokens, comp."""
-    roots = classes.select("cls", "comp", F.posexplode("tokens").alias("t", "v"))
-    rows = roots.select(_node(F.col("t"), F.col("v")).alias("node"), "cls", "comp", _bit(F.col("t")).alias("used"))
+def _tree_pairs(classes: DataFrame, shared: DataFrame, family: DataFrame) -> DataFrame:
+    """(a, b): pairs of different components out of all trees, that no family has compared. ``classes``: cls, n, tokens, sketch, comp;
+    ``family``: (center, cls)."""
+    rows = shared.join(classes.select("cls", "comp"), "cls").join(family.withColumn("inside", F.lit(True)), ["center", "cls"], "left").select(
+        "node", "cls", "comp", (F.coalesce("inside", F.lit(False)) | (F.col("center") == F.col("cls"))).alias("inside"), _bit(F.col("t")).alias("used")
+    )
     found = None
     for depth in range(DEPTH + 1):
-        nodes = rows.groupBy("node").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size")).where("low <> high")
-        mixed = rows.join(nodes.select("node", "size"), "node")
-        mixed = stored(mixed.join(classes.select("cls", "n", "tokens"), "cls"), "paths")
-        leaf = mixed.where(F.col("size") <= LEAF).repartition("node").sortWithinPartitions("node")
-        pairs = leaf.select("node", "cls", "comp", "n", "tokens").mapInArrow(_leaf_pairs, "a binary, b binary")
-        large = mixed.where(F.col("size") > LEAF)
-        found = pairs if found is None else found.unionByName(pairs)
-        if large.isEmpty():
+        nodes = rows.groupBy("node").agg(
+            F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size"), F.count_if(~F.col("inside")).alias("outside")
+        ).where("low <> high and outside > 0")
+        branch = (F.col("size") > LEAF) & (F.col("size") * F.col("outside") > COMPARED) & F.lit(depth < DEPTH)
+        mixed = stored(rows.join(nodes.select("node", "size", "outside", branch.alias("branch")), "node"), "paths")
+        facts = classes.select("cls", "n", "sketch")
+        leaf = mixed.where(F.col("size") <= LEAF).join(facts, "cls").repartition("node").sortWithinPartitions("node")
+        pairs = leaf.select("node", "cls", "comp", "inside", "n", "sketch").mapInArrow(_leaf_pairs, "a binary, b binary")
+        told = mixed.where((F.col("size") > LEAF) & ~F.col("branch")).withColumn("blocks", F.ceil(F.col("outside") / BLOCK).cast("long")).join(facts, "cls")
+        own = told.where(~F.col("inside")).withColumns({"block": F.pmod(F.xxhash64("cls"), "blocks"), "kind": F.lit(0).cast("long")})
+        every = told.withColumns({"block": F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)), "kind": F.lit(1).cast("long")})
+        sent = own.unionByName(every).select("node", "block", "kind", "cls", "comp", "inside", "n", "sketch")
+        blocks = sent.repartition("node", "block").sortWithinPartitions("node", "block", "kind").mapInArrow(_block_pairs, "a binary, b binary")
+        found = pairs.unionByName(blocks) if found is None else found.unionByName(pairs).unionByName(blocks)
+        large = mixed.where("branch")
+        if depth == DEPTH or large.isEmpty():
             return found.distinct()
-        if depth < DEPTH:
-            # A node's choice depends on its path alone, so all its classes choose alike; tokens used on the path are left out.
-            free = F.filter(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.col("used").bitwiseAND(_bit(t)) == 0)
-            order = F.array_sort(F.transform(free, lambda t: F.struct(F.xxhash64("node", t).alias("h"), t.alias("t"))))
-            chosen = large.select("node", "cls", "comp", "used", "tokens", F.explode(F.slice(order, 1, BRANCH)).alias("c"))
-            rows = chosen.select(
-                F.xxhash64("node", "c.t", F.element_at("tokens", F.col("c.t") + 1)).alias("node"), "cls", "comp",
-                F.col("used").bitwiseOR(_bit(F.col("c.t"))).alias("used"),
-            )
-    sizes = large.groupBy("node", "comp").agg(F.count("*").alias("k"))
-    main = sizes.groupBy("node").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.sum("k").alias("all"), F.max("k").alias("most"))
-    main = main.select("node", "main", F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int").alias("blocks"))
-    told = large.select("node", "cls", "comp", "n", "tokens").join(main, "node")
-    own = told.where("comp <> main").withColumns({"block": F.pmod(F.xxhash64("cls"), "blocks").cast("long"), "kind": F.lit(0).cast("long")})
-    every = told.withColumns({"block": F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)), "kind": F.lit(1).cast("long")})
-    sent = own.unionByName(every).drop("main", "blocks").repartition("node", "block").sortWithinPartitions("node", "block", "kind")
-    return found.unionByName(sent.mapInArrow(_block_pairs, "a binary, b binary")).distinct()
+        # A node's choice depends on its path alone, so all its classes choose alike; tokens used on the path are left out.
+        free = F.filter(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.col("used").bitwiseAND(_bit(t)) == 0)
+        order = F.array_sort(F.transform(free, lambda t: F.struct(F.xxhash64("node", t).alias("h"), t.alias("t"))))
+        chosen = large.join(classes.select("cls", "tokens"), "cls").withColumn("c", F.explode(F.slice(order, 1, BRANCH)))
+        rows = chosen.select(
+            F.xxhash64("node", "c.t", F.element_at("tokens", F.col("c.t") + 1)).alias("node"), "cls", "comp", "inside",
+            F.col("used").bitwiseOR(_bit(F.col("c.t"))).alias("used"),
+        )
+
+
+# ---------------------------------------------------------------- families
+
+
+def _family_links(batches):
+    """Rows sorted by (center, block, kind): members outside the center's component (kind 0) are held, all members (kind 1) stream by.
+
+    missing: bits of the center's set that a member lacks; extra: its shingles beside the center's."""
+    key = None
+    held: list[dict] = []
+    lack = None
+    for batch in batches:
+        out = []
+        for r in batch.to_pylist():
+            if (r["center"], r["block"]) != key:
+                key, held, lack = (r["center"], r["block"]), [], None
+            if r["kind"] == 0:
+                held.append(r)
+                continue
+            if not held:  # no member fell into this block
+                continue
+            if lack is None:
+                wide = -(-len(r["missing"]) // 8) * 8
+                lack = np.stack([np.frombuffer(h["missing"].ljust(wide, b"\0"), np.uint64) for h in held])
+                n, n_lack = np.array([h["n"] for h in held]), np.bitwise_count(lack).sum(1).astype(np.int64)
+                beside: dict[int, list[int]] = {}
+                for i, h in enumerate(held):
+                    for x in np.frombuffer(h["extra"], np.uint64).tolist():
+                        beside.setdefault(x, []).append(i)
+                up: dict[int, int] = {}  # components that links found here have joined
+            own = np.frombuffer(r["missing"].ljust(wide, b"\0"), np.uint64)
+            both = r["n_center"] - n_lack - int(np.bitwise_count(own).sum()) + np.bitwise_count(lack & own).sum(1).astype(np.int64)
+            for x in np.frombuffer(r["extra"], np.uint64).tolist():
+                if x in beside:
+                    both[beside[x]] += 1
+            for i in np.flatnonzero(100 * both >= PERCENT * (n + r["n"] - both)).tolist():
+                a, b = _root(up, held[i]["comp"]), _root(up, r["comp"])
+                if a != b:
+                    up[max(a, b)] = min(a, b)
+                    out.append((held[i]["cls"], r["cls"]))
+        if out:
+            yield _pair_batch(out)
+
+
+def _root(up: dict, x):
+    while x in up:
+        x = up[x]
+    return x
+
+
+def family_links(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """(a, b): links between members of one family that join components. ``members``: center, cls, n_center, n, missing, extra; ``comps``:
+    cls, comp."""
+    named = members.join(comps, "cls").join(comps.select(F.col("cls").alias("center"), F.col("comp").alias("main")), "center")
+    named = stored(named, "families")
+    blocks = named.where("comp <> main").groupBy("center").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
+    told = named.join(blocks, "center")
+    own = told.where("comp <> main").withColumns({"block": F.pmod(F.xxhash64("cls"), "blocks"), "kind": F.lit(0)})
+    every = told.withColumns({"block": F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)), "kind": F.lit(1)})
+    sent = own.unionByName(every).drop("main", "blocks").repartition("center", "block").sortWithinPartitions("center", "block", "kind")
+    return sent.mapInArrow(_family_links, "a binary, b binary")
 
 
 # ---------------------------------------------------------------- confirming pairs on full sets
@@ -246,28 +336,45 @@ def _wanted_sets(bits):
     return run
 
 
-def _confirm(batches):
-    """Rows sorted by (a, salt, kind): the set of a first, then those it is compared with."""
-    a = first = None
-    for b in batches:
-        out = []
-        for k, kind, cls, items in zip(b.column("a").to_pylist(), b.column("kind").to_pylist(), b.column("cls").to_pylist(), b.column("items")):
-            s = np.frombuffer(items.as_buffer(), np.uint64)
-            if kind == 0:
-                a, first = k, s
-                continue
-            if k != a:
-                raise ValueError("a pair's first set is missing")
-            at = np.searchsorted(first, s)
-            both = int((first[np.minimum(at, len(first) - 1)] == s).sum())
-            if 100 * both >= PERCENT * (len(first) + len(s) - both):
-                out.append((a, cls))
-        if out:
-            yield _pair_batch(out)
+_CONFIRMED = "a binary, b binary, linked boolean, n_a int, n_b int, missing binary, extra binary"
+
+
+def _confirm(differences: bool):
+    """Rows sorted by (a, salt, kind): the set of a first, then those it is compared with. Pairs that are linked, and with ``differences``
+    those that share half or more, with what b lacks of a (bits) and has beside a."""
+
+    def run(batches):
+        a = first = None
+        for b in batches:
+            out = []
+            for k, kind, cls, items in zip(b.column("a").to_pylist(), b.column("kind").to_pylist(), b.column("cls").to_pylist(), b.column("items")):
+                s = np.frombuffer(items.as_buffer(), np.uint64)
+                if kind == 0:
+                    a, first = k, s
+                    continue
+                if k != a:
+                    raise ValueError("a pair's first set is missing")
+                at = np.minimum(np.searchsorted(first, s), len(first) - 1)
+                same = first[at] == s
+                both = int(same.sum())
+                union = len(first) + len(s) - both
+                linked = 100 * both >= PERCENT * union
+                if differences and 2 * both >= union:
+                    has = np.zeros(len(first), bool)
+                    has[at[same]] = True
+                    out.append((a, cls, linked, len(first), len(s), np.packbits(~has).tobytes(), s[~same].tobytes()))
+                elif linked:
+                    out.append((a, cls, True, len(first), len(s), None, None))
+            if out:
+                cols = zip(*out)
+                kinds = (pa.binary(), pa.binary(), pa.bool_(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["a", "b", "linked", "n_a", "n_b", "missing", "extra"])
+
+    return run
 
 
-def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) that reach the threshold."""
+def _compare(docs: DataFrame, classes: DataFrame, pairs: DataFrame, differences: bool) -> DataFrame:
+    """The pairs (a, b) that reach the threshold, or with ``differences`` share half or more (_CONFIRMED)."""
     spark = docs.sparkSession
     pairs = stored(pairs, "pairs")
     counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / PAIRS).cast("int").alias("salts"))
@@ -279,7 +386,7 @@ def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     bits = spark.sparkContext.broadcast(bloom(labels.mapInArrow(_mix_labels, "k long"), F.col("k")))
     sets = docs.mapInArrow(_wanted_sets(bits), "cls binary, items binary")
     sent = firsts.unionByName(others).join(sets, "cls").repartition("a", "salt").sortWithinPartitions("a", "salt", "kind")
-    return sent.select("a", "kind", "cls", "items").mapInArrow(_confirm, "a binary, b binary").distinct()
+    return sent.select("a", "kind", "cls", "items").mapInArrow(_confirm(differences), _CONFIRMED)
 
 
 def _mix_labels(batches):
@@ -310,21 +417,31 @@ def components(labels: DataFrame, links: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = stored(texts.mapInArrow(_sketches, "doc_id long, n int, cls binary, tokens array<long>"), "sketches")
+    rows = stored(texts.mapInArrow(_sketches, "doc_id long, n int, cls binary, tokens array<long>, sketch binary"), "sketches")
     linked = rows.where(F.col("cls").isNotNull() & F.col("doc_id").isNotNull())
     classes = stored(
-        linked.groupBy("cls").agg(F.min("doc_id").alias("label"), F.first("n").alias("n"), F.first("tokens").alias("tokens")), "classes"
+        linked.groupBy("cls").agg(F.min("doc_id").alias("label"), *[F.first(c).alias(c) for c in ("n", "tokens", "sketch")]), "classes"
     )
     # Rows that share a doc_id are one node, whatever their texts.
     twice = linked.groupBy("doc_id").agg(F.min("cls").alias("a"), F.max("cls").alias("z")).where("a <> z").select("doc_id", "a")
     same_id = linked.join(twice, "doc_id").where("cls <> a").select("a", F.col("cls").alias("b")).distinct()
-    first = stored(same_id.unionByName(_links(texts, classes, _star_pairs(classes))), "links")
-    so_far = components(classes.select("cls", "label"), first)
-    told = stored(
-        classes.join(so_far, "cls", "left").select("cls", "label", "n", "tokens", F.coalesce("comp", "label").alias("comp")), "classes"
+    shared = shared_nodes(classes)
+    tried = stored(_compare(texts, classes, _star_pairs(classes, shared), True), "tried")
+    links = stored(same_id.unionByName(tried.where("linked").select("a", "b")), "links")
+    members = tried.where("missing is not null").select(
+        F.col("a").alias("center"), F.col("b").alias("cls"), F.col("n_a").alias("n_center"), F.col("n_b").alias("n"), "missing", "extra"
     )
-    second = stored(_links(texts, classes, _tree_pairs(told)), "links")
-    final = components(classes.select("cls", "label"), first.unionByName(second))
+    for step in ("families", "trees"):
+        so_far = components(classes.select("cls", "label"), links)
+        comp = classes.join(so_far, "cls", "left").withColumn("comp", F.coalesce("comp", "label"))
+        if step == "families":
+            more = family_links(members, comp.select("cls", "comp"))
+        else:
+            told = stored(comp.select("cls", "n", "tokens", "sketch", "comp"), "classes")
+            pairs = _tree_pairs(told, shared, members.select("center", "cls").distinct())
+            more = _compare(texts, classes, pairs, False).select("a", "b")
+        links = stored(links.unionByName(more).distinct(), "links")
+    final = components(classes.select("cls", "label"), links)
     named = classes.select("cls", "label").join(final, "cls", "left").select("cls", F.coalesce("comp", "label").alias("component"))
     out = rows.join(named, "cls", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
