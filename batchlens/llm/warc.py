@@ -1,7 +1,7 @@
 """Deterministic sharded WARC writer, and a reader.
 
 Rows are range-sorted by page_id into shards that depend on the data only (``range_shards``); within a shard they are ordered by
-page_id, url and digest, nulls first. Every record is a gzip member of its own. A shard's file is rolled when its compressed size
+page_id, digest and url, nulls first. Every record is a gzip member of its own. A shard's file is rolled when its compressed size
 would pass ``roll_bytes``. Headers are made anew: record ids come from page id and digest, block and payload digests and
 lengths from the bytes written, dates from a parameter, so equal input gives equal bytes.
 
@@ -40,6 +40,9 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Times a digest's row is repeated for its join, so that one payload in a third of all rows is no single task.
 SALTS = 16
 
+#: Characters that stay as they are in a target's address.
+_URL = "!#$&'()*+,/:;=?@[]~-._%"
+
 _FILES = "shard int, roll int, temp string, name string, n_records long, n_bytes long, sha1 string"
 _RECORDS = "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
@@ -67,8 +70,9 @@ def record(page_id, url, payload: bytes, digest: str, n_bytes: int, refers_to, i
         f"WARC-Payload-Digest: {_b32(digest)}",
     ]
     if url is not None:
-        head.append(f"WARC-Target-URI: {quote(url, safe='!#$&()*+,/:;=?@[]~-._%' + chr(39)) if not url.isprintable() or ' ' in url or not url.isascii() else url}")
-        if head[-1][17:] != url:
+        plain = url.isascii() and url.isprintable() and " " not in url
+        head.append(f"WARC-Target-URI: {url if plain else quote(url, safe=_URL)}")
+        if not plain:
             head.append(f"X-Target-Exact: {quote(url, safe='')}")
     if page_id is not None:
         head.append(f"X-Page-Id: {page_id}")
@@ -111,12 +115,16 @@ _FILE_SCHEMA = pa.schema(
 def _write(root: str, roll_bytes: int, date: str):
     def run(batches):
         fs, base = file_system(root)
-        file = None
+        file = mark = None
         for b in batches:
-            cols = [b.column(c) for c in ("shard", "page_id", "url", "payload", "digest", "n_bytes", "refers_to", "is_revisit")]
+            cols = [b.column(c) for c in ("shard", "page_id", "url", "payload", "digest", "n_bytes", "refers_to", "kind")]
             for i in range(b.num_rows):
-                shard, page, url, payload, digest, n, refers, revisit = (c[i].as_py() for c in cols)
-                member = _gzip(record(page, url, payload or b"", digest, n, refers, revisit, date))
+                shard, page, url, payload, digest, n, refers, kind = (c[i].as_py() for c in cols)
+                if kind == 0:  # the rows of this page and digest that follow are revisits
+                    mark = (page, digest, refers)
+                    continue
+                revisit = mark is not None and mark[:2] == (page, digest)
+                member = _gzip(record(page, url, payload or b"", digest, n, mark[2] if revisit else None, revisit, date))
                 if file and (file.shard != shard or (file.records and file.size + len(member) > roll_bytes)):
                     yield pa.RecordBatch.from_pylist([file.close()], schema=_FILE_SCHEMA)
                     file = _File(fs, base, shard, file.roll + 1 if file.shard == shard else 0)
@@ -134,20 +142,23 @@ def write_warc(pages: DataFrame, root: str, revisit_bytes: int = REVISIT_BYTES,
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumns({"digest": F.sha1("payload"), "n_bytes": F.octet_length("payload").cast("long")})
     shard, n = range_shards(rows, "page_id", F.col("n_bytes") + 512, SHARD_BYTES)
-    large = rows.where(F.col("n_bytes") >= revisit_bytes)
-    # A row for each payload that occurs more than once, sent to SALTS places.
+    # Which rows revisit another is found on ids and digests alone. Their few columns then travel with the pages to the shard, so
+    # payloads are moved once. A row for each payload that occurs more than once is sent to SALTS places.
+    ids = rows.where(F.col("n_bytes") >= revisit_bytes).select("page_id", "digest")
     copies = (
-        large.groupBy("digest").agg(F.count("*").alias("c"), F.max("page_id").alias("refers_to")).where(F.col("c") > 1).drop("c")
+        ids.groupBy("digest").agg(F.count("*").alias("c"), F.max("page_id").alias("refers_to")).where(F.col("c") > 1).drop("c")
         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     )
-    salted = rows.withColumn("salt", F.when(F.col("n_bytes") >= revisit_bytes, F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")))
-    told = salted.join(copies, ["digest", "salt"], "left").drop("salt")
-    revisit = F.coalesce(F.col("refers_to").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("refers_to")), F.lit(False))
-    told = told.withColumns({"shard": shard, "is_revisit": revisit, "payload": F.when(~revisit, F.col("payload"))})
+    salted = ids.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
+    revisits = (
+        salted.join(copies, ["digest", "salt"]).where(F.col("refers_to").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("refers_to")))
+        .select("page_id", "digest", "refers_to").distinct()
+    )
+    marks = revisits.select(shard.alias("shard"), "page_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"), "digest", F.lit(0).cast("long").alias("n_bytes"), "refers_to", F.lit(0).alias("kind"))
+    sent = rows.select(shard.alias("shard"), "page_id", "url", "payload", "digest", "n_bytes", F.lit(None).cast("long").alias("refers_to"), F.lit(1).alias("kind"))
     fs, base = file_system(root)
     fs.create_dir(f"{base}/_temp")
-    ready = told.select("shard", "page_id", "url", "payload", "digest", "n_bytes", "refers_to", "is_revisit")
-    ready = ready.repartition(max(1, n), "shard").sortWithinPartitions("shard", "page_id", "url", "digest")
+    ready = marks.unionByName(sent).repartition(max(1, n), "shard").sortWithinPartitions("shard", "page_id", "digest", "kind", "url")
     return commit_files(stored(ready.mapInArrow(_write(root, roll_bytes, date), _FILES), "warc-manifest"), root)
 
 
