@@ -12,7 +12,7 @@ a control byte, so a control byte serves four ids. A file holds blocks of up to
 lengths and gathers bytes with numpy.
 
 Documents go to files by ranges of doc_id (``range_shards``), in ascending order within and over files; ties are ordered by a
-hash of the text, null ids come first. Ids are first put down as plain uint32 with their counts, so each text is encoded once;
+hash of the text, null ids come first. Ids are first put down plainly (compressed) with their counts, so each text is encoded once;
 the ranks are then known (one number for each id of the vocabulary comes to the driver) and the files are written. Files get their
 final names after the manifest of the one attempt that counts is stored.
 
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from batchlens.llm.shared import commit_files, file_system, fresh_dir, range_shards, stored
-from batchlens.llm.tokens import encoder
+from batchlens.llm.tokens import encoder, slices
 
 MAGIC = b"IDRANK01"
 BLOCK = 1 << 20
@@ -88,12 +88,17 @@ class _Index:
 # ---------------------------------------------------------------- plain ids
 
 
+def _plain_type(vocabulary: int, end_id: int) -> str:
+    return "<u2" if max(vocabulary, end_id + 1) <= 1 << 16 else "<u4"
+
+
 def _put_plain(root: str, tokenizer: str, end_id: int):
     """Rows (shard, doc_id, text) in order to one plain file a shard."""
 
     def run(batches):
         fs, base = file_system(root)
         enc = encoder(tokenizer)
+        plain = _plain_type(enc.library.get_vocab_size(), end_id)
         shard = out = index = None
         counts = np.zeros(0, np.int64)
 
@@ -120,18 +125,17 @@ def _put_plain(root: str, tokenizer: str, end_id: int):
                         yield close()
                     shard, index, counts = int(shards[lo]), _Index(), np.zeros(1 << 16, np.int64)
                     temp = f"_plain/{shard:08d}-{uuid.uuid4().hex}"
-                    out = fs.open_output_stream(f"{base}/{temp}")
-                for at in range(lo, hi, 512):
-                    part = b.slice(at, min(512, hi - at))
-                    lists = enc.ids(part.column(2).fill_null("").to_pylist())
-                    flat = np.concatenate([np.append(x, end_id) for x in lists])
-                    out.write(flat.astype("<u4").tobytes())
+                    out = fs.open_output_stream(f"{base}/{temp}", compression="zstd")
+                for part in slices(b.slice(lo, hi - lo), 2):
+                    ids, bounds = enc.column(part.column(2))
+                    flat = np.insert(ids, bounds[1:], end_id)
+                    out.write(flat.astype(plain).tobytes())
                     more = np.bincount(flat, minlength=len(counts))
                     if len(more) > len(counts):
                         counts = np.pad(counts, (0, len(more) - len(counts)))
                     counts += more
                     index.ids += part.column(1).to_pylist()
-                    index.sizes += [len(x) + 1 for x in lists]
+                    index.sizes += (np.diff(bounds) + 1).tolist()
         if shard is not None:
             yield close()
 
@@ -141,7 +145,7 @@ def _put_plain(root: str, tokenizer: str, end_id: int):
 # ---------------------------------------------------------------- files
 
 
-def _write_files(root: str, ranks_of):
+def _write_files(root: str, ranks_of, plain: str):
     """A plain file to a ranked one."""
 
     def run(batches):
@@ -151,12 +155,12 @@ def _write_files(root: str, ranks_of):
             for row in b.to_pylist():
                 temp = f"_temp/{row['shard']:08d}-{uuid.uuid4().hex}"
                 size = len(MAGIC)
-                with fs.open_input_stream(f"{base}/{row['temp']}") as src, fs.open_output_stream(f"{base}/{temp}") as out:
+                with fs.open_input_stream(f"{base}/{row['temp']}", compression="zstd") as src, fs.open_output_stream(f"{base}/{temp}") as out:
                     out.write(MAGIC)
                     left = row["n_ids"]
                     while left:
                         n = min(BLOCK, left)
-                        control, data = encode_block(rank[np.frombuffer(src.read(4 * n), "<u4")])
+                        control, data = encode_block(rank[np.frombuffer(src.read(np.dtype(plain).itemsize * n), plain)])
                         out.write(np.array([n, len(data)], "<u4").tobytes())
                         out.write(control)
                         out.write(data)
@@ -193,7 +197,8 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int, root: str) -> DataFr
     rank = np.zeros(int(by_rank.max(initial=0)) + 1, "<u4")
     rank[by_rank] = np.arange(len(by_rank))
     sent = spark.sparkContext.broadcast(rank.tobytes())
-    files = plain.select("shard", "temp", "n_docs", "n_ids").repartition(max(1, n), "shard").mapInArrow(_write_files(root, sent), _FILES)
+    plain_type = _plain_type(encoder(tokenizer).library.get_vocab_size(), end_id)
+    files = plain.select("shard", "temp", "n_docs", "n_ids").repartition(max(1, n), "shard").mapInArrow(_write_files(root, sent, plain_type), _FILES)
     manifest = commit_files(stored(files, "ids-manifest"), root)
     fs.delete_dir(f"{base}/_plain")
     return manifest

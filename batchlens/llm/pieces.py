@@ -1,7 +1,8 @@
 """SentencePiece encoding and decoding with a shared-prefix forward pass.
 
 White space is marked, texts are cut into marked words (no piece crosses the start of a marked word, nor a line feed, which
-is checked when the model is loaded), and the distinct new words of a batch are sorted. Sorted words are the leaves of a trie in
+is checked when the model is loaded). Words are looked up a whole column at a time, by hash, in a table that the worker
+process keeps, and the distinct words that are not there yet are sorted. Sorted words are the leaves of a trie in
 depth-first order: two neighbours share the forward states of their common prefix, so each trie node is worked out once.
 
 A forward state holds the best last piece of the encoding of that prefix, its start and its score. For a BPE model the best path is the one that merging
@@ -20,16 +21,26 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from batchlens.llm import textvec
+from batchlens.llm.tokens import Table, ends_check, slices
+
 MARK = "▁"
-#: Marked words kept by a worker; the store starts anew when full.
-CACHE_WORDS = 300_000
-#: Pairs of pieces whose compatibility is remembered.
-CACHE_PAIRS = 1_000_000
+#: Marked words kept by a worker's table; it starts anew when full.
+TABLE_WORDS = 1_500_000
+#: Pairs of pieces whose compatibility is remembered; the store starts anew when full.
+CACHE_PAIRS = 500_000
 _UNITS = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
 
+#: Bytes as they are, spaces 0; line feeds stand alone.
+_FOLD = textvec.fold_table((0x20,), lower=False)
+_PARTS = np.ones(256, np.uint8)
+_PARTS[0x20], _PARTS[0x0A] = 0, 4
+_MARKED = textvec.constants(1, 31)[0]
+
 _loaded: dict = {}
 
 
@@ -66,8 +77,8 @@ class Pieces:
                 raw[i] = b""
         raw[self.unknown] = " ⁇ ".encode()
         self.raw = raw
-        self.cache: dict[str, tuple] = {}
-        self.pairs: dict[tuple, bool] = {}
+        self.table = Table()
+        self.pairs: dict[int, bool] = {}
         self.whole: dict[int, bool] = {}
 
     # ------------------------------------------------------------ merging by score
@@ -103,11 +114,11 @@ class Pieces:
         return x
 
     def _apart(self, a: int, b: int) -> bool:
-        key = (a, b)
+        key = a << 32 | b
         if (x := self.pairs.get(key)) is None:
             if len(self.pairs) > CACHE_PAIRS:
                 self.pairs = {}
-            x = self.pairs[key] = self.merge(self.text[a] + self.text[b]) == [self.text[a], self.text[b]]
+            x = self.pairs[key] = self.merge(self.text[a] + self.text[b]) == [self.text[a], self.text[b]] and self._stays(b)
         return x
 
     # ------------------------------------------------------------ forward pass over sorted words
@@ -139,10 +150,9 @@ class Pieces:
                     if u < 0:
                         good = self._stays(k)
                     else:
-                        good = pairs.get((u, k))
+                        good = pairs.get(u << 32 | k)
                         if good is None:
-                            good = self._apart(u, k) and self._stays(k)
-                            self.pairs[(u, k)] = good
+                            good = self._apart(u, k)
                             pairs = self.pairs
                     if good:
                         last.append(k)
@@ -164,28 +174,63 @@ class Pieces:
     # ------------------------------------------------------------ texts
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        out: list = []
-        group: list = []
-        size = 0
-        for t in [*texts, None]:
-            if t is not None:
-                group.append(_UNITS.findall(MARK + t.replace(" ", MARK)) if t else [])
-                size += len(t)
-            if group and (t is None or size > 1 << 20):
-                if len(self.cache) > CACHE_WORDS:
-                    self.cache = {}
-                cache = self.cache
-                new = {u for us in group for u in us if u not in cache}
-                if new:
-                    cache.update(self.forward(list(new)))
-                out += [[i for u in us for i in cache[u]] for us in group]
-                group, size = [], 0
-        return out
+        """Piece ids of texts, each text by itself."""
+        units = [_UNITS.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
+        known = self.forward(list({u for us in units for u in us}))
+        return [[i for u in us for i in known[u]] for us in units]
+
+    def _odd(self, column, w: textvec.Words) -> np.ndarray:
+        """Texts with runs of spaces, spaces at an end or before a line feed, line feeds at the start, or the mark itself."""
+        d, o = w.data, w.offsets
+        odd = pc.match_substring(column, MARK).fill_null(False).to_numpy(zero_copy_only=False)
+        full = np.flatnonzero(np.diff(o))
+        odd[full] |= np.isin(d[o[full]], (0x20, 0x0A)) | (d[o[full + 1] - 1] == 0x20)
+        at = np.flatnonzero((d[o[0] : o[-1] - 1] == 0x20) & ((d[o[0] + 1 : o[-1]] == 0x20) | (d[o[0] + 1 : o[-1]] == 0x0A))) + o[0]
+        odd[np.searchsorted(o, at, "right") - 1] = True
+        return odd
+
+    def column(self, column) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, bounds): the ids of text i are ids[bounds[i]:bounds[i + 1]]. Nulls are empty."""
+        w = textvec.words(column, _FOLD, parts=_PARTS)
+        if not len(w.hash):
+            if not (np.diff(w.offsets) > 0).any():
+                return np.zeros(0, np.uint32), np.zeros(len(column) + 1, np.int64)
+        first = np.zeros(len(w.hash), bool)
+        first[w.bounds[:-1][np.diff(w.bounds) > 0]] = True
+        marked = first | (w.data[np.maximum(w.start - 1, 0)] == 0x20)
+        marked &= ~((w.data[w.start] == 0x0A) & (w.end - w.start == 1))
+        checks = ends_check(w)
+        keys = textvec.mix(w.hash + checks) ^ np.where(marked, _MARKED, np.uint64(0))
+        if len(self.table.keys) > TABLE_WORDS:
+            self.table = Table()
+        at = self.table.find(keys, checks)
+        miss = np.flatnonzero(at < 0)
+        if len(miss):
+            pick = miss[np.unique(keys[miss], return_index=True)[1]]
+            data, base = w.data[w.offsets[0] : w.offsets[-1]].tobytes(), int(w.offsets[0])
+            new = [("▁" if m else "") + data[a:b].decode() for m, a, b in zip(marked[pick].tolist(), (w.start[pick] - base).tolist(), (w.end[pick] - base).tolist())]
+            known = self.forward(new)
+            lists = [known[u] for u in new]
+            self.table.add(keys[pick], checks[pick], np.array([i for x in lists for i in x], np.uint32), np.array([len(x) for x in lists]))
+            self.table.index()
+            at[miss] = self.table.find(keys[miss], checks[miss])
+            if (at < 0).any():
+                raise ValueError("two words share their hash")
+        ids = self.table.ids(at)
+        bounds = np.concatenate(([0], np.cumsum(self.table.count[at])))[w.bounds]
+        odd = np.flatnonzero(self._odd(column, w))
+        if len(odd):
+            own = dict(zip(odd.tolist(), self.encode([column[i].as_py() for i in odd.tolist()])))
+            texts = [np.array(own[i], np.uint32) if i in own else ids[a:b] for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:]))]
+            ids, bounds = np.concatenate(texts), np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+        return ids, bounds
+
+    def decode_bytes(self, ids: list[int]) -> bytes:
+        data = b"".join(map(self.raw.__getitem__, ids))
+        return data[1:] if data.startswith(b" ") else data
 
     def decode(self, ids: list[int]) -> str:
-        raw = self.raw
-        text = b"".join([raw[i] for i in ids]).decode("utf-8", "replace")
-        return text[1:] if text.startswith(" ") else text
+        return self.decode_bytes(ids).decode("utf-8", "replace")
 
 
 def encode_pieces(docs: DataFrame, path: str) -> DataFrame:
@@ -197,19 +242,17 @@ def encode_pieces(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches):
         m = model(path)
-        for b in batches:
-            for lo in range(0, b.num_rows, 512):
-                part = b.slice(lo, 512)
-                texts = part.column(1).fill_null("").to_pylist()
-                ids = m.encode(texts)
-                same = [m.decode(x) == t for x, t in zip(ids, texts)]
-                bounds = np.zeros(len(ids) + 1, np.int32)
-                np.cumsum([len(x) for x in ids], out=bounds[1:])
-                flat = np.fromiter((i for x in ids for i in x), np.int32, int(bounds[-1]))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(np.diff(bounds).astype(np.int64)), pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat)), pa.array(same)],
-                    ["doc_id", "n_pieces", "ids", "round_trip"],
-                )
+        for batch in batches:
+            for b in slices(batch, 1, 4 << 20):
+                ids, bounds = m.column(b.column(1))
+                flat = ids.tolist()
+                data, offsets = textvec.text_bytes(b.column(1))
+                same = [
+                    m.decode_bytes(flat[x:y]) == data[s:e].tobytes()
+                    for x, y, s, e in zip(bounds.tolist(), bounds[1:].tolist(), offsets.tolist(), offsets[1:].tolist())
+                ]
+                lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(bounds)), lists, pa.array(same)], ["doc_id", "n_pieces", "ids", "round_trip"])
 
     out = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_pieces long, ids array<int>, round_trip boolean"
     return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, out)

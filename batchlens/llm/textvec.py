@@ -108,7 +108,8 @@ def _slices(data, offsets, table):
         lo = hi
 
 
-def words(column, table: np.ndarray = WORDS, prefix_bytes: tuple = ()) -> Words:
+def words(column, table: np.ndarray = WORDS, prefix_bytes: tuple = (), parts: np.ndarray | None = None) -> Words:
+    """``parts`` (a class for each byte) also ends words between classes 2 and 3, and leaves bytes of class 4 alone."""
     data, offsets = text_bytes(column)
     hashes, starts, ends = [], [], []
     heads = [[] for _ in prefix_bytes]
@@ -120,10 +121,17 @@ def words(column, table: np.ndarray = WORDS, prefix_bytes: tuple = ()) -> Words:
         before[0], before[1:] = False, full[:-1]
         edges = offsets[np.searchsorted(offsets, lo, "left") : np.searchsorted(offsets, hi, "left")] - lo
         before[edges] = False
+        if parts is not None:
+            kind = parts[data[lo:hi]]
+            a, z = kind[:-1], kind[1:]
+            edge = np.flatnonzero(((a != z) & (a > 1) & (z > 1)) | (a == 4) | (z == 4)) + 1
+            before[edge] = False
         s = np.flatnonzero(full & ~before)
         after = np.empty(n, bool)
         after[-1], after[:-1] = False, full[1:]
         after[edges[edges > 0] - 1] = False
+        if parts is not None:
+            after[edge - 1] = False
         e = np.flatnonzero(full & ~after) + 1
         power, inverse = _power_tables(n)
         sums = np.empty(n + 1, np.uint64)
@@ -148,6 +156,17 @@ def words(column, table: np.ndarray = WORDS, prefix_bytes: tuple = ()) -> Words:
     )
 
 
+def slices(batches, text: int, most: int = 4 << 20):
+    """Arrow batches in slices of about ``most`` bytes of text, one text at least."""
+    for batch in batches:
+        _, offsets = text_bytes(batch.column(text))
+        at = 0
+        while at < batch.num_rows:
+            end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1)
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def constants(n: int, seed: int = 1) -> np.ndarray:
     """n odd 64-bit constants."""
     return mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64((seed * 0xD1342543DE82EF95 + 1) & _M)) | np.uint64(1)

@@ -7,8 +7,9 @@ part is proven by the characters at the boundary: the tokenizer's pre-tokens nev
 ASCII digit, its normalisation does not join characters over these places, and its special strings hold neither. Where no such
 boundary lies in the overlap, the overlap is doubled, up to the whole rest of the text.
 
-Texts up to CHUNK characters are split after ASCII spaces and line feeds, which are stable boundaries of the same kind, and the
-words' token ids come from a bounded cache in front of the library.
+Texts up to CHUNK characters are cut after ASCII white space and between ASCII letters and signs, which are stable boundaries too, and
+the parts' ids come from a table in front of the library, kept by the worker process: parts are hashed and looked up a whole
+column at a time with numpy, and only those not seen yet are encoded. Texts with special strings go to the library whole.
 
 The same encoder feeds ``idfiles``. Tokens are the library's: no added begin or end, special strings inside texts as its
 default has them, no truncation or padding.
@@ -20,15 +21,26 @@ import os
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from batchlens.llm import textvec
+
 CHUNK = 16384
 OVERLAP = 512
-#: Words kept by a worker's cache; it starts anew when full.
-CACHE_WORDS = 400_000
+#: Parts kept by a worker's table; it starts anew when full.
+TABLE_PARTS = 1_500_000
 AGREE = 3  # tokens that must agree after a boundary
 
+#: Bytes as the tokenizer's lower-casing leaves them, white space 0.
+_FOLD = textvec.fold_table()
+#: 2 ASCII letters, 3 ASCII signs but the apostrophe (contractions hold one), 1 all else.
+_PARTS = np.ones(256, np.uint8)
+_PARTS[list(textvec.SPACE)] = 0
+_PARTS[[*range(65, 91), *range(97, 123)]] = 2
+_PARTS[[c for c in (*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)) if c != 0x27]] = 3
+
 _loaded: dict = {}
 
 
@@ -47,13 +59,73 @@ def stable(text: str, p: int) -> bool:
     return a in " \n\t\r" or a.isdigit() or b.isdigit()
 
 
+class Table:
+    """Ids of word parts by their 64-bit hash and a second check of length, first and last bytes."""
+
+    SLOTS = 1 << 22
+
+    def __init__(self):
+        self.slot = np.full(self.SLOTS, -1, np.int32)  # by the hash's low bits; parts that share a slot are found by search
+        self.keys, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.start, self.count = np.zeros(1, np.int64), np.zeros(0, np.int64)
+        self.pool = np.zeros(0, np.uint32)
+        self.order, self.sorted = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+
+    def find(self, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """Place of every part, -1 for those that are not here."""
+        at = self.slot[(keys & np.uint64(self.SLOTS - 1)).astype(np.int64)]
+        if not len(self.keys):
+            return at
+        miss = np.flatnonzero((self.keys[at] != keys) | (self.checks[at] != checks) | (at < 0))
+        if len(miss):
+            near = np.minimum(np.searchsorted(self.sorted, keys[miss]), len(self.sorted) - 1)
+            place = self.order[near]
+            good = (self.keys[place] == keys[miss]) & (self.checks[place] == checks[miss])
+            at[miss] = np.where(good, place, -1)
+        return at
+
+    def add(self, keys: np.ndarray, checks: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        n = len(self.keys)
+        self.keys, self.checks = np.concatenate((self.keys, keys)), np.concatenate((self.checks, checks))
+        self.count = np.concatenate((self.count, counts))
+        self.start = np.concatenate((self.start, self.start[-1] + np.cumsum(counts)))
+        self.pool = np.concatenate((self.pool, ids))
+        self.slot[(keys & np.uint64(self.SLOTS - 1)).astype(np.int64)] = np.arange(n, n + len(keys), dtype=np.int32)
+
+    def ids(self, at: np.ndarray) -> np.ndarray:
+        """The ids of these parts, one after the other."""
+        n = self.count[at]
+        ends = np.cumsum(n)
+        return self.pool[np.repeat(self.start[at] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
+
+    def index(self) -> None:
+        self.order = np.argsort(self.keys)
+        self.sorted = self.keys[self.order]
+
+
+def ends_check(w: textvec.Words, ignore: int = 0) -> np.ndarray:
+    """A second check of every word: its length, first and last eight bytes, less the bits to ignore."""
+    if not len(w.hash):
+        return np.zeros(0, np.uint64)
+    size = (w.end - w.start).astype(np.uint64)
+    padded = np.concatenate((w.data[w.offsets[0] : w.offsets[-1]], np.zeros(8, np.uint8)))
+    eight = np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))  # the 8 bytes from every byte on
+    lo = w.start - w.offsets[0]
+    mask = np.where(size >= 8, np.uint64(2**64 - 1), (np.uint64(1) << (np.minimum(size, 7) * np.uint64(8))) - np.uint64(1))
+    last = eight[np.maximum(w.end - w.offsets[0] - 8, lo)] & mask
+    return textvec.mix(((eight[lo] & mask) | np.uint64(ignore)) + size) ^ (last | np.uint64(ignore))
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers
 
-        self.library = Tokenizer.from_file(path)
-        self.cache: dict[str, tuple] = {}
+        self.library, self.bare = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.bare.normalizer = normalizers.Sequence([])
+        (self.cut,) = self.library.encode("0", add_special_tokens=False).ids
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.table = Table()
 
     # ------------------------------------------------------------ huge texts
 
@@ -102,74 +174,96 @@ class Encoder:
         out.append(left[0][left[1] >= done])
         return np.concatenate(out)
 
-    # ------------------------------------------------------------ other texts
-
-    def _learn(self, new: list[str]) -> None:
-        """Encode words not seen yet in one call, and cut the ids apart by offsets."""
-        joined = " ".join(new)
-        e = self.library.encode(joined, add_special_tokens=False)
-        ids = e.ids
-        at = np.fromiter((o[0] for o in e.offsets), np.int64, len(ids))
-        lengths = np.fromiter(map(len, new), np.int64, len(new))
-        ends = np.cumsum(lengths + 1)
-        cuts = np.searchsorted(at, ends).tolist()
-        a = 0
-        for w, b in zip(new, cuts):
-            self.cache[w] = tuple(ids[a:b])
-            a = b
-
-    def words(self, texts: list[str]) -> list[list[str]]:
-        """The texts' words, all in the cache."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.cache) > CACHE_WORDS:
-            self.cache = {}
-        cache = self.cache
-        new = {w for ws in split for w in ws if w not in cache}
-        if new:
-            self._learn(list(new))
-        return split
-
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        """Token ids of every text."""
-        out: list = [None] * len(texts)
-        for group in _groups(texts):
-            short = [i for i in group if len(texts[i]) <= CHUNK]
-            cache_of = self.words([texts[i] for i in short])
-            cache = self.cache
-            for i, ws in zip(short, cache_of):
-                flat = [t for w in ws for t in cache[w]]
-                out[i] = np.array(flat, np.int64)
-            for i in group:
-                if out[i] is None:
-                    out[i] = self.long(texts[i])
-        return out
-
-    def counts(self, texts: list[str]) -> list[int]:
-        """Number of tokens of every text."""
-        out: list = [None] * len(texts)
-        for group in _groups(texts):
-            short = [i for i in group if len(texts[i]) <= CHUNK]
-            split = self.words([texts[i] for i in short])
-            cache = self.cache
-            for i, ws in zip(short, split):
-                out[i] = sum([len(cache[w]) for w in ws])
-            for i in group:
-                if out[i] is None:
-                    out[i] = len(self.long(texts[i]))
-        return out
-
-
-def _groups(texts: list[str], chars: int = 1 << 20):
-    """Runs of texts with about so many characters."""
-    group, n = [], 0
-    for i, t in enumerate(texts):
-        group.append(i)
-        n += len(t)
-        if n >= chars:
-            yield group
-            group, n = [], 0
-    if group:
-        yield group
+    # ------------------------------------------------------------ columns of texts
+
+    def _learn(self, w: textvec.Words, which: np.ndarray, keys: np.ndarray, checks: np.ndarray) -> None:
+        """Encode the parts at these places, joined by a digit whose token then cuts the ids apart. ASCII parts in lower case need no
+        normalisation; parts that hold the digit go alone."""
+        data = w.data[w.offsets[0] : w.offsets[-1]].tobytes()
+        base = int(w.offsets[0])
+        words = [data[a:b] for a, b in zip((w.start[which] - base).tolist(), (w.end[which] - base).tolist())]
+        kinds = np.array([2 if b"0" in x else 0 if x.isascii() else 1 for x in words])
+        for kind, library in ((0, self.bare), (1, self.library)):
+            pick = np.flatnonzero(kinds == kind)
+            if not len(pick):
+                continue
+            texts = [b" 0 ".join([words[i] for i in pick[at : at + 1000]]) + b" 0" for at in range(0, len(pick), 1000)]
+            texts = [(t.lower() if kind == 0 else t).decode() for t in texts]
+            ids = np.concatenate([np.array(e.ids, np.uint32) for e in library.encode_batch_fast(texts, add_special_tokens=False)])
+            ends = np.flatnonzero(ids == self.cut)
+            if len(ends) != len(pick):
+                raise ValueError("the cutting digit's token is not its own")
+            self.table.add(keys[which[pick]], checks[which[pick]], ids[ids != self.cut], np.diff(ends, prepend=-1) - 1)
+        pick = np.flatnonzero(kinds == 2)
+        if len(pick):
+            lists = [e.ids for e in self.library.encode_batch_fast([words[i].decode() for i in pick], add_special_tokens=False)]
+            self.table.add(keys[which[pick]], checks[which[pick]], np.array([i for x in lists for i in x], np.uint32), np.array([len(x) for x in lists]))
+        self.table.index()
+
+    def _parts(self, column) -> tuple[textvec.Words, np.ndarray]:
+        """The column's word parts and their places in the table."""
+        w = textvec.words(column, _FOLD, parts=_PARTS)
+        if not len(w.hash):
+            return w, np.zeros(0, np.int64)
+        # letters in either case are one part: bit 5 is left out (the hash tells other bytes apart)
+        checks = ends_check(w, 0x2020202020202020)
+        if len(self.table.keys) > TABLE_PARTS:
+            self.table = Table()
+        keys = textvec.mix(w.hash + checks)
+        at = self.table.find(keys, checks)
+        miss = np.flatnonzero(at < 0)
+        if len(miss):
+            _, first = np.unique(keys[miss], return_index=True)
+            self._learn(w, miss[first], keys, checks)
+            at[miss] = self.table.find(keys[miss], checks[miss])
+            if (at < 0).any():
+                raise ValueError("two word parts share their hash")
+        return w, at
+
+    def _whole(self, column) -> list[int]:
+        """Texts that hold a special string."""
+        data = column.cast(pa.large_string())
+        hit = np.zeros(len(column), bool)
+        for s in self.special:
+            hit |= pc.match_substring(data, s).fill_null(False).to_numpy(zero_copy_only=False)
+        return np.flatnonzero(hit).tolist()
+
+    def column(self, column) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, bounds): the ids of text i are ids[bounds[i]:bounds[i + 1]]. Nulls are empty."""
+        w, at = self._parts(column)
+        n = self.table.count[at]
+        ends = np.concatenate(([0], np.cumsum(n)))
+        ids = self.table.ids(at)
+        bounds = ends[w.bounds]
+        whole = self._whole(column)
+        if whole:
+            own = {i: np.array(self.library.encode(column[i].as_py(), add_special_tokens=False).ids, np.uint32) for i in whole}
+            texts = [own[i] if i in own else ids[a:b] for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:]))]
+            ids, bounds = np.concatenate(texts), np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+        return ids, bounds
+
+    def counts(self, column) -> np.ndarray:
+        """Number of tokens of every text: huge texts through chunks, others through the table."""
+        size = pc.utf8_length(column).fill_null(0).to_numpy(zero_copy_only=False)
+        huge = size > CHUNK
+        short = pc.if_else(pa.array(huge), pa.scalar("", column.type), column.fill_null(""))
+        w, at = self._parts(short)
+        n = np.diff(np.concatenate(([0], np.cumsum(self.table.count[at])))[w.bounds])
+        for i in self._whole(short):
+            n[i] = len(self.library.encode(short[i].as_py(), add_special_tokens=False).ids)
+        for i in np.flatnonzero(huge):
+            n[i] = len(self.long(column[int(i)].as_py()))
+        return n
+
+
+def slices(batch, text: int, most: int = 8 << 20):
+    """A batch in slices of about ``most`` bytes of text, one text at least."""
+    _, offsets = textvec.text_bytes(batch.column(text))
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1)
+        yield batch.slice(at, end - at)
+        at = end
 
 
 def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 2048) -> DataFrame:
@@ -178,13 +272,11 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 2048) -> DataFram
 
     def run(batches):
         enc = encoder(tokenizer)
-        for b in batches:
-            text = b.column(1).fill_null("")
-            texts = text.to_pylist()
-            n = enc.counts(texts)
-            size = np.fromiter((len(t.encode()) for t in texts), np.int64, len(texts))
-            n = np.array(n, np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size), pa.array(n), pa.array(n > limit)], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
+        for batch in batches:
+            for b in slices(batch, 1):
+                n = enc.counts(b.column(1))
+                size = np.diff(textvec.text_bytes(b.column(1))[1])
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size), pa.array(n), pa.array(n > limit)], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     out = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_bytes long, n_tokens long, over_limit boolean"
     return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, out)

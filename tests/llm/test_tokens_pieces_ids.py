@@ -87,6 +87,10 @@ def test_pieces_equal_library(piece_library):
     for t, got in zip(texts, m.encode(texts)):
         assert got == piece_library.encode(t), repr(t)
         assert m.decode(got) == piece_library.decode(got)
+    for _ in range(2):  # learned, then looked up
+        ids, bounds = m.column(pa.array([*texts, None]))
+        for t, a, b in zip([*texts, ""], bounds, bounds[1:]):
+            assert ids[a:b].tolist() == piece_library.encode(t), repr(t)
 
 
 def test_pieces_share_prefixes(piece_library):
