@@ -16,7 +16,7 @@ further minwise values.
 - Then nodes that still hold more than one component and a class outside their center's family are compared: those of at most
   LEAF classes exhaustively, larger ones in blocks of the outside classes against all, as long as that takes at most COMPARED comparisons.
   Larger nodes branch: each chooses BRANCH further minwise tokens and its classes go on to the children they pick,
-  at most DEPTH times; what is left then is compared in blocks whatever its size. No node, class or pair is dropped.
+  at most DEPTH times (of a pair at the threshold, 2e-6 lose each other in two such steps of all trees); what is left then is compared in blocks whatever its size. No node, class or pair is dropped.
 - Pairs out of these nodes are confirmed on the full sets: 100 * intersection >= 75 * union. Before that only pairs are left out
   whose sizes rule the threshold out, or that agree on fewer than AGREE of SKETCH values (probability 1e-7 at the threshold).
 
@@ -48,7 +48,7 @@ AGREE = 70
 #: Tokens that a first link's classes share; pairs with fewer are left to the comparison of all.
 FIRST_AGREE = 6
 LEAF = 32
-BRANCH = 4
+BRANCH = 2
 DEPTH = 4
 BLOCK = 2048
 COMPARED = 4_000_000
@@ -70,7 +70,7 @@ def _digest(s: np.ndarray) -> bytes:
 
 def _sketches(batches):
     """doc_id, text to doc_id, n, class (digest of the set), minwise tokens, sketch (low 16 bits of each minwise value)."""
-    for b in batches:
+    for b in textvec.slices(batches, 1):
         w = textvec.words(b.column(1))
         sets = [textvec.shingles(w.hash[x:y], WIDTH) for x, y in zip(w.bounds[:-1], w.bounds[1:])]
         n = np.array([len(s) for s in sets], np.int32)
@@ -322,7 +322,7 @@ def family_links(members: DataFrame, comps: DataFrame) -> DataFrame:
 def _wanted_sets(bits):
     def run(batches):
         keep = np.frombuffer(bits.value, np.uint8)
-        for b in batches:
+        for b in textvec.slices(batches, 1):
             ids = np.asarray(b.column(0).fill_null(0)).view(np.uint64)
             mask = bloom_mask(keep, textvec.mix(ids))
             if not mask.any():

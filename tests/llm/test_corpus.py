@@ -92,10 +92,13 @@ def test_near_duplicates_equal_brute_force(spark):
     check_near(spark, families())
 
 
-def test_near_duplicates_branch_and_blocks(spark, monkeypatch):
+@pytest.mark.parametrize("first_agree", [6, 11, 13])  # families of many, of few, of none
+def test_near_duplicates_branch_and_blocks(spark, monkeypatch, first_agree):
     monkeypatch.setattr(neardup, "LEAF", 3)
     monkeypatch.setattr(neardup, "DEPTH", 1)
     monkeypatch.setattr(neardup, "BLOCK", 4)
+    monkeypatch.setattr(neardup, "COMPARED", 100)
+    monkeypatch.setattr(neardup, "FIRST_AGREE", first_agree)
     monkeypatch.setattr(neardup, "PAIRS", 5)
     check_near(spark, families(3, 4, 30))
 
