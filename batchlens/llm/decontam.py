@@ -44,7 +44,7 @@ def _seeds(h: np.ndarray, mask: int) -> np.ndarray:
 
 def _word_rows(batches):
     """(id, key, text) to (id, key, word hashes)."""
-    for b in batches:
+    for b in textvec.slices(batches, 2):
         w = textvec.words(b.column(2), WORDS)
         lists = pa.LargeListArray.from_arrays(pa.array(w.bounds.astype(np.int64)), pa.array(w.hash.view(np.int64))).cast(pa.list_(pa.int64()))
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), lists], ["id", "key", "words"])
@@ -67,7 +67,7 @@ def _document_hits(filter_bits):
 
     def run(batches):
         bits = np.frombuffer(filter_bits.value, np.uint8)
-        for b in batches:
+        for b in textvec.slices(batches, 2):
             w = textvec.words(b.column(2), WORDS)
             ids, keys = b.column(0), b.column(1)
             for m, take in enumerate(MASKS):

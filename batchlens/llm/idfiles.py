@@ -32,8 +32,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from batchlens.llm import textvec
 from batchlens.llm.shared import commit_files, file_system, fresh_dir, range_shards, stored
-from batchlens.llm.tokens import encoder, slices
+from batchlens.llm.tokens import encoder
 
 MAGIC = b"IDRANK01"
 BLOCK = 1 << 20
@@ -126,7 +127,7 @@ def _put_plain(root: str, tokenizer: str, end_id: int):
                     shard, index, counts = int(shards[lo]), _Index(), np.zeros(1 << 16, np.int64)
                     temp = f"_plain/{shard:08d}-{uuid.uuid4().hex}"
                     out = fs.open_output_stream(f"{base}/{temp}", compression="zstd")
-                for part in slices(b.slice(lo, hi - lo), 2):
+                for part in textvec.slices([b.slice(lo, hi - lo)], 2):
                     ids, bounds = enc.column(part.column(2))
                     flat = np.insert(ids, bounds[1:], end_id)
                     out.write(flat.astype(plain).tobytes())

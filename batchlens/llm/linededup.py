@@ -148,7 +148,7 @@ def _runs(n_words: list[int], least: int):
 
 def _line_rows(least: int):
     def run(batches):
-        for b in batches:
+        for b in textvec.slices(batches, 2):
             lines = textvec.words(b.column(2), textvec.LINES)
             words = textvec.words(b.column(2), textvec.WORDS)
             n = np.searchsorted(words.start, lines.end) - np.searchsorted(words.start, lines.start)
@@ -221,7 +221,7 @@ def _cut(names: list[str], mark: str):
     """Delete the lines that column ``mark`` has from ``text``; adds n_lines and n_deleted."""
 
     def run(batches):
-        for b in batches:
+        for b in textvec.slices(batches, names.index("text")):
             col = b.column("text")
             lines = textvec.words(col, textvec.LINES)
             spaces = textvec.words(col, textvec.WORDS)

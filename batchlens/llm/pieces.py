@@ -26,11 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from batchlens.llm import textvec
-from batchlens.llm.tokens import Table, ends_check, slices
+from batchlens.llm.tokens import Table, ends_check
 
 MARK = "▁"
 #: Marked words kept by a worker's table; it starts anew when full.
-TABLE_WORDS = 1_500_000
+TABLE_WORDS = 1_000_000
 #: Pairs of pieces whose compatibility is remembered; the store starts anew when full.
 CACHE_PAIRS = 500_000
 _UNITS = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
@@ -242,17 +242,16 @@ def encode_pieces(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches):
         m = model(path)
-        for batch in batches:
-            for b in slices(batch, 1, 4 << 20):
-                ids, bounds = m.column(b.column(1))
-                flat = ids.tolist()
-                data, offsets = textvec.text_bytes(b.column(1))
-                same = [
-                    m.decode_bytes(flat[x:y]) == data[s:e].tobytes()
-                    for x, y, s, e in zip(bounds.tolist(), bounds[1:].tolist(), offsets.tolist(), offsets[1:].tolist())
-                ]
-                lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(bounds)), lists, pa.array(same)], ["doc_id", "n_pieces", "ids", "round_trip"])
+        for b in textvec.slices(batches, 1):
+            ids, bounds = m.column(b.column(1))
+            flat = ids.tolist()
+            data, offsets = textvec.text_bytes(b.column(1))
+            same = [
+                m.decode_bytes(flat[x:y]) == data[s:e].tobytes()
+                for x, y, s, e in zip(bounds.tolist(), bounds[1:].tolist(), offsets.tolist(), offsets[1:].tolist())
+            ]
+            lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(bounds)), lists, pa.array(same)], ["doc_id", "n_pieces", "ids", "round_trip"])
 
     out = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_pieces long, ids array<int>, round_trip boolean"
     return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, out)
