@@ -9,7 +9,7 @@ further minwise values.
 - First links: in every node all classes are tried against the node's most popular class only (its *center*: the one whose tokens
   most other classes share, the text that a group was copied from). Confirmed links put classes into components; nothing
   inside one component has to be compared again, so a group of thousands of near copies costs about one link a member.
-- Families: for every class that shares half or more with a center, what it lacks of the center's set and what it has beside it is
+- Families: for every class at least FAMILY percent similar to a center, what it lacks of the center's set and what it has beside it is
   kept from that comparison. Two members' intersection follows from these differences exactly, so the members that are not
   linked with the center are compared with all members of the family, in blocks, without their sets; a block reports only
   links that join two components.
@@ -46,7 +46,9 @@ TREES = 12
 SKETCH = 128
 AGREE = 70
 #: Tokens that a first link's classes share; pairs with fewer are left to the comparison of all.
-FIRST_AGREE = 6
+FIRST_AGREE = 3
+#: Least similarity (percent) of a family's members with its center.
+FAMILY = 35
 LEAF = 32
 BRANCH = 2
 DEPTH = 4
@@ -341,7 +343,7 @@ _CONFIRMED = "a binary, b binary, linked boolean, n_a int, n_b int, missing bina
 
 def _confirm(differences: bool):
     """Rows sorted by (a, salt, kind): the set of a first, then those it is compared with. Pairs that are linked, and with ``differences``
-    those that share half or more, with what b lacks of a (bits) and has beside a."""
+    those at least FAMILY percent similar, with what b lacks of a (bits) and has beside a."""
 
     def run(batches):
         a = first = None
@@ -359,7 +361,7 @@ def _confirm(differences: bool):
                 both = int(same.sum())
                 union = len(first) + len(s) - both
                 linked = 100 * both >= PERCENT * union
-                if differences and 2 * both >= union:
+                if differences and 100 * both >= FAMILY * union:
                     has = np.zeros(len(first), bool)
                     has[at[same]] = True
                     out.append((a, cls, linked, len(first), len(s), np.packbits(~has).tobytes(), s[~same].tobytes()))
@@ -374,7 +376,7 @@ def _confirm(differences: bool):
 
 
 def _compare(docs: DataFrame, classes: DataFrame, pairs: DataFrame, differences: bool) -> DataFrame:
-    """The pairs (a, b) that reach the threshold, or with ``differences`` share half or more (_CONFIRMED)."""
+    """The pairs (a, b) that reach the threshold, or with ``differences`` FAMILY percent (_CONFIRMED)."""
     spark = docs.sparkSession
     pairs = stored(pairs, "pairs")
     counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / PAIRS).cast("int").alias("salts"))

@@ -92,7 +92,7 @@ def test_near_duplicates_equal_brute_force(spark):
     check_near(spark, families())
 
 
-@pytest.mark.parametrize("first_agree", [6, 11, 13])  # families of many, of few, of none
+@pytest.mark.parametrize("first_agree", [3, 11, 13])  # families of many, of few, of none
 def test_near_duplicates_branch_and_blocks(spark, monkeypatch, first_agree):
     monkeypatch.setattr(neardup, "LEAF", 3)
     monkeypatch.setattr(neardup, "DEPTH", 1)
