@@ -13,8 +13,8 @@ def col(c: str | Column) -> Column:
 
 
 def parse_ts(c: str | Column) -> Column:
-    """Timestamp coercion, bad values -> NULL (pandas ``errors='coerce'``). Timestamps pass through."""
-    return F.try_to_timestamp(col(c).cast("string")).cast("timestamp_ntz")
+    """Zone-free timestamps out of text, bad values -> NULL (pandas ``errors='coerce'``); no session zone is applied."""
+    return col(c).cast("string").try_cast("timestamp_ntz")
 
 
 def hour_of(ts: str | Column) -> Column:
@@ -36,13 +36,15 @@ def minutes_between(start: str | Column, end: str | Column) -> Column:
 
 
 def period_start(ts: str | Column, freq: str = "week") -> Column:
-    """Calendar period key as a DATE (weeks start on Monday, as pandas ``to_period('W')``)."""
+    """Calendar period key: a DATE (weeks start on Monday, as pandas ``to_period('W')``), or for hours a zone-free timestamp."""
     unit = _FREQS.get(freq)
     if unit is None:
         raise ValueError(f"unsupported batch frequency {freq!r}")
+    day = col(ts).cast("date")
     if unit == "hour":
-        return F.date_trunc("hour", col(ts))
-    return F.to_date(F.date_trunc(unit, col(ts)))
+        zero = F.lit(0)
+        return F.make_timestamp_ntz(F.year(day), F.month(day), F.day(day), F.hour(col(ts)), zero, zero)
+    return day if unit == "day" else F.trunc(day, unit)
 
 
 def iso_text(ts: str | Column) -> Column:
@@ -87,7 +89,3 @@ def text_or_na(c: str | Column) -> Column:
 def fixed4(c: str | Column) -> Column:
     return F.printf(F.lit("%.4f"), col(c).cast("double"))
 
-
-def itemset_text(items: str | Column) -> Column:
-    """Sorted items joined with ``' & '``."""
-    return F.concat_ws(" & ", F.array_sort(col(items)))

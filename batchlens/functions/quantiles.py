@@ -1,138 +1,86 @@
-"""Exact quantiles (linear interpolation, as pandas ``quantile`` and DuckDB ``quantile_cont``).
+"""Exact quantiles (linear interpolation, as pandas ``quantile`` and DuckDB ``quantile_cont``), by group.
 
-Spark's ``percentile`` is exact but keeps a value -> count map that the final task merges whole; that is
-fine while the column has few distinct values (money, rounded distances) and a hazard for continuous
-values at scale. ``quantiles`` therefore picks per column:
+One path for every size, with no task that holds a group:
 
-* ``percentile`` when ``approx_count_distinct`` says the column is small enough, else
-* a bracketing search that stays exact with bounded memory: ``approx_percentile`` (bounded sketch) gives
-  an interval that must hold the wanted order statistics, a count job places the interval's rank, and
-  the loop narrows until the interval holds at most ``fetch_cap`` distinct values; those value counts are
-  all the driver ever sees. The interpolation then uses Spark's own formula, so both paths agree bit for bit.
+1. equal values of a group become one row with their count (partial aggregation; the shuffle is by group *and* value, so a
+   hot group spreads over its values);
+2. those rows are range-partitioned by (group, column, value) and kept, so a hot group is a run of partitions;
+3. rows before a partition come from one sum a partition and group; inside a partition a running sum gives every
+   value's ranks;
+4. the two values at the wanted ranks are interpolated with Spark's own ``percentile`` formula.
 
-``method='approx'`` is the explicitly approximate ``approx_percentile`` (never used by oracle queries).
+``quantiles`` is the same over one group, as a dict; the driver sees the results only.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-EXACT_DISTINCT_LIMIT = 2_000_000
-FETCH_CAP = 50_000
-ACCURACY = 10_000
-
-
-def _interpolate(pos: float, v_lo: float, v_hi: float) -> float:
-    lower, higher = math.floor(pos), math.ceil(pos)
-    if higher == lower or v_lo == v_hi:
-        return float(v_lo)
-    return (higher - pos) * float(v_lo) + (pos - lower) * float(v_hi)
-
-
-def _order_stats(value_counts: list[tuple[float, int]], ranks: list[int]) -> list[float]:
-    """Values at 0-based ``ranks`` given sorted (value, count) pairs."""
-    out, cum, i = [], 0, 0
-    for r in sorted(set(ranks)):
-        while cum + value_counts[i][1] <= r:
-            cum += value_counts[i][1]
-            i += 1
-        out.append((r, value_counts[i][0]))
-    got = dict(out)
-    return [got[r] for r in ranks]
-
-
-def _bounded_quantiles(vals: DataFrame, n: int, qs: list[float], accuracy: int, fetch_cap: int) -> list[float]:
-    """Exact quantiles of column ``x`` of ``vals`` (nulls removed, ``n`` rows) with bounded driver memory."""
-    positions = [(n - 1) * q for q in qs]
-    lo_r = min(math.floor(p) for p in positions)
-    hi_r = max(math.ceil(p) for p in positions)
-    lo_b = hi_b = None  # inclusive band bounds; None = unbounded
-    below, m = 0, n
-    eps = 2.0 / accuracy
-    x = F.col("x")
-
-    def band_of(a, b) -> DataFrame:
-        cond = F.lit(True)
-        if a is not None:
-            cond = cond & (x >= F.lit(a))
-        if b is not None:
-            cond = cond & (x <= F.lit(b))
-        return vals.where(cond)
-
-    stalled = False
-    for _ in range(12):
-        band = band_of(lo_b, hi_b)
-        if m <= fetch_cap or stalled:
-            rows = band.groupBy("x").count().orderBy("x").limit(fetch_cap + 1).collect()
-            if len(rows) <= fetch_cap:
-                vc = [(r["x"], r["count"]) for r in rows]
-                ranks = []
-                for p in positions:
-                    ranks += [math.floor(p) - below, math.ceil(p) - below]
-                st = _order_stats(vc, ranks)
-                return [_interpolate(p, st[2 * i], st[2 * i + 1]) for i, p in enumerate(positions)]
-        p1 = max(0.0, (lo_r - below) / m - eps)
-        p2 = min(1.0, (hi_r - below + 1) / m + eps)
-        a, b = band.agg(F.percentile_approx("x", [p1, p2], accuracy).alias("b")).first()["b"]
-        c = band.agg(
-            F.count_if(x < F.lit(a)).alias("lt"), F.count_if((x >= F.lit(a)) & (x <= F.lit(b))).alias("in")
-        ).first()
-        nb, nm = below + c["lt"], c["in"]
-        if lo_r < nb or hi_r >= nb + nm:  # sketch bound missed (should not happen): keep old band, finer sketch
-            accuracy *= 4
-            eps = 2.0 / accuracy
-            continue
-        stalled = nm * 2 > m  # ties keep the band wide: try fetching its distinct values next
-        lo_b, hi_b, below, m = a, b, nb, nm
-    # Still wide (heavy ties spread over many values): exact percentile over the narrowed band only.
-    band = band_of(lo_b, hi_b)
-    rel = [((p - below) / (m - 1)) if m > 1 else 0.0 for p in positions]
-    res = band.agg(F.percentile("x", rel).alias("p")).first()["p"]
-    return [float(v) for v in res]
-
-
-def quantiles(
-    df: DataFrame,
-    targets: dict[str, float | list[float]],
-    method: str = "auto",
-    accuracy: int = ACCURACY,
-    exact_distinct_limit: int = EXACT_DISTINCT_LIMIT,
-    fetch_cap: int = FETCH_CAP,
-) -> dict[str, float | list[float] | None]:
-    """Quantiles of non-null values per column; ``None`` for an all-null or empty column."""
-    cols = list(targets)
-    if not cols:
+from batchlens.session import cut_lineage
+
+
+def grouped_quantiles(df: DataFrame, by: list[str], wants: dict[str, tuple[str, float]], weight: Column | None = None) -> DataFrame:
+    """One row per group with a double column per name of ``wants`` (name -> (column, q)).
+
+    NULLs are left out; a group without values of a column has NULL there, a group without any values has no row. NULL is a group
+    of its own. ``weight`` counts a row that often."""
+    columns = sorted({c for c, _ in wants.values()})
+    cell = F.array(*[F.struct(F.lit(i).alias("f"), F.col(c).cast("double").alias("x")) for i, c in enumerate(columns)])
+    count = weight if weight is not None else F.lit(1)
+    keys = [f"k{i}" for i in range(len(by))]
+    cells = df.select(*[F.col(c).alias(k) for c, k in zip(by, keys)], count.cast("long").alias("n"), F.explode(cell).alias("v"))
+    values = cells.where(F.col("v.x").isNotNull()).groupBy(*keys, F.col("v.f").alias("f"), F.col("v.x").alias("x")).agg(F.sum("n").alias("n"))
+    group = [*keys, "f"]
+    ranged = cut_lineage(values.repartitionByRange(*group, "x").withColumn("p", F.spark_partition_id()))
+    parts = ranged.groupBy(*group, "p").agg(F.sum("n").alias("part"))
+    whole = Window.partitionBy(*group)  # a row for each partition that holds values of the group
+    parts = parts.withColumns(
+        {
+            "before": F.coalesce(F.sum("part").over(whole.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+            "total": F.sum("part").over(whole),
+        }
+    ).drop("part")
+    right = parts.select(*[F.col(c).alias(f"r_{c}") for c in (*group, "p")], "before", "total")
+    same = F.lit(True)
+    for c in (*group, "p"):
+        same = same & F.col(c).eqNullSafe(F.col(f"r_{c}"))
+    rows = ranged.join(right, same)
+    inside = Window.partitionBy(*group, "p").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("upto", F.col("before") + F.sum("n").over(inside))
+
+    def at(rank: Column, f: int) -> Column:
+        return F.max(F.when((F.col("f") == f) & (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank), F.col("x")))
+
+    aggs, out = [], []
+    for j, (name, (column, q)) in enumerate(wants.items()):
+        f = columns.index(column)
+        pos = (F.col("total") - 1) * F.lit(float(q))
+        aggs += [
+            at(F.floor(pos), f).alias(f"lo{j}"), at(F.ceil(pos), f).alias(f"hi{j}"),
+            F.max(F.when(F.col("f") == f, pos)).alias(f"pos{j}"),
+        ]
+        lo, hi, p = F.col(f"lo{j}"), F.col(f"hi{j}"), F.col(f"pos{j}")
+        mid = (F.ceil(p) - p) * lo + (p - F.floor(p)) * hi
+        out.append(F.when((F.ceil(p) == F.floor(p)) | (lo == hi), lo).otherwise(mid).alias(name))
+    return rows.groupBy(*keys).agg(*aggs).select(*[F.col(k).alias(c) for c, k in zip(by, keys)], *out)
+
+
+def quantiles(df: DataFrame, targets: dict[str, float | list[float]]) -> dict[str, float | list[float] | None]:
+    """Exact quantiles of the non-null values per column; ``None`` for an all-null or empty column."""
+    wants = {}
+    for c, qs in targets.items():
+        for i, q in enumerate(qs if isinstance(qs, list) else [qs]):
+            wants[f"{c}__{i}"] = (c, q)
+    if not wants:
         return {}
-    want = {c: (targets[c] if isinstance(targets[c], list) else [targets[c]]) for c in cols}
-    out: dict[str, list[float] | None] = {}
-    if method == "approx":
-        aggs = [F.percentile_approx(c, want[c], accuracy).alias(c) for c in cols]
-        row = df.agg(*aggs).first()
-        out = {c: (None if row[c] is None else [float(v) for v in row[c]]) for c in cols}
-    elif method == "exact":
-        row = df.agg(*[F.percentile(c, want[c]).alias(c) for c in cols]).first()
-        out = {c: (None if row[c] is None else [float(v) for v in row[c]]) for c in cols}
-    else:
-        stats = df.agg(
-            *[F.count(c).alias(f"n_{i}") for i, c in enumerate(cols)],
-            *[F.approx_count_distinct(c).alias(f"d_{i}") for i, c in enumerate(cols)],
-        ).first()
-        small = [c for i, c in enumerate(cols) if stats[f"n_{i}"] > 0 and stats[f"d_{i}"] <= exact_distinct_limit]
-        if small:
-            row = df.agg(*[F.percentile(c, want[c]).alias(c) for c in small]).first()
-            out.update({c: [float(v) for v in row[c]] for c in small})
-        for i, c in enumerate(cols):
-            n = stats[f"n_{i}"]
-            if n == 0:
-                out[c] = None
-            elif c not in out:
-                vals = df.select(F.col(c).cast("double").alias("x")).where(F.col("x").isNotNull())
-                out[c] = _bounded_quantiles(vals, n, want[c], accuracy, fetch_cap)
-    return {c: (out[c] if out[c] is None or isinstance(targets[c], list) else out[c][0]) for c in cols}
+    row = grouped_quantiles(df, [], wants).first()
+    out: dict[str, float | list[float] | None] = {}
+    for c, qs in targets.items():
+        got = [row[f"{c}__{i}"] for i in range(len(qs) if isinstance(qs, list) else 1)]
+        out[c] = None if got[0] is None else (got if isinstance(qs, list) else got[0])
+    return out
 
 
-def quantile(df: DataFrame, column: str, q: float, **kw) -> float | None:
-    return quantiles(df, {column: q}, **kw)[column]
+def quantile(df: DataFrame, column: str, q: float) -> float | None:
+    return quantiles(df, {column: q})[column]

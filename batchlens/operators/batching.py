@@ -6,37 +6,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from batchlens.functions.exprs import batch_name, period_start
+from batchlens.session import kept_table
 from batchlens.spec import TableSpec
 
-# Above this many kept periods the keep-list is joined instead of inlined as a filter.
-BROADCAST_PERIODS = 100_000
-
-
-def period_counts(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """One row per period: start key, rows, first and last event time (partial aggregation map-side)."""
-    return df.groupBy(period_start(spec.event_ts, spec.batch_freq).alias(spec.batch_col)).agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.min(spec.event_ts).alias("pickup_min"),
-        F.max(spec.event_ts).alias("pickup_max"),
-    )
-
-
 def assign_batches(df: DataFrame, spec: TableSpec, min_rows: int | None = None) -> DataFrame:
     """A1: drop rows without both timestamps, key each row by its period, drop periods under ``min_rows``.
 
-    The keep-list has one row per calendar period, so its size is bounded by the time span; below
-    ``BROADCAST_PERIODS`` keys it becomes a literal IN filter (no join, and later plans do not recompute
-    it), above that a semi-join. The fact table is never shuffled by the (possibly hot) period.
-    """
+    The kept periods are counted once (a partial row for each period and task is shuffled) and stored, a row for each calendar
+    period; rows are semi-joined with them. Spark knows the stored table's size, so it broadcasts it while it is small."""
     min_rows = spec.min_batch_rows if min_rows is None else min_rows
     rows = df.na.drop(subset=[spec.event_ts, spec.end_ts]).withColumn(
         spec.batch_col, period_start(spec.event_ts, spec.batch_freq)
     )
     kept = rows.groupBy(spec.batch_col).count().where(F.col("count") >= min_rows).select(spec.batch_col)
-    keys = kept.limit(BROADCAST_PERIODS + 1).collect()
-    if len(keys) <= BROADCAST_PERIODS:  # bounded list: a literal filter, no join, no extra scan later
-        return rows.where(F.col(spec.batch_col).isin([r[0] for r in keys]))
-    return rows.join(kept, spec.batch_col, "left_semi")
+    return rows.join(kept_table(kept, "periods"), spec.batch_col, "left_semi").select(*rows.columns)
 
 
 def batch_list(batched: DataFrame, spec: TableSpec) -> DataFrame:
@@ -49,20 +32,20 @@ def batch_list(batched: DataFrame, spec: TableSpec) -> DataFrame:
         F.min(spec.event_ts).alias("pickup_min"),
         F.max(spec.event_ts).alias("pickup_max"),
     )
+    return with_names(per, spec).select(spec.batch_col, "batch_index", "batch_name", "row_count", "pickup_min", "pickup_max")
+
+
+def with_names(per_batch: DataFrame, spec: TableSpec, first: str = "pickup_min", last: str = "pickup_max") -> DataFrame:
+    """Ordinal and readable name of every row of a per-batch table, from its first and last event times."""
     ordinal = F.row_number().over(Window.orderBy(spec.batch_col))
-    return (
-        per.withColumn("batch_index", ordinal)
-        .withColumn("batch_name", batch_name("batch_index", "pickup_min", "pickup_max"))
-        .select(spec.batch_col, "batch_index", "batch_name", "row_count", "pickup_min", "pickup_max")
-    )
+    return per_batch.withColumn("batch_index", ordinal).withColumn("batch_name", batch_name("batch_index", first, last))
 
 
 def first_batches(batched: DataFrame, spec: TableSpec, n: int) -> DataFrame:
-    """rows of the first ``n`` batches in time order (partition-prunable predicate on the batch key)."""
+    """rows of the first ``n`` batches in time order: one predicate on the batch key, which prunes partitions."""
     if n < 1:
-        raise ValueError("max_batches must be at least 1.")
-    starts = batch_list(batched, spec).where(F.col("batch_index") <= n).select(spec.batch_col)
-    keep = [r[0] for r in starts.collect()]
-    if not keep:
-        raise ValueError("No batch files found.")
-    return batched.where(F.col(spec.batch_col).isin(keep))
+        raise ValueError("the number of first batches has to be positive")
+    last = batched.select(spec.batch_col).distinct().orderBy(spec.batch_col).limit(n).agg(F.max(spec.batch_col)).first()[0]
+    if last is None:
+        raise ValueError("there is no batch with enough rows")
+    return batched.where(F.col(spec.batch_col) <= F.lit(last))

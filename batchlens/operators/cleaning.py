@@ -1,16 +1,15 @@
 """The ordered cleaning chain.
 
 Order matters: each upper-quantile trim is computed over the survivors of the earlier steps, so the chain
-is three dependent thresholds (distance -> target -> duration). Each threshold is one small aggregate job
-(``functions.quantiles``); the rows never leave the executors and the final plan carries the thresholds as
-literals, which Catalyst can push into the scan.
+is three dependent thresholds (distance -> target -> duration). Each threshold is one exact quantile of one column
+(``functions.quantiles``) over a scan of the few columns the steps before it need; nothing is cached. The final plan carries the
+thresholds as literals, which Catalyst can push into the scan.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,12 +22,6 @@ from batchlens.spec import TableSpec
 class Cleaned:
     df: DataFrame
     thresholds: dict[str, float | None] = field(default_factory=dict)
-    _cached: list[DataFrame] = field(default_factory=list, repr=False)
-
-    def release(self) -> None:
-        for d in self._cached:
-            d.unpersist()
-        self._cached.clear()
 
 
 def coordinates_ok(df: DataFrame, spec: TableSpec) -> Column | None:
@@ -42,11 +35,11 @@ def coordinates_ok(df: DataFrame, spec: TableSpec) -> Column | None:
     return cond
 
 
-def quantile_trim(df: DataFrame, column: str, q: float, fitted: float | None = None, method: str = "auto"):
+def quantile_trim(df: DataFrame, column: str, q: float, fitted: float | None = None):
     """Keep rows with ``column <= quantile(q)``; no-op if the column is absent or all-null (NULLs drop)."""
     if column not in df.columns:
         return df, None
-    thr = fitted if fitted is not None else quantile(df, column, q, method=method)
+    thr = fitted if fitted is not None else quantile(df, column, q)
     if thr is None:
         return df, None
     return df.where(F.col(column) <= F.lit(thr)), thr
@@ -59,8 +52,6 @@ def clean(
     require_target: bool = True,
     dedup: bool = True,
     fitted: dict[str, float | None] | None = None,
-    quantile_method: str = "auto",
-    persist: bool = True,
 ) -> Cleaned:
     """CLEAN: null keys -> distance >= 0 -> distance trim -> target >= 0 -> target trim -> coordinates ->
     duration > 0 -> duration trim -> full-row distinct.
@@ -75,28 +66,22 @@ def clean(
     dist = spec.distance if spec.distance and spec.distance in df.columns else None
     if dist:
         base = base.where(F.col(dist).isNotNull() & (F.col(dist) >= 0))
-    cached = []
-    if persist:
-        base = base.persist(StorageLevel.MEMORY_AND_DISK)
-        cached.append(base)
     thr: dict[str, float | None] = {}
     cur = base
     if dist:
-        cur, thr["distance"] = quantile_trim(cur, dist, spec.distance_q, fitted.get("distance"), quantile_method)
+        cur, thr["distance"] = quantile_trim(cur, dist, spec.distance_q, fitted.get("distance"))
     if require_target:
         cur = cur.where(F.col(spec.target) >= 0)
-        cur, thr["target"] = quantile_trim(cur, spec.target, spec.target_q, fitted.get("target"), quantile_method)
+        cur, thr["target"] = quantile_trim(cur, spec.target, spec.target_q, fitted.get("target"))
     coords = coordinates_ok(cur, spec)
     if coords is not None:
         cur = cur.where(coords)
     if spec.duration_col in cur.columns:
         cur = cur.where(F.col(spec.duration_col) > 0)
-        cur, thr["duration"] = quantile_trim(
-            cur, spec.duration_col, spec.duration_q, fitted.get("duration"), quantile_method
-        )
+        cur, thr["duration"] = quantile_trim(cur, spec.duration_col, spec.duration_q, fitted.get("duration"))
     if dedup:
         cur = cur.dropDuplicates()
-    return Cleaned(cur, thr, cached)
+    return Cleaned(cur, thr)
 
 
 def prepare(df: DataFrame, spec: TableSpec, **kw) -> Cleaned:

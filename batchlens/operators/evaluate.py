@@ -38,15 +38,5 @@ def metrics_dict(df: DataFrame, label: str, prediction: str = "prediction") -> d
 def argmin(df: DataFrame, metric: str, ordinal: str) -> DataFrame:
     """The row with the smallest ``metric``; the first by ``ordinal`` wins a tie (strict ``<`` scan)."""
     best = F.min_by(F.struct(*[F.col(c) for c in df.columns]), F.struct(F.col(metric), F.col(ordinal)))
-    return df.agg(best.alias("b")).select("b.*")
-
-
-def best_of(results: list[dict], key: str = "rmse") -> dict:
-    """Driver-side argmin over a handful of candidate results (first wins ties)."""
-    best = None
-    for r in results:
-        if best is None or r[key] < best[key]:
-            best = r
-    if best is None:
-        raise ValueError("No updated model results were produced.")
-    return best
+    return df.agg(best.alias("b")).where("b is not null").select("b.*")
+

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
+from batchlens.functions.quantiles import grouped_quantiles, quantiles
 from batchlens.spec import TableSpec
 
 MISSING = "missing"
@@ -49,8 +50,8 @@ class FitStats:
 
 
 def median_frame(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Exact medians of ``columns`` in one aggregate, long format (feature, stat, num_value, text_value)."""
-    wide = df.agg(*[F.median(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    """Exact medians of ``columns``, long format (feature, stat, num_value, text_value)."""
+    wide = grouped_quantiles(df, [], {f"c{i}": (c, 0.5) for i, c in enumerate(columns)})
     stack = ", ".join(f"'{c}', c{i}" for i, c in enumerate(columns))
     return wide.selectExpr(f"stack({len(columns)}, {stack}) as (feature, num_value)").select(
         "feature", F.lit("median").alias("stat"), "num_value", F.lit(None).cast("string").alias("text_value")
@@ -103,10 +104,8 @@ def fit_stats(df: DataFrame, spec: TableSpec, scale: bool = False) -> FitStats:
     num = [c for c in spec.numerical if c in df.columns]
     cat = [c for c in spec.categorical if c in df.columns]
     st = FitStats(num, cat)
-    if num:  # exact medians; high-cardinality columns take the bounded-memory exact path
-        from batchlens.functions.quantiles import quantiles
-
-        st.medians = quantiles(df.select(*[F.col(c).cast("double").alias(c) for c in num]), {c: 0.5 for c in num})
+    if num:
+        st.medians = quantiles(df, {c: 0.5 for c in num})
     if cat:
         counts = category_counts(df, cat).collect()
         for c in cat:

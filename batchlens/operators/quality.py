@@ -1,4 +1,4 @@
-"""Per-batch data-quality profile and batch metadata, for all batches in one grouped pass."""
+"""Per-batch data-quality profile and batch metadata, for all batches at once."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from batchlens.functions.exprs import iso_text
+from batchlens.functions.quantiles import grouped_quantiles
+from batchlens.operators.batching import with_names
 from batchlens.operators.features import make_time_features
 from batchlens.spec import TableSpec
 
@@ -17,51 +19,25 @@ def null_cells(columns) -> Column:
     return reduce(lambda a, b: a + b, [F.isnull(c).cast("int") for c in columns], F.lit(0))
 
 
-def duplicate_counts(df: DataFrame, by: str, columns) -> DataFrame:
-    """Rows equal (NULL = NULL) on all ``columns`` to an earlier row of the same group.
+def _row_groups(batched: DataFrame, key: str, cols: list[str]) -> DataFrame:
+    """Identical rows of a batch (NULL = NULL) collapsed to one row with its multiplicity ``__n``.
 
-    Its own aggregate: the first shuffle is by full-row hash (balanced even for a hot group), the second
-    only moves one partial count per group and task. Kept apart from the profile so the profile's other
-    aggregates (percentile maps) are not pre-aggregated per distinct row.
+    Every count of the profile is a function of (row, multiplicity): counts become sums of ``__n``, duplicates are
+    ``__n - 1``. So the counts are one scan and one shuffle by full-row hash (balanced even when one batch holds most
+    rows), then a per-batch aggregate that moves one partial row per batch and task.
     """
-    return (
-        df.groupBy(by, *columns)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .groupBy(by)
-        .agg(F.sum(F.col("__n") - 1).cast("long").alias("duplicate_count"))
-    )
-
-
-def _q99(c: str, weight: str, accuracy: int | None) -> Column:
-    if accuracy is None:
-        return F.percentile(c, 0.99, F.col(weight))
-    # the sketch has no weight argument: the approximate path runs over the raw rows (see quality_profile)
-    return F.percentile_approx(c, 0.99, accuracy).cast("double")
-
-
-def _row_groups(batched: DataFrame, key: str, cols: list[str], weighted: bool) -> DataFrame:
-    """Identical rows of a batch collapsed to one row with its multiplicity ``__n``.
-
-    Every profile figure is a function of (row, multiplicity): counts become sums of ``__n``, exact
-    quantiles take ``__n`` as frequency, duplicates are ``__n - 1``. So the profile is one scan and one
-    shuffle by full-row hash (balanced even when one batch holds most rows), then a per-batch aggregate
-    that moves one partial row per batch and task.
-    """
-    if not weighted:
-        return batched.withColumn("__n", F.lit(1).cast("long"))
     return batched.groupBy(key, *cols).agg(F.count(F.lit(1)).alias("__n"))
 
 
-def quality_profile(batched: DataFrame, spec: TableSpec, accuracy: int | None = None) -> DataFrame:
+def quality_profile(batched: DataFrame, spec: TableSpec) -> DataFrame:
     """A9 for every batch of ``batched`` (rows keyed by ``spec.batch_col``).
 
-    Counts are over the raw columns plus the four generated ones. Quantiles are exact (``percentile``)
-    unless ``accuracy`` asks for the bounded-memory approximate sketch.
+    Counts are over the raw columns plus the four generated ones. The q99s are exact and come from
+    ``grouped_quantiles``, which never holds a batch in one task.
     """
     key = spec.batch_col
     raw_cols = [c for c in batched.columns if c != key]
-    groups = _row_groups(batched, key, raw_cols, weighted=accuracy is None)
-    df = make_time_features(groups, spec)
+    df = make_time_features(_row_groups(batched, key, raw_cols), spec)
     cols = raw_cols + [c for c in spec.generated if c not in raw_cols]
     n = F.col("__n")
 
@@ -69,61 +45,53 @@ def quality_profile(batched: DataFrame, spec: TableSpec, accuracy: int | None =
         return F.sum(F.when(cond, n).otherwise(F.lit(0))).cast("long")
 
     dist = spec.distance if spec.distance in df.columns else None
-    coords = [b for b in spec.coordinates if b.column in df.columns]
-    if coords and len(coords) == len(spec.coordinates):
-        bad = reduce(lambda a, b: a | b, [~F.col(b.column).between(b.lo, b.hi) for b in coords])
-        invalid_coords = count_where(F.coalesce(bad, F.lit(True)))
-    else:
-        invalid_coords = F.lit(0)
     dur = F.col(spec.duration_col)
-    aggs = [
+    counts = df.groupBy(key).agg(
         F.sum(n).cast("long").alias("row_count"),
         F.sum(null_cells(cols) * n).cast("long").alias("missing_total"),
         F.sum(n - 1).cast("long").alias("duplicate_count"),
         (count_where(F.col(dist) < 0) if dist else F.lit(0)).cast("long").alias("negative_trip_distance_count"),
         count_where(F.col(spec.target) < 0).alias("negative_target_count"),
         count_where(dur.isNull() | (dur <= 0)).alias("invalid_duration_count"),
-        invalid_coords.cast("long").alias("invalid_coordinate_count"),
-        (_q99(dist, "__n", accuracy) if dist else F.lit(None).cast("double")).alias("trip_distance_q99"),
-        _q99(spec.target, "__n", accuracy).alias("target_q99"),
-        _q99(spec.duration_col, "__n", accuracy).alias("duration_q99"),
-    ]
-    out = df.groupBy(key).agg(*aggs)
-    if accuracy is not None:  # approximate path: duplicates from their own full-row aggregate
-        out = out.drop("duplicate_count").join(duplicate_counts(batched, key, raw_cols), key)
-    return out.select(
-        key,
-        "row_count",
-        "missing_total",
-        "duplicate_count",
-        "negative_trip_distance_count",
-        "negative_target_count",
-        "invalid_duration_count",
-        "invalid_coordinate_count",
-        "trip_distance_q99",
-        "target_q99",
-        "duration_q99",
+        (count_where(invalid_coordinates(df, spec)) if _has_coordinates(df, spec) else F.lit(0)).cast("long").alias("invalid_coordinate_count"),
     )
+    wants = {"target_q99": (spec.target, 0.99), "duration_q99": (spec.duration_col, 0.99)}
+    if dist:
+        wants["trip_distance_q99"] = (dist, 0.99)
+    q99 = grouped_quantiles(make_time_features(batched, spec), [key], wants).withColumnRenamed(key, "__key")
+    out = counts.join(q99, F.col(key).eqNullSafe(F.col("__key")), "left")
+    distance_q99 = F.col("trip_distance_q99") if dist else F.lit(None).cast("double").alias("trip_distance_q99")
+    return out.select(*counts.columns, distance_q99, "target_q99", "duration_q99")
+
+
+def _has_coordinates(df: DataFrame, spec: TableSpec) -> bool:
+    return bool(spec.coordinates) and all(b.column in df.columns for b in spec.coordinates)
+
+
+def invalid_coordinates(df: DataFrame, spec: TableSpec) -> Column:
+    """Any coordinate missing or out of its bounds."""
+    bad = reduce(lambda a, b: a | b, [~F.col(b.column).between(b.lo, b.hi) for b in spec.coordinates])
+    return F.coalesce(bad, F.lit(True))
 
 
-def batch_meta(batched: DataFrame, spec: TableSpec, names: DataFrame | None = None) -> DataFrame:
-    """A2: rows, columns, first/last event time as ISO text, missing cells and duplicates (raw columns),
-    from the same one-shuffle row grouping as the profile."""
+def batch_meta(batched: DataFrame, spec: TableSpec) -> DataFrame:
+    """A2: rows, columns, first/last event time as ISO text, missing cells, duplicates (raw columns) and the batch's name, all
+    from one row grouping: ordinal and name come from the small per-batch result."""
     key = spec.batch_col
     cols = [c for c in batched.columns if c != key]
-    g = _row_groups(batched, key, cols, weighted=True)
     n = F.col("__n")
-    out = g.groupBy(key).agg(
+    out = _row_groups(batched, key, cols).groupBy(key).agg(
         F.sum(n).cast("long").alias("row_count"),
         F.lit(len(cols)).alias("column_count"),
-        iso_text(F.min(spec.event_ts)).alias("pickup_min"),
-        iso_text(F.max(spec.event_ts)).alias("pickup_max"),
+        F.min(spec.event_ts).alias("__first"),
+        F.max(spec.event_ts).alias("__last"),
         F.sum(null_cells(cols) * n).cast("long").alias("missing_total"),
         F.sum(n - 1).cast("long").alias("duplicate_count"),
     )
-    if names is not None:
-        out = out.join(names.select(key, "batch_name"), key)
-    return out
+    return with_names(out, spec, "__first", "__last").select(
+        key, "row_count", "column_count", iso_text("__first").alias("pickup_min"), iso_text("__last").alias("pickup_max"),
+        "missing_total", "duplicate_count", "batch_name",
+    )
 
 
 def quality_totals(profile: DataFrame) -> DataFrame:

@@ -1,9 +1,12 @@
-"""Session helpers: defaults for local runs and the shared checkpoint folder."""
+"""Session helpers: defaults for local runs, the shared checkpoint folder, shipping the package to executors."""
 
 from __future__ import annotations
 
 import logging
+import os
 import tempfile
+import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,6 +44,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not conf:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="batchlens-ckpt-")
         log.warning("spark.checkpoint.dir unset; using %s (local runs only)", conf)
         spark.conf.set(CHECKPOINT_CONF, conf)
@@ -48,6 +53,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf
 
 
+def kept_table(df: DataFrame, what: str) -> DataFrame:
+    """A small table written to the shared folder and read back, so that Spark knows its size when it plans joins."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{what}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors of a cluster where it is not installed. Call once, before the first job."""
+    here = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="batchlens-zip-"), "batchlens.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in os.walk(here):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(here)))
+    spark.sparkContext.addPyFile(target)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss; never localCheckpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
