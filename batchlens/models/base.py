@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
-import os
+from dataclasses import replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from batchlens.functions.quantiles import quantiles
 from batchlens.operators.preprocess import MISSING, FitStats, cat_text
 
 PFX = "__x_"
@@ -43,7 +44,7 @@ def drop_internal(df: DataFrame) -> DataFrame:
 
 
 def feature_stages(st: FitStats, one_hot: bool) -> list:
-    """StringIndexer (unseen -> extra index) [+ OneHotEncoder dropLast: unseen -> all zeros] + assembler."""
+    """StringIndexer (unseen -> an extra, last index) [+ OneHotEncoder that drops that index: unseen -> all zeros] + assembler."""
     cats = st.categorical
     idx = [f"{PFX}{c}__idx" for c in cats]
     stages = []
@@ -57,7 +58,7 @@ def feature_stages(st: FitStats, one_hot: bool) -> list:
         cat_cols = idx
         if one_hot:
             ohe = [f"{PFX}{c}__ohe" for c in cats]
-            stages.append(OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True, handleInvalid="keep"))
+            stages.append(OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True))
             cat_cols = ohe
     stages.append(
         VectorAssembler(inputCols=[PFX + c for c in st.numerical] + cat_cols, outputCol=FEATURES, handleInvalid="keep")
@@ -70,15 +71,21 @@ def max_bins(st: FitStats) -> int:
     return max(32, card + 2)
 
 
-def save_json(path: str, obj: dict) -> None:
-    os.makedirs(path, exist_ok=True)
-    with open(os.path.join(path, "meta.json"), "w", encoding="utf-8") as f:
-        json.dump(obj, f, indent=2, default=str)
+def save_json(path: str, obj: dict, data: bytes | None = None) -> None:
+    """A model's description (and weights) as a one-row table under its path, on whatever store the path names."""
+    row = [(json.dumps(obj, default=str), data)]
+    SparkSession.active().createDataFrame(row, "meta string, data binary").coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
 
 
-def load_json(path: str) -> dict:
-    with open(os.path.join(path, "meta.json"), encoding="utf-8") as f:
-        return json.load(f)
+def load_json(path: str) -> tuple[dict, bytes | None]:
+    row = SparkSession.active().read.parquet(f"{path}/meta").first()
+    return json.loads(row["meta"]), bytes(row["data"]) if row["data"] is not None else None
+
+
+def own_medians(model, df: DataFrame):
+    """The model with the medians of ``df`` itself where it has any, for frames that are filled from their own values."""
+    got = quantiles(df, {c: 0.5 for c in model.stats.numerical if c in df.columns})
+    return replace(model, stats=replace(model.stats, medians={**model.stats.medians, **{c: v for c, v in got.items() if v is not None}}))
 
 
 def fit_pipeline(stages: list, df: DataFrame) -> PipelineModel:

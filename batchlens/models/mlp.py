@@ -1,29 +1,33 @@
-"""ReLU MLP regressor trained by local-SGD rounds.
-
-Spark ML has no MLP regressor. Each round broadcasts the current weights; every partition runs one epoch
-of mini-batch Adam over its own rows (``mapInPandas``, Arrow batches, numpy) and returns only its weights and
-row count; the driver averages them by rows. Row data never leaves the executors; what the driver receives per
-round is bounded by (partitions x parameter count). Early stopping watches the loss on a hash-selected 10 %
-validation share, as the reference's early stopping does on a 10 % split.
+"""ReLU MLP regressor trained by rounds of local Adam.
+
+Spark ML has no MLP regressor. The design rows are stored once. In a round, a fixed number of tasks each stream their share of
+the rows as Arrow batches, take Adam steps from the current state, and return state and row count; states are averaged by rows in
+a grouped sum of fixed-size chunks, and the driver receives the one averaged state. So memory holds one batch and
+one state per task, and what is shuffled and collected depends on the model's size and WORKERS only. The same pass scores the
+incoming weights on a hash-selected validation share, so a round is one job; all points of a grid train in the same
+pass. Training stops when R2 on the validation share has not improved by ``tol`` for ``n_iter_no_change`` rounds.
 """
 
 from __future__ import annotations
 
 import io
-import os
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType, BinaryType, LongType
+from pyspark.sql.types import DoubleType
 
 from batchlens.models.base import PFX, PREDICTION, load_json, save_json, with_features
 from batchlens.operators.preprocess import FitStats, fit_stats
+from batchlens.session import kept_table
 from batchlens.spec import TableSpec
 
 SEED = 42
+#: Tasks of a training round, whatever the input's size.
+WORKERS = 32
+CHUNK = 4096
 
 # The reference's MLP grid and defaults.
 MLP_GRID = {"hidden_layer_sizes": [(128, 64), (256, 128, 64)], "alpha": [1e-4, 1e-3], "learning_rate_init": [1e-3, 5e-4]}
@@ -71,33 +75,48 @@ def forward(ws: list[np.ndarray], x: np.ndarray) -> tuple[np.ndarray, list[np.nd
     return h[:, 0], acts
 
 
-def adam_epoch(ws, x, y, lr, alpha, batch_size, seed):
-    """One epoch of mini-batch Adam on squared loss + L2, fresh moments (local step of a round)."""
-    rng = np.random.default_rng(seed)
-    m = [np.zeros_like(w) for w in ws]
-    v = [np.zeros_like(w) for w in ws]
-    b1, b2, eps, t = 0.9, 0.999, 1e-8, 0
-    idx = rng.permutation(len(x))
-    n_layers = len(ws) // 2
-    for start in range(0, len(x), batch_size):
-        bi = idx[start : start + batch_size]
-        xb, yb = x[bi], y[bi]
-        out, acts = forward(ws, xb)
-        delta = ((out - yb) / len(bi))[:, None]
-        grads = [None] * len(ws)
-        for i in range(n_layers - 1, -1, -1):
-            grads[2 * i] = acts[i].T @ delta + alpha * ws[2 * i] / len(bi)
-            grads[2 * i + 1] = delta.sum(axis=0)
-            if i > 0:
-                delta = (delta @ ws[2 * i].T) * (acts[i] > 0)
-        t += 1
-        for j, g in enumerate(grads):
-            m[j] = b1 * m[j] + (1 - b1) * g
-            v[j] = b2 * v[j] + (1 - b2) * g * g
-            mh = m[j] / (1 - b1**t)
-            vh = v[j] / (1 - b2**t)
-            ws[j] = ws[j] - lr * mh / (np.sqrt(vh) + eps)
-    return ws
+class Adam:
+    """Weights with their moments; ``steps`` takes mini-batch steps on squared loss + L2."""
+
+    def __init__(self, ws, m, v, t, params: dict):
+        self.ws, self.m, self.v, self.t = ws, m, v, t
+        self.lr, self.alpha, self.size = float(params["learning_rate_init"]), float(params["alpha"]), int(params["batch_size"])
+
+    @classmethod
+    def start(cls, ws, params):
+        return cls(ws, [np.zeros_like(w) for w in ws], [np.zeros_like(w) for w in ws], 0.0, params)
+
+    def steps(self, x: np.ndarray, y: np.ndarray, rng) -> None:
+        order = rng.permutation(len(x))
+        layers = len(self.ws) // 2
+        for at in range(0, len(x), self.size):
+            pick = order[at : at + self.size]
+            out, acts = forward(self.ws, x[pick])
+            delta = ((out - y[pick]) / len(pick))[:, None]
+            self.t += 1
+            for i in range(layers - 1, -1, -1):
+                grads = (acts[i].T @ delta + self.alpha * self.ws[2 * i] / len(pick), delta.sum(axis=0))
+                if i > 0:
+                    delta = (delta @ self.ws[2 * i].T) * (acts[i] > 0)
+                for j, g in zip((2 * i, 2 * i + 1), grads):
+                    self.m[j] = 0.9 * self.m[j] + 0.1 * g
+                    self.v[j] = 0.999 * self.v[j] + 0.001 * g * g
+                    step = (self.m[j] / (1 - 0.9**self.t)) / (np.sqrt(self.v[j] / (1 - 0.999**self.t)) + 1e-8)
+                    self.ws[j] = self.ws[j] - self.lr * step
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([a.ravel() for part in (self.ws, self.m, self.v) for a in part] + [np.array([self.t])])
+
+    @classmethod
+    def from_flat(cls, flat: np.ndarray, like: list[np.ndarray], params: dict) -> "Adam":
+        parts, at = [], 0
+        for _ in range(3):
+            own = []
+            for w in like:
+                own.append(flat[at : at + w.size].reshape(w.shape).copy())
+                at += w.size
+            parts.append(own)
+        return cls(*parts, float(flat[at]), params)
 
 
 def _pack(ws) -> bytes:
@@ -119,79 +138,16 @@ class MLPModel:
     weights: list[np.ndarray]
     kind: str = "mlp"
 
-    @staticmethod
-    def _frame(df: DataFrame, st: FitStats, spec: TableSpec) -> DataFrame:
-        cols = [PFX + c for c in st.numerical + st.categorical]
-        return with_features(df, st, "mlp").select(*cols, F.col(spec.target).cast("double").alias("__y"))
-
-    @staticmethod
-    def _round(frame: DataFrame, ws, st: FitStats, params: dict, rnd: int) -> list[np.ndarray]:
-        sc = frame.sparkSession.sparkContext
-        bc = sc.broadcast(_pack(ws))
-        lr, alpha, bs = float(params["learning_rate_init"]), float(params["alpha"]), int(params.get("batch_size", 256))
-
-        def local(it):
-            pdf = pd.concat(list(it), ignore_index=True)
-            if len(pdf) == 0:
-                return
-            x, y = design(pdf, st), pdf["__y"].to_numpy(dtype=np.float64)
-            w = adam_epoch(_unpack(bc.value), x, y, lr, alpha, bs, seed=SEED + rnd)
-            yield pd.DataFrame({"n": [len(pdf)], "w": [_pack(w)]})
-
-        schema = StructType([StructField("n", LongType()), StructField("w", BinaryType())])
-        parts = frame.mapInPandas(local, schema).collect()
-        bc.unpersist()
-        total = sum(r["n"] for r in parts)
-        if total == 0:
-            return ws
-        acc = [np.zeros_like(w) for w in ws]
-        for r in parts:
-            for j, w in enumerate(_unpack(r["w"])):
-                acc[j] += w * (r["n"] / total)
-        return acc
-
-    @staticmethod
-    def _sse(frame: DataFrame, ws, st: FitStats) -> float:
-        packed = _pack(ws)
-
-        def local(it):
-            w = _unpack(packed)
-            for pdf in it:
-                p, _ = forward(w, design(pdf, st))
-                yield pd.DataFrame({"n": [len(pdf)], "sse": [float(((p - pdf["__y"].to_numpy()) ** 2).sum())]})
-
-        r = frame.mapInPandas(local, "n long, sse double").agg(F.sum("n"), F.sum("sse")).first()
-        return (r[1] or 0.0) / max(r[0] or 1, 1)
-
     @classmethod
-    def fit(cls, df: DataFrame, spec: TableSpec, params: dict | None = None, max_rounds: int | None = None) -> "MLPModel":
-        p = {**MLP_DEFAULT, **(params or {})}
-        st = fit_stats(df, spec, scale=True)
-        frame = cls._frame(df, st, spec)
-        width = len(st.numerical) + sum(len(st.categories.get(c, [])) for c in st.categorical)
-        ws = init_weights([width, *p["hidden_layer_sizes"], 1])
-        frac = float(p.get("validation_fraction", 0.1))
-        bucket = F.abs(F.xxhash64(*frame.columns)) % 1000
-        train = frame.where(bucket >= int(frac * 1000))
-        val = frame.where(bucket < int(frac * 1000))
-        rounds = int(max_rounds or p["max_iter"])
-        best, best_ws, stale = np.inf, ws, 0
-        for rnd in range(rounds):
-            ws = cls._round(train, ws, st, p, rnd)
-            loss = cls._sse(val, ws, st)
-            if loss < best - float(p["tol"]):
-                best, best_ws, stale = loss, ws, 0
-            else:
-                stale += 1
-                if stale >= int(p["n_iter_no_change"]):
-                    break
-        return cls(spec, p, st, best_ws if np.isfinite(best) else ws)
+    def fit(cls, df: DataFrame, spec: TableSpec, params: dict | None = None, max_rounds: int | None = None, stats: FitStats | None = None) -> "MLPModel":
+        return train_together(df, spec, [params or {}], max_rounds, stats)[0]
 
     def continue_fit(self, df: DataFrame) -> "MLPModel":
-        """One round on the new rows from the stored weights, stored preprocessing, no early stopping."""
-        frame = self._frame(df, self.stats, self.spec)
-        ws = self._round(frame, self.weights, self.stats, self.params, rnd=0)
-        return MLPModel(self.spec, self.params, self.stats, ws)
+        """One round over the new rows from the stored weights, with the stored preprocessing and no early stopping."""
+        frame = design_rows(df, self.stats, self.spec, 0.0)
+        state = Adam.start(self.weights, self.params)
+        state, _ = one_round(frame, {0: state}, self.stats, 0, True)
+        return MLPModel(self.spec, self.params, self.stats, state[0].ws)
 
     def predict(self, df: DataFrame) -> DataFrame:
         st, packed = self.stats, _pack(self.weights)
@@ -208,28 +164,113 @@ class MLPModel:
         return out.drop(*names)
 
     def save(self, path: str) -> None:
-        os.makedirs(path, exist_ok=True)
-        with open(os.path.join(path, "weights.npz"), "wb") as f:
-            f.write(_pack(self.weights))
         params = {**self.params, "hidden_layer_sizes": list(self.params["hidden_layer_sizes"])}
-        save_json(path, {"kind": self.kind, "params": params, "stats": self.stats.to_json()})
+        save_json(path, {"kind": self.kind, "params": params, "stats": self.stats.to_json()}, _pack(self.weights))
 
     @classmethod
     def load(cls, path: str, spec: TableSpec) -> "MLPModel":
-        m = load_json(path)
-        with open(os.path.join(path, "weights.npz"), "rb") as f:
-            ws = _unpack(f.read())
-        return cls(spec, m["params"], FitStats.from_json(m["stats"]), ws)
+        m, weights = load_json(path)
+        return cls(spec, m["params"], FitStats.from_json(m["stats"]), _unpack(weights))
+
+
+def design_rows(df: DataFrame, st: FitStats, spec: TableSpec, validation: float) -> DataFrame:
+    """Stored model inputs, target ``__y`` and validation flag ``__v`` of the rows with a target."""
+    cols = [PFX + c for c in st.numerical + st.categorical]
+    rows = with_features(df, st, "mlp").where(F.col(spec.target).isNotNull()).select(*cols, F.col(spec.target).cast("double").alias("__y"))
+    bucket = F.pmod(F.xxhash64(*rows.columns), F.lit(1000))
+    return kept_table(rows.withColumn("__v", bucket < int(validation * 1000)), "mlp-rows")
+
+
+def one_round(frame: DataFrame, states: dict[int, Adam], st: FitStats, rnd: int, train: bool):
+    """One job: (averaged states, validation figures by model) after each task has streamed its share of the rows."""
+    sc = frame.sparkSession.sparkContext
+    sent = sc.broadcast({k: (s.flat(), [w.shape for w in s.ws], {"learning_rate_init": s.lr, "alpha": s.alpha, "batch_size": s.size}) for k, s in states.items()})
+
+    def local(batches):
+        own, figures = {}, {}
+        for k, (flat, shapes, params) in sent.value.items():
+            like = [np.empty(x) for x in shapes]
+            own[k] = Adam.from_flat(flat, like, params)
+            figures[k] = np.zeros(5)  # train rows, validation rows, squared errors, sum and squares of y
+        before = {k: [w.copy() for w in a.ws] for k, a in own.items()}
+        rng = np.random.default_rng(SEED + rnd)
+        for pdf in batches:
+            x, y, v = design(pdf, st), pdf["__y"].to_numpy(np.float64), pdf["__v"].to_numpy(bool)
+            for k, a in own.items():
+                if v.any():
+                    e = forward(before[k], x[v])[0] - y[v]
+                    figures[k][1:] += (v.sum(), (e * e).sum(), y[v].sum(), (y[v] ** 2).sum())
+                if train and not v.all():
+                    a.steps(x[~v], y[~v], rng)
+                    figures[k][0] += (~v).sum()
+        for k, a in own.items():
+            flat = a.flat() * figures[k][0]
+            parts = [flat[i : i + CHUNK] for i in range(0, len(flat), CHUNK)] if figures[k][0] else []
+            yield pd.DataFrame(
+                {"model": k, "chunk": [-1, *range(len(parts))], "vec": [figures[k].tobytes(), *(p.tobytes() for p in parts)]}
+            )
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = np.sum([np.frombuffer(b, np.float64) for b in pdf["vec"]], axis=0)  # at most WORKERS chunks
+        return pd.DataFrame({"model": [pdf["model"][0]], "chunk": [pdf["chunk"][0]], "vec": [total.tobytes()]})
+
+    schema = "model int, chunk int, vec binary"
+    got = frame.coalesce(WORKERS).mapInPandas(local, schema).groupBy("model", "chunk").applyInPandas(add, schema).collect()
+    sent.unpersist()
+    figures = {r["model"]: np.frombuffer(r["vec"], np.float64) for r in got if r["chunk"] == -1}
+    out = {}
+    for k, s in states.items():
+        parts = [np.frombuffer(r["vec"], np.float64) for r in sorted((r for r in got if r["model"] == k and r["chunk"] >= 0), key=lambda r: r["chunk"])]
+        rows = figures[k][0] if k in figures else 0
+        params = {"learning_rate_init": s.lr, "alpha": s.alpha, "batch_size": s.size}
+        out[k] = Adam.from_flat(np.concatenate(parts) / rows, s.ws, params) if rows else s
+    return out, figures
+
+
+def _r2(f) -> float | None:
+    if f is None or f[1] < 1:
+        return None
+    total = f[4] - f[3] ** 2 / f[1]
+    return 1 - f[2] / total if total > 0 else (1.0 if f[2] == 0 else 0.0)
+
+
+def train_together(df: DataFrame, spec: TableSpec, points: list[dict], max_rounds: int | None = None, stats: FitStats | None = None) -> list[MLPModel]:
+    """A model for each parameter point, all trained in the same passes over the rows."""
+    ps = [{**MLP_DEFAULT, **p} for p in points]
+    st = stats or fit_stats(df, spec, scale=True)
+    width = len(st.numerical) + sum(len(st.categories.get(c, [])) for c in st.categorical)
+    frame = design_rows(df, st, spec, float(ps[0]["validation_fraction"]))
+    states = {k: Adam.start(init_weights([width, *p["hidden_layer_sizes"], 1]), p) for k, p in enumerate(ps)}
+    best = {k: (None, s.ws, 0) for k, s in states.items()}  # R2, weights, rounds without progress
+    running = dict(states)
+    for rnd in range(max(int(max_rounds or p["max_iter"]) for p in ps) + 1):
+        running = {k: s for k, s in running.items() if rnd <= int(max_rounds or ps[k]["max_iter"])}
+        if not running:
+            break
+        last = {k for k in running if rnd == int(max_rounds or ps[k]["max_iter"])}
+        after, figures = one_round(frame, running, st, rnd, len(last) < len(running))
+        for k, s in list(running.items()):
+            score, (top, _, stale) = _r2(figures.get(k)), best[k]
+            if score is None:
+                best[k] = (None, s.ws, 0)
+            elif top is None or score > top + float(ps[k]["tol"]):
+                best[k] = (score, s.ws, 0)
+            else:
+                best[k] = (max(top, score), s.ws if score > top else best[k][1], stale + 1)
+            if k in last or best[k][2] >= int(ps[k]["n_iter_no_change"]):
+                del running[k]
+            else:
+                running[k] = after[k]
+    return [MLPModel(spec, p, st, best[k][1]) for k, p in enumerate(ps)]
 
 
 def search_mlp(sub: DataFrame, val: DataFrame, spec: TableSpec, g: dict | None = None, max_rounds: int | None = None):
-    """Every grid point in reference order; first wins a tie."""
+    """Every grid point, trained together; the first in grid order wins a tie."""
     from batchlens.models.trees import grid
     from batchlens.operators.evaluate import metrics_dict
 
-    best = None
-    for params in grid(g or MLP_GRID):
-        m = MLPModel.fit(sub, spec, params, max_rounds=max_rounds)
+    points, best = grid(g or MLP_GRID), None
+    for params, m in zip(points, train_together(sub, spec, points, max_rounds)):
         vm = metrics_dict(m.predict(val), spec.target)
         if vm is not None and (best is None or vm["rmse"] < best[1]["rmse"]):
             best = (params, vm)

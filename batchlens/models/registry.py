@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from batchlens.models.mlp import MLPModel, search_mlp
 from batchlens.models.trees import BoostModel, TreeModel, search_boost, search_tree
-from batchlens.sources.store import LEDGER, REGISTRY, Store
+from batchlens.sources.store import REGISTRY, Store
 from batchlens.spec import TableSpec
 
 
@@ -46,8 +46,7 @@ def load_model(path: str, model_type: str, spec: TableSpec):
 
 def committed(store: Store) -> DataFrame:
     """Registry rows of committed runs only."""
-    runs = store.read(LEDGER).select("run_id").distinct()
-    return store.read(REGISTRY).join(runs, "run_id", "left_semi")
+    return store.committed_log(REGISTRY)
 
 
 def current_row(store: Store, key: str):
@@ -63,7 +62,7 @@ def best_row(store: Store):
 
 def load_row(row, spec: TableSpec):
     if row is None:
-        raise FileNotFoundError("No saved model found in the registry.")
+        raise FileNotFoundError("the registry has no such model")
     return load_model(row["path"], row["model_type"], spec)
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import itertools
-import os
+import math
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
@@ -40,9 +40,10 @@ def grid(g: dict) -> list[dict]:
 
 
 def tree_effective(params: dict) -> dict:
-    """Spark trees have a minimum leaf size but no minimum split size; a split already needs 2 * leaf
-    rows, so only split sizes above that change the fit and are folded into the leaf bound."""
-    return {"maxDepth": int(params["max_depth"]), "minInstancesPerNode": int(params["min_samples_leaf"])}
+    """Spark trees have a minimum leaf size but no minimum split size. The split size is folded into the leaf bound: leaves of at
+    least half of it mean that no smaller node is split (uneven splits that the split size alone would allow are given up)."""
+    leaf = max(int(params["min_samples_leaf"]), math.ceil(int(params.get("min_samples_split", 2)) / 2))
+    return {"maxDepth": int(params["max_depth"]), "minInstancesPerNode": leaf}
 
 
 @dataclass
@@ -54,9 +55,9 @@ class TreeModel:
     kind: str = "tree"
 
     @classmethod
-    def fit(cls, df: DataFrame, spec: TableSpec, params: dict | None = None) -> "TreeModel":
+    def fit(cls, df: DataFrame, spec: TableSpec, params: dict | None = None, stats: FitStats | None = None) -> "TreeModel":
         params = dict(params or TREE_DEFAULT)
-        st = fit_stats(df, spec)
+        st = stats or fit_stats(df, spec)
         frame = with_features(df, st, "tree")
         dt = DecisionTreeRegressor(
             featuresCol=FEATURES, labelCol=spec.target, predictionCol=PREDICTION, seed=SEED,
@@ -68,13 +69,13 @@ class TreeModel:
         return drop_internal(self.pipeline.transform(with_features(df, self.stats, "tree")))
 
     def save(self, path: str) -> None:
-        self.pipeline.write().overwrite().save(os.path.join(path, "pipeline"))
+        self.pipeline.write().overwrite().save(f"{path}/pipeline")
         save_json(path, {"kind": self.kind, "params": self.params, "stats": self.stats.to_json()})
 
     @classmethod
     def load(cls, path: str, spec: TableSpec) -> "TreeModel":
-        m = load_json(path)
-        return cls(spec, m["params"], FitStats.from_json(m["stats"]), PipelineModel.load(os.path.join(path, "pipeline")))
+        m, _ = load_json(path)
+        return cls(spec, m["params"], FitStats.from_json(m["stats"]), PipelineModel.load(f"{path}/pipeline"))
 
 
 @dataclass
@@ -97,8 +98,8 @@ class BoostModel:
         )
 
     @classmethod
-    def fit(cls, df: DataFrame, spec: TableSpec, params: dict) -> "BoostModel":
-        st = fit_stats(df, spec)
+    def fit(cls, df: DataFrame, spec: TableSpec, params: dict, stats: FitStats | None = None) -> "BoostModel":
+        st = stats or fit_stats(df, spec)
         frame = with_features(df, st, "boost")
         stages = feature_stages(st, one_hot=False) + [cls._gbt(spec, st, params, spec.target)]
         return cls(spec, dict(params), st, fit_pipeline(stages, frame))
@@ -129,27 +130,27 @@ class BoostModel:
         return BoostModel(self.spec, self.params, self.stats, self.pipeline, self.stages + [stage])
 
     def save(self, path: str) -> None:
-        self.pipeline.write().overwrite().save(os.path.join(path, "pipeline"))
+        self.pipeline.write().overwrite().save(f"{path}/pipeline")
         for i, s in enumerate(self.stages):
-            s.write().overwrite().save(os.path.join(path, f"stage_{i:04d}"))
+            s.write().overwrite().save(f"{path}/stage_{i:04d}")
         meta = {"kind": self.kind, "params": self.params, "stats": self.stats.to_json(), "stages": len(self.stages)}
         save_json(path, meta)
 
     @classmethod
     def load(cls, path: str, spec: TableSpec) -> "BoostModel":
-        m = load_json(path)
-        stages = [GBTRegressionModel.load(os.path.join(path, f"stage_{i:04d}")) for i in range(m["stages"])]
-        pipe = PipelineModel.load(os.path.join(path, "pipeline"))
+        m, _ = load_json(path)
+        stages = [GBTRegressionModel.load(f"{path}/stage_{i:04d}") for i in range(m["stages"])]
+        pipe = PipelineModel.load(f"{path}/pipeline")
         return cls(spec, m["params"], FitStats.from_json(m["stats"]), pipe, stages)
 
 
 def search_tree(sub: DataFrame, val: DataFrame, spec: TableSpec, g: dict | None = None) -> tuple[dict, dict]:
     """L2: fit every distinct effective setting once; report the first grid point of the best one."""
-    best, seen = None, {}
+    best, seen, st = None, {}, fit_stats(sub, spec)
     for params in grid(g or TREE_GRID):
         eff = tuple(sorted(tree_effective(params).items()))
         if eff not in seen:
-            m = TreeModel.fit(sub, spec, params)
+            m = TreeModel.fit(sub, spec, params, st)
             seen[eff] = metrics_dict(m.predict(val), spec.target)
         vm = seen[eff]
         if vm is not None and (best is None or vm["rmse"] < best[1]["rmse"]):
@@ -166,11 +167,11 @@ def search_boost(sub: DataFrame, val: DataFrame, spec: TableSpec, g: dict | None
     g = g or BOOST_GRID
     top = max(g["iterations"])
     fits: dict[tuple, tuple[BoostModel, list[float]]] = {}
-    best = None
+    best, st = None, fit_stats(sub, spec)
     for params in grid(g):
         key = (params["depth"], params["learning_rate"])
         if key not in fits:
-            m = BoostModel.fit(sub, spec, {"iterations": top, "depth": key[0], "learning_rate": key[1]})
+            m = BoostModel.fit(sub, spec, {"iterations": top, "depth": key[0], "learning_rate": key[1]}, st)
             mse = m.pipeline.stages[-1].evaluateEachIteration(m._featurized(val), "squared")
             fits[key] = (m, mse)
         m, mse = fits[key]
@@ -182,5 +183,5 @@ def search_boost(sub: DataFrame, val: DataFrame, spec: TableSpec, g: dict | None
     params = best[0]
     m = fits[(params["depth"], params["learning_rate"])][0]
     if params["iterations"] != top:
-        m = BoostModel.fit(sub, spec, params)
+        m = BoostModel.fit(sub, spec, params, st)
     return params, metrics_dict(m.predict(val), spec.target)
