@@ -1,15 +1,15 @@
 """Test-then-train on the next unprocessed batch (``update``), idempotent by batch id.
 
-Order of effects (M7): quality record -> model folders (inert) -> registry rows -> update record -> ledger
-row. Readers resolve models from registry rows of committed runs only, so a crash anywhere before the
-ledger append leaves no visible change, and replaying a committed batch is a no-op.
+Order of effects (M7): quality record -> model folders (inert) -> registry rows -> update record -> ledger row. Models and logs
+are read for runs that the ledger has only, so a crash anywhere before the ledger append leaves no visible change, and
+replaying a committed batch is a no-op.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from batchlens.models.base import own_medians
 from batchlens.models.registry import (
     best_row,
     build_model_registry,
@@ -18,23 +18,19 @@ from batchlens.models.registry import (
     load_row,
     params_json,
 )
-from batchlens.operators.batching import batch_list
 from batchlens.operators.cleaning import prepare
 from batchlens.operators.evaluate import metrics_dict
+from batchlens.operators.features import require_columns
 from batchlens.operators.quality import quality_profile
 from batchlens.plans.train import prepare_split
+from batchlens.session import cut_lineage
 from batchlens.sources.store import LEDGER, QUALITY, REGISTRY, UPDATES, Store, new_run_id, now
 from batchlens.spec import TableSpec
 
 
 def next_batch(store: Store, spec: TableSpec):
-    """the earliest batch not in the ledger (anti-join on the batch id), or None."""
-    names = batch_list(store.batches(), spec)
-    done = store.read(LEDGER).where(F.col("batch_start").isNotNull()).select(
-        F.col("batch_start").alias(spec.batch_col)
-    )
-    pending = names.join(done, spec.batch_col, "left_anti")
-    return pending.orderBy(spec.batch_col).limit(1).first(), names.count()
+    """(the earliest pending batch or None, number of batches). Only the batch index and the ledger are read."""
+    return store.pending(spec).orderBy(spec.batch_col).limit(1).first(), store.batch_table(spec).count()
 
 
 def process_next_batch(
@@ -42,23 +38,28 @@ def process_next_batch(
     spec: TableSpec,
     selection: str = "prequential",
     boost_iterations: int | None = None,
+    medians: str = "stored",
 ) -> dict:
-    """M2-M7 for one batch. ``selection='prequential'`` publishes the candidate whose pre-update error on
-    the batch was lowest; ``'in_sample'`` (the reference's choice) the lowest error after fitting it."""
+    """M2-M7 for one batch. ``selection='prequential'`` publishes the candidate whose pre-update error on the batch was lowest;
+    ``'in_sample'`` the lowest error after fitting it. ``medians='own'`` fills the boosting model's inputs from the batch's own
+    medians instead of the stored ones.
+
+    A batch that the ledger knows in part (late files) is learned from its later rows only and profiled whole."""
     if committed(store).limit(1).count() == 0:
-        raise ValueError("Pipeline is not initialized. Run train first.")
+        raise ValueError("no model has been trained in this store yet")
     nxt, n_batches = next_batch(store, spec)
     if nxt is None:
         return {"status": "no_new_batches", "available_batches": n_batches}
     key_val, name, index = nxt[spec.batch_col], nxt["batch_name"], nxt["batch_index"]
     run = new_run_id()
     batches = store.batches()
-    batch = batches.where(F.col(spec.batch_col) == F.lit(key_val))
+    batch = store.batch_rows(nxt["batch_id"])
+    new = batch if nxt["done_epoch"] is None else store.batch_rows(nxt["batch_id"], nxt["done_epoch"])
 
     prof = quality_profile(batch, spec).first().asDict()
     store.append_rows(QUALITY, [{**prof, "batch_name": name, "run_id": run, "created_at": now()}])
 
-    prepared = prepare(batch, spec).df.persist()
+    prepared = cut_lineage(prepare(new, spec).df)
     best = best_row(store)
     pre = None
     if best is not None:
@@ -72,6 +73,9 @@ def process_next_batch(
             if row is None:
                 continue
             model = load_row(row, spec)
+            require_columns(prepared, [*model.stats.numerical, *model.stats.categorical], f"features of {key}")
+            if key == "boost" and medians == "own":
+                model = own_medians(model, prepared)
             before = metrics_dict(model.predict(prepared), spec.target)
             if key == "boost":
                 updated, strategy, extra = model.continue_fit(prepared, boost_iterations), "boost_continue_fit", {}
@@ -82,8 +86,9 @@ def process_next_batch(
                 p = prepare_split(upto, spec)
                 updated = type(model).fit(p.train, spec, model.params)
                 test = metrics_dict(updated.predict(p.test), spec.target) or {}
-                strategy = "tree_full_retrain"
-                extra = {"test_rmse": test.get("rmse"), "test_mae": test.get("mae"), "test_r2": test.get("r2"),
+                strategy = "tree_full_retrain"  # fixed value
+                held = store.batch_table(spec).where(F.col(spec.batch_col) == F.lit(p.test_key)).first()
+                extra = {"test_batch": held["batch_name"], "test_rmse": test.get("rmse"), "test_mae": test.get("mae"), "test_r2": test.get("r2"),
                          "train_rows": p.train_rows, "test_rows": p.test_rows, "train_batches": p.train_batches}
             after = metrics_dict(updated.predict(prepared), spec.target)
             version = new_run_id()
@@ -93,11 +98,13 @@ def process_next_batch(
                 {
                     **{k: row[k] for k in ("model_key", "model_name", "model_type", "val_rmse", "val_mae", "val_r2",
                                            "test_rmse", "test_mae", "test_r2", "train_rows", "test_rows",
-                                           "train_batches", "test_batch")},
+                                           "train_batches", "test_batch", "features", "numerical", "categorical",
+                                           "preprocessing")},
                     **extra,
                     "version": version, "path": path, "params": params_json(model.params),
                     "batch_rmse": after["rmse"] if after else None, "batch_mae": after["mae"] if after else None,
                     "batch_r2": after["r2"] if after else None, "update_strategy": strategy, "is_best": False,
+                    "selection_strategy": selection, "batch_rows": after["rows"] if after else 0,
                     "run_id": run, "created_at": now(), "ordinal": i,
                     "_pre_rmse": before["rmse"] if before else None, "_rows": after["rows"] if after else 0,
                 }
@@ -117,6 +124,7 @@ def process_next_batch(
                      "created_at": now(), "ordinal": len(results)})
     store.append_rows(REGISTRY, rows)
 
+    # The update record's field names.
     rec = {
         "created_at": now(), "processed_batch_index": index, "processed_batch_name": name,
         "available_batches_after_update": index, "quality_row_count": prof["row_count"],
@@ -140,9 +148,9 @@ def process_next_batch(
     store.append_rows(UPDATES, [rec])
     store.append_rows(
         LEDGER,
-        [{"batch_start": key_val, "batch_name": name, "run_id": run, "kind": "update",
+        [{"batch_id": nxt["batch_id"], "batch_start": key_val, "batch_name": name, "upto_epoch": nxt["upto_epoch"], "run_id": run,
+          "kind": "update" if nxt["done_epoch"] is None else "late_rows",
           "status": "failed" if error else "updated", "processed_at": now()}],
     )
-    prepared.unpersist()
     return {"status": "updated", "batch_name": name, "pre_update": pre, "chosen": chosen and chosen["model_key"],
             "update_error": error, "candidates": len(results)}

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchlens.functions.exprs import nan_to_null
+from batchlens.operators.features import nan_as_null
 from batchlens.operators.sequence import next_value_in_group
 
 
@@ -16,11 +16,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _no_nan(df: DataFrame) -> DataFrame:
-    dbl = [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")]
-    return df.withColumns({c: nan_to_null(c) for c in dbl}) if dbl else df
-
-
 def trips_li(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem joined to orders, shaped as dirty trips (nulls, negatives, out-of-range coordinates)."""
     li = table(spark, sf_dir, "lineitem")
@@ -44,7 +39,7 @@ def trips_li(spark: SparkSession, sf_dir: str) -> DataFrame:
         (c("l_partkey") % 100 - 50).cast("double").alias("dropoff_latitude"),
         c("l_orderkey").alias("_orderkey"),
     )
-    return _no_nan(df)
+    return nan_as_null(df)
 
 
 def trips_li_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,10 +74,17 @@ def trips_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
         (c("user_id") % 6 + 1).alias("passenger_count"),
         F.get_json_object("props", "$.k").cast("double").alias("trip_distance"),
     )
-    return _no_nan(df)
+    return nan_as_null(df)
+
+
+def trips_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``trips_ev`` with a target that its features explain (but for a remainder that rises with the event id)."""
+    c = F.col
+    target = F.coalesce(c("trip_distance"), F.lit(0.0)) * 0.3 + c("passenger_count") * 10 + c("event_id") % 7
+    return trips_ev(spark, sf_dir).withColumn("total_amount", target.cast("double"))
 
 
-ADAPTERS = {"trips_li": trips_li_clean_input, "trips_li_dup": trips_li_dup, "trips_ev": trips_ev}
+ADAPTERS = {"trips_li": trips_li_clean_input, "trips_li_dup": trips_li_dup, "trips_ev": trips_ev, "trips_signal": trips_signal}
 
 
 # ---- the same adapters as DuckDB SQL (oracle side) ----
@@ -127,4 +129,7 @@ def adapter_sql(name: str) -> str:
         )
     if name == "trips_ev":
         return TRIPS_EV_SQL
+    if name == "trips_signal":
+        target = "cast(coalesce(trip_distance, 0.0) * 0.3 + passenger_count * 10 + event_id % 7 as double) as total_amount"
+        return f"select * replace ({target}) from ({TRIPS_EV_SQL}) t"
     raise KeyError(name)

@@ -1,9 +1,10 @@
 """Structured Streaming entry points.
 
-``run_stream`` (M2-M7): new trip files land in a folder; each micro-batch is keyed into calendar batches and
-written to the batch store under its epoch id (a replayed epoch overwrites the same folder, so the write is
-idempotent); then the update step runs for every pending batch in time order. The file source hands files
-over in modification-time order, so the order is taken from the ledger anti-join, never from arrival.
+``run_stream`` (M2-M7): new trip files land in a folder; each micro-batch is keyed into calendar batches and written to the batch
+store as its epoch (a replayed epoch replaces itself); then the update step runs for every pending batch in time
+order. The file source hands files over in modification-time order, so the order is taken from the batch index and the
+ledger, never from arrival. A file of a batch that is closed already reopens it: the ledger knows up to which epoch a
+batch was learned, and the update step learns the later rows and profiles the whole batch again.
 
 ``quality_stream`` (M8): the per-batch quality counts as a streaming aggregation over weekly event-time
 windows (Monday start) with a watermark, for sources that never stop.
@@ -16,30 +17,36 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from batchlens.functions.exprs import period_start
-from batchlens.operators.batching import assign_batches
-from batchlens.operators.quality import null_cells
+from batchlens.operators.quality import invalid_coordinates, null_cells
 from batchlens.models.registry import committed
 from batchlens.plans.train import load_source
 from batchlens.plans.update import process_next_batch
-from batchlens.sources.store import BATCHES, Store
+from batchlens.session import kept_table
+from batchlens.sources.store import BATCH_INDEX, Store
 from batchlens.spec import TableSpec
 
 
 class StreamStore(Store):
-    """Batch store fed by micro-batches: ``batches/epoch=<id>/<batch key>=<date>/``. Readers see the union of
-    epochs with the minimum-size rule applied to whole calendar batches."""
+    """Batch store fed by micro-batches; the minimum-size rule holds for whole calendar batches over all epochs."""
 
     def __init__(self, spark: SparkSession, root: str, spec: TableSpec, hold_latest: bool = True):
         super().__init__(spark, root)
         self.spec, self.hold_latest = spec, hold_latest
 
+    def least_rows(self, spec: TableSpec) -> int:
+        return spec.min_batch_rows
+
+    def batch_table(self, spec: TableSpec) -> DataFrame:
+        table = super().batch_table(spec)
+        if self.hold_latest:  # the newest batch may still be filling up
+            index = self.spark.read.parquet(self.path(BATCH_INDEX))
+            latest = index.agg(F.max(spec.batch_col)).first()[0]
+            table = table.where(F.col(spec.batch_col) < F.lit(latest))
+        return table
+
     def batches(self) -> DataFrame:
-        rows = self.spark.read.parquet(self.path(BATCHES)).drop("epoch")
-        kept = assign_batches(rows.drop(self.spec.batch_col), self.spec)
-        if self.hold_latest:  # the newest week may still be filling up
-            latest = kept.agg(F.max(self.spec.batch_col)).first()[0]
-            kept = kept.where(F.col(self.spec.batch_col) < F.lit(latest))
-        return kept
+        full = kept_table(self.batch_table(self.spec).select("batch_id"), "batches")
+        return self._rows().join(full, "batch_id", "left_semi").drop("epoch", "batch_id")
 
 
 def run_stream(
@@ -54,8 +61,8 @@ def run_stream(
     **update_kw,
 ) -> int:
     """Consume everything in ``landing`` (``availableNow``), updating models batch by batch; returns the
-    number of batches processed. A replayed epoch overwrites only its own folders (dynamic partition
-    overwrite) and already-committed batches are skipped by the ledger, so a restart is safe."""
+    number of updates. A replayed epoch replaces only its own folders and what the ledger has is not done again, so a restart is
+    safe."""
     store = StreamStore(spark, store_root, spec)
     done = {"n": 0}
 
@@ -66,16 +73,8 @@ def run_stream(
             done["n"] += 1
 
     def handle(df: DataFrame, epoch_id: int) -> None:
-        rows = load_source(df, spec).withColumn("epoch", F.lit(epoch_id)).withColumn(
-            spec.batch_col, period_start(spec.event_ts, spec.batch_freq)
-        )
-        (
-            rows.sortWithinPartitions(spec.batch_col, spec.event_ts)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("epoch", spec.batch_col)
-            .parquet(store.path(BATCHES))
-        )
+        rows = load_source(df, spec).withColumn(spec.batch_col, period_start(spec.event_ts, spec.batch_freq))
+        store.write_batches(rows, spec, epoch_id)
         drain(store)
 
     q = (
@@ -93,24 +92,36 @@ def run_stream(
     return done["n"]
 
 
-def quality_stream(stream: DataFrame, spec: TableSpec, watermark: str = "1 day") -> DataFrame:
-    """M8: running weekly quality counts. Event time is cast to TIMESTAMP (UTC session) for the watermark."""
+def quality_stream(stream: DataFrame, spec: TableSpec, watermark: str = "1 day", accuracy: int = 10_000) -> DataFrame:
+    """M8: the running weekly quality profile. Event time is cast to TIMESTAMP (UTC session) for the watermark.
+
+    State is bounded: the q99s are sketches of the given accuracy (a batch's exact ones come from ``quality_profile``), and duplicates are rows
+    less an estimate of distinct row hashes."""
     ts = F.col(spec.event_ts).cast("timestamp")
     dur = (F.unix_micros(F.col(spec.end_ts).cast("timestamp")) - F.unix_micros(ts)) / F.lit(60_000_000.0)
+    cols = list(stream.columns)
     df = stream.withColumn("__ts", ts).withColumn(spec.duration_col, dur)
-    cols = [c for c in stream.columns]
-    return (
+    dist = spec.distance if spec.distance in cols else None
+    has_coordinates = bool(spec.coordinates) and all(b.column in cols for b in spec.coordinates)
+
+    def q99(c: str):
+        return F.percentile_approx(c, 0.99, accuracy).cast("double")
+
+    rows = F.count(F.lit(1))
+    out = (
         df.withWatermark("__ts", watermark)
         .groupBy(F.window("__ts", "7 days", "7 days", "4 days").alias("week"))
         .agg(
-            F.count(F.lit(1)).alias("row_count"),
+            rows.alias("row_count"),
             F.sum(null_cells(cols)).cast("long").alias("missing_total"),
+            F.greatest(F.lit(0).cast("long"), rows - F.approx_count_distinct(F.xxhash64(*cols), 0.01)).alias("duplicate_estimate"),
+            (F.count_if(F.col(dist) < 0) if dist else F.max(F.lit(0).cast("long"))).alias("negative_trip_distance_count"),
             F.count_if(F.col(spec.target) < 0).alias("negative_target_count"),
-            F.count_if(F.col(spec.duration_col).isNull() | (F.col(spec.duration_col) <= 0)).alias(
-                "invalid_duration_count"
-            ),
-            F.percentile(spec.target, 0.99).alias("target_q99"),
+            F.count_if(F.col(spec.duration_col).isNull() | (F.col(spec.duration_col) <= 0)).alias("invalid_duration_count"),
+            (F.count_if(invalid_coordinates(df, spec)) if has_coordinates else F.max(F.lit(0).cast("long"))).alias("invalid_coordinate_count"),
+            (q99(dist) if dist else F.max(F.lit(None).cast("double"))).alias("trip_distance_q99"),
+            q99(spec.target).alias("target_q99"),
+            q99(spec.duration_col).alias("duration_q99"),
         )
-        .select(F.to_date("week.start").alias(spec.batch_col), "row_count", "missing_total",
-                "negative_target_count", "invalid_duration_count", "target_q99")
     )
+    return out.select(F.to_date("week.start").alias(spec.batch_col), *[c for c in out.columns if c != "week"])
