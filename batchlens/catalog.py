@@ -13,14 +13,19 @@ from pyspark.sql import functions as F
 
 from batchlens.operators.batching import assign_batches, batch_list
 from batchlens.operators.cleaning import clean, prepare
-from batchlens.operators.features import make_time_features
+from batchlens.operators.features import make_time_features, model_columns
 from batchlens.operators.quality import batch_meta, quality_profile, quality_totals
 from batchlens.operators import rules as R
-from batchlens.operators.evaluate import regression_metrics
+from batchlens.operators.evaluate import argmin, regression_metrics
 from batchlens.operators.preprocess import boosting_frame, fit_stats, mlp_frame, stats_frame
 from batchlens.operators.split import holdout_split, tail_split
-from batchlens.functions.exprs import fixed4, parse_batch_range
+from batchlens.functions.exprs import fixed4, parse_batch_range, parse_ts, text_or_na
+from batchlens.functions.quantiles import quantile
 from batchlens.plans import sql as S
+from batchlens.plans.summary import best_records, history, latest_record
+from batchlens.session import cut_lineage
+from batchlens.sources.files import typed
+from batchlens.sources.store import latest_per, pending_batches
 from batchlens.sources.fixtures import ADAPTERS, adapter_sql
 from batchlens.spec import TRIPS_EV, TRIPS_LI, TableSpec
 
@@ -36,8 +41,8 @@ EV_RAW = [
 ]
 
 NUMERIC_CATS = {"vendor_id", "ratecode_id"}
-_SPECS = {"trips_li": TRIPS_LI, "trips_li_dup": TRIPS_LI, "trips_ev": TRIPS_EV}
-_RAW = {"trips_li": LI_RAW, "trips_li_dup": LI_RAW, "trips_ev": EV_RAW}
+_SPECS = {"trips_li": TRIPS_LI, "trips_li_dup": TRIPS_LI, "trips_ev": TRIPS_EV, "trips_signal": TRIPS_EV}
+_RAW = {"trips_li": LI_RAW, "trips_li_dup": LI_RAW, "trips_ev": EV_RAW, "trips_signal": EV_RAW}
 ADAPTERS_COLS = _RAW
 
 
@@ -86,7 +91,7 @@ def q_batch_list(adapter: str) -> Query:
 def q_batch_meta(adapter: str) -> Query:
     def run(spark, sf):
         b, spec = _batched(spark, sf, adapter)
-        return batch_meta(b, spec, batch_list(b, spec))
+        return batch_meta(b, spec)
 
     return run
 
@@ -151,11 +156,9 @@ def _prepared_batches(spark, sf, adapter):
 def q_q75(adapter: str) -> Query:
     def run(spark, sf):
         p, spec, _ = _prepared_batches(spark, sf, adapter)
-        return p.agg(
-            F.percentile(spec.distance, 0.75).alias("q75_trip_distance"),
-            F.percentile(spec.duration_col, 0.75).alias("q75_trip_duration"),
-            F.percentile(spec.target, 0.75).alias("q75_total_amount"),
-        )
+        thr = R.q75_thresholds(p, spec)
+        names = {spec.distance: "q75_trip_distance", spec.duration_col: "q75_trip_duration", spec.target: "q75_total_amount"}
+        return spark.range(1).select(*[F.lit(thr[c]).cast("double").alias(n) for c, n in names.items()])
 
     return run
 
@@ -182,7 +185,10 @@ def sql_conditions(adapter: str) -> str:
 def q_itemsets(adapter: str) -> Query:
     def run(spark, sf):
         p, spec, _ = _prepared_batches(spark, sf, adapter)
-        return R.frequent_itemsets(R.binary_conditions(p, spec), MIN_SUPPORT)
+        found = R.frequent_itemsets(R.binary_conditions(p, spec), MIN_SUPPORT)
+        bit = F.create_map(*[x for i, it in enumerate(R.ITEMS) for x in (F.lit(it), F.lit(1 << i).cast("long"))])
+        mask = F.aggregate("itemset", F.lit(0).cast("long"), lambda acc, x: acc + F.element_at(bit, x))
+        return found.withColumn("itemset", mask)
 
     return run
 
@@ -213,12 +219,7 @@ order by round(lift, 9) desc, round(confidence, 9) desc, round(support, 9) desc,
 def q_rules_config(adapter: str) -> Query:
     def run(spark, sf):
         p, spec, b = _prepared_batches(spark, sf, adapter)
-        return p.agg(
-            F.lit(MIN_SUPPORT).alias("min_support"),
-            F.lit(MIN_CONFIDENCE).alias("min_confidence"),
-            F.count_distinct(spec.batch_col).alias("batch_count"),
-            F.count(F.lit(1)).alias("row_count"),
-        )
+        return R.rules_config(p, spec, MIN_SUPPORT, MIN_CONFIDENCE)
 
     return run
 
@@ -389,7 +390,7 @@ select {', '.join(cols)}, {spec.target} from te"""
 def q_median_baseline(adapter: str) -> Query:
     def run(spark, sf):
         tr, te, spec = _split_prepared(spark, sf, adapter)
-        med = tr.agg(F.median(spec.target)).first()[0]
+        med = quantile(tr, spec.target, 0.5)
         m = regression_metrics(te.withColumn("prediction", F.lit(med)), spec.target)
         return _r(m, ["mae", "rmse", "r2"])
 
@@ -488,6 +489,194 @@ def q_rules_first(adapter: str, n: int) -> Query:
     return run
 
 
+# ---- logs, ledger and files: the log is a record for each batch, out of the given tables ----
+
+MODELS = ("boost", "tree", "mlp")
+
+
+def _log(spark, sf, adapter):
+    b, spec = _batched(spark, sf, adapter)
+    key = F.element_at(F.array(*[F.lit(m) for m in MODELS]), (F.col("batch_index") % 3 + 1).cast("int"))
+    return batch_list(b, spec).select(
+        "batch_index", "batch_name", F.col("pickup_max").alias("created_at"), key.alias("model_key"),
+        F.col("row_count").cast("double").alias("test_rmse"), (F.col("batch_index") % 4 == 0).alias("is_best"),
+    )
+
+
+def _log_sql(adapter: str) -> str:
+    keys = ", ".join(f"'{m}'" for m in MODELS)
+    return f"""select batch_index, batch_name, pickup_max created_at, [{keys}][batch_index % 3 + 1] model_key,
+  cast(row_count as double) test_rmse, batch_index % 4 = 0 is_best from ({S.batch_list_sql(adapter, _SPECS[adapter])}) n"""
+
+
+def q_best_records(adapter: str) -> Query:
+    return lambda spark, sf: best_records(_log(spark, sf, adapter))
+
+
+def q_latest_record(adapter: str) -> Query:
+    return lambda spark, sf: latest_record(_log(spark, sf, adapter), "created_at")
+
+
+def q_latest_per_model(adapter: str) -> Query:
+    return lambda spark, sf: latest_per(_log(spark, sf, adapter), "model_key", "created_at")
+
+
+def q_argmin(adapter: str) -> Query:
+    return lambda spark, sf: argmin(_log(spark, sf, adapter), "test_rmse", "batch_index")
+
+
+def q_training_history(adapter: str) -> Query:
+    return lambda spark, sf: history(_log(spark, sf, adapter), ["created_at", "model_key", "test_rmse", "is_best"])
+
+
+def q_pending(adapter: str) -> Query:
+    """The ledger lacks every third batch and knows the others up to epoch 2; batches have epochs 0 to 4."""
+
+    def run(spark, sf):
+        log = _log(spark, sf, adapter)
+        table = log.select(F.col("batch_name").alias("batch_id"), "batch_index", (F.col("batch_index") % 5).cast("long").alias("upto_epoch"))
+        done = table.where("batch_index % 3 <> 0").select("batch_id", F.lit(2).cast("long").alias("done_epoch"))
+        return pending_batches(table, done)
+
+    return run
+
+
+def sql_pending(adapter: str) -> str:
+    return f"""with t as (select batch_name batch_id, batch_index, batch_index % 5 upto_epoch from ({_log_sql(adapter)}) l),
+d as (select batch_id, cast(2 as bigint) done_epoch from t where batch_index % 3 <> 0)
+select t.*, d.done_epoch from t left join d using (batch_id) where done_epoch is null or upto_epoch > done_epoch"""
+
+
+def q_union_logs(adapter: str) -> Query:
+    def run(spark, sf):
+        log = _log(spark, sf, adapter)
+        old = log.where("batch_index % 2 = 0").select("batch_name", "model_key")
+        return old.unionByName(log.where("batch_index % 2 = 1").select("batch_name", "test_rmse"), allowMissingColumns=True)
+
+    return run
+
+
+def sql_union_logs(adapter: str) -> str:
+    return f"""with l as ({_log_sql(adapter)})
+select batch_name, model_key from l where batch_index % 2 = 0 union all by name select batch_name, test_rmse from l where batch_index % 2 = 1"""
+
+
+def q_metrics_null_targets(adapter: str) -> Query:
+    """A constant prediction against a target that is missing where the passengers are."""
+
+    def run(spark, sf):
+        spec = _SPECS[adapter]
+        df = ADAPTERS[adapter](spark, sf)
+        y = F.when(F.col(spec.passengers).isNotNull(), F.col(spec.target))
+        return _r(regression_metrics(df.select(y.alias("y"), F.lit(100.0).alias("prediction")), "y"), ["mae", "rmse", "r2"])
+
+    return run
+
+
+def sql_metrics_null_targets(adapter: str) -> str:
+    spec = _SPECS[adapter]
+    return f"""with p as (select {spec.target} y, 100.0::double p from ({adapter_sql(adapter)}) t where {spec.passengers} is not null and {spec.target} is not null)
+select count(*) "rows", round(avg(abs(y - p)), 6) mae, round(sqrt(avg((y - p) * (y - p))), 6) rmse,
+  round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) r2 from p"""
+
+
+def q_model_columns(adapter: str) -> Query:
+    def run(spark, sf):
+        spec = _SPECS[adapter]
+        return model_columns(prepare(ADAPTERS[adapter](spark, sf), spec).df, spec)
+
+    return run
+
+
+def sql_model_columns(adapter: str) -> str:
+    spec = _SPECS[adapter]
+    return f"select {', '.join([*spec.features, spec.target])} from ({sql_clean(adapter)}) c"
+
+
+def q_own_medians(adapter: str) -> Query:
+    """The held-out batch filled from its own medians."""
+
+    def run(spark, sf):
+        _, te, spec = _split_prepared(spark, sf, adapter)
+        return boosting_frame(te, fit_stats(te, spec)).select(*spec.features, spec.target)
+
+    return run
+
+
+def sql_own_medians(adapter: str) -> str:
+    return sql_boost_frame(adapter).replace("from tr)", "from te)")
+
+
+def q_na_text(adapter: str) -> Query:
+    return lambda spark, sf: ADAPTERS[adapter](spark, sf).select(text_or_na("store_flag").alias("store_flag"), text_or_na("passenger_count").alias("passengers"))
+
+
+def sql_na_text(adapter: str) -> str:
+    return f"""select coalesce(store_flag, 'n/a') store_flag, coalesce(cast(passenger_count as varchar), 'n/a') passengers
+from ({adapter_sql(adapter)}) t"""
+
+
+def _as_text(spark, sf, adapter):
+    """Event trips as text, with every 7th start time, 11th target and 13th distance spoilt."""
+    c = F.col
+    return ADAPTERS[adapter](spark, sf).select(
+        "event_id",
+        F.when(c("event_id") % 7 == 0, "soon").otherwise(F.date_format("pickup_ts", "yyyy-MM-dd HH:mm:ss")).alias("pickup_ts"),
+        F.date_format("dropoff_ts", "yyyy-MM-dd HH:mm:ss").alias("dropoff_ts"),
+        F.when(c("event_id") % 11 == 0, "n/a").otherwise(F.floor("total_amount").cast("string")).alias("total_amount"),
+        F.when(c("event_id") % 13 == 0, "NaN").otherwise(F.floor("trip_distance").cast("string")).alias("trip_distance"),
+    )
+
+
+def q_lenient_load(adapter: str) -> Query:
+    return lambda spark, sf: typed(_as_text(spark, sf, adapter), _SPECS[adapter])
+
+
+def q_parse_timestamps(adapter: str) -> Query:
+    return lambda spark, sf: _as_text(spark, sf, adapter).select("event_id", parse_ts("pickup_ts").alias("pickup_ts"))
+
+
+def sql_lenient_load(adapter: str) -> str:
+    return f"""select event_id, case when event_id % 7 <> 0 then date_trunc('second', pickup_ts) end pickup_ts,
+  date_trunc('second', dropoff_ts) dropoff_ts, case when event_id % 11 <> 0 then floor(total_amount) end total_amount,
+  case when event_id % 13 <> 0 then floor(trip_distance) end trip_distance from ({adapter_sql(adapter)}) t"""
+
+
+def q_learns(adapter: str, kind: str) -> Query:
+    """Rows of the held-out batch and whether the model's error there is under half the target's deviation."""
+
+    def run(spark, sf):
+        from batchlens.models.mlp import MLPModel
+        from batchlens.models.trees import BoostModel, TreeModel
+
+        tr, te, spec = _split_prepared(spark, sf, adapter)
+        tr, te = cut_lineage(tr), cut_lineage(te)
+        fit = {
+            "tree": lambda: TreeModel.fit(tr, spec),
+            "boost": lambda: BoostModel.fit(tr, spec, {"iterations": 30, "depth": 6, "learning_rate": 0.1}),
+            "mlp": lambda: MLPModel.fit(tr, spec),
+        }[kind]
+        pred = fit().predict(te).where(F.col(spec.target).isNotNull())
+        error = F.sqrt(F.avg((F.col("prediction") - F.col(spec.target)) ** 2))
+        return pred.agg(F.count(F.lit(1)).alias("rows"), (error < 0.5 * F.stddev_pop(spec.target)).alias("learned"))
+
+    return run
+
+
+def sql_learns(adapter: str) -> str:
+    spec = _SPECS[adapter]
+    return f"""with {_split_sql(adapter, spec)}
+select count(*) "rows", true learned from te where {spec.target} is not null"""
+
+
+def q_rules_low(adapter: str) -> Query:
+    def run(spark, sf):
+        p, spec, _ = _prepared_batches(spark, sf, adapter)
+        return R.mine_rules(p, spec, 0.01, 0.2)[0]
+
+    return run
+
+
 def queries() -> dict[str, Query]:
     return {
         "a9_quality_profile_li": q_quality("trips_li"),
@@ -523,6 +712,23 @@ def queries() -> dict[str, Query]:
         "g7_profile_batches_li_dup": q_profile_named("trips_li_dup"),
         "f14_rules_first_batches_li_dup": q_rules_first("trips_li_dup", 150),
         "x19_rules_report_li_dup": q_rules_report("trips_li_dup", TOP_K),
+        "a12_rules_low_ev": q_rules_low("trips_ev"),
+        "f9_metrics_null_targets_li": q_metrics_null_targets("trips_li"),
+        "f10_best_records_li": q_best_records("trips_li"),
+        "f13_pending_batches": q_pending("trips_li"),
+        "a15_argmin_li": q_argmin("trips_li"),
+        "w4_latest_record_li": q_latest_record("trips_li"),
+        "w5_latest_per_model_li": q_latest_per_model("trips_li"),
+        "g3_training_history_li": q_training_history("trips_li"),
+        "u4_union_logs_li": q_union_logs("trips_li"),
+        "p3_model_columns_ev": q_model_columns("trips_ev"),
+        "p8_own_medians_ev": q_own_medians("trips_ev"),
+        "p13_na_text_li": q_na_text("trips_li"),
+        "x1_parse_timestamps": q_parse_timestamps("trips_ev"),
+        "s2_lenient_load": q_lenient_load("trips_ev"),
+        "l1_tree_learns": q_learns("trips_signal", "tree"),
+        "l3_boost_learns": q_learns("trips_signal", "boost"),
+        "l5_mlp_learns": q_learns("trips_signal", "mlp"),
         "l1_tree_predictions_ev": q_model_predictions("trips_ev", "tree"),
         "l3_boost_predictions_ev": q_model_predictions("trips_ev", "boost"),
         "l5_mlp_predictions_ev": q_model_predictions("trips_ev", "mlp"),
@@ -566,4 +772,21 @@ def oracle_sql() -> dict[str, str]:
             "trips_li_dup", TRIPS_LI, R.ITEMS, MIN_SUPPORT, MIN_CONFIDENCE, max_batches=150
         ),
         "x19_rules_report_li_dup": sql_rules_report("trips_li_dup", TOP_K),
+        "a12_rules_low_ev": S.rules_sql("trips_ev", TRIPS_EV, R.ITEMS, 0.01, 0.2),
+        "f9_metrics_null_targets_li": sql_metrics_null_targets("trips_li"),
+        "f10_best_records_li": f"select * from ({_log_sql('trips_li')}) l where is_best",
+        "f13_pending_batches": sql_pending("trips_li"),
+        "a15_argmin_li": f"select * from ({_log_sql('trips_li')}) l order by test_rmse, batch_index limit 1",
+        "w4_latest_record_li": f"select * from ({_log_sql('trips_li')}) l order by created_at desc limit 1",
+        "w5_latest_per_model_li": f"select * from ({_log_sql('trips_li')}) l qualify row_number() over (partition by model_key order by created_at desc) = 1",
+        "g3_training_history_li": f"select created_at, model_key, test_rmse, is_best from ({_log_sql('trips_li')}) l",
+        "u4_union_logs_li": sql_union_logs("trips_li"),
+        "p3_model_columns_ev": sql_model_columns("trips_ev"),
+        "p8_own_medians_ev": sql_own_medians("trips_ev"),
+        "p13_na_text_li": sql_na_text("trips_li"),
+        "x1_parse_timestamps": f"select event_id, pickup_ts from ({sql_lenient_load('trips_ev')}) t",
+        "s2_lenient_load": sql_lenient_load("trips_ev"),
+        "l1_tree_learns": sql_learns("trips_signal"),
+        "l3_boost_learns": sql_learns("trips_signal"),
+        "l5_mlp_learns": sql_learns("trips_signal"),
     }

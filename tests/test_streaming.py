@@ -64,3 +64,58 @@ def test_quality_stream_matches_batch(spark, tmp_path):
         for r in trips_ev(spark, SF01).groupBy(period_start("pickup_ts")).count().collect()
     }
     assert got == want
+
+
+def test_late_files_are_learned_and_hours_end(spark, tmp_path):
+    """Hourly batches (zone-free keys), with a file of a closed hour that lands last: the stream ends, the hour is reopened, and only its
+    late rows are learned."""
+    import datetime as dt
+
+    from batchlens.sources.store import QUALITY
+
+    spec = TRIPS_EV.with_(batch_freq="hour", min_batch_rows=20)
+    t0 = dt.datetime(2015, 3, 8, 0, 0)
+
+    def land(name, hour, n, start=0):
+        rows = [(h := start + i, 1, t0 + dt.timedelta(hours=hour, seconds=h), t0 + dt.timedelta(hours=hour, seconds=h + 60 + i % 7), 10.0 + i % 5, "a", 1 + i % 3, 1.0 + i % 9) for i in range(n)]
+        df = spark.createDataFrame(rows, "event_id long, user_id long, pickup_ts timestamp_ntz, dropoff_ts timestamp_ntz, total_amount double, store_flag string, passenger_count long, trip_distance double")
+        df.coalesce(1).write.parquet(str(tmp_path / "landing" / name))
+        return df.schema
+
+    landing, root, ckpt = str(tmp_path / "landing"), str(tmp_path / "store"), str(tmp_path / "ckpt")
+    for h in (0, 1, 2):
+        schema = land(f"h{h}", h, 60)
+    assert run_stream(spark, root, spec, landing + "/*", schema, ckpt) == 0
+    whole = StreamStore(spark, root, spec, hold_latest=False)
+    train_models(whole, spec, grids=SMALL, selected_models=["tree"])
+    land("h3", 3, 60)
+    land("late", 1, 25, start=1000)
+    assert run_stream(spark, root, spec, landing + "/*", schema, ckpt) == 2  # hour 3 and the late rows of hour 1
+    assert run_stream(spark, root, spec, landing + "/*", schema, ckpt) == 0
+    led = whole.read(LEDGER).where("kind = 'late_rows'").collect()
+    assert len(led) == 1 and led[0].batch_start == t0 + dt.timedelta(hours=1)
+    upd = {r.processed_batch_index: r for r in whole.committed_log(UPDATES).collect()}
+    assert set(upd) == {2, 4} and upd[2].quality_row_count == 85 and upd[2].post_update_batch_rows <= 25
+    assert whole.committed_log(QUALITY).count() == 2
+
+
+def test_quality_stream_figures(spark, tmp_path):
+    from batchlens.operators.batching import assign_batches
+    from batchlens.operators.quality import quality_profile
+
+    spec = TRIPS_EV
+    landing = str(tmp_path / "landing")
+    schema = _land(spark, landing, [r[0] for r in trips_ev(spark, SF01).select(period_start("pickup_ts")).distinct().collect()])
+    st = spark.readStream.schema(schema).parquet(landing + "/*")
+    q = quality_stream(st, spec).writeStream.outputMode("complete").format("memory").queryName("qfull").trigger(availableNow=True).start()
+    q.awaitTermination()
+    got = {r["batch_start"]: r for r in spark.sql("select * from qfull").collect()}
+    rows = trips_ev(spark, SF01).withColumn("batch_start", period_start("pickup_ts"))
+    want = {r["batch_start"]: r for r in quality_profile(rows, spec).collect()}
+    assert set(got) == set(want)
+    for k, w in want.items():
+        g = got[k]
+        for c in ("row_count", "negative_target_count", "invalid_duration_count", "negative_trip_distance_count", "invalid_coordinate_count"):
+            assert g[c] == w[c], c
+        for c in ("target_q99", "duration_q99", "trip_distance_q99"):
+            assert abs(g[c] - w[c]) <= 0.05 * abs(w[c]) + 1e-6, c
