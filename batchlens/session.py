@@ -60,8 +60,14 @@ def kept_table(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors of a cluster where it is not installed. Call once, before the first job."""
+    """Send this package to the workers, which need not have it installed or start in its folder. Once a Spark application."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
     here = os.path.dirname(os.path.abspath(__file__))
     target = os.path.join(tempfile.mkdtemp(prefix="batchlens-zip-"), "batchlens.zip")
     with zipfile.ZipFile(target, "w") as z:
@@ -71,6 +77,7 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(folder, n)
                     z.write(full, os.path.relpath(full, os.path.dirname(here)))
     spark.sparkContext.addPyFile(target)
+    _shipped.add(app)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
