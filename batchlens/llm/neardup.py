@@ -399,21 +399,29 @@ def _mix_labels(batches):
 # ---------------------------------------------------------------- components
 
 
-def components(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """(cls, comp) of the classes in ``links`` (a, b): the smallest label reachable. ``labels``: cls, label.
+def components(links: DataFrame) -> DataFrame:
+    """(label, comp) of the labels in ``links`` (x, y): the smallest label reachable.
 
-    Each round takes the smallest label among neighbours, then the smallest of all classes that had the same label: groups of
-    classes merge with their neighbours, so the number of rounds grows with the logarithm of a chain's length."""
-    both = stored(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    state = stored(labels.join(both.select(F.col("a").alias("cls")).distinct(), "cls").select("cls", F.col("label").alias("comp")), "components")
+    Each round takes the smallest label among neighbours, then the smallest of all labels that had the same one: groups of
+    labels merge with their neighbours, so the number of rounds grows with the logarithm of a chain's length."""
+    both = stored(links.unionByName(links.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct(), "links")
+    state = stored(both.select(F.col("x").alias("label")).distinct().withColumn("comp", F.col("label")), "components")
     while True:
-        near = both.join(state.select(F.col("cls").alias("b"), "comp"), "b").groupBy("a").agg(F.min("comp").alias("near"))
-        step = state.join(near.withColumnRenamed("a", "cls"), "cls").select("cls", F.col("comp").alias("old"), F.least("comp", "near").alias("new"))
-        step = stored(step, "components")
+        near = both.join(state.select(F.col("label").alias("y"), "comp"), "y").groupBy(F.col("x").alias("label")).agg(F.min("comp").alias("near"))
+        step = stored(state.join(near, "label").select("label", F.col("comp").alias("old"), F.least("comp", "near").alias("new")), "components")
         if step.where("old <> new").isEmpty():
             return state
         jump = step.groupBy("old").agg(F.min("new").alias("comp"))
-        state = stored(step.join(jump, "old").select("cls", "comp"), "components")
+        state = stored(step.join(jump, "old").select("label", "comp"), "components")
+
+
+def join_components(named: DataFrame, links: DataFrame) -> DataFrame:
+    """``named`` (cls, comp) after links (a, b) between classes; only links between different components are looked at."""
+    one = named.select(F.col("cls").alias("a"), F.col("comp").alias("x"))
+    two = named.select(F.col("cls").alias("b"), F.col("comp").alias("y"))
+    moved = components(links.join(one, "a").join(two, "b").where("x <> y").select("x", "y").distinct())
+    moved = moved.select(F.col("label").alias("comp"), F.col("comp").alias("now"))
+    return stored(named.join(moved, "comp", "left").select("cls", F.coalesce("now", "comp").alias("comp")), "components")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -429,22 +437,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     same_id = linked.join(twice, "doc_id").where("cls <> a").select("a", F.col("cls").alias("b")).distinct()
     shared = shared_nodes(classes)
     tried = stored(_compare(texts, classes, _star_pairs(classes, shared), True), "tried")
-    links = stored(same_id.unionByName(tried.where("linked").select("a", "b")), "links")
+    named = join_components(classes.select("cls", F.col("label").alias("comp")), same_id.unionByName(tried.where("linked").select("a", "b")))
     members = tried.where("missing is not null").select(
         F.col("a").alias("center"), F.col("b").alias("cls"), F.col("n_a").alias("n_center"), F.col("n_b").alias("n"), "missing", "extra"
     )
-    for step in ("families", "trees"):
-        so_far = components(classes.select("cls", "label"), links)
-        comp = classes.join(so_far, "cls", "left").withColumn("comp", F.coalesce("comp", "label"))
-        if step == "families":
-            more = family_links(members, comp.select("cls", "comp"))
-        else:
-            told = stored(comp.select("cls", "n", "tokens", "sketch", "comp"), "classes")
-            pairs = _tree_pairs(told, shared, members.select("center", "cls").distinct())
-            more = _compare(texts, classes, pairs, False).select("a", "b")
-        links = stored(links.unionByName(more).distinct(), "links")
-    final = components(classes.select("cls", "label"), links)
-    named = classes.select("cls", "label").join(final, "cls", "left").select("cls", F.coalesce("comp", "label").alias("component"))
+    named = join_components(named, family_links(members, named))
+    told = stored(classes.select("cls", "n", "tokens", "sketch").join(named, "cls"), "classes")
+    pairs = _tree_pairs(told, shared, members.select("center", "cls").distinct())
+    named = join_components(named, _compare(texts, classes, pairs, False).select("a", "b")).withColumnRenamed("comp", "component")
     out = rows.join(named, "cls", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select(
