@@ -25,7 +25,6 @@ import uuid
 import zlib
 from urllib.parse import quote, unquote
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
