@@ -100,7 +100,6 @@ def test_late_files_are_learned_and_hours_end(spark, tmp_path):
 
 
 def test_quality_stream_figures(spark, tmp_path):
-    from batchlens.operators.batching import assign_batches
     from batchlens.operators.quality import quality_profile
 
     spec = TRIPS_EV
