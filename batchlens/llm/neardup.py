@@ -189,6 +189,9 @@ def _block_pairs(batches):
             fit = np.flatnonzero((comp != r.comp[k]) & _sizes_fit(n, r.n[k]))
             for i in fit[_agree(sketch[fit], r.sketch[k]) >= AGREE].tolist():
                 out.add((min(cls[i], r.cls[k]), max(cls[i], r.cls[k])))
+            if len(out) > 20_000:
+                yield _pair_batch(out)
+                out = set()
         if out:
             yield _pair_batch(out)
 
@@ -217,7 +220,7 @@ def _star_pairs(classes: DataFrame, shared: DataFrame) -> DataFrame:
     one = classes.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("tokens").alias("t_a"))
     two = classes.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("tokens").alias("t_b"))
     same = F.size(F.filter(F.zip_with("t_a", "t_b", lambda x, y: x == y), lambda e: e))
-    fits = (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT) & (same >= FIRST_AGREE)
+    fits = (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * FAMILY) & (same >= FIRST_AGREE)
     return pairs.join(two, "b").join(one, "a").where(fits).select("a", "b")
 
 
