@@ -13,10 +13,9 @@ further minwise values.
   kept from that comparison. Two members' intersection follows from these differences exactly, so the members that are not
   linked with the center are compared with all members of the family, in blocks, without their sets; a block reports only
   links that join two components.
-- Then nodes that still hold more than one component and a class outside their center's family are compared: those of at most
-  LEAF classes exhaustively, larger ones in blocks of the outside classes against all, as long as that takes at most COMPARED comparisons.
-  Larger nodes branch: each chooses BRANCH further minwise tokens and its classes go on to the children they pick,
-  at most DEPTH times (of a pair at the threshold, 2e-6 lose each other in two such steps of all trees); what is left then is compared in blocks whatever its size. No node, class or pair is dropped.
+- Then nodes that still hold more than one component and a class outside their center's family are compared exhaustively, the outside
+  classes against all: nodes of at most LEAF classes at once, larger ones in blocks, those of more than COMPARED comparisons in tiles
+  of at most WIDE outside classes and about WIDE others. No node, class or pair is dropped, whatever a node's size.
 - Pairs out of these nodes are confirmed on the full sets: 100 * intersection >= 75 * union. Before that only pairs are left out
   whose sizes rule the threshold out, or that agree on fewer than AGREE of SKETCH values (probability 1e-7 at the threshold).
 
@@ -50,10 +49,14 @@ FIRST_AGREE = 3
 #: Least similarity (percent) of a family's members with its center.
 FAMILY = 35
 LEAF = 32
-BRANCH = 2
-DEPTH = 4
+#: Not read any more: no node branches. A test sets it.
+DEPTH = 0
 BLOCK = 2048
+#: Comparisons of a node beyond which its blocks become tiles of WIDE classes, so that fewer copies of its rows travel.
 COMPARED = 4_000_000
+WIDE = 16_384
+#: Sketch values that are looked at first; a pair with fewer than AGREE - (SKETCH - HEAD) among them cannot reach AGREE.
+HEAD = 72
 #: Pairs of one first class that go to one group.
 PAIRS = 512
 
@@ -166,10 +169,27 @@ def _leaf_pairs(batches):
         yield _pair_batch(set(out))
 
 
+class _Block:
+    """Held classes by size, their sketches position by position."""
+
+    def __init__(self, held):
+        held = sorted(held, key=lambda h: h[2])
+        self.cls = [h[0] for h in held]
+        self.comp, self.n = np.array([h[1] for h in held]), np.array([h[2] for h in held])
+        self.sketch = np.ascontiguousarray(np.stack([h[3] for h in held]).T)
+
+    def like(self, comp, n, sketch) -> list[int]:
+        """The held classes of other components that may reach the threshold with this one."""
+        lo = int(np.searchsorted(self.n, -(-n * PERCENT // 100)))
+        hi = int(np.searchsorted(self.n, n * 100 // PERCENT, "right"))
+        some = (self.sketch[:HEAD, lo:hi] == sketch[:HEAD, None]).sum(0, dtype=np.uint8)
+        at = lo + np.flatnonzero((some >= max(0, AGREE - (SKETCH - HEAD))) & (self.comp[lo:hi] != comp))
+        return at[(self.sketch[:, at] == sketch[:, None]).sum(0) >= AGREE].tolist() if len(at) else []
+
+
 def _block_pairs(batches):
-    """Rows sorted by (node, block, kind): the block's classes (kind 0) are held, all classes of the node (kind 1) stream by."""
-    key, held, cls = None, [], []
-    block = None
+    """Rows sorted by (node, block, kind): the block's classes (kind 0) are held, the classes they are compared with (kind 1) stream by."""
+    key, held, block = None, [], None
     for b in batches:
         r = _Rows(b, ["node", "block", "kind"])
         out = set()
@@ -180,15 +200,12 @@ def _block_pairs(batches):
             if r.keys[k, 2] == 0:
                 held.append((r.cls[k], r.comp[k], r.n[k], r.sketch[k]))
                 continue
-            if not held:  # no class fell into this block
-                continue
             if block is None:
-                cls = [h[0] for h in held]
-                block = (np.array([h[1] for h in held]), np.array([h[2] for h in held]), np.array([h[3] for h in held]))
-            comp, n, sketch = block
-            fit = np.flatnonzero((comp != r.comp[k]) & _sizes_fit(n, r.n[k]))
-            for i in fit[_agree(sketch[fit], r.sketch[k]) >= AGREE].tolist():
-                out.add((min(cls[i], r.cls[k]), max(cls[i], r.cls[k])))
+                if not held:  # no class fell into this block
+                    continue
+                block, held = _Block(held), [True]
+            for i in block.like(r.comp[k], r.n[k], r.sketch[k]):
+                out.add((min(block.cls[i], r.cls[k]), max(block.cls[i], r.cls[k])))
             if len(out) > 20_000:
                 yield _pair_batch(out)
                 out = set()
@@ -200,10 +217,6 @@ def _node(t, value):
     return F.xxhash64(F.lit(0), t, value)
 
 
-def _bit(t):
-    return F.call_function("shiftleft", F.lit(1).cast("long"), t)
-
-
 def shared_nodes(classes: DataFrame) -> DataFrame:
     """(node, t, cls, center): every class in the nodes it shares with others, t the tree, center the node's most popular class."""
     rows = classes.select("cls", F.posexplode("tokens").alias("t", "v")).select(_node(F.col("t"), F.col("v")).alias("node"), "t", "cls")
@@ -228,35 +241,34 @@ def _tree_pairs(classes: DataFrame, shared: DataFrame, family: DataFrame) -> Dat
     """(a, b): pairs of different components out of all trees, that no family has compared. ``classes``: cls, n, tokens, sketch, comp;
     ``family``: (center, cls)."""
     rows = shared.join(classes.select("cls", "comp"), "cls").join(family.withColumn("inside", F.lit(True)), ["center", "cls"], "left").select(
-        "node", "cls", "comp", (F.coalesce("inside", F.lit(False)) | (F.col("center") == F.col("cls"))).alias("inside"), _bit(F.col("t")).alias("used")
+        "node", "cls", "comp", (F.coalesce("inside", F.lit(False)) | (F.col("center") == F.col("cls"))).alias("inside")
     )
-    found = None
-    for depth in range(DEPTH + 1):
-        nodes = rows.groupBy("node").agg(
-            F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size"), F.count_if(~F.col("inside")).alias("outside")
-        ).where("low <> high and outside > 0")
-        branch = (F.col("size") > LEAF) & (F.col("size") * F.col("outside") > COMPARED) & F.lit(depth < DEPTH)
-        mixed = stored(rows.join(nodes.select("node", "size", "outside", branch.alias("branch")), "node"), "paths")
-        facts = classes.select("cls", "n", "sketch")
-        leaf = mixed.where(F.col("size") <= LEAF).join(facts, "cls").repartition("node").sortWithinPartitions("node")
-        pairs = leaf.select("node", "cls", "comp", "inside", "n", "sketch").mapInArrow(_leaf_pairs, "a binary, b binary")
-        told = mixed.where((F.col("size") > LEAF) & ~F.col("branch")).withColumn("blocks", F.ceil(F.col("outside") / BLOCK).cast("long")).join(facts, "cls")
-        own = told.where(~F.col("inside")).withColumns({"block": F.pmod(F.xxhash64("cls"), "blocks"), "kind": F.lit(0).cast("long")})
-        every = told.withColumns({"block": F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)), "kind": F.lit(1).cast("long")})
-        sent = own.unionByName(every).select("node", "block", "kind", "cls", "comp", "inside", "n", "sketch")
-        blocks = sent.repartition("node", "block").sortWithinPartitions("node", "block", "kind").mapInArrow(_block_pairs, "a binary, b binary")
-        found = pairs.unionByName(blocks) if found is None else found.unionByName(pairs).unionByName(blocks)
-        large = mixed.where("branch")
-        if depth == DEPTH or large.isEmpty():
-            return found.distinct()
-        # A node's choice depends on its path alone, so all its classes choose alike; tokens used on the path are left out.
-        free = F.filter(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.col("used").bitwiseAND(_bit(t)) == 0)
-        order = F.array_sort(F.transform(free, lambda t: F.struct(F.xxhash64("node", t).alias("h"), t.alias("t"))))
-        chosen = large.join(classes.select("cls", "tokens"), "cls").withColumn("c", F.explode(F.slice(order, 1, BRANCH)))
-        rows = chosen.select(
-            F.xxhash64("node", "c.t", F.element_at("tokens", F.col("c.t") + 1)).alias("node"), "cls", "comp", "inside",
-            F.col("used").bitwiseOR(_bit(F.col("c.t"))).alias("used"),
-        )
+    nodes = rows.groupBy("node").agg(
+        F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size"), F.count_if(~F.col("inside")).alias("outside")
+    ).where("low <> high and outside > 0")
+    mixed = stored(rows.join(nodes.select("node", "size", "outside"), "node"), "paths")
+    facts = classes.select("cls", "n", "sketch")
+    leaf = mixed.where(F.col("size") <= LEAF).join(facts, "cls").repartition("node").sortWithinPartitions("node")
+    pairs = leaf.select("node", "cls", "comp", "inside", "n", "sketch").mapInArrow(_leaf_pairs, "a binary, b binary")
+    # Tile (p, q) of a node holds the outside classes of part p; all classes of part q stream by.
+    wide = F.col("size") * F.col("outside") > COMPARED
+    told = mixed.where(F.col("size") > LEAF).withColumns({
+        "blocks": F.ceil(F.col("outside") / F.when(wide, WIDE).otherwise(BLOCK)).cast("long"),
+        "lots": F.when(wide, F.ceil(F.col("size") / WIDE)).otherwise(1).cast("long"),
+    }).join(facts, "cls")
+
+    def part(of: str):
+        return F.pmod(F.xxhash64("cls"), of)
+
+    def each(of: str):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(of) - 1))
+
+    own = told.where(~F.col("inside")).withColumns({"p": part("blocks"), "q": each("lots"), "kind": F.lit(0).cast("long")})
+    every = told.withColumns({"p": each("blocks"), "q": part("lots"), "kind": F.lit(1).cast("long")})
+    sent = own.unionByName(every).withColumn("block", F.col("p") * F.col("lots") + F.col("q"))
+    sent = sent.select("node", "block", "kind", "cls", "comp", "inside", "n", "sketch")
+    blocks = sent.repartition("node", "block").sortWithinPartitions("node", "block", "kind").mapInArrow(_block_pairs, "a binary, b binary")
+    return pairs.unionByName(blocks).distinct()
 
 
 # ---------------------------------------------------------------- families

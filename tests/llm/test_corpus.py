@@ -116,6 +116,37 @@ def test_near_duplicates_threshold_is_inclusive(spark):
     check_near(spark, rows)
 
 
+def test_isolated_pairs_in_large_nodes(spark, monkeypatch):
+    """Pairs of exactly 0.75 (30 of 40 shingles) whose every shared node counts as large, without first links."""
+    monkeypatch.setattr(neardup, "LEAF", 1)
+    monkeypatch.setattr(neardup, "COMPARED", 0)
+    monkeypatch.setattr(neardup, "FIRST_AGREE", 13)
+    rng = random.Random(17)
+    rows = []
+    for i in range(0, 1200, 2):
+        w = words(rng, 39, 10**9)
+        rows += [(i, " ".join(w)), (i + 1, " ".join([*w[:34], "z", *w[35:]]))]
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs_of(spark, rows)).collect()}
+    assert [i for i in got if got[i] != i - i % 2] == []
+
+
+def test_tiles_of_large_nodes(spark, monkeypatch):
+    for name, value in (("LEAF", 3), ("COMPARED", 100), ("WIDE", 4), ("FIRST_AGREE", 13)):
+        monkeypatch.setattr(neardup, name, value)
+    check_near(spark, families(3, 4, 30))
+
+
+def test_held_block_equals_all_pairs(monkeypatch):
+    monkeypatch.setattr(neardup, "AGREE", 60)
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**16, neardup.SKETCH, np.uint16)
+    rows = [(bytes([k]), int(rng.integers(3)), int(rng.integers(1, 40)), np.where(rng.random(neardup.SKETCH) < 0.3, rng.integers(0, 2**16, neardup.SKETCH, np.uint16), base)) for k in range(80)]
+    block = neardup._Block(rows)
+    for cls, comp, n, sketch in rows:
+        want = {x[0] for x in rows if x[1] != comp and 100 * min(n, x[2]) >= 75 * max(n, x[2]) and (x[3] == sketch).sum() >= 60}
+        assert {block.cls[i] for i in block.like(comp, n, sketch)} == want
+
+
 # ---------------------------------------------------------------- decontamination
 
 
