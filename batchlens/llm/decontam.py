@@ -5,9 +5,10 @@ the places the mask leaves out may differ, so a passage with some words replaced
 Seeds of all benchmark items go into a Bloom filter of fixed size; only document windows that pass it are joined, by seed,
 with the benchmark's. A hit gives a diagonal (document place minus item place), and the words of document and item are
 compared along it: a document holds an item if of RUN consecutive words (of the whole item, if that is shorter) at
-least SHARE are equal at the same places.
+least SHARE are equal at the same places. The masks hit every such run of RUN words and every such item of 8 words or more; items of 5 to 7
+words, of which one may differ, have short masks of their own.
 
-Defined results: items with fewer than the shortest mask's words, and null or empty texts, match nothing; identical items count as the
+Defined results: items with fewer than five words, and null or empty texts, match nothing; identical items count as the
 one with the smallest id; an item is reported once for each document, with its longest overlap (ties: the first); rows
 with a null doc_id are reported under null; repeated rows are reported once; empty tables give empty results; other columns
 are not looked at. Texts are searched whole; no hit is dropped.
@@ -27,6 +28,10 @@ from batchlens.llm.shared import bloom, bloom_mask, stored
 
 #: Places of a window that a seed looks at. The first tolerates nothing within it; the others skip places.
 MASKS = ((0, 1, 2, 3, 4), (0, 1, 3, 4, 6, 7), (0, 2, 3, 5, 7), (0, 1, 4, 6, 7), (0, 3, 4, 5, 8), (0, 1, 2, 5, 6))
+#: Masks that are seeded from items of fewer than SHORT words only; documents are searched with them if there are such items.
+SHORT = 8
+SHORT_MASKS = ((0, 1, 2, 3), (0, 1, 3, 4), (0, 2, 3, 4), (0, 1, 2, 4))
+ALL_MASKS = MASKS + SHORT_MASKS
 RUN = 13
 SHARE = 0.8
 
@@ -38,8 +43,12 @@ _HITS = "key long, doc_id long, seed long, place int"
 
 
 def _seeds(h: np.ndarray, mask: int) -> np.ndarray:
-    take = MASKS[mask]
-    return textvec.sequences(h, take[-1] + 1, take) ^ textvec.constants(len(MASKS), 99)[mask]
+    take = ALL_MASKS[mask]
+    return textvec.sequences(h, take[-1] + 1, take) ^ textvec.constants(len(ALL_MASKS), 99)[mask]
+
+
+def _item_masks(words: int) -> range:
+    return range(0 if words < 5 else len(ALL_MASKS) if words < SHORT else len(MASKS))
 
 
 def _word_rows(batches):
@@ -54,7 +63,7 @@ def _item_seeds(batches):
     for b in batches:
         for item, words in zip(b.column(0).to_pylist(), b.column(1)):
             h = np.asarray(words.values, np.int64).view(np.uint64)
-            for m in range(len(MASKS)):
+            for m in _item_masks(len(h)):
                 s = _seeds(h, m)
                 if len(s):
                     yield pa.RecordBatch.from_pydict(
@@ -62,15 +71,15 @@ def _item_seeds(batches):
                     )
 
 
-def _document_hits(filter_bits):
-    """(doc_id, key, text) to the seeds that pass the filter."""
+def _document_hits(filter_bits, masks):
+    """(doc_id, key, text) to the seeds of these masks that pass the filter."""
 
     def run(batches):
         bits = np.frombuffer(filter_bits.value, np.uint8)
         for b in textvec.slices(batches, 2):
             w = textvec.words(b.column(2), WORDS)
             ids, keys = b.column(0), b.column(1)
-            for m, take in enumerate(MASKS):
+            for m, take in enumerate(masks):
                 s = _seeds(w.hash, m)  # over the whole column; windows that run over a text's end are left out below
                 at = np.flatnonzero(bloom_mask(bits, s))
                 text = np.searchsorted(w.bounds, at, "right") - 1
@@ -128,7 +137,8 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = stored(items.groupBy("words").agg(F.min("id").alias("item_id")).select("item_id", F.col("words").alias("item_words")), "benchmark-items")
     seeds = stored(items.mapInArrow(_item_seeds, "seed long, item_id long, item_place int"), "benchmark-seeds")
     bits = spark.sparkContext.broadcast(bloom(seeds, F.col("seed")))  # 2 MB whatever the benchmark's size
-    hits = texts.mapInArrow(_document_hits(bits), _HITS)
+    short = not items.where((F.size("item_words") >= 5) & (F.size("item_words") < SHORT)).isEmpty()
+    hits = texts.mapInArrow(_document_hits(bits, ALL_MASKS if short else MASKS), _HITS)
     diagonals = stored(
         hits.join(seeds, "seed").select("key", "doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("shift")).distinct(),
         "benchmark-hits",

@@ -1,5 +1,6 @@
 """Near-duplicates, decontamination, line dedup, toxicity and the pipeline against brute force."""
 
+import math
 import random
 import re
 import zlib
@@ -191,6 +192,33 @@ def test_overlap_edges(spark):
     assert None not in {r.doc_id for r in decontam.decontaminate(docs_of(spark, rows), bench).collect()}
 
 
+def test_short_items_with_a_substitution(spark):
+    """Items of 5 to 9 words with any one word replaced, and with two replaced."""
+    rng = random.Random(23)
+    items, rows, want = [], [], set()
+    for n in range(5, 10):
+        w = words(rng, n, 10**9)
+        items.append((n, " ".join(w)))
+        for places in [(), *((k,) for k in range(n)), (0, n - 1)]:
+            d = len(rows)
+            rows.append((d, " ".join([*words(rng, 20, 10**9), *["z" if k in places else x for k, x in enumerate(w)], *words(rng, 9, 10**9)])))
+            if len(places) < 2:
+                want.add((d, n, 20, n, n - len(places)))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {tuple(r) for r in decontam.find_overlaps(docs_of(spark, rows), bench).select("doc_id", "item_id", "start_word", "n_words", "n_equal").collect()}
+    assert got == want
+
+
+def test_masks_hit_all_allowed_substitutions():
+    import itertools
+
+    for n in range(5, decontam.RUN + 1):
+        masks = [decontam.ALL_MASKS[m] for m in decontam._item_masks(n)]
+        hits = [{at + k for k in m} for m in masks for at in range(n - m[-1])]
+        for gone in itertools.combinations(range(n), n - math.ceil(decontam.SHARE * n)):
+            assert any(not h & set(gone) for h in hits), (n, gone)
+
+
 # ---------------------------------------------------------------- line dedup
 
 
