@@ -3,9 +3,10 @@
 Vectors are scaled to integers, ``floor(scale * x)``, so scores are exact integers. Rows are dealt evenly over shards of
 about SHARD_ROWS rows. A shard's KD-tree splits at the median of the widest dimension and keeps the tight bounding box
 of every node; no vector x of a box [lo, hi] scores more than sum(max(q * lo, q * hi)) against query q. A query walks
-the tree best bound first and ends where the bound is under its k-th score so far. That k-th score is propagated: all
-queries first visit one shard, and its k-th scores are the floor with which the other shards are searched.
-Queries go to shards in blocks through an equi-join on generated shard numbers; each shard answers with k rows a query.
+the tree best bound first and ends where the bound is under its k-th score so far. That k-th score is propagated: every
+block of queries first visits one shard, which its hash picks, and the k-th scores found there are the floor with which the other shards are
+searched. Queries go to shards in blocks by generated shard numbers; a shard that more than about TASK_QUERIES queries visit is sent to
+several tasks, each with a part of the queries; each shard answers with k rows a query.
 
 Defined results: rows whose id or vector is null or empty, or holds null, NaN or infinite components, take no part;
 vectors meet only those of the same length; ties go to the smaller id; repeated rows are candidates each; rows with the
@@ -23,12 +24,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from batchlens.llm.shared import stored
+from batchlens.llm.shared import parallelism, stored
 
 SHARD_ROWS = 8192
 QUERY_ROWS = 256
+TASK_QUERIES = 4096
 LEAF_ROWS = 64
 
+_SENT = ["shard", "salt", "dim", "kind", "ids", "vecs", "floors"]
 _BLOCK = "shard int, dim int, kind int, ids array<bigint>, vecs binary, floors binary"
 _HIT = "query_id long, vec_id long, score long"
 
@@ -112,7 +115,7 @@ def _pack(kind: int, most: int):
 
 
 def _answer(k: int):
-    """Blocks sorted by (shard, dim, kind): the rows' block comes first, then the queries' blocks."""
+    """Blocks sorted by (shard, salt, dim, kind): the rows' block comes first, then the queries' blocks."""
 
     def run(batches):
         key = tree = rows = None
@@ -120,7 +123,7 @@ def _answer(k: int):
             for r in b.to_pylist():
                 ids = np.array(r["ids"], np.int64)
                 vecs = np.frombuffer(r["vecs"], np.int64).reshape(len(ids), r["dim"])
-                here = (r["shard"], r["dim"])
+                here = (r["shard"], r["salt"], r["dim"])
                 if r["kind"] == 0:
                     if here == key:  # another block of the same shard
                         rows = (np.concatenate((rows[0], ids)), np.concatenate((rows[1], vecs)))
@@ -182,14 +185,20 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     packed = asked.select(F.lit(0).alias("shard"), "vec_id", "vec").mapInArrow(_pack(1, QUERY_ROWS), _BLOCK)
     queries = stored(packed.select(F.xxhash64("ids").alias("block"), "dim", "ids", "vecs", "floors"), "topk-queries")
 
-    def visit(first: int, last: int, qs: DataFrame) -> DataFrame:
-        """Every query block at the shards first..last-1."""
-        sent = qs.select(F.explode(F.sequence(F.lit(first), F.lit(last - 1))).alias("shard"), "dim", F.lit(1).alias("kind"), "ids", "vecs", "floors")
-        here = blocks.where((F.col("shard") >= first) & (F.col("shard") < last))
-        both = here.unionByName(sent).repartition(max(1, last - first), "shard").sortWithinPartitions("shard", "dim", "kind")
+    n_queries = queries.agg(F.sum(F.size("ids"))).first()[0] or 0
+    home = F.pmod("block", F.lit(shards)).cast("int")
+
+    def visit(qs: DataFrame, at: Column, visits: int) -> DataFrame:
+        """Every query block at its shards ``at``; ``visits`` is the number of queries over all shards."""
+        salts = max(1, -(-visits // (shards * TASK_QUERIES)))
+        salt = F.pmod(F.xxhash64("block"), F.lit(salts)).cast("int")
+        sent = qs.select(F.explode(at).alias("shard"), salt.alias("salt"), "dim", F.lit(1).alias("kind"), "ids", "vecs", "floors")
+        here = blocks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).select(*_SENT)
+        tasks = max(shards, min(shards * salts, 4 * parallelism(spark)))
+        both = here.unionByName(sent).repartition(tasks, "shard", "salt").sortWithinPartitions("shard", "salt", "dim", "kind")
         return both.mapInArrow(_answer(k), _HIT)
 
-    seen = stored(visit(0, 1, queries), "topk-first")
+    seen = stored(visit(queries, F.array(home), n_queries), "topk-first")
     if shards > 1:
         kth = (
             seen.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("s")).where(F.col("n") >= k)
@@ -200,7 +209,8 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
             "block", "dim", "ids", "vecs", F.col("f.query_id").alias("q"), F.col("f.s").alias("s")
         )
         floors = told.mapInArrow(_floors(k), "block long, dim int, ids array<bigint>, vecs binary, floors binary")
-        seen = seen.unionByName(visit(1, shards, floors))
+        others = F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != home)
+        seen = seen.unionByName(visit(floors, others, n_queries * (shards - 1)))
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return seen.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

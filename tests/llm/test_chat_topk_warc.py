@@ -89,6 +89,39 @@ def test_topk_equals_brute_force(spark, monkeypatch):
     assert _topk(spark, rows) == _topk_brute(rows)
 
 
+def test_topk_queries_spread_over_tasks(spark, monkeypatch, tmp_path):
+    """No task searches a large part of the queries' visits, and results stay whole."""
+    monkeypatch.setattr(topk, "SHARD_ROWS", 500)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 16)
+    monkeypatch.setattr(topk, "TASK_QUERIES", 64, raising=False)
+    place, answer = str(tmp_path), topk._answer
+
+    def noted(k):
+        def run(batches):
+            from pyspark import TaskContext
+
+            def seen():
+                for b in batches:
+                    n = sum(len(i) for i, kind in zip(b.column("ids").to_pylist(), b.column("kind").to_pylist()) if kind == 1)
+                    with open(f"{place}/{TaskContext.get().stageId()}-{TaskContext.get().partitionId()}", "a") as f:
+                        f.write(f"{n}\n")
+                    yield b
+
+            yield from answer(k)(seen())
+
+        return run
+
+    monkeypatch.setattr(topk, "_answer", noted)
+    rng = np.random.default_rng(5)
+    rows = [(i * 50, [float(x) for x in rng.normal(size=4)], "", "") for i in range(2000)]  # 1,000 queries, 4 shards
+    assert _topk(spark, rows) == _topk_brute(rows)
+    stages = {}
+    for f in tmp_path.iterdir():
+        stages.setdefault(int(f.name.split("-")[0]), []).append(sum(map(int, f.read_text().split())))
+    visits = [sorted(n) for _, n in sorted(stages.items())]
+    assert [sum(n) for n in visits] == [1000, 3000] and visits[0][-1] <= 500 and visits[1][-1] <= 750, visits
+
+
 def test_topk_few_and_empty(spark):
     assert _topk(spark, []) == []
     rows = [(100, [1.0, 0.0], "", ""), (1, [2.0, 0.0], "", "")]
