@@ -11,7 +11,7 @@ a control byte, so a control byte serves four ids. A file holds blocks of up to
 ``ranks.bin`` beside the files holds the id of every rank as uint32. Decoding looks the control bytes up in a table of
 lengths and gathers bytes with numpy.
 
-Documents go to files by ranges of doc_id (``range_shards``), in ascending order within and over files; ties are ordered by a
+Documents go to files by ranges of doc_id and the text's hash (``range_shards``), in ascending order within and over files; ties are ordered by a
 hash of the text, null ids come first. Ids are first put down plainly (compressed) with their counts, so each text is encoded once;
 the ranks are then known (one number for each id of the vocabulary comes to the driver) and the files are written. Files get their
 final names after the manifest of the one attempt that counts is stored.
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from batchlens.llm import textvec
-from batchlens.llm.shared import commit_files, file_system, fresh_dir, range_shards, stored
+from batchlens.llm.shared import TIE_BITS, commit_files, file_system, fresh_dir, range_shards, stored
 from batchlens.llm.tokens import encoder
 
 MAGIC = b"IDRANK01"
@@ -184,7 +184,8 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int, root: str) -> DataFr
     """Write the files under ``root`` (a folder of the shared store); returns the manifest."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    shard, n = range_shards(docs, "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)) + 64, SHARD_BYTES)
+    tie = F.call_function("shiftright", F.xxhash64("text"), F.lit(64 - TIE_BITS)) + F.lit(1 << TIE_BITS - 1)  # rises with the hash
+    shard, n = range_shards(docs, "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)) + 64, SHARD_BYTES, tie)
     fs, base = file_system(root)
     for d in ("_plain", "_temp"):
         fs.create_dir(f"{base}/{d}")

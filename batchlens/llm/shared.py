@@ -71,40 +71,91 @@ def bloom_mask(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 # ---------------------------------------------------------------- range shards
 
-GRID = 4096
-
-
-def range_shards(df: DataFrame, key: str, weight: Column, target: int) -> tuple[Column, int]:
-    """A shard number that rises with ``key``, and the number of shards. Deterministic: it depends on the data
-    only, not on partitions or sampling. An equal-width grid of 4096 cells over the key's range is weighed in
-    one aggregation (4096 rows to the driver); light cells are put together up to ``target``, heavy cells are
-    divided evenly. Null keys sort first. Rows of one key always share a shard."""
-    lo, hi = df.agg(F.min(key), F.max(key)).first()
-    if lo is None or lo == hi:
-        return F.lit(0), 1
-    span = float(hi) - float(lo) or 1.0
-    place = (F.coalesce(F.col(key), F.lit(lo)).cast("double") - F.lit(float(lo))) / F.lit(span) * F.lit(GRID)
-    cell = F.least(F.floor(place), F.lit(GRID - 1)).cast("int")
-    heavy = {r["cell"]: int(r["w"] or 0) for r in df.groupBy(cell.alias("cell")).agg(F.sum(weight).alias("w")).collect()}
-    base, parts, n, room = [], [], 0, 0
-    for c in range(GRID):
-        w = heavy.get(c, 0)
+#: Bits of a key that the first weighing tells apart, and that every further weighing of a heavy cell does.
+GRID_BITS = 12
+CELL_BITS = 6
+#: Bits of a tie.
+TIE_BITS = 31
+
+
+def _right(c: Column, bits) -> Column:
+    return F.call_function("shiftright", c, bits if isinstance(bits, Column) else F.lit(bits))
+
+
+def range_shards(df: DataFrame, key: str, weight: Column, target: int, tie: Column) -> tuple[Column, int]:
+    """A shard number that rises with ``key`` (a long) and then ``tie`` (0 to 2 ** TIE_BITS - 1, evenly spread), and the number of
+    shards. Deterministic: it depends on the data only, not on partitions or sampling. Cells of keys that agree on their leading
+    bits are weighed (at most 4096 rows to the driver), cells heavier than ``target`` again by their next bits (64 rows a heavy cell)
+    until none but single keys are heavier; cells are then put together up to ``target``. A heavier single key, or the rows
+    without one, which sort first, are divided by ``tie``. Rows of one key and tie always share a shard."""
+    weights = stored(df.groupBy(F.col(key).alias("key")).agg(F.coalesce(F.sum(weight), F.lit(0)).cast("long").alias("w")), "weights")
+    lo, hi, nulls = weights.agg(F.min("key"), F.max("key"), F.sum(F.when(F.col("key").isNull(), F.col("w")))).first()
+    parts: dict[int, int] = {}  # shards that follow the first of a key that is divided
+    n, room = 0, 0
+
+    def put(w: int) -> int:
+        """The shard of the next cell."""
+        nonlocal n, room
         if w > target:
             n += room > 0
-            k = -(-w // target)
-            base.append(n)
-            parts.append(k)
-            n, room = n + k, 0
-        else:
-            if room and room + w > target:
-                n, room = n + 1, 0
-            base.append(n)
-            parts.append(1)
-            room += w
-    first = F.element_at(F.lit(np.array(base, np.int32)), cell + 1)
-    split = F.element_at(F.lit(np.array(parts, np.int32)), cell + 1)
-    inside = F.least(F.floor((place - cell) * split), split - 1).cast("int")
-    return (first + F.greatest(inside, F.lit(0))).cast("int"), n + (room > 0)
+            first, room = n, 0
+            parts[first] = -(-w // target)
+            n += parts[first]
+            return first
+        if room and room + w > target:
+            n, room = n + 1, 0
+        room += w
+        return n
+
+    put(int(nulls or 0))
+    place = F.lit(0).cast("long")
+    if lo is not None:
+        shifts = [max(0, ((lo ^ hi) & (1 << 64) - 1).bit_length() - GRID_BITS)]
+        levels = []  # of each weighing: prefix to weight, and the heavy prefixes
+        held = weights.where(F.col("key").isNotNull())
+        while True:
+            s = shifts[-1]
+            found = {r["p"]: r["w"] for r in held.groupBy(_right(F.col("key"), s).alias("p")).agg(F.sum("w").alias("w")).collect()}
+            heavy = sorted(p for p, w in found.items() if w > target) if s else []
+            levels.append((found, set(heavy)))
+            if not heavy:
+                break
+            wanted = df.sparkSession.createDataFrame([(p,) for p in heavy], "p long")
+            held = weights.join(wanted, _right(F.col("key"), s) == F.col("p"), "left_semi")
+            shifts.append(max(0, s - CELL_BITS))
+        base = lo >> shifts[0]
+        cells = [0] * ((hi >> shifts[0]) - base + 1)
+
+        def fill(at: int, p: int, level: int):
+            """cells[at] for a prefix: its shard, or minus the place (from 1) where the next bits' cells begin."""
+            found, heavy = levels[level]
+            if p not in heavy:
+                cells[at] = put(found.get(p, 0))
+                return
+            bits, start = shifts[level] - shifts[level + 1], len(cells)
+            cells[at] = -start - 1
+            cells.extend([0] * (1 << bits))
+            for k in range(1 << bits):
+                fill(start + k, (p << bits) | k, level + 1)
+
+        for k in range(len(cells)):
+            fill(k, base + k, 0)
+        table_of = F.lit(np.array(cells, np.int64))
+        place = F.element_at(table_of, (_right(F.col(key), shifts[0]) - base + 1).cast("int"))
+        if len(shifts) > 1:
+            steps = F.array(*[F.struct(F.lit(s).alias("s"), F.lit((1 << before - s) - 1).cast("long").alias("mask")) for before, s in zip(shifts, shifts[1:])])
+
+            def deeper(c, step):
+                at = _right(F.col(key), step["s"]).bitwiseAND(step["mask"]) - c
+                return F.when(c < 0, F.element_at(table_of, at.cast("int"))).otherwise(c)
+
+            place = F.aggregate(steps, place, deeper)
+        place = F.coalesce(place, F.lit(0).cast("long"))
+    total = max(1, n + (room > 0))
+    if parts:
+        divided = F.lit(np.array([parts.get(k, 1) for k in range(total + 1)], np.int64))
+        place = place + _right(tie.cast("long") * F.element_at(divided, (place + 1).cast("int")), TIE_BITS)
+    return place.cast("int"), total
 
 
 # ---------------------------------------------------------------- files on the shared store

@@ -1,6 +1,6 @@
 """Deterministic sharded WARC writer, and a reader.
 
-Rows are range-sorted by page_id into shards that depend on the data only (``range_shards``); within a shard they are ordered by
+Rows are range-sorted by page_id and digest into shards that depend on the data only (``range_shards``); within a shard they are ordered by
 page_id, digest and url, nulls first. Every record is a gzip member of its own. A shard's file is rolled when its compressed size
 would pass ``roll_bytes``. Headers are made anew: record ids come from page id and digest, block and payload digests and
 lengths from the bytes written, dates from a parameter, so equal input gives equal bytes.
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchlens.llm.shared import commit_files, file_system, fresh_dir, range_shards, stored
+from batchlens.llm.shared import TIE_BITS, commit_files, file_system, fresh_dir, range_shards, stored
 
 REVISIT_BYTES = 1000
 ROLL_BYTES = 32 << 20
@@ -140,7 +140,8 @@ def write_warc(pages: DataFrame, root: str, revisit_bytes: int = REVISIT_BYTES,
     payload = F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumns({"digest": F.sha1("payload"), "n_bytes": F.octet_length("payload").cast("long")})
-    shard, n = range_shards(rows, "page_id", F.col("n_bytes") + 512, SHARD_BYTES)
+    tie = F.call_function("shiftright", F.conv(F.substring("digest", 1, 8), 16, 10).cast("long"), F.lit(32 - TIE_BITS))  # rises with the digest
+    shard, n = range_shards(rows, "page_id", F.col("n_bytes") + 512, SHARD_BYTES, tie)
     # Which rows revisit another is found on ids and digests alone. Their few columns then travel with the pages to the shard, so
     # payloads are moved once. A row for each payload that occurs more than once is sent to SALTS places.
     ids = rows.where(F.col("n_bytes") >= revisit_bytes).select("page_id", "digest")

@@ -167,3 +167,19 @@ def test_warc_rolls_and_repeats_byte_for_byte(spark):
 def test_warc_empty_table(spark):
     m, root = _warc(spark, [])
     assert m.count() == 0 and warc.read_warc(m, root).count() == 0
+
+
+def test_warc_of_uneven_ids(spark, monkeypatch):
+    """Dense page ids beside a far one, a repeated one and null ones go to shards of bounded size; records are those of one shard."""
+    ids = [*range(200), *[100] * 80, *[None] * 80, 2**62, -5]
+    rows = [(i, f"http://x/{k}", f"{k % 150:04d}" * 300) for k, i in enumerate(ids)]  # payloads of 1,200 bytes, many of them twice
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = {}
+    for size in (20 * 1712, 1 << 40):
+        monkeypatch.setattr(warc, "SHARD_BYTES", size)
+        root = warc.new_root(spark)
+        manifest = warc.write_warc(df, root)
+        most = manifest.groupBy("shard").agg(F.sum("n_records").alias("n")).agg(F.max("n")).first()[0]
+        out[size] = (most, sorted((tuple(r) for r in warc.read_warc(manifest, root).collect()), key=str))
+    (few, got), (whole, want) = out.values()
+    assert whole == len(rows) and got == want and few <= 40, few

@@ -135,6 +135,27 @@ def test_id_files(spark, library, monkeypatch):
     assert manifest.count() > 1
 
 
+def test_id_files_of_uneven_ids(spark, monkeypatch):
+    """Dense ids beside far ones, a repeated id and null ids go to files of bounded size, in order."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(idfiles, "SHARD_BYTES", 3000)  # about 40 rows
+    ids = [*range(300), *[150] * 100, *[None] * 100, 2**62, -(2**63), 2**63 - 1]
+    df = spark.createDataFrame([(i, f"text {k:06d}") for k, i in enumerate(ids)], "doc_id long, text string")
+    root = idfiles.new_root(spark)
+    manifest = idfiles.write_ids(df, WORD, 1, root)
+    assert max(r.n_docs for r in manifest.collect()) <= 60 and manifest.count() < 40
+    got = [r.doc_id for r in idfiles.read_ids(manifest, root).orderBy("start").collect()]
+    assert got == sorted(ids, key=lambda i: (i is not None, i))
+    for rows in (df.where("doc_id is null"), df.where("doc_id = 150"), df.where("doc_id = 2")):
+        few = idfiles.write_ids(rows, WORD, 1, one := idfiles.new_root(spark))
+        with monkeypatch.context() as m:
+            m.setattr(idfiles, "SHARD_BYTES", 1 << 30)
+            whole = idfiles.write_ids(rows, WORD, 1, other := idfiles.new_root(spark))
+        assert whole.count() == 1 and few.count() == -(-rows.select(F.sum(F.octet_length("text") + 64)).first()[0] // 3000)
+        assert idfiles.read_ids(few, one).orderBy("start").collect() == idfiles.read_ids(whole, other).orderBy("start").collect()
+
+
 def test_id_files_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     root = idfiles.new_root(spark)
