@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchlens.llm import chat, decontam, idfiles, linededup, neardup, pieces, tokens, topk, toxicity, warc
+from batchlens.llm import chat, collocations, decontam, idfiles, linededup, merkle, neardup, pieces, simhash, tokens, topk, toxicity, warc
 from batchlens.llm.shared import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,13 +76,33 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_deleted", "text")
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    own = [F.col(c) for c in merkle.FIELDS]
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    text = F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    out = merkle.manifest(docs, merkle.row_digest(own), merkle.row_digest([*own[:-1], text]))
+    return out.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(F.array_join("proof", ""), 256).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     own = (
         op1_toxicity, op2_warc, op3_decontamination, op4_token_counts, op5_near_duplicates, op6_topk, op7_id_files, op8_chat,
-        op9_pieces, op10_line_dedup,
+        op9_pieces, op10_line_dedup, op11_merkle, op12_simhash, op13_collocations,
     )
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": warc.SQL, "op6_topk": topk.SQL, "op8_chat": chat.SQL}
+    return {"op2_warc": warc.SQL, "op6_topk": topk.SQL, "op8_chat": chat.SQL, "op11_merkle": merkle.SQL, "op13_collocations": collocations.SQL}
