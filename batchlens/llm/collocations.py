@@ -14,7 +14,8 @@ passed on as Bloom filters of a fixed size: a false positive (or a full filter)
 the filters of the pass before let through, every phrase is counted once and whole.
 
 Tasks work on slices of about SLICE bytes of text (long texts are cut between pieces, or between words with the last words carried over), count in
-numpy and send a row for each distinct phrase of a slice; Spark adds them up by phrase, on the map side first, and only frequent phrases are stored.
+numpy and send a row for each distinct phrase of a slice, so a common phrase is a row a slice; Spark adds them up by phrase, and only frequent phrases
+are stored.
 
 Defined results: null and empty texts have no words; a null lang is ``und``; equal rows count each; tables without a phrase give an empty result; columns
 other than the text, the language and ``doc_id`` (only hashed, for the sample) are not looked at.
@@ -33,7 +34,7 @@ from batchlens.llm.shared import BLOOM_BITS, bloom, bloom_mask, stored
 #: Share of the documents (in 1/1000) that the sample has, and the least count there of a proposed phrase.
 SHARE = 250
 LOWERED = 2
-SLICE = 4 << 20
+SLICE = 2 << 20
 #: Parts of a language whose best phrases are found apart before the last ranking.
 PARTS = 64
 UNKNOWN = "und"
@@ -191,6 +192,8 @@ def _rows(lang, k, phrases, counts):
 
 def _pass(texts: DataFrame, old, new, max_words: int) -> DataFrame:
     rows = texts.mapInArrow(_count(old, new, max_words), "lang string, k int, phrase string, c long")
+    # A slice's rows are added up already, and most phrases are rare: adding them up once more before the exchange would cost more than it saves.
+    rows = rows.repartition("phrase")
     return rows.groupBy("lang", "k", "phrase").agg(F.sum("c").alias("c"))
 
 
