@@ -14,8 +14,8 @@ passed on as Bloom filters of a fixed size: a false positive (or a full filter)
 the filters of the pass before let through, every phrase is counted once and whole.
 
 Tasks work on slices of about SLICE bytes of text (long texts are cut between pieces, or between words with the last words carried over), count in
-numpy and send a row for each distinct phrase of a slice, so a common phrase is a row a slice; Spark adds them up by phrase, and only frequent phrases
-are stored.
+numpy, add up the rows of several slices and send a row for each distinct phrase of theirs; Spark adds these up by phrase, and only frequent
+phrases are stored.
 
 Defined results: null and empty texts have no words; a null lang is ``und``; equal rows count each; tables without a phrase give an empty result; columns
 other than the text, the language and ``doc_id`` (only hashed, for the sample) are not looked at.
@@ -35,6 +35,8 @@ from batchlens.llm.shared import BLOOM_BITS, bloom, bloom_mask, stored
 SHARE = 250
 LOWERED = 2
 SLICE = 2 << 20
+#: Rows of several slices that a task adds up before it sends them.
+HELD = 1_000_000
 #: Parts of a language whose best phrases are found apart before the last ranking.
 PARTS = 64
 UNKNOWN = "und"
@@ -190,9 +192,30 @@ def _rows(lang, k, phrases, counts):
     )
 
 
+def _added_up(count):
+    """The rows of ``count``, those of several slices added up."""
+
+    def total(held):
+        rows = pa.Table.from_batches(held).group_by(["lang", "k", "phrase"], use_threads=False).aggregate([("c", "sum")])
+        return rows.select(["lang", "k", "phrase", "c_sum"]).rename_columns(_ROWS.names).cast(_ROWS).to_batches()
+
+    def run(batches):
+        held, n = [], 0
+        for b in count(batches):
+            held.append(b)
+            n += b.num_rows
+            if n >= HELD:
+                yield from total(held)
+                held, n = [], 0
+        if held:
+            yield from total(held)
+
+    return run
+
+
 def _pass(texts: DataFrame, old, new, max_words: int) -> DataFrame:
-    rows = texts.mapInArrow(_count(old, new, max_words), "lang string, k int, phrase string, c long")
-    # A slice's rows are added up already, and most phrases are rare: adding them up once more before the exchange would cost more than it saves.
+    rows = texts.mapInArrow(_added_up(_count(old, new, max_words)), "lang string, k int, phrase string, c long")
+    # The rows of several slices are added up already, and most phrases are rare: adding them up once more before the exchange would cost more than it saves.
     rows = rows.repartition("phrase")
     return rows.groupBy("lang", "k", "phrase").agg(F.sum("c").alias("c"))
 
