@@ -6,6 +6,7 @@ Doubles that come out of different summation orders are rounded to 6 decimals on
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,13 +19,14 @@ from batchlens.operators.quality import batch_meta, quality_profile, quality_tot
 from batchlens.operators import rules as R
 from batchlens.operators.evaluate import argmin, regression_metrics
 from batchlens.operators.preprocess import boosting_frame, fit_stats, mlp_frame, stats_frame
-from batchlens.operators.split import holdout_split, tail_split
+from batchlens.operators.split import tail_split
 from batchlens.functions.exprs import fixed4, parse_batch_range, parse_ts, text_or_na
 from batchlens.functions.quantiles import quantile
 from batchlens.plans import sql as S
+from batchlens.plans.train import prepare_split
 from batchlens.plans.summary import best_records, history, latest_record
-from batchlens.session import cut_lineage
-from batchlens.sources.files import typed
+from batchlens.session import ensure_checkpoint_dir, kept_table
+from batchlens.sources.files import read_batch_files, read_trips
 from batchlens.sources.store import latest_per, pending_batches
 from batchlens.sources.fixtures import ADAPTERS, adapter_sql
 from batchlens.spec import TRIPS_EV, TRIPS_LI, TableSpec
@@ -150,7 +152,7 @@ MIN_SUPPORT, MIN_CONFIDENCE, TOP_K = 0.05, 0.6, 5
 def _prepared_batches(spark, sf, adapter):
     """Union of all kept batches (batch key kept, so cross-batch duplicates survive), prepared."""
     b, spec = _batched(spark, sf, adapter)
-    return prepare(b, spec).df, spec, b
+    return kept_table(prepare(b, spec).df, "prepared"), spec, b
 
 
 def q_q75(adapter: str) -> Query:
@@ -236,8 +238,8 @@ select cast({MIN_SUPPORT} as double) min_support, cast({MIN_CONFIDENCE} as doubl
 
 def _split_prepared(spark, sf, adapter="trips_li"):
     b, spec = _batched(spark, sf, adapter)
-    train, test, test_key = holdout_split(b, spec)
-    return prepare(train, spec).df, prepare(test, spec).df, spec
+    p = prepare_split(kept_table(b, "batches"), spec)  # the join behind the rows is done once
+    return p.train, p.test, spec
 
 
 def _split_sql(adapter: str, spec: TableSpec) -> str:
@@ -628,8 +630,40 @@ def _as_text(spark, sf, adapter):
     )
 
 
+def _csv_folder(spark) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/csv-{uuid.uuid4().hex}"
+
+
 def q_lenient_load(adapter: str) -> Query:
-    return lambda spark, sf: typed(_as_text(spark, sf, adapter), _SPECS[adapter])
+    """The spoilt text as CSV batch files, read back."""
+
+    def run(spark, sf):
+        root = _csv_folder(spark)
+        _as_text(spark, sf, adapter).write.option("header", True).csv(root)
+        return read_batch_files(spark, root, _SPECS[adapter]).drop("source_batch").withColumn("event_id", F.col("event_id").cast("long"))
+
+    return run
+
+
+def q_csv_trips(adapter: str) -> Query:
+    """Trips as CSV files of two kinds: one lacks a column, has one more with a comma in its name, and all in another order."""
+
+    def run(spark, sf):
+        root, rows = _csv_folder(spark), ADAPTERS[adapter](spark, sf)
+        one, two = rows.where("event_id % 2 = 0"), rows.where("event_id % 2 <> 0")
+        form = {"header": True, "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+        one.write.options(**form).csv(f"{root}/one")
+        two = two.withColumn("note, quoted", F.concat(F.lit('a "b", '), F.col("event_id").cast("string")))
+        two.select(*sorted((c for c in two.columns if c != "store_flag"), reverse=True)).write.options(**form).csv(f"{root}/two")
+        out = read_trips(spark, root, _SPECS[adapter])
+        return out.withColumns({c: F.col(c).cast("long") for c in ("event_id", "user_id")}).withColumnRenamed("note, quoted", "note")
+
+    return run
+
+
+def sql_csv_trips(adapter: str) -> str:
+    return f"""select * replace (case when event_id % 2 = 0 then store_flag end as store_flag, cast(passenger_count as double) as passenger_count),
+  case when event_id % 2 <> 0 then 'a "b", ' || event_id end note from ({adapter_sql(adapter)}) t"""
 
 
 def q_parse_timestamps(adapter: str) -> Query:
@@ -650,7 +684,6 @@ def q_learns(adapter: str, kind: str) -> Query:
         from batchlens.models.trees import BoostModel, TreeModel
 
         tr, te, spec = _split_prepared(spark, sf, adapter)
-        tr, te = cut_lineage(tr), cut_lineage(te)
         fit = {
             "tree": lambda: TreeModel.fit(tr, spec),
             "boost": lambda: BoostModel.fit(tr, spec, {"iterations": 30, "depth": 6, "learning_rate": 0.1}),
@@ -726,6 +759,7 @@ def queries() -> dict[str, Query]:
         "p13_na_text_li": q_na_text("trips_li"),
         "x1_parse_timestamps": q_parse_timestamps("trips_ev"),
         "s2_lenient_load": q_lenient_load("trips_ev"),
+        "s1_csv_trips": q_csv_trips("trips_ev"),
         "l1_tree_learns": q_learns("trips_signal", "tree"),
         "l3_boost_learns": q_learns("trips_signal", "boost"),
         "l5_mlp_learns": q_learns("trips_signal", "mlp"),
@@ -786,6 +820,7 @@ def oracle_sql() -> dict[str, str]:
         "p13_na_text_li": sql_na_text("trips_li"),
         "x1_parse_timestamps": f"select event_id, pickup_ts from ({sql_lenient_load('trips_ev')}) t",
         "s2_lenient_load": sql_lenient_load("trips_ev"),
+        "s1_csv_trips": sql_csv_trips("trips_ev"),
         "l1_tree_learns": sql_learns("trips_signal"),
         "l3_boost_learns": sql_learns("trips_signal"),
         "l5_mlp_learns": sql_learns("trips_signal"),

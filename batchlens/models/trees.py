@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import itertools
-import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressionModel, GBTRegressor
@@ -22,6 +21,7 @@ from batchlens.models.base import (
     save_json,
     with_features,
 )
+from batchlens.models.treefiles import merged, pruned
 from batchlens.operators.evaluate import metrics_dict
 from batchlens.operators.preprocess import FitStats, fit_stats
 from batchlens.spec import TableSpec
@@ -39,13 +39,6 @@ def grid(g: dict) -> list[dict]:
     return [dict(zip(keys, v)) for v in itertools.product(*[g[k] for k in keys])]
 
 
-def tree_effective(params: dict) -> dict:
-    """Spark trees have a minimum leaf size but no minimum split size. The split size is folded into the leaf bound: leaves of at
-    least half of it mean that no smaller node is split (uneven splits that the split size alone would allow are given up)."""
-    leaf = max(int(params["min_samples_leaf"]), math.ceil(int(params.get("min_samples_split", 2)) / 2))
-    return {"maxDepth": int(params["max_depth"]), "minInstancesPerNode": leaf}
-
-
 @dataclass
 class TreeModel:
     spec: TableSpec
@@ -60,10 +53,17 @@ class TreeModel:
         st = stats or fit_stats(df, spec)
         frame = with_features(df, st, "tree")
         dt = DecisionTreeRegressor(
-            featuresCol=FEATURES, labelCol=spec.target, predictionCol=PREDICTION, seed=SEED,
-            maxBins=max_bins(st), **tree_effective(params),
+            featuresCol=FEATURES, labelCol=spec.target, predictionCol=PREDICTION, seed=SEED, maxBins=max_bins(st),
+            maxDepth=int(params["max_depth"]), minInstancesPerNode=int(params["min_samples_leaf"]),
         )
-        return cls(spec, params, st, fit_pipeline(feature_stages(st, one_hot=True) + [dt], frame))
+        grown = cls(spec, params, st, fit_pipeline(feature_stages(st, one_hot=True) + [dt], frame))
+        return grown.cut_to(params)
+
+    def cut_to(self, params: dict) -> "TreeModel":
+        """L2: the tree of these parameters out of one that was grown at least as deep, with the same least leaf and no larger least split size. Spark has
+        a least leaf size only; the least split size is what is undone here."""
+        tree = pruned(self.pipeline.stages[-1], int(params["max_depth"]), int(params.get("min_samples_split", 2)))
+        return TreeModel(self.spec, dict(params), self.stats, PipelineModel(stages=[*self.pipeline.stages[:-1], tree]))
 
     def predict(self, df: DataFrame) -> DataFrame:
         return drop_internal(self.pipeline.transform(with_features(df, self.stats, "tree")))
@@ -80,14 +80,13 @@ class TreeModel:
 
 @dataclass
 class BoostModel:
-    """Gradient-boosted trees. ``stages`` are residual GBTs added by later batches; the prediction is the
-    base prediction plus every stage's prediction (a continued fit on new data, as with an init model)."""
+    """Gradient-boosted trees. A later batch's trees are fitted to the residuals and join the same ensemble (a continued fit on new
+    data, as with an init model): one model, one pass over the rows, however many batches it has learned."""
 
     spec: TableSpec
     params: dict
     stats: FitStats
     pipeline: PipelineModel
-    stages: list[GBTRegressionModel] = field(default_factory=list)
     kind: str = "boost"
 
     @staticmethod
@@ -108,53 +107,48 @@ class BoostModel:
         feats = PipelineModel(stages=self.pipeline.stages[:-1])
         return feats.transform(with_features(df, self.stats, "boost"))
 
-    def _predict_features(self, fx: DataFrame) -> DataFrame:
-        out = self.pipeline.stages[-1].transform(fx)
-        for i, s in enumerate(self.stages):
-            out = s.setPredictionCol(f"__r{i}").transform(out)
-            out = out.withColumn(PREDICTION, F.col(PREDICTION) + F.col(f"__r{i}")).drop(f"__r{i}")
-        return out
-
     def predict(self, df: DataFrame) -> DataFrame:
-        return drop_internal(self._predict_features(self._featurized(df)))
+        return drop_internal(self.pipeline.stages[-1].transform(self._featurized(df)))
 
     def continue_fit(self, df: DataFrame, iterations: int | None = None) -> "BoostModel":
         """Fit further trees on the new rows' residuals; the stored median/category stats stay."""
-        fx = self._predict_features(self._featurized(df)).withColumn(
-            "__residual", F.col(self.spec.target) - F.col(PREDICTION)
-        ).drop(PREDICTION)
+        fx = self.pipeline.stages[-1].transform(self._featurized(df))
+        fx = fx.withColumn("__residual", F.col(self.spec.target) - F.col(PREDICTION)).drop(PREDICTION)
         p = dict(self.params)
         if iterations:
             p["iterations"] = iterations
-        stage = self._gbt(self.spec, self.stats, p, "__residual").fit(fx)
-        return BoostModel(self.spec, self.params, self.stats, self.pipeline, self.stages + [stage])
+        more = self._gbt(self.spec, self.stats, p, "__residual").fit(fx)
+        ensemble = merged(self.pipeline.stages[-1], more)
+        return BoostModel(self.spec, self.params, self.stats, PipelineModel(stages=[*self.pipeline.stages[:-1], ensemble]))
 
     def save(self, path: str) -> None:
         self.pipeline.write().overwrite().save(f"{path}/pipeline")
-        for i, s in enumerate(self.stages):
-            s.write().overwrite().save(f"{path}/stage_{i:04d}")
-        meta = {"kind": self.kind, "params": self.params, "stats": self.stats.to_json(), "stages": len(self.stages)}
-        save_json(path, meta)
+        save_json(path, {"kind": self.kind, "params": self.params, "stats": self.stats.to_json()})
 
     @classmethod
     def load(cls, path: str, spec: TableSpec) -> "BoostModel":
         m, _ = load_json(path)
-        stages = [GBTRegressionModel.load(f"{path}/stage_{i:04d}") for i in range(m["stages"])]
-        pipe = PipelineModel.load(f"{path}/pipeline")
-        return cls(spec, m["params"], FitStats.from_json(m["stats"]), pipe, stages)
+        return cls(spec, m["params"], FitStats.from_json(m["stats"]), PipelineModel.load(f"{path}/pipeline"))
+
+
+def tree_grid_models(sub: DataFrame, spec: TableSpec, g: dict | None = None) -> list[TreeModel]:
+    """L2: the tree of every grid point, in the grid's order. One tree is grown for each leaf size, to the greatest depth; the others are
+    that one without the splits that they may not have."""
+    g, st = g or TREE_GRID, fit_stats(sub, spec)
+    grown = {}
+    for leaf in g["min_samples_leaf"]:
+        most = {"max_depth": max(g["max_depth"]), "min_samples_split": 2, "min_samples_leaf": leaf}
+        grown[leaf] = TreeModel.fit(sub, spec, most, st)
+    return [grown[params["min_samples_leaf"]].cut_to(params) for params in grid(g)]
 
 
 def search_tree(sub: DataFrame, val: DataFrame, spec: TableSpec, g: dict | None = None) -> tuple[dict, dict]:
-    """L2: fit every distinct effective setting once; report the first grid point of the best one."""
-    best, seen, st = None, {}, fit_stats(sub, spec)
-    for params in grid(g or TREE_GRID):
-        eff = tuple(sorted(tree_effective(params).items()))
-        if eff not in seen:
-            m = TreeModel.fit(sub, spec, params, st)
-            seen[eff] = metrics_dict(m.predict(val), spec.target)
-        vm = seen[eff]
+    """L2: the first grid point with the lowest validation error."""
+    best = None
+    for m in tree_grid_models(sub, spec, g):
+        vm = metrics_dict(m.predict(val), spec.target)
         if vm is not None and (best is None or vm["rmse"] < best[1]["rmse"]):
-            best = (params, vm)
+            best = (m.params, vm)
     if best is None:
         raise ValueError("No validation rows to select tree hyperparameters.")
     return best

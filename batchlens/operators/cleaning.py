@@ -1,9 +1,9 @@
 """The ordered cleaning chain.
 
 Order matters: each upper-quantile trim is computed over the survivors of the earlier steps, so the chain
-is three dependent thresholds (distance -> target -> duration). Each threshold is one exact quantile of one column
-(``functions.quantiles``) over a scan of the few columns the steps before it need; nothing is cached. The final plan carries the
-thresholds as literals, which Catalyst can push into the scan.
+is three dependent thresholds (distance -> target -> duration). The few columns that they need are stored once, in a narrow
+table; each threshold is one exact quantile of one of its columns (``functions.quantiles``), so the source is read twice, whatever lies
+behind it. The final plan carries the thresholds as literals, which Catalyst can push into the scan.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from batchlens.functions.quantiles import quantile
 from batchlens.operators.features import check_feature_columns, make_time_features
+from batchlens.session import kept_table
 from batchlens.spec import TableSpec
 
 
@@ -66,19 +67,26 @@ def clean(
     dist = spec.distance if spec.distance and spec.distance in df.columns else None
     if dist:
         base = base.where(F.col(dist).isNotNull() & (F.col(dist) >= 0))
+    coords = coordinates_ok(base, spec)
+    duration = spec.duration_col if spec.duration_col in base.columns else None
+    trims = [("distance", dist, spec.distance_q)] if dist else []
+    trims += [("target", spec.target, spec.target_q)] if require_target else []
+    trims += [("duration", duration, spec.duration_q)] if duration else []
+    probe = base  # the same rows as ``cur``, with the columns that thresholds need only
+    if any(fitted.get(name) is None for name, _, _ in trims):
+        narrow = list(dict.fromkeys(c for _, c, _ in trims))
+        probe = kept_table(base.select(*narrow, (F.lit(True) if coords is None else coords).alias("__inside")), "clean")
     thr: dict[str, float | None] = {}
     cur = base
-    if dist:
-        cur, thr["distance"] = quantile_trim(cur, dist, spec.distance_q, fitted.get("distance"))
-    if require_target:
-        cur = cur.where(F.col(spec.target) >= 0)
-        cur, thr["target"] = quantile_trim(cur, spec.target, spec.target_q, fitted.get("target"))
-    coords = coordinates_ok(cur, spec)
-    if coords is not None:
+    for name, column, q in trims:
+        if name == "target":
+            cur, probe = (d.where(F.col(column) >= 0) for d in (cur, probe))
+        if name == "duration":
+            cur, probe = (d.where(F.col(column) > 0) for d in (cur if coords is None else cur.where(coords), probe.where("__inside") if "__inside" in probe.columns else probe))
+        _, thr[name] = quantile_trim(probe, column, q, fitted.get(name))
+        cur, probe = (quantile_trim(d, column, q, thr[name])[0] if thr[name] is not None else d for d in (cur, probe))
+    if coords is not None and not duration:
         cur = cur.where(coords)
-    if spec.duration_col in cur.columns:
-        cur = cur.where(F.col(spec.duration_col) > 0)
-        cur, thr["duration"] = quantile_trim(cur, spec.duration_col, spec.duration_q, fitted.get("duration"))
     if dedup:
         cur = cur.dropDuplicates()
     return Cleaned(cur, thr)

@@ -11,6 +11,7 @@ from batchlens.functions.exprs import iso_text
 from batchlens.functions.quantiles import grouped_quantiles
 from batchlens.operators.batching import with_names
 from batchlens.operators.features import make_time_features
+from batchlens.session import kept_table
 from batchlens.spec import TableSpec
 
 
@@ -33,7 +34,7 @@ def quality_profile(batched: DataFrame, spec: TableSpec) -> DataFrame:
     """A9 for every batch of ``batched`` (rows keyed by ``spec.batch_col``).
 
     Counts are over the raw columns plus the four generated ones. The q99s are exact and come from
-    ``grouped_quantiles``, which never holds a batch in one task.
+    ``grouped_quantiles`` over a narrow stored table of their columns; no batch is held in one task.
     """
     key = spec.batch_col
     raw_cols = [c for c in batched.columns if c != key]
@@ -58,7 +59,8 @@ def quality_profile(batched: DataFrame, spec: TableSpec) -> DataFrame:
     wants = {"target_q99": (spec.target, 0.99), "duration_q99": (spec.duration_col, 0.99)}
     if dist:
         wants["trip_distance_q99"] = (dist, 0.99)
-    q99 = grouped_quantiles(make_time_features(batched, spec), [key], wants).withColumnRenamed(key, "__key")
+    narrow = make_time_features(batched, spec).select(key, *[c for c, _ in wants.values()])
+    q99 = grouped_quantiles(kept_table(narrow, "q99"), [key], wants).withColumnRenamed(key, "__key")
     out = counts.join(q99, F.col(key).eqNullSafe(F.col("__key")), "left")
     distance_q99 = F.col("trip_distance_q99") if dist else F.lit(None).cast("double").alias("trip_distance_q99")
     return out.select(*counts.columns, distance_q99, "target_q99", "duration_q99")

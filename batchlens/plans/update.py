@@ -2,7 +2,7 @@
 
 Order of effects (M7): quality record -> model folders (inert) -> registry rows -> update record -> ledger row. Models and logs
 are read for runs that the ledger has only, so a crash anywhere before the ledger append leaves no visible change, and
-replaying a committed batch is a no-op.
+replaying a committed batch is a no-op. Of two updaters that work on one batch, the first to claim it commits; the other's run is never seen.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from batchlens.operators.features import require_columns
 from batchlens.operators.quality import quality_profile
 from batchlens.plans.train import prepare_split
 from batchlens.session import cut_lineage
-from batchlens.sources.store import LEDGER, QUALITY, REGISTRY, UPDATES, Store, new_run_id, now
+from batchlens.sources.store import QUALITY, REGISTRY, UPDATES, Store, new_run_id, now
 from batchlens.spec import TableSpec
 
 
@@ -146,11 +146,12 @@ def process_next_batch(
                     "post_update_batch_mae": chosen["batch_mae"], "post_update_batch_rmse": chosen["batch_rmse"],
                     "post_update_batch_r2": chosen["batch_r2"]})
     store.append_rows(UPDATES, [rec])
-    store.append_rows(
-        LEDGER,
-        [{"batch_id": nxt["batch_id"], "batch_start": key_val, "batch_name": name, "upto_epoch": nxt["upto_epoch"], "run_id": run,
-          "kind": "update" if nxt["done_epoch"] is None else "late_rows",
-          "status": "failed" if error else "updated", "processed_at": now()}],
+    won = store.commit_batch(
+        {"batch_id": nxt["batch_id"], "batch_start": key_val, "batch_name": name, "upto_epoch": nxt["upto_epoch"], "run_id": run,
+         "kind": "update" if nxt["done_epoch"] is None else "late_rows",
+         "status": "failed" if error else "updated", "processed_at": now()}
     )
+    if not won:  # another updater was faster; what this run has written stays unseen
+        return {"status": "lost", "batch_name": name}
     return {"status": "updated", "batch_name": name, "pre_update": pre, "chosen": chosen and chosen["model_key"],
             "update_error": error, "candidates": len(results)}

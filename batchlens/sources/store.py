@@ -3,12 +3,14 @@
 Batch rows lie in ``batches/epoch=<n>/batch_id=<id>/``; the batch index has a row for each epoch and batch, so which batches there are,
 how many rows they hold and which are pending is known without looking at the rows. Logs are append-only Parquet tables read with schema merging:
 records may add columns. A missing table reads as empty with its known schema. Log rows belong to a run and count
-only once the ledger has that run (``committed_log``).
+only once the ledger has that run (``committed_log``). A batch is committed by one run only (``commit_batch``).
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
+import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,6 +34,7 @@ TOP_RULES = "top_rules"
 PREDICTIONS = "predictions"
 INFERENCE = "inference_metrics"
 MODELS = "models"
+CLAIMS = "claims"
 
 # The field names of the logs' records.
 SCHEMAS = {
@@ -124,6 +127,57 @@ class Store:
             st = st.add(k, _TYPES.get(type(sample), "string"))
         self.append(name, self.spark.createDataFrame([tuple(_value(r.get(f.name), f.dataType.typeName()) for f in st.fields) for r in rows], st))
 
+    # ---- single winners ----
+
+    def put_if_absent(self, name: str, text: str) -> bool:
+        """Write a small file under a name that nobody has taken; False if it is there already. The file appears whole: it is written beside and
+        then given its name, by a link on local folders and by a rename that does not replace elsewhere, so of two writers one wins."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        target = jvm.org.apache.hadoop.fs.Path(self.path(name))
+        beside = jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_{uuid.uuid4().hex}")
+        fs = target.getFileSystem(conf)
+        out = fs.create(beside)
+        out.write(bytearray(text.encode()))
+        out.close()
+        try:
+            if fs.getUri().getScheme() == "file":
+                try:
+                    os.link(beside.toUri().getPath(), target.toUri().getPath())
+                except FileExistsError:
+                    return False
+                return True
+            if fs.exists(target):
+                return False
+            try:
+                none = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+                renames = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+                renames[0] = none
+                jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(beside, target, renames)
+            except Exception:
+                if fs.exists(target):
+                    return False
+                raise
+            return True
+        finally:
+            fs.delete(beside, False)
+
+    def text_of(self, name: str) -> str:
+        """A small file's text."""
+        return "\n".join(r["value"] for r in self.spark.read.text(self.path(name)).collect())
+
+    def commit_batch(self, row: dict) -> bool:
+        """Put an update's ledger row down, if no other update of the same batch and epoch has. The claim holds the whole row: if its
+        writer died before the ledger had it, the next one to come along puts it there."""
+        name = f"{CLAIMS}/{row['batch_id']}/{row['upto_epoch']}"
+        won = self.put_if_absent(name, json.dumps(row, default=str))
+        if not won:
+            row = json.loads(self.text_of(name))
+            if not self.read(LEDGER).where(F.col("run_id") == row["run_id"]).isEmpty():
+                return False
+            row |= {k: dt.datetime.fromisoformat(row[k]) for k in ("batch_start", "processed_at") if row.get(k)}
+        self.append_rows(LEDGER, [row])
+        return won
+
     # ---- batches ----
 
     def write_batches(self, batched: DataFrame, spec: TableSpec, epoch: int = 0) -> None:

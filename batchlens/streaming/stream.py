@@ -69,8 +69,8 @@ def run_stream(
     def drain(s: Store) -> None:
         if committed(s).limit(1).count() == 0:  # nothing trained yet: batches only accumulate
             return
-        while process_next_batch(s, spec, **update_kw)["status"] == "updated":
-            done["n"] += 1
+        while (status := process_next_batch(s, spec, **update_kw)["status"]) != "no_new_batches":
+            done["n"] += status == "updated"
 
     def handle(df: DataFrame, epoch_id: int) -> None:
         rows = load_source(df, spec).withColumn(spec.batch_col, period_start(spec.event_ts, spec.batch_freq))
