@@ -29,10 +29,13 @@ from batchlens.llm import textvec
 from batchlens.llm.tokens import Table, ends_check
 
 MARK = "▁"
-#: Marked words kept by a worker's table; it starts anew when full.
-TABLE_WORDS = 1_000_000
-#: Pairs of pieces whose compatibility is remembered; the store starts anew when full.
-CACHE_PAIRS = 500_000
+#: Marked words and their ids kept by a worker's table (about 30 MB); it starts anew when it has more of either.
+TABLE_WORDS = 200_000
+TABLE_IDS = 2_000_000
+#: Pairs of pieces whose compatibility is remembered (about 15 MB); the store starts anew when full.
+CACHE_PAIRS = 100_000
+#: Bytes of text that are worked on at once.
+SLICE = 2 << 20
 _UNITS = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
 
 #: Bytes as they are, spaces 0; line feeds stand alone.
@@ -201,7 +204,7 @@ class Pieces:
         marked &= ~((w.data[w.start] == 0x0A) & (w.end - w.start == 1))
         checks = ends_check(w)
         keys = textvec.mix(w.hash + checks) ^ np.where(marked, _MARKED, np.uint64(0))
-        if len(self.table.keys) > TABLE_WORDS:
+        if len(self.table.keys) > TABLE_WORDS or len(self.table.pool) > TABLE_IDS:
             self.table = Table()
         at = self.table.find(keys, checks)
         miss = np.flatnonzero(at < 0)
@@ -242,7 +245,7 @@ def encode_pieces(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches):
         m = model(path)
-        for b in textvec.slices(batches, 1):
+        for b in textvec.slices(batches, 1, SLICE):
             ids, bounds = m.column(b.column(1))
             flat = ids.tolist()
             data, offsets = textvec.text_bytes(b.column(1))
