@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +30,12 @@ from batchlens.llm import textvec
 from batchlens.llm.tokens import Table, ends_check
 
 MARK = "▁"
-#: Marked words and their ids kept by a worker's table (about 30 MB); it starts anew when it has more of either.
-TABLE_WORDS = 200_000
-TABLE_IDS = 2_000_000
-#: Pairs of pieces whose compatibility is remembered (about 15 MB); the store starts anew when full.
-CACHE_PAIRS = 100_000
+#: Marked words and their ids kept by a worker's table (about 50 MB); it starts anew when it has more of either.
+TABLE_WORDS = 600_000
+TABLE_IDS = 4_000_000
+#: Places for pairs of pieces whose compatibility is remembered (8 MB); a pair that falls on a taken place replaces the one there.
+PAIRS = 1 << 20
+_NO_PAIR = (1 << 64) - 1
 #: Bytes of text that are worked on at once.
 SLICE = 2 << 20
 _UNITS = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
@@ -81,7 +83,7 @@ class Pieces:
         raw[self.unknown] = " ⁇ ".encode()
         self.raw = raw
         self.table = Table()
-        self.pairs: dict[int, bool] = {}
+        self.pairs = array("Q", [_NO_PAIR]) * PAIRS  # pair, then one bit for its answer
         self.whole: dict[int, bool] = {}
 
     # ------------------------------------------------------------ merging by score
@@ -117,11 +119,8 @@ class Pieces:
         return x
 
     def _apart(self, a: int, b: int) -> bool:
-        key = a << 32 | b
-        if (x := self.pairs.get(key)) is None:
-            if len(self.pairs) > CACHE_PAIRS:
-                self.pairs = {}
-            x = self.pairs[key] = self.merge(self.text[a] + self.text[b]) == [self.text[a], self.text[b]] and self._stays(b)
+        x = self.merge(self.text[a] + self.text[b]) == [self.text[a], self.text[b]] and self._stays(b)
+        self.pairs[(a * 40503 ^ b) & (PAIRS - 1)] = (a << 32 | b) << 1 | x
         return x
 
     # ------------------------------------------------------------ forward pass over sorted words
@@ -153,10 +152,8 @@ class Pieces:
                     if u < 0:
                         good = self._stays(k)
                     else:
-                        good = pairs.get(u << 32 | k)
-                        if good is None:
-                            good = self._apart(u, k)
-                            pairs = self.pairs
+                        kept = pairs[(u * 40503 ^ k) & (PAIRS - 1)]
+                        good = kept & 1 if kept >> 1 == (u << 32 | k) else self._apart(u, k)
                     if good:
                         last.append(k)
                         start.append(a)
