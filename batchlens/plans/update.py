@@ -51,6 +51,9 @@ def process_next_batch(
     if nxt is None:
         return {"status": "no_new_batches", "available_batches": n_batches}
     key_val, name, index = nxt[spec.batch_col], nxt["batch_name"], nxt["batch_index"]
+    done = store.complete_claim(nxt["batch_id"], nxt["upto_epoch"])
+    if done is not None:  # its updater died after all was written
+        return {"status": "updated", "batch_name": name, "completed_run": done}
     run = new_run_id()
     batches = store.batches()
     batch = store.batch_rows(nxt["batch_id"])

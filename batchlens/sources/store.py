@@ -166,18 +166,24 @@ class Store:
         return "\n".join(r["value"] for r in self.spark.read.text(self.path(name)).collect())
 
     def commit_batch(self, row: dict) -> bool:
-        """Put an update's ledger row down, if no other update of the same batch and epoch has. The claim holds the whole row: if its
-        writer died before the ledger had it, the next one to come along puts it there."""
-        name = f"{CLAIMS}/{row['batch_id']}/{row['upto_epoch']}"
-        won = self.put_if_absent(name, json.dumps(row, default=str))
-        if not won:
-            row = json.loads(self.text_of(name))
-            if not self.read(LEDGER).where(F.col("run_id") == row["run_id"]).isEmpty():
-                return False
-            row |= {k: dt.datetime.fromisoformat(row[k]) for k in ("batch_start", "processed_at") if row.get(k)}
-        self.append_rows(LEDGER, [row])
+        """Put an update's ledger row down, if no other update of the same batch and epoch has claimed it."""
+        won = self.put_if_absent(_claim(row["batch_id"], row["upto_epoch"]), json.dumps(row, default=str))
+        if won:
+            self.append_rows(LEDGER, [row])
         return won
 
+    def complete_claim(self, batch: str, epoch: int) -> str | None:
+        """The run that claimed a batch and died before the ledger had it: the claim holds the whole row, which is put there now."""
+        name = _claim(batch, epoch)
+        if not self.exists(name):
+            return None
+        row = json.loads(self.text_of(name))
+        if not self.read(LEDGER).where(F.col("run_id") == row["run_id"]).isEmpty():
+            return None
+        row |= {k: dt.datetime.fromisoformat(row[k]) for k in ("batch_start", "processed_at") if row.get(k)}
+        self.append_rows(LEDGER, [row])
+        return row["run_id"]
+
     # ---- batches ----
 
     def write_batches(self, batched: DataFrame, spec: TableSpec, epoch: int = 0) -> None:
@@ -237,6 +243,10 @@ class Store:
 _TYPES = {bool: "boolean", int: "long", float: "double", dt.datetime: "timestamp", dt.date: "date"}
 
 
+def _claim(batch: str, epoch: int) -> str:
+    return f"{CLAIMS}/{batch}/{epoch}"
+
+
 def _value(v, kind: str):
     if kind == "timestamp_ntz" and isinstance(v, dt.date) and not isinstance(v, dt.datetime):
         return dt.datetime(v.year, v.month, v.day)
