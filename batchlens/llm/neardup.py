@@ -4,8 +4,8 @@ A document's set is its distinct 5-word shingles. Documents with equal sets are
 copies of any size are one row. Every class has TREES minwise tokens (one for each hash function) and a sketch of SKETCH
 further minwise values.
 
-- A tree starts from one minwise token: classes that agree on it are a node. TREES trees are grown, so a pair at the threshold
-  misses all of them with probability (1 - t) ** TREES, which is 6e-8 at 0.75.
+- A tree starts from one minwise token: classes that agree on it are a node. TREES trees are grown, each from a minwise function of
+  its own, so a pair at the threshold misses all roots with probability (1 - t) ** TREES, which is 6e-8 at 0.75.
 - First links: in every node all classes are tried against the node's most popular class only (its *center*: the one whose tokens
   most other classes share, the text that a group was copied from). Confirmed links put classes into components; nothing
   inside one component has to be compared again, so a group of thousands of near copies costs about one link a member.
@@ -13,9 +13,16 @@ further minwise values.
   kept from that comparison. Two members' intersection follows from these differences exactly, so the members that are not
   linked with the center are compared with all members of the family, in blocks, without their sets; a block reports only
   links that join two components.
-- Then nodes that still hold more than one component and a class outside their center's family are compared exhaustively, the outside
-  classes against all: nodes of at most LEAF classes at once, larger ones in blocks, those of more than COMPARED comparisons in tiles
-  of at most WIDE outside classes and about WIDE others. No node, class or pair is dropped, whatever a node's size.
+- Chosen paths: nodes that still hold more than one component and a class outside their center's family are taken further. Nodes of more
+  than LEAF classes branch: every class goes on to BRANCH children, named by its values of BRANCH minwise functions that only this
+  tree and depth use (no two trees or depths share one). Children branch again, down to DEPTH. A pair at similarity t stays together in
+  a tree that branches all the way with probability t * (1 - (1 - t) ** BRANCH) ** DEPTH, 0.58 at 0.75, so TREES independent trees miss
+  it with probability 3e-5 (about 0 at 0.9). Trees that stop earlier miss less.
+- Small nodes (at most LEAF classes) are compared exhaustively. A child that keeps more than DENSE of its parent holds classes too similar for
+  branching to part them; it, and what is large at DEPTH, is closed and compared in tiles, the classes outside the family against all.
+  A tile offers every class its LIMIT most similar classes of other components and says where it has more; confirmed links
+  join components, and classes with more come again with a limit eight times as high, until none has. So a group of
+  similar classes costs a few links a class, not all pairs, and no candidate is left untried but inside a component.
 - Pairs out of these nodes are confirmed on the full sets: 100 * intersection >= 75 * union. Before that only pairs are left out
   whose sizes rule the threshold out, or that agree on fewer than AGREE of SKETCH values (probability 1e-7 at the threshold).
 
@@ -30,6 +37,7 @@ empty one; other columns are not looked at.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -49,11 +57,16 @@ FIRST_AGREE = 3
 #: Least similarity (percent) of a family's members with its center.
 FAMILY = 35
 LEAF = 32
-#: Not read any more: no node branches. A test sets it.
-DEPTH = 0
-BLOCK = 2048
-#: Comparisons of a node beyond which its blocks become tiles of WIDE classes, so that fewer copies of its rows travel.
-COMPARED = 4_000_000
+#: Children of a class in a large node, and levels of branching. TREES * DEPTH * BRANCH of the sketch's values name the children.
+BRANCH = 2
+DEPTH = 4
+#: Share of its parent that a child may keep and still branch.
+DENSE = 0.5
+#: Candidates that a tile offers a class in the first round.
+LIMIT = 2
+#: Classes held, and classes streaming by, in a tile; WIDE for nodes of more than COMPARED comparisons, so that fewer copies of their rows travel.
+BLOCK = 4096
+COMPARED = 1 << 30
 WIDE = 16_384
 #: Sketch values that are looked at first; a pair with fewer than AGREE - (SKETCH - HEAD) among them cannot reach AGREE.
 HEAD = 72
@@ -178,39 +191,53 @@ class _Block:
         self.comp, self.n = np.array([h[1] for h in held]), np.array([h[2] for h in held])
         self.sketch = np.ascontiguousarray(np.stack([h[3] for h in held]).T)
 
-    def like(self, comp, n, sketch) -> list[int]:
-        """The held classes of other components that may reach the threshold with this one."""
+    def like(self, comp, n, sketch, most: int | None = None) -> tuple[list[int], bool]:
+        """The held classes of other components that may reach the threshold with this one, and whether any is left out: with ``most``,
+        the ones that agree on most sketch values."""
         lo = int(np.searchsorted(self.n, -(-n * PERCENT // 100)))
         hi = int(np.searchsorted(self.n, n * 100 // PERCENT, "right"))
         some = (self.sketch[:HEAD, lo:hi] == sketch[:HEAD, None]).sum(0, dtype=np.uint8)
         at = lo + np.flatnonzero((some >= max(0, AGREE - (SKETCH - HEAD))) & (self.comp[lo:hi] != comp))
-        return at[(self.sketch[:, at] == sketch[:, None]).sum(0) >= AGREE].tolist() if len(at) else []
+        if not len(at):
+            return [], False
+        agree = (self.sketch[:, at] == sketch[:, None]).sum(0)
+        at, agree = at[agree >= AGREE], agree[agree >= AGREE]
+        if most is None or len(at) <= most:
+            return at.tolist(), False
+        return at[np.argsort(-agree, kind="stable")[:most]].tolist(), True
 
 
-def _block_pairs(batches):
-    """Rows sorted by (node, block, kind): the block's classes (kind 0) are held, the classes they are compared with (kind 1) stream by."""
-    key, held, block = None, [], None
-    for b in batches:
-        r = _Rows(b, ["node", "block", "kind"])
-        out = set()
-        for k in range(b.num_rows):
-            here = (r.keys[k, 0], r.keys[k, 1])
-            if here != key:
-                key, held, block = here, [], None
-            if r.keys[k, 2] == 0:
-                held.append((r.cls[k], r.comp[k], r.n[k], r.sketch[k]))
-                continue
-            if block is None:
-                if not held:  # no class fell into this block
+def _block_pairs(most: int):
+    """Rows sorted by (node, block, kind): the block's classes (kind 0) are held, the classes they are compared with (kind 1) stream by.
+    Each of these gives at most ``most`` pairs, and a row without b if it has more."""
+
+    def run(batches):
+        key, held, block = None, [], None
+        for b in batches:
+            r = _Rows(b, ["node", "block", "kind"])
+            out = set()
+            for k in range(b.num_rows):
+                here = (r.keys[k, 0], r.keys[k, 1])
+                if here != key:
+                    key, held, block = here, [], None
+                if r.keys[k, 2] == 0:
+                    held.append((r.cls[k], r.comp[k], r.n[k], r.sketch[k]))
                     continue
-                block, held = _Block(held), [True]
-            for i in block.like(r.comp[k], r.n[k], r.sketch[k]):
-                out.add((min(block.cls[i], r.cls[k]), max(block.cls[i], r.cls[k])))
-            if len(out) > 20_000:
+                if block is None:
+                    if not held:  # no class fell into this block
+                        continue
+                    block, held = _Block(held), [True]
+                found, more = block.like(r.comp[k], r.n[k], r.sketch[k], most)
+                out.update((min(block.cls[i], r.cls[k]), max(block.cls[i], r.cls[k])) for i in found)
+                if more:
+                    out.add((r.cls[k], None))
+                if len(out) > 20_000:
+                    yield _pair_batch(out)
+                    out = set()
+            if out:
                 yield _pair_batch(out)
-                out = set()
-        if out:
-            yield _pair_batch(out)
+
+    return run
 
 
 def _node(t, value):
@@ -237,25 +264,56 @@ def _star_pairs(classes: DataFrame, shared: DataFrame) -> DataFrame:
     return pairs.join(two, "b").join(one, "a").where(fits).select("a", "b")
 
 
-def _tree_pairs(classes: DataFrame, shared: DataFrame, family: DataFrame) -> DataFrame:
-    """(a, b): pairs of different components out of all trees, that no family has compared. ``classes``: cls, n, tokens, sketch, comp;
-    ``family``: (center, cls)."""
-    rows = shared.join(classes.select("cls", "comp"), "cls").join(family.withColumn("inside", F.lit(True)), ["center", "cls"], "left").select(
-        "node", "cls", "comp", (F.coalesce("inside", F.lit(False)) | (F.col("center") == F.col("cls"))).alias("inside")
-    )
+def _mixed(rows: DataFrame) -> DataFrame:
+    """The rows of nodes that hold more than one component and a class outside the family, with size and outside of their node."""
     nodes = rows.groupBy("node").agg(
         F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size"), F.count_if(~F.col("inside")).alias("outside")
     ).where("low <> high and outside > 0")
-    mixed = stored(rows.join(nodes.select("node", "size", "outside"), "node"), "paths")
-    facts = classes.select("cls", "n", "sketch")
-    leaf = mixed.where(F.col("size") <= LEAF).join(facts, "cls").repartition("node").sortWithinPartitions("node")
-    pairs = leaf.select("node", "cls", "comp", "inside", "n", "sketch").mapInArrow(_leaf_pairs, "a binary, b binary")
+    return rows.join(nodes.select("node", "size", "outside"), "node")
+
+
+def _children(rows: DataFrame, sketches: DataFrame, depth: int) -> DataFrame:
+    """Every class of these nodes in BRANCH children, named by minwise values that only this tree and depth use."""
+    branched = rows.join(sketches, "cls").withColumn("b", F.explode(F.array(*[F.lit(b) for b in range(BRANCH)])))
+    place = (F.col("t") * DEPTH + depth) * BRANCH + F.col("b")
+    value = F.substr("sketch", (place * 2 + 1).cast("int"), F.lit(2))
+    return branched.select(F.xxhash64("node", "b", value).alias("node"), "t", "cls", "comp", "inside", F.col("size").alias("parent"))
+
+
+def chosen_paths(classes: DataFrame, shared: DataFrame, family: DataFrame) -> DataFrame:
+    """(node, t, cls, inside): the classes of all nodes that have to be compared, small ones and closed ones. ``classes``: cls, n, tokens,
+    sketch, comp; ``family``: (center, cls)."""
+    roots = shared.join(classes.select("cls", "comp"), "cls").join(family.withColumn("inside", F.lit(True)), ["center", "cls"], "left").select(
+        "node", "t", "cls", "comp", (F.coalesce("inside", F.lit(False)) | (F.col("center") == F.col("cls"))).alias("inside"),
+        F.lit(1 << 62).alias("parent"),
+    )
+    level, ends = stored(_mixed(roots), "paths"), []
+    for depth in range(DEPTH):
+        branches = (F.col("size") > LEAF) & (F.col("size") <= F.col("parent") * DENSE)
+        ends.append(level.where(~branches))
+        large = level.where(branches)
+        if large.isEmpty():
+            break
+        level = stored(_mixed(_children(large, classes.select("cls", "sketch"), depth)), "paths")
+    else:
+        ends.append(level)
+    return reduce(DataFrame.unionByName, ends).select("node", "t", "cls", "inside", "size")
+
+
+def _small_pairs(paths: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b): pairs of different components in nodes of at most LEAF classes."""
+    leaf = paths.where(F.col("size") <= LEAF).join(classes, "cls").repartition("node").sortWithinPartitions("node")
+    return leaf.select("node", "cls", "comp", "inside", "n", "sketch").mapInArrow(_leaf_pairs, "a binary, b binary")
+
+
+def _closed_pairs(paths: DataFrame, classes: DataFrame, most: int, again: DataFrame | None = None) -> DataFrame:
+    """(a, b): pairs of different components in larger nodes, at most ``most`` a class and tile; b null for classes that have more. With
+    ``again`` (cls), for these classes only."""
+    rows = paths.where(F.col("size") > LEAF).drop("size").join(classes.select("cls", "comp"), "cls")
+    rows = stored(_mixed(rows).drop("comp"), "closed")
+    tile = F.when(F.col("size") * F.col("outside") > COMPARED, WIDE).otherwise(BLOCK)
     # Tile (p, q) of a node holds the outside classes of part p; all classes of part q stream by.
-    wide = F.col("size") * F.col("outside") > COMPARED
-    told = mixed.where(F.col("size") > LEAF).withColumns({
-        "blocks": F.ceil(F.col("outside") / F.when(wide, WIDE).otherwise(BLOCK)).cast("long"),
-        "lots": F.when(wide, F.ceil(F.col("size") / WIDE)).otherwise(1).cast("long"),
-    }).join(facts, "cls")
+    told = rows.withColumns({"blocks": F.ceil(F.col("outside") / tile).cast("long"), "lots": F.ceil(F.col("size") / tile).cast("long")})
 
     def part(of: str):
         return F.pmod(F.xxhash64("cls"), of)
@@ -264,11 +322,29 @@ def _tree_pairs(classes: DataFrame, shared: DataFrame, family: DataFrame) -> Dat
         return F.explode(F.sequence(F.lit(0).cast("long"), F.col(of) - 1))
 
     own = told.where(~F.col("inside")).withColumns({"p": part("blocks"), "q": each("lots"), "kind": F.lit(0).cast("long")})
-    every = told.withColumns({"p": each("blocks"), "q": part("lots"), "kind": F.lit(1).cast("long")})
-    sent = own.unionByName(every).withColumn("block", F.col("p") * F.col("lots") + F.col("q"))
-    sent = sent.select("node", "block", "kind", "cls", "comp", "inside", "n", "sketch")
-    blocks = sent.repartition("node", "block").sortWithinPartitions("node", "block", "kind").mapInArrow(_block_pairs, "a binary, b binary")
-    return pairs.unionByName(blocks).distinct()
+    every = told if again is None else told.join(again, "cls", "left_semi")
+    every = every.withColumns({"p": each("blocks"), "q": part("lots"), "kind": F.lit(1).cast("long")})
+    sent = own.unionByName(every).withColumn("block", F.col("p") * F.col("lots") + F.col("q")).select("node", "block", "kind", "cls", "inside")
+    sent = sent.join(classes, "cls").repartition("node", "block").sortWithinPartitions("node", "block", "kind")
+    return sent.select("node", "block", "kind", "cls", "comp", "inside", "n", "sketch").mapInArrow(_block_pairs(most), "a binary, b binary")
+
+
+def tree_links(texts: DataFrame, classes: DataFrame, named: DataFrame, shared: DataFrame, family: DataFrame) -> DataFrame:
+    """``named`` (cls, comp) after the links out of all trees."""
+
+    def told():
+        return classes.select("cls", "n", "sketch").join(named, "cls")
+
+    paths = chosen_paths(told(), shared, family)
+    found = stored(_small_pairs(paths, told()).unionByName(_closed_pairs(paths, told(), LIMIT)).distinct(), "candidates")
+    most = LIMIT
+    while True:
+        named = join_components(named, _compare(texts, classes, found.where("b is not null"), False).select("a", "b"))
+        more = found.where("b is null").select(F.col("a").alias("cls"))
+        if more.isEmpty():
+            return named
+        most *= 8
+        found = stored(_closed_pairs(paths, told(), most, more).distinct(), "candidates")
 
 
 # ---------------------------------------------------------------- families
@@ -457,9 +533,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.col("a").alias("center"), F.col("b").alias("cls"), F.col("n_a").alias("n_center"), F.col("n_b").alias("n"), "missing", "extra"
     )
     named = join_components(named, family_links(members, named))
-    told = stored(classes.select("cls", "n", "tokens", "sketch").join(named, "cls"), "classes")
-    pairs = _tree_pairs(told, shared, members.select("center", "cls").distinct())
-    named = join_components(named, _compare(texts, classes, pairs, False).select("a", "b")).withColumnRenamed("comp", "component")
+    named = tree_links(texts, classes, named, shared, members.select("center", "cls").distinct()).withColumnRenamed("comp", "component")
     out = rows.join(named, "cls", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select(

@@ -117,9 +117,12 @@ def test_near_duplicates_threshold_is_inclusive(spark):
     check_near(spark, rows)
 
 
-def test_isolated_pairs_in_large_nodes(spark, monkeypatch):
-    """Pairs of exactly 0.75 (30 of 40 shingles) whose every shared node counts as large, without first links."""
+@pytest.mark.parametrize("dense", [0.5, 1.0])
+def test_isolated_pairs_in_large_nodes(spark, monkeypatch, dense):
+    """Pairs of exactly 0.75 (30 of 40 shingles) whose every shared node counts as large, without first links; with ``dense`` 1, every
+    tree branches all the way."""
     monkeypatch.setattr(neardup, "LEAF", 1)
+    monkeypatch.setattr(neardup, "DENSE", dense)
     monkeypatch.setattr(neardup, "COMPARED", 0)
     monkeypatch.setattr(neardup, "FIRST_AGREE", 13)
     rng = random.Random(17)
@@ -137,6 +140,22 @@ def test_tiles_of_large_nodes(spark, monkeypatch):
     check_near(spark, families(3, 4, 30))
 
 
+def test_groups_in_closed_nodes_link_in_rounds(spark, monkeypatch):
+    """Groups of near copies without first links or families, one candidate a class and round: later rounds find the rest."""
+    for name, value in (("LEAF", 2), ("LIMIT", 1), ("FIRST_AGREE", 13), ("BLOCK", 8), ("AGREE", 20)):
+        monkeypatch.setattr(neardup, name, value)
+    rounds = []
+    real = neardup._closed_pairs
+    monkeypatch.setattr(neardup, "_closed_pairs", lambda paths, classes, most, again=None: rounds.append(most) or real(paths, classes, most, again))
+    check_near(spark, families(3, 4, 30))
+    assert rounds[:2] == [1, 8]
+
+
+def test_trees_share_no_function():
+    places = {(t * neardup.DEPTH + d) * neardup.BRANCH + b for t in range(neardup.TREES) for d in range(neardup.DEPTH) for b in range(neardup.BRANCH)}
+    assert len(places) == neardup.TREES * neardup.DEPTH * neardup.BRANCH and max(places) < neardup.SKETCH
+
+
 def test_held_block_equals_all_pairs(monkeypatch):
     monkeypatch.setattr(neardup, "AGREE", 60)
     rng = np.random.default_rng(3)
@@ -145,7 +164,10 @@ def test_held_block_equals_all_pairs(monkeypatch):
     block = neardup._Block(rows)
     for cls, comp, n, sketch in rows:
         want = {x[0] for x in rows if x[1] != comp and 100 * min(n, x[2]) >= 75 * max(n, x[2]) and (x[3] == sketch).sum() >= 60}
-        assert {block.cls[i] for i in block.like(comp, n, sketch)} == want
+        found, more = block.like(comp, n, sketch)
+        assert {block.cls[i] for i in found} == want and not more
+        found, more = block.like(comp, n, sketch, 2)
+        assert {block.cls[i] for i in found} <= want and len(found) == min(2, len(want)) and more == (len(want) > 2)
 
 
 # ---------------------------------------------------------------- decontamination
