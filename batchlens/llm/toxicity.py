@@ -37,6 +37,8 @@ PREFIXES = (3, 4, 5, 6, 7)
 TIERS = (1.0, 3.0, 5.0)
 NEAR = 5
 TREES, DEPTH, RATE = 20, 4, 0.3
+#: Bytes of text (one text at least) that a task works on at once.
+SLICE = 2 << 20
 
 #: White space and ASCII punctuation without the signs that stand for letters.
 _LOOKALIKE = {ord(a): ord(b) for a, b in zip("0134579@$", "oieastgas")}
@@ -79,22 +81,21 @@ def _document_counts(filter_bits=None):
     """text to (key, documents that have it), a batch at a time; with a filter, of keys that pass it."""
 
     def run(batches):
-        for b in batches:
-            for lo in range(0, b.num_rows, 500):
-                w = _words(b.column(0).slice(lo, 500))
-                doc = np.repeat(np.arange(len(w.bounds) - 1), np.diff(w.bounds)).astype(np.uint64)
-                for keys, valid in _keys(w):
-                    keep = np.ones(len(keys), bool) if valid is None else valid
-                    if filter_bits is not None:
-                        keep = keep & bloom_mask(np.frombuffer(filter_bits.value, np.uint8), keys)
-                    if not keep.any():
-                        continue
-                    k, d = keys[keep], doc[keep]
-                    order = np.lexsort((d, k))
-                    k, d = k[order], d[order]
-                    new = np.concatenate(([True], (k[1:] != k[:-1]) | (d[1:] != d[:-1])))
-                    found, n = np.unique(k[new], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
+        for b in textvec.slices(batches, 0, SLICE):
+            w = _words(b.column(0))
+            doc = np.repeat(np.arange(len(w.bounds) - 1), np.diff(w.bounds)).astype(np.uint64)
+            for keys, valid in _keys(w):
+                keep = np.ones(len(keys), bool) if valid is None else valid
+                if filter_bits is not None:
+                    keep = keep & bloom_mask(np.frombuffer(filter_bits.value, np.uint8), keys)
+                if not keep.any():
+                    continue
+                k, d = keys[keep], doc[keep]
+                order = np.lexsort((d, k))
+                k, d = k[order], d[order]
+                new = np.concatenate(([True], (k[1:] != k[:-1]) | (d[1:] != d[:-1])))
+                found, n = np.unique(k[new], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
 
     return run
 
@@ -194,12 +195,10 @@ def with_features(rows: DataFrame, lexicon) -> DataFrame:
 
     def run(batches):
         lex = make_lexicon(*lexicon.value)
-        for b in batches:
-            for lo in range(0, b.num_rows, 1000):
-                part = b.slice(lo, 1000)
-                x = features(part.column(part.num_columns - 1), lex)
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * len(NAMES)), pa.array(x.ravel()))
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists], [*keep, "features"])
+        for part in textvec.slices(batches, len(keep), SLICE):
+            x = features(part.column(len(keep)), lex)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * len(NAMES)), pa.array(x.ravel()))
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists], [*keep, "features"])
 
     schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in keep)
     return rows.mapInArrow(run, f"{schema}, features array<double>")
@@ -210,7 +209,7 @@ def with_features(rows: DataFrame, lexicon) -> DataFrame:
 
 def _minwise(batches):
     """A text's smallest 5-word shingle, by which copies are put together."""
-    for b in batches:
+    for b in textvec.slices(batches, 2, SLICE):
         w = textvec.words(b.column(2))
         mh = [int(s[0]) if len(s := textvec.shingles(w.hash[x:y], 5)) else 0 for x, y in zip(w.bounds[:-1], w.bounds[1:])]
         yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.array(mh, np.uint64).view(np.int64))], ["doc_id", "toxic", "text", "group"])
@@ -258,17 +257,17 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Model:
     return Model(lexicon, trees, curve, toxic / total)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, score (0 to 1) of every row."""
+def score(docs: DataFrame, model: Model, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The key columns and score (0 to 1) of every row."""
     if model.trees is None:
-        return docs.select("doc_id", F.lit(float(model.share)).alias("score"))
+        return docs.select(*keys, F.lit(float(model.share)).alias("score"))
     sent = docs.sparkSession.sparkContext.broadcast(model.lexicon)
-    x = with_features(docs.select("doc_id", F.col("text").cast("string").alias("text")), sent)
-    raw = model.trees.transform(x.select("doc_id", array_to_vector("features").alias("features"))).select("doc_id", vector_to_array("probability")[1].alias("raw"))
+    x = with_features(docs.select(*keys, F.col("text").cast("string").alias("text")), sent)
+    raw = model.trees.transform(x.select(*keys, array_to_vector("features").alias("features"))).select(*keys, vector_to_array("probability")[1].alias("raw"))
     flat = model.curve.transform(raw)
     # the curve is flat in places; a thousandth of the trees' own score keeps their order there
     mixed = F.col("prediction") * 0.999 + F.col("raw") * 0.001
-    return flat.select("doc_id", F.greatest(F.lit(0.0), F.least(F.lit(1.0), mixed)).alias("score"))
+    return flat.select(*keys, F.greatest(F.lit(0.0), F.least(F.lit(1.0), mixed)).alias("score"))
 
 
 def held_out(doc_id) -> object:
@@ -281,7 +280,8 @@ def fit_on_labels(docs: DataFrame, labels: DataFrame) -> Model:
 
 
 def drop_toxic(docs: DataFrame, model: Model, limit: float = 0.5) -> DataFrame:
-    """The rows that score under ``limit``; all columns as they were."""
-    bad = score(docs, model).where(F.col("score") >= limit).select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")
-
+    """The rows that score under ``limit``; all columns as they were. Of rows that share a doc_id, each is judged by its own text."""
+    text = F.xxhash64(F.col("text").cast("string"))
+    scored = score(docs.select("doc_id", text.alias("text_hash"), "text"), model, ("doc_id", "text_hash"))
+    bad = scored.where(F.col("score") >= limit).select(F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_text")).distinct()
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]) & (F.xxhash64(docs["text"].cast("string")) == bad["bad_text"]), "left_anti")

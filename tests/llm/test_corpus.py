@@ -111,6 +111,17 @@ def test_near_duplicates_edge_rows(spark):
     assert neardup.near_duplicates(docs_of(spark, [])).count() == 0
 
 
+def test_near_duplicates_clashing_names(spark):
+    docs = docs_of(spark, families(2, 3, 5))
+    more = docs
+    for name in ("node", "cls", "comp", "n", "tokens", "sketch", "component_id", "kept", "gone_id"):
+        more = more.withColumn(name, F.lit(name))
+    want = neardup.near_duplicates(docs).orderBy("doc_id").collect()
+    assert neardup.near_duplicates(more).orderBy("doc_id").collect() == want
+    kept = neardup.drop_near_duplicates(more)
+    assert kept.columns == more.columns and {r.doc_id for r in kept.collect()} == {r.doc_id for r in want if r.kept}
+
+
 def test_near_duplicates_threshold_is_inclusive(spark):
     a = [f"t{i}" for i in range(39)]  # 35 shingles; replacing the last word but four shares 30 of 40
     rows = [(1, " ".join(a)), (2, " ".join([*a[:34], "z", *a[35:]]))]
@@ -337,6 +348,31 @@ def test_toxicity_held_out_labels_are_not_learned(spark):
     assert [r.score for r in a] == [r.score for r in b]
 
 
+def test_toxicity_rows_of_one_id_clashing_names_and_long_texts(spark):
+    rows, labels, truth = toxic_rows(4, 600)
+    bad, good = next(t for i, t in rows if truth[i]), next(t for i, t in rows if not truth[i])
+    long = " ".join(good for _ in range(3000))
+    extra = [(-5, bad), (-5, good), (-6, long), (-7, None)]
+    docs = docs_of(spark, rows + extra)
+    for name in ("score", "features", "text_hash", "bad_id", "raw", "prediction"):
+        docs = docs.withColumn(name, F.lit(name))
+    model = toxicity.fit_on_labels(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    kept = toxicity.drop_toxic(docs, model)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.text) for r in kept.where("doc_id in (-5, -6)").collect()) == [(-6, long), (-5, good)]
+
+
+def test_toxicity_slices_change_nothing(monkeypatch):
+    import pyarrow as pa
+
+    lex = toxicity.make_lexicon(np.zeros(0, np.uint64), np.zeros(0))
+    texts = pa.array(["You SHOUT! b4d w0rd", None, "", "fine text " * 500, "why? 12 %x"])
+    whole = toxicity.features(texts, lex)
+    batch = pa.RecordBatch.from_arrays([texts], ["text"])
+    parts = [toxicity.features(b.column(0), lex) for b in textvec.slices([batch], 0, 30)]
+    assert len(parts) > 1 and np.array_equal(np.concatenate(parts), whole)
+
+
 @pytest.mark.parametrize("toxic,share", [(0, 0.0), (1, 1.0)])
 def test_toxicity_one_class(spark, toxic, share):
     docs = docs_of(spark, [(i, f"text {i}") for i in range(20)])
