@@ -14,12 +14,13 @@ further minwise values.
   linked with the center are compared with all members of the family, in blocks, without their sets; a block reports only
   links that join two components.
 - Chosen paths: nodes that still hold more than one component and a class outside their center's family are taken further. Nodes of more
-  than LEAF classes branch: every class goes on to BRANCH children, named by its values of BRANCH minwise functions that only this
+  than LEAF classes and FEW outside ones branch: every class goes on to BRANCH children, named by its values of BRANCH minwise functions that only this
   tree and depth use (no two trees or depths share one). Children branch again, down to DEPTH. A pair at similarity t stays together in
   a tree that branches all the way with probability t * (1 - (1 - t) ** BRANCH) ** DEPTH, 0.58 at 0.75, so TREES independent trees miss
   it with probability 3e-5 (about 0 at 0.9). Trees that stop earlier miss less.
 - Small nodes (at most LEAF classes) are compared exhaustively. A child that keeps more than DENSE of its parent holds classes too similar for
-  branching to part them; it, and what is large at DEPTH, is closed and compared in tiles, the classes outside the family against all.
+  branching to part them; it, a node with at most FEW classes outside the family, and what is large at DEPTH, is closed and compared in
+  tiles, the classes outside the family against all.
   A tile offers every class its LIMIT most similar classes of other components and says where it has more; confirmed links
   join components, and classes with more come again with a limit eight times as high, until none has. So a group of
   similar classes costs a few links a class, not all pairs, and no candidate is left untried but inside a component.
@@ -57,6 +58,8 @@ FIRST_AGREE = 3
 #: Least similarity (percent) of a family's members with its center.
 FAMILY = 35
 LEAF = 32
+#: Outside classes up to which a large node is compared as it is: no class meets more of them there, so this stays linear.
+FEW = 256
 #: Children of a class in a large node, and levels of branching. TREES * DEPTH * BRANCH of the sketch's values name the children.
 BRANCH = 2
 DEPTH = 4
@@ -289,7 +292,7 @@ def chosen_paths(classes: DataFrame, shared: DataFrame, family: DataFrame) -> Da
     )
     level, ends = stored(_mixed(roots), "paths"), []
     for depth in range(DEPTH):
-        branches = (F.col("size") > LEAF) & (F.col("size") <= F.col("parent") * DENSE)
+        branches = (F.col("size") > LEAF) & (F.col("outside") > FEW) & (F.col("size") <= F.col("parent") * DENSE)
         ends.append(level.where(~branches))
         large = level.where(branches)
         if large.isEmpty():

@@ -97,6 +97,7 @@ def test_near_duplicates_equal_brute_force(spark):
 def test_near_duplicates_branch_and_blocks(spark, monkeypatch, first_agree):
     monkeypatch.setattr(neardup, "LEAF", 3)
     monkeypatch.setattr(neardup, "DEPTH", 1)
+    monkeypatch.setattr(neardup, "FEW", 0)
     monkeypatch.setattr(neardup, "BLOCK", 4)
     monkeypatch.setattr(neardup, "COMPARED", 100)
     monkeypatch.setattr(neardup, "FIRST_AGREE", first_agree)
@@ -134,6 +135,7 @@ def test_isolated_pairs_in_large_nodes(spark, monkeypatch, dense):
     tree branches all the way."""
     monkeypatch.setattr(neardup, "LEAF", 1)
     monkeypatch.setattr(neardup, "DENSE", dense)
+    monkeypatch.setattr(neardup, "FEW", 0)
     monkeypatch.setattr(neardup, "COMPARED", 0)
     monkeypatch.setattr(neardup, "FIRST_AGREE", 13)
     rng = random.Random(17)
@@ -146,14 +148,14 @@ def test_isolated_pairs_in_large_nodes(spark, monkeypatch, dense):
 
 
 def test_tiles_of_large_nodes(spark, monkeypatch):
-    for name, value in (("LEAF", 3), ("COMPARED", 100), ("WIDE", 4), ("FIRST_AGREE", 13)):
+    for name, value in (("LEAF", 3), ("FEW", 0), ("COMPARED", 100), ("WIDE", 4), ("FIRST_AGREE", 13)):
         monkeypatch.setattr(neardup, name, value)
     check_near(spark, families(3, 4, 30))
 
 
 def test_groups_in_closed_nodes_link_in_rounds(spark, monkeypatch):
     """Groups of near copies without first links or families, one candidate a class and round: later rounds find the rest."""
-    for name, value in (("LEAF", 2), ("LIMIT", 1), ("FIRST_AGREE", 13), ("BLOCK", 8), ("AGREE", 20)):
+    for name, value in (("LEAF", 2), ("FEW", 4), ("LIMIT", 1), ("FIRST_AGREE", 13), ("BLOCK", 8), ("AGREE", 20)):
         monkeypatch.setattr(neardup, name, value)
     rounds = []
     real = neardup._closed_pairs
