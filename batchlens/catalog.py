@@ -710,6 +710,69 @@ def q_rules_low(adapter: str) -> Query:
     return run
 
 
+SEEN_COLS = ["trip_distance", "passenger_count", "vendor_id", "ratecode_id", "store_flag"]
+
+
+def q_seen_before(adapter: str) -> Query:
+    """Batches of the later half of the time against the fingerprints of the earlier half."""
+
+    def run(spark, sf):
+        from batchlens.sources.fingerprints import Fingerprints
+
+        b, spec = _batched(spark, sf, adapter)
+        k = F.col(spec.batch_col)
+        b = kept_table(b.select(k, *SEEN_COLS), "batches")
+        lo, hi = b.agg(F.min(k), F.max(k)).first()
+        middle = F.lit(lo + (hi - lo) // 2)
+        seen = Fingerprints(spark, f"{ensure_checkpoint_dir(spark)}/fingerprints-{uuid.uuid4().hex}", SEEN_COLS, 16)
+        seen.add(b.where(k <= middle))
+        return seen.compare(b.where(k > middle), [spec.batch_col])
+
+    return run
+
+
+def sql_seen_before(adapter: str) -> str:
+    spec = _SPECS[adapter]
+    k, cols = spec.batch_col, ", ".join(SEEN_COLS)
+    same = " and ".join(f"o.{c} is not distinct from n.{c}" for c in SEEN_COLS)
+    return f"""with {S.batched_ctes(adapter, spec)},
+mid as (select min({k}) + cast((max({k}) - min({k})) // 2 as integer) m from bb),
+old as (select distinct {cols} from bb where {k} <= (select m from mid)),
+new as (select {k}, {cols}, count(*) c from bb where {k} > (select m from mid) group by all),
+told as (select n.*, exists (select 1 from old o where {same}) seen from new n)
+select {k}, cast(sum(c) as bigint) row_count, cast(sum(case when seen then c else 0 end) as bigint) seen_rows,
+  count(*) filter (where not seen) new_rows from told group by {k}"""
+
+
+def q_closed_weeks(adapter: str) -> Query:
+    """The trips landed as files and streamed; weeks that the watermark closed."""
+
+    def run(spark, sf):
+        from batchlens.streaming.stream import write_closed_weeks
+
+        spec, root = _SPECS[adapter], f"{ensure_checkpoint_dir(spark)}/landed-{uuid.uuid4().hex}"
+        rows = ADAPTERS[adapter](spark, sf).na.drop(subset=[spec.event_ts, spec.end_ts])  # as batches are cut
+        rows = rows.unionByName(rows.where("event_id % 50 = 0"))
+        rows.write.parquet(f"{root}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{root}/in")
+        write_closed_weeks(stream, spec, f"{root}/out", f"{root}/state")
+        return spark.read.parquet(f"{root}/out")
+
+    return run
+
+
+def sql_closed_weeks(adapter: str) -> str:
+    spec = _SPECS[adapter]
+    doubled = f"(select * from ({adapter_sql(adapter)}) a union all select * from ({adapter_sql(adapter)}) b where event_id % 50 = 0)"
+    counts = [
+        "batch_start", "row_count", "missing_total", "duplicate_count", "negative_trip_distance_count", "negative_target_count",
+        "invalid_duration_count", "invalid_coordinate_count",
+    ]
+    profile = S.quality_profile_sql(adapter, spec, _RAW[adapter]).replace(f"({adapter_sql(adapter)})", doubled)
+    return f"""select {', '.join(counts)} from ({profile}) q
+where batch_start + interval 7 days <= (select max({spec.event_ts}) - interval 1 day from ({adapter_sql(adapter)}) t where {spec.end_ts} is not null)"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "a9_quality_profile_li": q_quality("trips_li"),
@@ -760,6 +823,8 @@ def queries() -> dict[str, Query]:
         "x1_parse_timestamps": q_parse_timestamps("trips_ev"),
         "s2_lenient_load": q_lenient_load("trips_ev"),
         "s1_csv_trips": q_csv_trips("trips_ev"),
+        "u2_seen_before_li_dup": q_seen_before("trips_li_dup"),
+        "m8_closed_weeks_ev": q_closed_weeks("trips_ev"),
         "l1_tree_learns": q_learns("trips_signal", "tree"),
         "l3_boost_learns": q_learns("trips_signal", "boost"),
         "l5_mlp_learns": q_learns("trips_signal", "mlp"),
@@ -821,6 +886,8 @@ def oracle_sql() -> dict[str, str]:
         "x1_parse_timestamps": f"select event_id, pickup_ts from ({sql_lenient_load('trips_ev')}) t",
         "s2_lenient_load": sql_lenient_load("trips_ev"),
         "s1_csv_trips": sql_csv_trips("trips_ev"),
+        "u2_seen_before_li_dup": sql_seen_before("trips_li_dup"),
+        "m8_closed_weeks_ev": sql_closed_weeks("trips_ev"),
         "l1_tree_learns": sql_learns("trips_signal"),
         "l3_boost_learns": sql_learns("trips_signal"),
         "l5_mlp_learns": sql_learns("trips_signal"),

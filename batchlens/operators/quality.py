@@ -30,6 +30,26 @@ def _row_groups(batched: DataFrame, key: str, cols: list[str]) -> DataFrame:
     return batched.groupBy(key, *cols).agg(F.count(F.lit(1)).alias("__n"))
 
 
+def count_columns(df: DataFrame, spec: TableSpec, cols: list[str]) -> list[Column]:
+    """The profile's counts over rows with their multiplicity ``__n``; missing cells are counted in ``cols``."""
+    n = F.col("__n")
+
+    def count_where(cond: Column) -> Column:
+        return F.sum(F.when(cond, n).otherwise(F.lit(0).cast("long"))).cast("long")
+
+    dur = F.col(spec.duration_col)
+    none = F.lit(False)
+    return [
+        F.sum(n).cast("long").alias("row_count"),
+        F.sum(null_cells(cols) * n).cast("long").alias("missing_total"),
+        F.sum(n - 1).cast("long").alias("duplicate_count"),
+        count_where(F.col(spec.distance) < 0 if spec.distance in df.columns else none).alias("negative_trip_distance_count"),
+        count_where(F.col(spec.target) < 0).alias("negative_target_count"),
+        count_where(dur.isNull() | (dur <= 0)).alias("invalid_duration_count"),
+        count_where(invalid_coordinates(df, spec) if _has_coordinates(df, spec) else none).alias("invalid_coordinate_count"),
+    ]
+
+
 def quality_profile(batched: DataFrame, spec: TableSpec) -> DataFrame:
     """A9 for every batch of ``batched`` (rows keyed by ``spec.batch_col``).
 
@@ -40,22 +60,8 @@ def quality_profile(batched: DataFrame, spec: TableSpec) -> DataFrame:
     raw_cols = [c for c in batched.columns if c != key]
     df = make_time_features(_row_groups(batched, key, raw_cols), spec)
     cols = raw_cols + [c for c in spec.generated if c not in raw_cols]
-    n = F.col("__n")
-
-    def count_where(cond: Column) -> Column:
-        return F.sum(F.when(cond, n).otherwise(F.lit(0))).cast("long")
-
+    counts = df.groupBy(key).agg(*count_columns(df, spec, cols))
     dist = spec.distance if spec.distance in df.columns else None
-    dur = F.col(spec.duration_col)
-    counts = df.groupBy(key).agg(
-        F.sum(n).cast("long").alias("row_count"),
-        F.sum(null_cells(cols) * n).cast("long").alias("missing_total"),
-        F.sum(n - 1).cast("long").alias("duplicate_count"),
-        (count_where(F.col(dist) < 0) if dist else F.lit(0)).cast("long").alias("negative_trip_distance_count"),
-        count_where(F.col(spec.target) < 0).alias("negative_target_count"),
-        count_where(dur.isNull() | (dur <= 0)).alias("invalid_duration_count"),
-        (count_where(invalid_coordinates(df, spec)) if _has_coordinates(df, spec) else F.lit(0)).cast("long").alias("invalid_coordinate_count"),
-    )
     wants = {"target_q99": (spec.target, 0.99), "duration_q99": (spec.duration_col, 0.99)}
     if dist:
         wants["trip_distance_q99"] = (dist, 0.99)

@@ -8,6 +8,8 @@ batch was learned, and the update step learns the later rows and profiles the wh
 
 ``quality_stream`` (M8): the per-batch quality counts as a streaming aggregation over weekly event-time
 windows (Monday start) with a watermark, for sources that never stop.
+
+``closed_weeks`` (M8): the exact counts, duplicates among them, of every week that the watermark has closed.
 """
 
 from __future__ import annotations
@@ -17,7 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from batchlens.functions.exprs import period_start
-from batchlens.operators.quality import invalid_coordinates, null_cells
+from batchlens.operators.features import make_time_features
+from batchlens.operators.quality import count_columns, invalid_coordinates, null_cells
 from batchlens.models.registry import committed
 from batchlens.plans.train import load_source
 from batchlens.plans.update import process_next_batch
@@ -125,3 +128,37 @@ def quality_stream(stream: DataFrame, spec: TableSpec, watermark: str = "1 day",
         )
     )
     return out.select(F.to_date("week.start").alias(spec.batch_col), *[c for c in out.columns if c != "week"])
+
+
+def closed_weeks(stream: DataFrame, spec: TableSpec, watermark: str = "1 day") -> DataFrame:
+    """M8: a row for each week that the watermark has passed, for append mode. Its counts equal those of ``quality_profile``.
+
+    Two aggregations follow each other. The first is keyed by (week, whole row), NULL = NULL, and holds how often a row came: state is one entry
+    for each distinct row of the weeks still open, spread by the row's hash, so a hot week is no hot task. The second adds up a week's
+    rows when the first lets them go. Both drop a week's state as it closes; a row later than that is left out. Rows without an event
+    time are in no week."""
+    cols = list(stream.columns)
+    timed = stream.withColumn("__ts", F.col(spec.event_ts).cast("timestamp")).withWatermark("__ts", watermark)
+    week = F.window("__ts", "7 days", "7 days", "4 days").alias("week")
+    rows = make_time_features(timed.groupBy(week, *cols).agg(F.count(F.lit(1)).alias("__n")), spec)
+    out = rows.groupBy("week").agg(*count_columns(rows, spec, cols + [c for c in spec.generated if c not in cols]))
+    return out.select(F.to_date("week.start").alias(spec.batch_col), *[c for c in out.columns if c != "week"])
+
+
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def write_closed_weeks(stream: DataFrame, spec: TableSpec, out: str, checkpoint: str, watermark: str = "1 day"):
+    """Append what ``closed_weeks`` gives of all that has landed to Parquet files in ``out``; the finished query. State is kept in RocksDB, on the
+    executors' disks, with its changes under ``checkpoint``, so a lost executor's state is rebuilt."""
+    conf = stream.sparkSession.conf
+    before = conf.get(STATE_STORE, None)
+    conf.set(STATE_STORE, ROCKSDB)
+    try:
+        told = closed_weeks(stream, spec, watermark).writeStream.outputMode("append").format("parquet")
+        query = told.option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
+    finally:
+        conf.unset(STATE_STORE) if before is None else conf.set(STATE_STORE, before)
+    return query

@@ -9,7 +9,7 @@ from batchlens.plans.train import train_models
 from batchlens.sources.fixtures import trips_ev
 from batchlens.sources.store import LEDGER, UPDATES
 from batchlens.spec import TRIPS_EV
-from batchlens.streaming.stream import StreamStore, quality_stream, run_stream
+from batchlens.streaming.stream import StreamStore, quality_stream, run_stream, write_closed_weeks
 
 from conftest import SF01
 from test_pipeline import SMALL
@@ -118,3 +118,37 @@ def test_quality_stream_figures(spark, tmp_path):
             assert g[c] == w[c], c
         for c in ("target_q99", "duration_q99", "trip_distance_q99"):
             assert abs(g[c] - w[c]) <= 0.05 * abs(w[c]) + 1e-6, c
+
+
+def test_closed_weeks_are_exact_and_leave_no_state(spark, tmp_path):
+    """Every row of some weeks twice, half of the copies in a later file: closed weeks equal the batch profile, and their state is gone."""
+    from batchlens.operators.quality import quality_profile
+
+    spec = TRIPS_EV
+    rows = trips_ev(spark, SF01)
+    rows = rows.unionByName(rows.where("event_id % 5 = 0")).withColumn("batch_start", period_start("pickup_ts"))
+    weeks = [r[0] for r in rows.select("batch_start").distinct().orderBy(1).collect()]
+    landing = str(tmp_path / "landing")
+
+    def run():
+        st = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landing)
+        return write_closed_weeks(st, spec, str(tmp_path / "out"), str(tmp_path / "ck"))
+
+    raw = rows.drop("batch_start")
+    schema = raw.schema
+    for w in weeks[:2]:  # a file for each half of the week, the copies apart from their rows
+        part = raw.where(F.col("pickup_ts").between(F.lit(w), F.lit(w) + F.expr("interval 7 days"))).where(period_start("pickup_ts") == F.lit(w))
+        part.where("event_id % 2 = 0").coalesce(1).write.mode("append").parquet(landing)
+        run()
+        part.where("event_id % 2 = 1").coalesce(1).write.mode("append").parquet(landing)
+        run()
+    raw.where(period_start("pickup_ts") == F.lit(weeks[3])).limit(1).coalesce(1).write.mode("append").parquet(landing)
+    q = run()
+    got = {r["batch_start"]: r for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    want = {r["batch_start"]: r for r in quality_profile(rows.where(F.col("batch_start").isin(weeks[:2])), spec).collect()}
+    assert set(got) == set(weeks[:2])
+    for k, w in want.items():
+        assert w["duplicate_count"] > 0
+        assert got[k].asDict() == {c: w[c] for c in got[k].asDict()}
+    held = [op["numRowsTotal"] for op in q.lastProgress["stateOperators"]]
+    assert max(held) <= 1  # the one row of the week still open
