@@ -11,7 +11,7 @@ consecutive words of a piece; all is counted for each language on its own.
 
 As a phrase cannot be more frequent than its parts, no frequent phrase is missed when the passes are closed, whatever the sample was. Proposals are
 passed on as Bloom filters of a fixed size: a false positive (or a full filter) only makes a pass count more, and since a pass skips exactly what
-the filters of the pass before let through, every phrase is counted once and whole.
+the pass before came to through its filters, from the words on, every phrase is counted once and whole.
 
 Tasks work on slices of about SLICE bytes of text (long texts are cut between pieces, or between words with the last words carried over), count in
 numpy and send a row for each distinct phrase of a slice, so a common phrase is a row a slice; Spark adds them up by phrase, and only frequent phrases
@@ -128,8 +128,9 @@ def _step(h: np.ndarray, nxt: np.ndarray) -> np.ndarray:
 
 
 def _count(old, new, max_words: int):
-    """Text, lang to (lang, k, phrase, c): k = 1 the words and k = 0 the number of all words (first pass, ``old`` None), and k-word phrases whose parts
-    of k - 1 words pass the filters ``new`` (all, if None) but not both the filters ``old``. A filter a phrase length, from 1."""
+    """Text, lang to (lang, k, phrase, c): k = 1 the words and k = 0 the number of all words (first pass, ``old`` None), and the k-word phrases that the
+    filters ``new`` (None: all) let through and ``old`` did not: both parts of k - 1 words are in the filter, and so on down to the words. A filter a
+    phrase length, from 1. A part that is in the old filter by chance, while a word of it is not, was never reached, nor was any phrase around it."""
 
     def run(batches):
         allowed = None if new is None else [np.frombuffer(x, np.uint8) for x in new.value]
@@ -143,10 +144,13 @@ def _count(old, new, max_words: int):
                 yield _rows(lang, 1, s.words, counts)
                 yield _rows(lang, 0, pa.array([""]), np.array([s.n - carried]))
             at, codes, hashes, phrases = np.arange(s.n), s.codes, s.hash, s.words
+            counted = np.full(s.n, before is not None)  # of the phrases at ``at``: whether the old pass came to them
             for k in range(2, max_words + 1):
                 # the phrases of k - 1 words that begin at ``at``: codes into (hashes, phrases)
                 mine = np.full(s.n, -1)
                 mine[at] = codes
+                reached = np.zeros(s.n, bool)
+                reached[at] = counted
                 begin = at[at + k - 1 < s.n]
                 begin = begin[s.follows[begin + k - 2]]
                 begin = begin[mine[begin + 1] >= 0]
@@ -158,7 +162,7 @@ def _count(old, new, max_words: int):
                     wanted = ok[left] & ok[right]
                 if before is not None:
                     was = bloom_mask(before[k - 2], _key(hashes, lang, k - 1))
-                    counted = was[left] & was[right]
+                    counted = was[left] & was[right] & reached[begin] & reached[begin + 1]
                 begin, left, counted = begin[wanted], left[wanted], counted[wanted]
                 if not len(begin):
                     break

@@ -284,6 +284,33 @@ def test_counts_of_texts_in_slices(monkeypatch, size):
     assert got == brute_counts(rows)[0]
 
 
+def test_phrases_that_a_filter_holds_by_chance():
+    """The old pass did not come to "a b" (it has no "a"), though its filter holds "a b" by chance: the next pass counts "a b c"."""
+
+    def keys(*phrases):
+        batch = pa.RecordBatch.from_arrays([pa.array(["en"] * len(phrases)), pa.array([len(p.split()) for p in phrases]), pa.array(phrases)], ["lang", "k", "phrase"])
+        return next(collocations._phrase_keys([batch])).column("key").to_numpy().view(np.uint64)
+
+    class Sent:
+        def __init__(self, *filters):
+            self.value = []
+            for phrases in filters:
+                bits = np.zeros(collocations.BLOOM_BITS // 8, np.uint8)
+                for h in keys(*phrases).tolist():
+                    for p in (h % collocations.BLOOM_BITS, (h >> 32) % collocations.BLOOM_BITS):
+                        bits[p >> 3] |= 1 << (p & 7)
+                self.value.append(bits.tobytes())
+
+    batch = pa.RecordBatch.from_arrays([pa.array(["a b c. b c d"]), pa.array(["en"])], ["text", "lang"])
+    first = Sent(["b", "c", "d"], ["a b", "b c", "c d"])
+    second = Sent(["a", "b", "c", "d"], ["a b", "b c", "c d"])
+    got = Counter()
+    for old, new in ((None, first), (first, second)):
+        for b in collocations._count(old, new, 3)([batch]):
+            got.update({r["phrase"]: r["c"] for r in b.to_pylist() if r["k"]})
+    assert got == Counter({"a": 1, "b": 2, "c": 2, "d": 1, "a b": 1, "b c": 2, "c d": 1, "a b c": 1, "b c d": 1})
+
+
 def test_scores_past_64_bits(spark):
     big = 9_000_000_000
     counts = spark.createDataFrame([("en", 1, "a", big), ("en", 1, "b", big), ("en", 2, "a b", big - 1)], "lang string, k int, phrase string, c long")
