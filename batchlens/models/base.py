@@ -12,10 +12,15 @@ from pyspark.sql import functions as F
 
 from batchlens.functions.quantiles import quantiles
 from batchlens.operators.preprocess import MISSING, FitStats, cat_text
+from batchlens.session import kept_table
 
 PFX = "__x_"
 FEATURES = "__features"
 PREDICTION = "prediction"
+#: Rows of a file of a table that a fit reads in many passes, from SPREAD_FROM rows on, and the most files.
+FILE_ROWS = 20_000
+SPREAD_FROM = 100_000
+FILES = 480
 
 
 def feature_exprs(df: DataFrame, st: FitStats, mode: str) -> dict[str, Column]:
@@ -39,6 +44,14 @@ def with_features(df: DataFrame, st: FitStats, mode: str) -> DataFrame:
     return df.withColumns(feature_exprs(df, st, mode))
 
 
+def spread(df: DataFrame, what: str) -> DataFrame:
+    """The rows stored once for many passes. A table that comes out of a shuffle has few files of uneven size, and a file is one task whatever the number
+    of cores; a larger one is dealt row by row over many even files, which Spark puts together to as many even tasks as there are cores."""
+    held = kept_table(df, what)
+    rows = held.count()
+    return held if rows < SPREAD_FROM else kept_table(held.repartition(min(FILES, rows // FILE_ROWS)), what)
+
+
 def drop_internal(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("__")])
 

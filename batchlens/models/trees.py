@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from batchlens.models.base import (
     FEATURES,
+    PFX,
     PREDICTION,
     drop_internal,
     feature_stages,
@@ -19,6 +20,7 @@ from batchlens.models.base import (
     load_json,
     max_bins,
     save_json,
+    spread,
     with_features,
 )
 from batchlens.models.treefiles import merged, pruned
@@ -99,7 +101,7 @@ class BoostModel:
     @classmethod
     def fit(cls, df: DataFrame, spec: TableSpec, params: dict, stats: FitStats | None = None) -> "BoostModel":
         st = stats or fit_stats(df, spec)
-        frame = with_features(df, st, "boost")
+        frame = spread(with_features(df, st, "boost").select(*[PFX + c for c in st.numerical + st.categorical], spec.target), "boost-rows")
         stages = feature_stages(st, one_hot=False) + [cls._gbt(spec, st, params, spec.target)]
         return cls(spec, dict(params), st, fit_pipeline(stages, frame))
 
