@@ -19,9 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from batchlens.models.base import PFX, PREDICTION, load_json, save_json, with_features
+from batchlens.models.base import PFX, PREDICTION, load_json, save_json, spread, with_features
 from batchlens.operators.preprocess import FitStats, fit_stats
-from batchlens.session import kept_table
 from batchlens.spec import TableSpec
 
 SEED = 42
@@ -68,15 +67,16 @@ def forward(ws: list[np.ndarray], x: np.ndarray) -> tuple[np.ndarray, list[np.nd
     h = x
     n_layers = len(ws) // 2
     for i in range(n_layers):
-        h = h @ ws[2 * i] + ws[2 * i + 1]
+        h = h @ ws[2 * i]
+        h += ws[2 * i + 1]
         if i < n_layers - 1:
-            h = np.maximum(h, 0.0)
+            np.maximum(h, 0.0, out=h)
         acts.append(h)
     return h[:, 0], acts
 
 
 class Adam:
-    """Weights with their moments; ``steps`` takes mini-batch steps on squared loss + L2."""
+    """Weights with their moments; ``steps`` takes mini-batch steps on squared loss + L2, in place."""
 
     def __init__(self, ws, m, v, t, params: dict):
         self.ws, self.m, self.v, self.t = ws, m, v, t
@@ -84,25 +84,41 @@ class Adam:
 
     @classmethod
     def start(cls, ws, params):
-        return cls(ws, [np.zeros_like(w) for w in ws], [np.zeros_like(w) for w in ws], 0.0, params)
+        return cls([w.copy() for w in ws], [np.zeros_like(w) for w in ws], [np.zeros_like(w) for w in ws], 0.0, params)
 
     def steps(self, x: np.ndarray, y: np.ndarray, rng) -> None:
         order = rng.permutation(len(x))
         layers = len(self.ws) // 2
+        room = [(np.empty_like(w), np.empty_like(w)) for w in self.ws]
         for at in range(0, len(x), self.size):
             pick = order[at : at + self.size]
             out, acts = forward(self.ws, x[pick])
             delta = ((out - y[pick]) / len(pick))[:, None]
             self.t += 1
+            one, two = 1 - 0.9**self.t, 1 - 0.999**self.t
             for i in range(layers - 1, -1, -1):
-                grads = (acts[i].T @ delta + self.alpha * self.ws[2 * i] / len(pick), delta.sum(axis=0))
+                decay = self.alpha * self.ws[2 * i]
+                decay /= len(pick)
+                decay += acts[i].T @ delta
+                grads = (decay, delta.sum(axis=0))
                 if i > 0:
-                    delta = (delta @ self.ws[2 * i].T) * (acts[i] > 0)
+                    delta = delta @ self.ws[2 * i].T
+                    delta *= acts[i] > 0
                 for j, g in zip((2 * i, 2 * i + 1), grads):
-                    self.m[j] = 0.9 * self.m[j] + 0.1 * g
-                    self.v[j] = 0.999 * self.v[j] + 0.001 * g * g
-                    step = (self.m[j] / (1 - 0.9**self.t)) / (np.sqrt(self.v[j] / (1 - 0.999**self.t)) + 1e-8)
-                    self.ws[j] = self.ws[j] - self.lr * step
+                    w, m, v, (a, b) = self.ws[j], self.m[j], self.v[j], room[j]
+                    m *= 0.9
+                    m += np.multiply(g, 0.1, out=a)
+                    v *= 0.999
+                    np.multiply(g, 0.001, out=a)
+                    a *= g
+                    v += a
+                    # w - lr * (m / one) / (sqrt(v / two) + 1e-8)
+                    np.sqrt(np.divide(v, two, out=a), out=a)
+                    a += 1e-8
+                    np.divide(m, one, out=b)
+                    b /= a
+                    b *= self.lr
+                    w -= b
 
     def flat(self) -> np.ndarray:
         return np.concatenate([a.ravel() for part in (self.ws, self.m, self.v) for a in part] + [np.array([self.t])])
@@ -178,7 +194,7 @@ def design_rows(df: DataFrame, st: FitStats, spec: TableSpec, validation: float)
     cols = [PFX + c for c in st.numerical + st.categorical]
     rows = with_features(df, st, "mlp").where(F.col(spec.target).isNotNull()).select(*cols, F.col(spec.target).cast("double").alias("__y"))
     bucket = F.pmod(F.xxhash64(*rows.columns), F.lit(1000))
-    return kept_table(rows.withColumn("__v", bucket < int(validation * 1000)), "mlp-rows")
+    return spread(rows.withColumn("__v", bucket < int(validation * 1000)), "mlp-rows")
 
 
 def one_round(frame: DataFrame, states: dict[int, Adam], st: FitStats, rnd: int, train: bool):
