@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from batchlens.llm import textvec
-from batchlens.llm.shared import bloom, bloom_mask, stored
+from batchlens.llm.shared import bloom, bloom_mask, small_batches, stored
 
 #: Places of a window that a seed looks at. The first tolerates nothing within it; the others skip places.
 MASKS = ((0, 1, 2, 3, 4), (0, 1, 3, 4, 6, 7), (0, 2, 3, 5, 7), (0, 1, 4, 6, 7), (0, 3, 4, 5, 8), (0, 1, 2, 5, 6))
@@ -131,6 +131,7 @@ def _verify(batches):
 def find_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, start_word, n_words, n_equal: the documents that hold benchmark passages."""
     spark = docs.sparkSession
+    small_batches(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("key"), F.col("text").cast("string"))
     raw = benchmark.where(F.col("item_id").isNotNull()).select(F.col("item_id").cast("long").alias("id"), F.lit(0).cast("long").alias("key"), F.col("text").cast("string"))
     items = raw.mapInArrow(_word_rows, "id long, key long, words array<long>")

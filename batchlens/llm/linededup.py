@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from batchlens.llm import textvec
-from batchlens.llm.shared import stored
+from batchlens.llm.shared import small_batches, stored
 
 MIN_WORDS = 30
 
@@ -197,6 +197,7 @@ def _align(least: int):
 
 def find_repeats(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """id, key, gone (places, among the lines with words, to delete) of the documents that repeat earlier ones."""
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), _key().alias("key"), F.col("text").cast("string"))
     lines = stored(texts.mapInArrow(_line_rows(least), _LINES).where(F.size("lines") > 0), "lines")
     own = F.struct("id", "key")

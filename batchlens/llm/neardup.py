@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from batchlens.llm import textvec
-from batchlens.llm.shared import bloom, bloom_mask, stored
+from batchlens.llm.shared import bloom, bloom_mask, small_batches, stored
 
 WIDTH = 5
 PERCENT = 75
@@ -520,6 +520,7 @@ def join_components(named: DataFrame, links: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row."""
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = stored(texts.mapInArrow(_sketches, "doc_id long, n int, cls binary, tokens array<long>, sketch binary"), "sketches")
     linked = rows.where(F.col("cls").isNotNull() & F.col("doc_id").isNotNull())

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from batchlens.llm import textvec
+from batchlens.llm.shared import small_batches
 from batchlens.llm.tokens import Table, ends_check
 
 MARK = "▁"
@@ -37,7 +38,7 @@ TABLE_IDS = 4_000_000
 PAIRS = 1 << 20
 _NO_PAIR = (1 << 64) - 1
 #: Bytes of text that are worked on at once.
-SLICE = 2 << 20
+SLICE = 1 << 20
 _UNITS = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
 
 #: Bytes as they are, spaces 0; line feeds stand alone.
@@ -253,6 +254,7 @@ def encode_pieces(docs: DataFrame, path: str) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(bounds)), lists, pa.array(same)], ["doc_id", "n_pieces", "ids", "round_trip"])
 
+    small_batches(docs.sparkSession)
     out = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_pieces long, ids array<int>, round_trip boolean"
     return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, out)
 

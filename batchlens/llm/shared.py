@@ -34,6 +34,19 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of an Arrow batch that goes to a worker. Spark's own bound is 256 MB and 10,000 rows, tens of MB of whole texts, held several times by
+#: executor and worker alike.
+BATCH_BYTES = 4 << 20
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Texts go to the workers in batches of about BATCH_BYTES, one row at least, unless the session has a bound of its own. A setting of the
+    session, as a returned DataFrame runs later."""
+    if spark.conf.get(BATCH_CONF, None) is None:
+        spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
+
+
 def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -6,6 +6,7 @@ through in slices of about SLICE bytes that end between words, so memory is boun
 
 from __future__ import annotations
 
+import ctypes
 from typing import NamedTuple
 
 import numpy as np
@@ -156,8 +157,18 @@ def words(column, table: np.ndarray = WORDS, prefix_bytes: tuple = (), parts: np
     )
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+
+
+def release() -> None:
+    """Freed memory goes back to the system. Otherwise a worker process, which lives on for all later tasks, keeps what its largest slice took."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def slices(batches, text: int, most: int = 4 << 20):
-    """Arrow batches in slices of about ``most`` bytes of text, one text at least."""
+    """Arrow batches in slices of about ``most`` bytes of text, one text at least. What a slice took is released after it."""
     for batch in batches:
         _, offsets = text_bytes(batch.column(text))
         at = 0
@@ -165,6 +176,7 @@ def slices(batches, text: int, most: int = 4 << 20):
             end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1)
             yield batch.slice(at, end - at)
             at = end
+            release()
 
 
 def constants(n: int, seed: int = 1) -> np.ndarray:

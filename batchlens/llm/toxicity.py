@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from batchlens.llm import textvec
-from batchlens.llm.shared import bloom, bloom_mask, stored
+from batchlens.llm.shared import bloom, bloom_mask, small_batches, stored
 
 TRAIN_ROWS = 24_000
 LEXICON = 50_000
@@ -237,6 +237,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) ->
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Model:
     spark = docs.sparkSession
+    small_batches(spark)
     rows = training_rows(docs, labels, most)
     n = {(r["part"], r["toxic"]): r["count"] for r in rows.groupBy("part", "toxic").count().collect()}
     toxic, total = sum(k for (_, t), k in n.items() if t), sum(n.values())
@@ -261,6 +262,7 @@ def score(docs: DataFrame, model: Model, keys: tuple[str, ...] = ("doc_id",)) ->
     """The key columns and score (0 to 1) of every row."""
     if model.trees is None:
         return docs.select(*keys, F.lit(float(model.share)).alias("score"))
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model.lexicon)
     x = with_features(docs.select(*keys, F.col("text").cast("string").alias("text")), sent)
     raw = model.trees.transform(x.select(*keys, array_to_vector("features").alias("features"))).select(*keys, vector_to_array("probability")[1].alias("raw"))

@@ -5,7 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from batchlens.llm import idfiles, pieces, tokens
+from batchlens.llm import idfiles, pieces, shared, textvec, tokens
 from batchlens.llm.queries import tokenizer
 
 WORD = tokenizer("word_bpe_49k.json")
@@ -160,3 +160,34 @@ def test_id_files_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     root = idfiles.new_root(spark)
     assert idfiles.read_ids(idfiles.write_ids(df, WORD, 1, root), root).count() == 0
+
+
+# ---------------------------------------------------------------- memory of a worker
+
+
+def test_texts_reach_workers_in_small_batches(spark):
+    """20 MB of texts in one partition: no batch holds more than the bound and one row, and the ids are those of the single texts."""
+    spark.conf.unset(shared.BATCH_CONF)
+    df = spark.createDataFrame([(i, "word number " * 4200) for i in range(400)], "doc_id long, text string").coalesce(1)
+    out = pieces.encode_pieces(df, PIECE)
+
+    def batch_bytes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.nbytes]})
+
+    sizes = [r.n for r in df.mapInArrow(batch_bytes, "n long").collect()]
+    assert sum(sizes) > 20e6 and max(sizes) < shared.BATCH_BYTES + 200_000
+    got = out.groupBy("ids").count().collect()
+    assert len(got) == 1 and got[0]["count"] == 400 and got[0]["ids"] == pieces.model(PIECE).encode(["word number " * 4200])[0]
+    spark.conf.set(shared.BATCH_CONF, "1m")  # a session's own bound stays
+    pieces.encode_pieces(df, PIECE)
+    assert spark.conf.get(shared.BATCH_CONF) == "1m"
+    spark.conf.unset(shared.BATCH_CONF)
+
+
+def test_slices_release_what_they_took(monkeypatch):
+    calls = []
+    monkeypatch.setattr(textvec, "release", lambda: calls.append(1))
+    batch = pa.RecordBatch.from_pydict({"text": ["a" * 100] * 10})
+    parts = list(textvec.slices([batch], 0, 250))
+    assert sum(p.num_rows for p in parts) == 10 and len(calls) == len(parts) == 5
