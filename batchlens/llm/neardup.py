@@ -21,9 +21,11 @@ further minwise values.
 - Small nodes (at most LEAF classes) are compared exhaustively. A child that keeps more than DENSE of its parent holds classes too similar for
   branching to part them; it, a node with at most FEW classes outside the family, and what is large at DEPTH, is closed and compared in
   tiles, the classes outside the family against all.
-  A tile offers every class its LIMIT most similar classes of other components and says where it has more; confirmed links
-  join components, and classes with more come again with a limit eight times as high, until none has. So a group of
-  similar classes costs a few links a class, not all pairs, and no candidate is left untried but inside a component.
+  A tile leaves out pairs of one family, whatever node its center was found in: these have been compared. It offers every class its LIMIT
+  most similar classes of other components and says where it has more; confirmed links join components. Classes with more get a
+  new center in every node, the most popular of them that has been none, and so join further families; then they come again with a
+  limit eight times as high, until none has more. So a group of similar classes costs a few pairs a class, linked or not, and no
+  candidate is left untried but inside a component.
 - Pairs out of these nodes are confirmed on the full sets: 100 * intersection >= 75 * union. Before that only pairs are left out
   whose sizes rule the threshold out, or that agree on fewer than AGREE of SKETCH values (probability 1e-7 at the threshold).
 
@@ -136,6 +138,10 @@ class _Rows:
         self.comp = b.column("comp").to_numpy()
         self.inside = b.column("inside").to_numpy(zero_copy_only=False)
         self.n = b.column("n").to_numpy().astype(np.int64)
+        if "families" in b.schema.names:
+            lists = b.column("families")
+            values, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+            self.families = [values[x:y].tolist() for x, y in zip(offsets[:-1], offsets[1:])]
         sketch = b.column("sketch")
         first = np.frombuffer(sketch.buffers()[1], np.int32)[sketch.offset] if len(sketch) else 0
         self.sketch = np.frombuffer(sketch.buffers()[2], np.uint16, len(sketch) * SKETCH, first).reshape(len(sketch), SKETCH)
@@ -193,14 +199,23 @@ class _Block:
         self.cls = [h[0] for h in held]
         self.comp, self.n = np.array([h[1] for h in held]), np.array([h[2] for h in held])
         self.sketch = np.ascontiguousarray(np.stack([h[3] for h in held]).T)
-
-    def like(self, comp, n, sketch, most: int | None = None) -> tuple[list[int], bool]:
-        """The held classes of other components that may reach the threshold with this one, and whether any is left out: with ``most``,
-        the ones that agree on most sketch values."""
+        self.family: dict[int, list[int]] = {}
+        for i, h in enumerate(held):
+            for f in h[4] if len(h) > 4 else ():
+                self.family.setdefault(f, []).append(i)
+
+    def like(self, comp, n, sketch, most: int | None = None, families=()) -> tuple[list[int], bool]:
+        """The held classes of other components and families that may reach the threshold with this one, and whether any is left out:
+        with ``most``, the ones that agree on most sketch values."""
         lo = int(np.searchsorted(self.n, -(-n * PERCENT // 100)))
         hi = int(np.searchsorted(self.n, n * 100 // PERCENT, "right"))
         some = (self.sketch[:HEAD, lo:hi] == sketch[:HEAD, None]).sum(0, dtype=np.uint8)
         at = lo + np.flatnonzero((some >= max(0, AGREE - (SKETCH - HEAD))) & (self.comp[lo:hi] != comp))
+        if len(at) and (own := [f for f in families if f in self.family]):
+            compared = np.zeros(len(self.n), bool)
+            for f in own:
+                compared[self.family[f]] = True
+            at = at[~compared[at]]
         if not len(at):
             return [], False
         agree = (self.sketch[:, at] == sketch[:, None]).sum(0)
@@ -224,13 +239,13 @@ def _block_pairs(most: int):
                 if here != key:
                     key, held, block = here, [], None
                 if r.keys[k, 2] == 0:
-                    held.append((r.cls[k], r.comp[k], r.n[k], r.sketch[k]))
+                    held.append((r.cls[k], r.comp[k], r.n[k], r.sketch[k], r.families[k]))
                     continue
                 if block is None:
                     if not held:  # no class fell into this block
                         continue
                     block, held = _Block(held), [True]
-                found, more = block.like(r.comp[k], r.n[k], r.sketch[k], most)
+                found, more = block.like(r.comp[k], r.n[k], r.sketch[k], most, r.families[k])
                 out.update((min(block.cls[i], r.cls[k]), max(block.cls[i], r.cls[k])) for i in found)
                 if more:
                     out.add((r.cls[k], None))
@@ -252,9 +267,13 @@ def shared_nodes(classes: DataFrame) -> DataFrame:
     rows = classes.select("cls", F.posexplode("tokens").alias("t", "v")).select(_node(F.col("t"), F.col("v")).alias("node"), "t", "cls")
     sizes = rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
     shared = stored(rows.join(sizes, "node"), "nodes")
-    popular = shared.groupBy("cls").agg(F.sum("size").alias("fame"))
-    center = shared.join(popular, "cls").groupBy("node").agg(F.max_by("cls", F.struct("fame", "cls")).alias("center"))
-    return stored(shared.drop("size").join(center, "node"), "nodes")
+    return stored(shared.drop("size").join(_centers(shared), "node"), "nodes")
+
+
+def _centers(rows: DataFrame) -> DataFrame:
+    """(node, center) of rows (node, cls, size): the class whose nodes are largest together."""
+    popular = rows.groupBy("cls").agg(F.sum("size").alias("fame"))
+    return rows.join(popular, "cls").groupBy("node").agg(F.max_by("cls", F.struct("fame", "cls")).alias("center"))
 
 
 def _star_pairs(classes: DataFrame, shared: DataFrame) -> DataFrame:
@@ -329,25 +348,41 @@ def _closed_pairs(paths: DataFrame, classes: DataFrame, most: int, again: DataFr
     every = every.withColumns({"p": each("blocks"), "q": part("lots"), "kind": F.lit(1).cast("long")})
     sent = own.unionByName(every).withColumn("block", F.col("p") * F.col("lots") + F.col("q")).select("node", "block", "kind", "cls", "inside")
     sent = sent.join(classes, "cls").repartition("node", "block").sortWithinPartitions("node", "block", "kind")
-    return sent.select("node", "block", "kind", "cls", "comp", "inside", "n", "sketch").mapInArrow(_block_pairs(most), "a binary, b binary")
+    return sent.select("node", "block", "kind", "cls", "comp", "inside", "n", "sketch", "families").mapInArrow(_block_pairs(most), "a binary, b binary")
+
 
+def _further_pairs(paths: DataFrame, classes: DataFrame, more: DataFrame, members: DataFrame) -> DataFrame:
+    """(a, b): every class with new centers of its larger nodes, of which ``more`` (cls) may become one that are none in ``members``."""
+    closed = paths.where(F.col("size") > LEAF).select("node", "cls")
+    fresh = more.join(members.select(F.col("center").alias("cls")), "cls", "left_anti")
+    rows = closed.join(fresh, "cls", "left_semi")
+    rows = stored(rows.join(rows.groupBy("node").agg(F.count("*").alias("size")), "node"), "further")
+    return _star_pairs(classes, closed.join(_centers(rows), "node"))
 
-def tree_links(texts: DataFrame, classes: DataFrame, named: DataFrame, shared: DataFrame, family: DataFrame) -> DataFrame:
-    """``named`` (cls, comp) after the links out of all trees."""
+
+def tree_links(texts: DataFrame, classes: DataFrame, named: DataFrame, shared: DataFrame, members: DataFrame) -> DataFrame:
+    """``named`` (cls, comp) after the links out of all trees. ``members``: (center, cls) of the families that have been compared."""
 
     def told():
         return classes.select("cls", "n", "sketch").join(named, "cls")
 
-    paths = chosen_paths(told(), shared, family)
-    found = stored(_small_pairs(paths, told()).unionByName(_closed_pairs(paths, told(), LIMIT)).distinct(), "candidates")
+    def with_families():
+        own = members.unionByName(members.select("center", F.col("center").alias("cls")))
+        own = own.groupBy("cls").agg(F.collect_set(F.xxhash64("center")).alias("families"))
+        return told().join(own, "cls", "left").withColumn("families", F.coalesce("families", F.array().cast("array<long>")))
+
+    paths = chosen_paths(told(), shared, members)
+    found = stored(_small_pairs(paths, told()).unionByName(_closed_pairs(paths, with_families(), LIMIT)).distinct(), "candidates")
     most = LIMIT
     while True:
         named = join_components(named, _compare(texts, classes, found.where("b is not null"), False).select("a", "b"))
         more = found.where("b is null").select(F.col("a").alias("cls"))
         if more.isEmpty():
             return named
+        named, further = star_links(texts, classes, named, _further_pairs(paths, classes, more, members))
+        members = stored(members.unionByName(further).distinct(), "members")
         most *= 8
-        found = stored(_closed_pairs(paths, told(), most, more).distinct(), "candidates")
+        found = stored(_closed_pairs(paths, with_families(), most, more).distinct(), "candidates")
 
 
 # ---------------------------------------------------------------- families
@@ -412,6 +447,19 @@ def family_links(members: DataFrame, comps: DataFrame) -> DataFrame:
     return sent.mapInArrow(_family_links, "a binary, b binary")
 
 
+def star_links(texts: DataFrame, classes: DataFrame, named: DataFrame, pairs: DataFrame, links: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """``named`` (cls, comp) after the links (and ``links``, if any) of pairs (center, class) and those in the families that they make, and these
+    families' (center, cls)."""
+    tried = stored(_compare(texts, classes, pairs, True), "tried")
+    linked = tried.where("linked").select("a", "b")
+    named = join_components(named, linked if links is None else links.unionByName(linked))
+    members = tried.where("missing is not null").select(
+        F.col("a").alias("center"), F.col("b").alias("cls"), F.col("n_a").alias("n_center"), F.col("n_b").alias("n"), "missing", "extra"
+    )
+    named = join_components(named, family_links(members, named))
+    return named, members.select("center", "cls").distinct()
+
+
 # ---------------------------------------------------------------- confirming pairs on full sets
 
 
@@ -531,13 +579,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     twice = linked.groupBy("doc_id").agg(F.min("cls").alias("a"), F.max("cls").alias("z")).where("a <> z").select("doc_id", "a")
     same_id = linked.join(twice, "doc_id").where("cls <> a").select("a", F.col("cls").alias("b")).distinct()
     shared = shared_nodes(classes)
-    tried = stored(_compare(texts, classes, _star_pairs(classes, shared), True), "tried")
-    named = join_components(classes.select("cls", F.col("label").alias("comp")), same_id.unionByName(tried.where("linked").select("a", "b")))
-    members = tried.where("missing is not null").select(
-        F.col("a").alias("center"), F.col("b").alias("cls"), F.col("n_a").alias("n_center"), F.col("n_b").alias("n"), "missing", "extra"
-    )
-    named = join_components(named, family_links(members, named))
-    named = tree_links(texts, classes, named, shared, members.select("center", "cls").distinct()).withColumnRenamed("comp", "component")
+    named, members = star_links(texts, classes, classes.select("cls", F.col("label").alias("comp")), _star_pairs(classes, shared), same_id)
+    named = tree_links(texts, classes, named, shared, members).withColumnRenamed("comp", "component")
     out = rows.join(named, "cls", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select(

@@ -164,6 +164,32 @@ def test_groups_in_closed_nodes_link_in_rounds(spark, monkeypatch):
     assert rounds[:2] == [1, 8]
 
 
+@pytest.mark.parametrize("known", [True, False])
+def test_similar_groups_without_links_cost_a_few_pairs_a_class(spark, monkeypatch, known):
+    """A group of similar texts, none linked, shares a passage with a larger one that has the center of the passage's nodes. With ``known`` False
+    there are no first families, and only centers of the later rounds make some."""
+    rng = random.Random(11)
+    passage, one, two = words(rng, 40), words(rng, 60), words(rng, 60)
+    texts = [" ".join([*passage, *one, *words(rng, 30)]) for _ in range(140)] + [" ".join([*passage, *two, *words(rng, 30)]) for _ in range(200)]
+    rows = list(enumerate([*texts, texts[5] + " more"]))
+    confirmed, stars = [], []
+    compare, star = neardup._compare, neardup._star_pairs
+
+    def counted(docs, classes, pairs, differences):
+        confirmed.append(pairs.count())
+        return compare(docs, classes, pairs, differences)
+
+    def none_at_first(classes, shared):
+        stars.append(1)
+        return star(classes, shared).where(F.lit(known or len(stars) > 1))
+
+    monkeypatch.setattr(neardup, "_compare", counted)
+    monkeypatch.setattr(neardup, "_star_pairs", none_at_first)
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs_of(spark, rows)).collect()}
+    assert got == {d: 5 if d == 340 else d for d, _ in rows}
+    assert sum(confirmed) < 15 * len(rows), confirmed  # all pairs of the two groups: 9730 and 19,900
+
+
 def test_trees_share_no_function():
     places = {(t * neardup.DEPTH + d) * neardup.BRANCH + b for t in range(neardup.TREES) for d in range(neardup.DEPTH) for b in range(neardup.BRANCH)}
     assert len(places) == neardup.TREES * neardup.DEPTH * neardup.BRANCH and max(places) < neardup.SKETCH
