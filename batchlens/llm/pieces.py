@@ -8,7 +8,8 @@ depth-first order: two neighbours share the forward states of their common prefi
 A forward state holds the best last piece of the encoding of that prefix, its start and its score. For a BPE model the best path is the one that merging
 by score leads to: a sequence of pieces is a BPE encoding exactly if every piece and every two neighbours, merged on their
 own, stay as they are. So among the pieces that end at a node only one is compatible with the state before it, and the
-forward pass keeps that one; answers to "do these two stay apart" are remembered. Words with runs of white space, whose pieces
+forward pass keeps that one; answers to "do these two stay apart" are remembered. The pieces that end at a node come from an
+Aho-Corasick automaton over the model's pieces, whose steps are worked out as texts ask for them: one look-up a character. Words with runs of white space, whose pieces
 tie in score, are merged directly. The tests hold the ids against the sentencepiece library.
 
 Characters without a piece become byte pieces (or the unknown piece, if the model has no byte pieces).
@@ -37,6 +38,8 @@ TABLE_IDS = 4_000_000
 #: Places for pairs of pieces whose compatibility is remembered (8 MB); a pair that falls on a taken place replaces the one there.
 PAIRS = 1 << 20
 _NO_PAIR = (1 << 64) - 1
+#: Steps of the automaton that are remembered (about 10 MB); it forgets them all when there are more.
+STEPS = 100_000
 #: Bytes of text that are worked on at once.
 SLICE = 1 << 20
 _UNITS = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
@@ -69,7 +72,10 @@ class Pieces:
         odd = {i for i in range(n) if m.is_byte(i) or m.is_control(i) or m.is_unknown(i) or m.is_unused(i)}
         self.id = {self.text[i]: i for i in range(n) if i not in odd}
         self.score = [m.get_score(i) for i in range(n)]
-        self.longest = max(map(len, self.id))
+        self.place = {p: k for k, p in enumerate(sorted({"", *(p[:n] for p in self.id for n in range(1, len(p) + 1))}))}  # automaton: "" is 0
+        self.prefix = list(self.place)
+        self.steps: dict[tuple[int, str], int] = {}
+        self.ends: list = [None] * len(self.prefix)
         if any(MARK in p.lstrip(MARK) or "\n" in p for p in self.id):
             raise ValueError("a piece of this model crosses the start of a marked word")
         probe = "a  b\tc éﬁ\n"
@@ -89,8 +95,8 @@ class Pieces:
 
     # ------------------------------------------------------------ merging by score
 
-    def merge(self, text: str) -> list[str]:
-        """BPE: merge the pair with the best score, the leftmost of equals, while there is one."""
+    def merge(self, text: str, cut: int = 0) -> list[str] | None:
+        """BPE: merge the pair with the best score, the leftmost of equals, while there is one. None as soon as a merge goes over ``cut``."""
         part = list(text)
         n = len(part)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
@@ -106,6 +112,8 @@ class Pieces:
             _, i, j, size = heapq.heappop(heap)
             if not part[i] or not part[j] or len(part[i]) + len(part[j]) != size or after[i] != j:
                 continue
+            if j == cut:  # never 0
+                return None
             part[i], part[j] = part[i] + part[j], ""
             after[i] = after[j]
             if after[j] < n:
@@ -120,21 +128,38 @@ class Pieces:
         return x
 
     def _apart(self, a: int, b: int) -> bool:
-        x = self.merge(self.text[a] + self.text[b]) == [self.text[a], self.text[b]] and self._stays(b)
+        x = self.merge(self.text[a] + self.text[b], len(self.text[a])) == [self.text[a], self.text[b]] and self._stays(b)
         self.pairs[(a * 40503 ^ b) & (PAIRS - 1)] = (a << 32 | b) << 1 | x
         return x
 
     # ------------------------------------------------------------ forward pass over sorted words
 
+    def _step(self, state: int, c: str) -> int:
+        """The longest prefix of a piece that ends a text in ``state`` and then ``c``."""
+        text = self.prefix[state] + c
+        while (x := self.place.get(text)) is None:
+            text = text[1:]
+        if len(self.steps) >= STEPS:
+            self.steps.clear()
+        self.steps[state, c] = x
+        return x
+
+    def _ends(self, state: int) -> list[tuple[int, int]]:
+        """(length, piece) of the pieces that a text in ``state`` ends with, the longest first."""
+        text = self.prefix[state]
+        x = self.ends[state] = [(len(text) - a, k) for a in range(len(text)) if (k := self.id.get(text[a:])) is not None]
+        return x
+
     def _unknown_char(self, c: str) -> tuple:
         data = c.encode("utf-8", "replace")
         return tuple(self.byte[b] for b in data) if all(b in self.byte for b in data) else (self.unknown,)
 
     def forward(self, words: list[str]) -> dict[str, tuple]:
         """Piece ids of distinct words, by depth-first traversal of their trie."""
-        ids, longest, pairs = self.id, self.longest, self.pairs
+        ids, pairs, steps, ends = self.id, self.pairs, self.steps, self.ends
         out: dict[str, tuple] = {}
         last, start, score = [-1], [0], [0.0]  # states of the current path: piece (-1: none), its start, forward score
+        at = [0]  # the automaton's
         path = ""
         for w in sorted(words):
             if MARK + MARK in w:
@@ -143,12 +168,16 @@ class Pieces:
             same, most = 0, min(len(path), len(w))
             while same < most and path[same] == w[same]:
                 same += 1
-            del last[same + 1 :], start[same + 1 :], score[same + 1 :]
-            for d in range(same + 1, len(w) + 1):
-                for a in range(max(0, d - longest), d):
-                    k = ids.get(w[a:d])
-                    if k is None:
-                        continue
+            del last[same + 1 :], start[same + 1 :], score[same + 1 :], at[same + 1 :]
+            state = at[same]
+            for d, c in enumerate(w[same:], same + 1):
+                if (x := steps.get((state, c))) is None:
+                    x = self._step(state, c)
+                state = x
+                at.append(state)
+                found = ends[state]
+                for size, k in self._ends(state) if found is None else found:
+                    a = d - size
                     u = last[a]
                     if u < 0:
                         good = self._stays(k)

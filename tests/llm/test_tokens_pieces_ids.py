@@ -101,6 +101,28 @@ def test_pieces_share_prefixes(piece_library):
     assert all(list(got[w]) == piece_library.encode(w[1:]) for w in words)
 
 
+def test_forward_pass_looks_up_no_substrings(piece_library, monkeypatch):
+    """Steps of the automaton are worked out once; after that a character costs no look-ups among the pieces. Forgetting steps changes nothing."""
+
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *a):
+            Counted.asked += 1
+            return super().get(*a)
+
+    m = pieces.Pieces(PIECE)
+    m.id = Counted(m.id)
+    rng = random.Random(8)
+    found = [f"{pieces.MARK}{''.join(rng.choices('abcdeinorst', k=rng.randint(1, 12)))}" for _ in range(300)] + [pieces.MARK + "naïve☃", "größer", "\n"]
+    want = m.forward(found)
+    assert {w: list(x) for w, x in want.items()} == {w: piece_library.encode(w[1:]) for w in found[:301]} | {w: list(want[w]) for w in found[301:]}
+    Counted.asked = 0
+    assert m.forward(found) == want and Counted.asked < 100  # pairs that share a place are asked again
+    monkeypatch.setattr(pieces, "STEPS", 5)
+    assert pieces.Pieces(PIECE).forward(found) == want
+
+
 def test_encode_pieces_table(spark):
     rows = [(1, "a b", "x"), (1, "a b", "x"), (None, None, "x"), (3, "", "x"), (4, "ü\n ▁", "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids string")
