@@ -7,10 +7,10 @@ consecutive words of a piece; all is counted for each language on its own.
 2. A full pass counts all words, and every longer phrase whose two parts of one word less are both proposed. These are the proposed phrases and
    their negative border: what could be frequent for all the sample tells, but was not seen often enough there. Counts are exact.
 3. If a phrase that was not proposed turns out frequent (a border failure), longer phrases around it have not been looked at. It joins the
-   proposals, and an expansion pass counts the phrases that are new to them. This is repeated until no frequent phrase is outside.
+   proposals, and one expansion pass counts the phrases that are new to them, and the longer ones around these, frequent or not.
 
-As a phrase cannot be more frequent than its parts, no frequent phrase is missed when the passes are closed, whatever the sample was. Proposals are
-passed on as Bloom filters of a fixed size: a false positive (or a full filter) only makes a pass count more, and since a pass skips exactly what
+As a phrase cannot be more frequent than its parts, no frequent phrase is missed after the two passes, whatever the sample was: both its parts are
+frequent, so each was counted in the full pass and is proposed by now, or is new in the expansion pass. Proposals are passed on as Bloom filters of a fixed size: a false positive (or a full filter) only makes a pass count more, and since a pass skips exactly what
 the pass before came to through its filters, from the words on, every phrase is counted once and whole.
 
 Tasks work on slices of about SLICE bytes of text (long texts are cut between pieces, or between words with the last words carried over), count in
@@ -130,7 +130,8 @@ def _step(h: np.ndarray, nxt: np.ndarray) -> np.ndarray:
 def _count(old, new, max_words: int):
     """Text, lang to (lang, k, phrase, c): k = 1 the words and k = 0 the number of all words (first pass, ``old`` None), and the k-word phrases that the
     filters ``new`` (None: all) let through and ``old`` did not: both parts of k - 1 words are in the filter, and so on down to the words. A filter a
-    phrase length, from 1. A part that is in the old filter by chance, while a word of it is not, was never reached, nor was any phrase around it."""
+    phrase length, from 1. A part that is in the old filter by chance, while a word of it is not, was never reached, nor was any phrase around it.
+    With ``old``, a part that is counted in this pass itself goes for one that is let through."""
 
     def run(batches):
         allowed = None if new is None else [np.frombuffer(x, np.uint8) for x in new.value]
@@ -163,6 +164,7 @@ def _count(old, new, max_words: int):
                 if before is not None:
                     was = bloom_mask(before[k - 2], _key(hashes, lang, k - 1))
                     counted = was[left] & was[right] & reached[begin] & reached[begin + 1]
+                    wanted = (ok[left] | ~reached[begin]) & (ok[right] | ~reached[begin + 1])
                 begin, left, counted = begin[wanted], left[wanted], counted[wanted]
                 if not len(begin):
                     break
@@ -255,17 +257,14 @@ def phrase_counts(docs: DataFrame, min_count: int = 10, max_words: int = 3, text
     sample = rows.where((F.col("draw") < SHARE) & F.col("text").isNotNull()).select("text", "lang")
     proposed = _pass(sample, None, None, max_words - 1).where((F.col("k") > 0) & (F.col("c") >= LOWERED))
     bits = _filters(proposed, max_words)
-    old, new = None, sc.broadcast(bits)
-    found = None
-    while True:
-        more = stored(_pass(texts, old, new, max_words).where((F.col("k") == 0) | (F.col("c") >= min_count)), "phrases")
-        found = more if found is None else found.unionByName(more)
-        missed = found.where(f"k between 1 and {max_words - 1}").mapInArrow(_outside(new), "lang string, k int, phrase string, c long")
-        missed = stored(missed, "border-failures")
-        if missed.isEmpty():
-            return found
-        bits = [(np.frombuffer(a, np.uint8) | np.frombuffer(b, np.uint8)).tobytes() for a, b in zip(bits, _filters(missed, max_words))]
-        old, new = new, sc.broadcast(bits)
+    new = sc.broadcast(bits)
+    found = stored(_pass(texts, None, new, max_words).where((F.col("k") == 0) | (F.col("c") >= min_count)), "phrases")
+    missed = found.where(f"k between 1 and {max_words - 1}").mapInArrow(_outside(new), "lang string, k int, phrase string, c long")
+    missed = stored(missed, "border-failures")
+    if missed.isEmpty():
+        return found
+    bits = [(np.frombuffer(a, np.uint8) | np.frombuffer(b, np.uint8)).tobytes() for a, b in zip(bits, _filters(missed, max_words))]
+    return found.unionByName(stored(_pass(texts, new, sc.broadcast(bits), max_words).where(F.col("c") >= min_count), "phrases"))
 
 
 # ---------------------------------------------------------------- scores

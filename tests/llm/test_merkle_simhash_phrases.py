@@ -263,6 +263,20 @@ def test_collocations_equal_brute_force(spark, monkeypatch, share, lowered):
     assert collocations.collocations(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("max_words", [3, 4])
+def test_one_pass_closes_all_border_failures(spark, monkeypatch, max_words):
+    """The sample proposes no word of a frequent phrase: the expansion pass counts its pairs and what is longer around them at once."""
+    monkeypatch.setattr(collocations, "SHARE", 1)
+    monkeypatch.setattr(collocations, "LOWERED", 50)
+    passes, real = [], collocations._pass
+    monkeypatch.setattr(collocations, "_pass", lambda *a: passes.append(a) or real(*a))
+    rows = [("en", t) for t in _texts(150, 4, 12)] + [("fr", "one two three four five")] * 11
+    docs = spark.createDataFrame([(k, t, lang) for k, (lang, t) in enumerate(rows)], "doc_id long, text string, lang string")
+    got = {(r.lang, r.phrase): r.c for r in collocations.phrase_counts(docs, 10, max_words).where("k > 0").collect()}
+    assert got == {k: c for k, c in brute_counts(rows, max_words)[0].items() if c >= 10}
+    assert len(passes) == 3  # the sample's, the full and the expansion pass
+
+
 def test_longer_phrases_than_three_words(spark):
     rows = [("en", t) for t in _texts(200, 3, 8)]
     docs = spark.createDataFrame([(k, t, lang) for k, (lang, t) in enumerate(rows)], "doc_id long, text string, lang string")
