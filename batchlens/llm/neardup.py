@@ -22,8 +22,8 @@ further minwise values.
   branching to part them; it, a node with at most FEW classes outside the family, and what is large at DEPTH, is closed and compared in
   tiles, the classes outside the family against all.
   A tile leaves out pairs of one family, whatever node its center was found in: these have been compared. It offers every class its LIMIT
-  most similar classes of other components and says where it has more; confirmed links join components. Classes with more get a
-  new center in every node, the most popular of them that has been none, and so join further families; then they come again with a
+  most similar classes of other components and says where it has more; confirmed links join components. If more than FEW
+  classes have more, every node gets a new center, the most popular of them that has been none, and so further families. Classes with more come again with a
   limit eight times as high, until none has more. So a group of similar classes costs a few pairs a class, linked or not, and no
   candidate is left untried but inside a component.
 - Pairs out of these nodes are confirmed on the full sets: 100 * intersection >= 75 * union. Before that only pairs are left out
@@ -377,10 +377,11 @@ def tree_links(texts: DataFrame, classes: DataFrame, named: DataFrame, shared: D
     while True:
         named = join_components(named, _compare(texts, classes, found.where("b is not null"), False).select("a", "b"))
         more = found.where("b is null").select(F.col("a").alias("cls"))
-        if more.isEmpty():
+        if not (left := more.count()):
             return named
-        named, further = star_links(texts, classes, named, _further_pairs(paths, classes, more, members))
-        members = stored(members.unionByName(further).distinct(), "members")
+        if left > FEW:  # fewer meet at most FEW times as many classes, which stays linear
+            named, further = star_links(texts, classes, named, _further_pairs(paths, classes, more, members))
+            members = stored(members.unionByName(further).distinct(), "members")
         most *= 8
         found = stored(_closed_pairs(paths, with_families(), most, more).distinct(), "candidates")
 
@@ -547,6 +548,8 @@ def components(links: DataFrame) -> DataFrame:
     Each round takes the smallest label among neighbours, then the smallest of all labels that had the same one: groups of
     labels merge with their neighbours, so the number of rounds grows with the logarithm of a chain's length."""
     both = stored(links.unionByName(links.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct(), "links")
+    if both.isEmpty():
+        return both.toDF("label", "comp")
     state = stored(both.select(F.col("x").alias("label")).distinct().withColumn("comp", F.col("label")), "components")
     while True:
         near = both.join(state.select(F.col("label").alias("y"), "comp"), "y").groupBy(F.col("x").alias("label")).agg(F.min("comp").alias("near"))
@@ -562,6 +565,8 @@ def join_components(named: DataFrame, links: DataFrame) -> DataFrame:
     one = named.select(F.col("cls").alias("a"), F.col("comp").alias("x"))
     two = named.select(F.col("cls").alias("b"), F.col("comp").alias("y"))
     moved = components(links.join(one, "a").join(two, "b").where("x <> y").select("x", "y").distinct())
+    if moved.isEmpty():
+        return named
     moved = moved.select(F.col("label").alias("comp"), F.col("comp").alias("now"))
     return stored(named.join(moved, "comp", "left").select("cls", F.coalesce("now", "comp").alias("comp")), "components")
 

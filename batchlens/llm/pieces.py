@@ -32,9 +32,9 @@ from batchlens.llm.shared import small_batches
 from batchlens.llm.tokens import Table, ends_check
 
 MARK = "▁"
-#: Marked words and their ids kept by a worker's table (about 50 MB); it starts anew when it has more of either.
-TABLE_WORDS = 600_000
-TABLE_IDS = 4_000_000
+#: Marked words and their ids kept by a worker's table (about 35 MB); it starts anew when it has more of either.
+TABLE_WORDS = 400_000
+TABLE_IDS = 2_500_000
 #: Places for pairs of pieces whose compatibility is remembered (8 MB); a pair that falls on a taken place replaces the one there.
 PAIRS = 1 << 20
 _NO_PAIR = (1 << 64) - 1
