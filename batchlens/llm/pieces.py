@@ -41,7 +41,7 @@ _NO_PAIR = (1 << 64) - 1
 #: Steps of the automaton that are remembered (about 10 MB); it forgets them all when there are more.
 STEPS = 100_000
 #: Bytes of text that are worked on at once.
-SLICE = 1 << 20
+SLICE = 1 << 19
 _UNITS = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
 
 #: Bytes as they are, spaces 0; line feeds stand alone.
