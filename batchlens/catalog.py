@@ -62,7 +62,7 @@ def _batched(spark, sf, adapter):
 
 
 def _batched_once(spark, sf, adapter):
-    """As ``_batched``, with the adapter's rows stored first: the rules read them four times, and the join behind them is shuffled once."""
+    """As ``_batched``, with the adapter's rows stored first: rules and splits read them several times, and the join behind them is shuffled once."""
     spec = _SPECS[adapter]
     return assign_batches(kept_table(ADAPTERS[adapter](spark, sf), "trips"), spec), spec
 
@@ -243,8 +243,8 @@ select cast({MIN_SUPPORT} as double) min_support, cast({MIN_CONFIDENCE} as doubl
 
 
 def _split_prepared(spark, sf, adapter="trips_li"):
-    b, spec = _batched(spark, sf, adapter)
-    p = prepare_split(kept_table(b, "batches"), spec)  # the join behind the rows is done once
+    b, spec = _batched_once(spark, sf, adapter)  # the windows and joins behind the rows are done once
+    p = prepare_split(b, spec)
     return p.train, p.test, spec
 
 

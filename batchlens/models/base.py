@@ -17,9 +17,10 @@ from batchlens.session import kept_table
 PFX = "__x_"
 FEATURES = "__features"
 PREDICTION = "prediction"
-#: Rows of a file of a table that a fit reads in many passes, from SPREAD_FROM rows on, and the most files.
+#: Least rows of a file of a table that a fit reads in many passes, from SPREAD_FROM rows on, and the most files of a core and in all.
 FILE_ROWS = 20_000
 SPREAD_FROM = 100_000
+CORE_FILES = 8
 FILES = 480
 
 
@@ -46,10 +47,17 @@ def with_features(df: DataFrame, st: FitStats, mode: str) -> DataFrame:
 
 def spread(df: DataFrame, what: str) -> DataFrame:
     """The rows stored once for many passes. A table that comes out of a shuffle has few files of uneven size, and a file is one task whatever the number
-    of cores; a larger one is dealt row by row over many even files, which Spark puts together to as many even tasks as there are cores."""
+    of cores; a larger one is dealt row by row over even files, the same number for each core. Spark puts the files of a core together to one task. It counts a
+    file as 4 MB more than it has, up to 128 MB a task, so files beyond CORE_FILES would make more tasks than cores, and the last of them a round of their own."""
     held = kept_table(df, what)
     rows = held.count()
-    return held if rows < SPREAD_FROM else kept_table(held.repartition(min(FILES, rows // FILE_ROWS)), what)
+    return held if rows < SPREAD_FROM else kept_table(held.repartition(even_files(rows, df.sparkSession.sparkContext.defaultParallelism)), what)
+
+
+def even_files(rows: int, cores: int) -> int:
+    """Files for this many rows: a multiple of the cores where there are enough rows."""
+    wanted = min(FILES, cores * CORE_FILES, rows // FILE_ROWS)
+    return wanted // cores * cores or wanted
 
 
 def drop_internal(df: DataFrame) -> DataFrame:

@@ -250,6 +250,12 @@ def _r2(f) -> float | None:
     return 1 - f[2] / total if total > 0 else (1.0 if f[2] == 0 else 0.0)
 
 
+def _gains(f, top: float | None, params: dict) -> bool:
+    """Whether these validation figures start the count of rounds without progress anew."""
+    score = _r2(f)
+    return score is None or top is None or score > top + float(params["tol"])
+
+
 def train_together(df: DataFrame, spec: TableSpec, points: list[dict], max_rounds: int | None = None, stats: FitStats | None = None) -> list[MLPModel]:
     """A model for each parameter point, all trained in the same passes over the rows."""
     ps = [{**MLP_DEFAULT, **p} for p in points]
@@ -264,12 +270,16 @@ def train_together(df: DataFrame, spec: TableSpec, points: list[dict], max_round
         if not running:
             break
         last = {k for k in running if rnd == int(max_rounds or ps[k]["max_iter"])}
-        after, figures = one_round(frame, running, st, rnd, len(last) < len(running))
+        closing = all(k in last or best[k][2] + 1 >= int(ps[k]["n_iter_no_change"]) for k in running)
+        after, figures = one_round(frame, running, st, rnd, not closing)
+        # A pass that may be the last only scores, which is short; its steps are taken if a model goes on.
+        if closing and any(k not in last and _gains(figures.get(k), best[k][0], ps[k]) for k in running):
+            after, _ = one_round(frame, running, st, rnd, True)
         for k, s in list(running.items()):
             score, (top, _, stale) = _r2(figures.get(k)), best[k]
             if score is None:
                 best[k] = (None, s.ws, 0)
-            elif top is None or score > top + float(ps[k]["tol"]):
+            elif _gains(figures[k], top, ps[k]):
                 best[k] = (score, s.ws, 0)
             else:
                 best[k] = (max(top, score), s.ws if score > top else best[k][1], stale + 1)
