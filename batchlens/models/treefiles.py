@@ -16,16 +16,21 @@ from pyspark.sql import functions as F
 from batchlens.session import ensure_checkpoint_dir
 
 
-def _folder(spark: SparkSession) -> str:
+def folder(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark)}/trees-{uuid.uuid4().hex}"
 
 
 def _saved(model) -> str:
-    path = _folder(SparkSession.active())
+    path = folder(SparkSession.active())
     model.write().save(path)
     return path
 
 
+def metadata_of(stage) -> dict:
+    """The metadata text that Spark ML stores for an estimator or a model."""
+    return json.loads(SparkSession.active().read.text(f"{_saved(stage)}/metadata").first()["value"])
+
+
 def _write_metadata(spark: SparkSession, source: str, target: str, **changes) -> None:
     meta = json.loads(spark.read.text(f"{source}/metadata").first()["value"]) | changes
     spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.text(f"{target}/metadata")
@@ -59,7 +64,7 @@ def pruned(model: DecisionTreeRegressionModel, max_depth: int, min_split: int) -
     Growing is top-down and greedy: a node's split depends on its own rows only. So the smaller tree is the larger one without the splits that it
     may not have."""
     spark = SparkSession.active()
-    source, target = _saved(model), _folder(spark)
+    source, target = _saved(model), folder(spark)
     table = spark.read.parquet(f"{source}/data")
     nodes = pruned_nodes([r.asDict() for r in table.collect()], max_depth, min_split)
     rows = [tuple(n[f] for f in table.columns) for n in nodes]
@@ -71,7 +76,7 @@ def pruned(model: DecisionTreeRegressionModel, max_depth: int, min_split: int) -
 def merged(first: GBTRegressionModel, second: GBTRegressionModel) -> GBTRegressionModel:
     """One ensemble whose prediction is the sum of both: their trees and weights one after the other."""
     spark = SparkSession.active()
-    one, two, target = _saved(first), _saved(second), _folder(spark)
+    one, two, target = _saved(first), _saved(second), folder(spark)
     n, m = first.getNumTrees, second.getNumTrees
     for name, key in (("data", "treeID"), ("treesMetadata", None)):
         a, b = (spark.read.parquet(f"{p}/{name}") for p in (one, two))

@@ -6,7 +6,7 @@ import itertools
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressionModel, GBTRegressor
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +23,7 @@ from batchlens.models.base import (
     spread,
     with_features,
 )
+from batchlens.models.boosting import BoostedTrees
 from batchlens.models.treefiles import merged, pruned
 from batchlens.operators.evaluate import metrics_dict
 from batchlens.operators.preprocess import FitStats, fit_stats
@@ -92,11 +93,11 @@ class BoostModel:
     kind: str = "boost"
 
     @staticmethod
-    def _gbt(spec: TableSpec, st: FitStats, params: dict, label: str) -> GBTRegressor:
-        return GBTRegressor(
+    def _gbt(spec: TableSpec, st: FitStats, params: dict, label: str) -> BoostedTrees:
+        return BoostedTrees(GBTRegressor(
             featuresCol=FEATURES, labelCol=label, predictionCol=PREDICTION, seed=SEED, maxBins=max_bins(st),
             maxIter=int(params["iterations"]), maxDepth=int(params["depth"]), stepSize=float(params["learning_rate"]),
-        )
+        ))
 
     @classmethod
     def fit(cls, df: DataFrame, spec: TableSpec, params: dict, stats: FitStats | None = None) -> "BoostModel":
