@@ -1,9 +1,10 @@
 """ReLU MLP regressor trained by rounds of local Adam.
 
-Spark ML has no MLP regressor. The design rows are stored once. In a round, a fixed number of tasks each stream their share of
-the rows as Arrow batches, take Adam steps from the current state, and return state and row count; states are averaged by rows in
-a grouped sum of fixed-size chunks, and the driver receives the one averaged state. So memory holds one batch and
-one state per task, and what is shuffled and collected depends on the model's size and WORKERS only. The same pass scores the
+Spark ML has no MLP regressor. The design rows are stored once, and kept as blocks of numbers (an Arrow batch each) in the workers' memory and on their
+disks. In a round, a fixed number of tasks each stream their share of
+the blocks, take Adam steps from the current state, and return state and row count; states are averaged by rows in
+a sum by key of fixed-size chunks, and the driver receives the one averaged state. So a Python worker holds one block and
+one state, and what is shuffled and collected depends on the model's size and WORKERS only. The same pass scores the
 incoming weights on a hash-selected validation share, so a round is one job; all points of a grid train in the same
 pass. Training stops when R2 on the validation share has not improved by ``tol`` for ``n_iter_no_change`` rounds.
 """
@@ -15,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -52,6 +54,26 @@ def design(pdf: pd.DataFrame, st: FitStats) -> np.ndarray:
     return np.concatenate(parts, axis=1) if parts else np.zeros((len(pdf), 0))
 
 
+def coded(pdf: pd.DataFrame, st: FitStats) -> tuple[np.ndarray, np.ndarray]:
+    """The numeric inputs, and the places of the categories in their lists (-1 for one that is not there)."""
+    numbers = pdf[[PFX + c for c in st.numerical]].to_numpy(dtype=np.float64)
+    places = [pd.Index(st.categories.get(c, []), dtype=object).get_indexer(pdf[PFX + c].astype(object)) for c in st.categorical]
+    return numbers, np.stack(places, axis=1).astype(np.int32) if places else np.zeros((len(pdf), 0), np.int32)
+
+
+def decoded(numbers: np.ndarray, places: np.ndarray, st: FitStats) -> np.ndarray:
+    """What ``design`` makes of the rows that were ``coded``."""
+    widths = [len(st.categories.get(c, [])) for c in st.categorical]
+    at = numbers.shape[1]
+    out = np.zeros((len(numbers), at + sum(widths)))
+    out[:, :at] = numbers
+    for k, width in enumerate(widths):
+        known = np.flatnonzero(places[:, k] >= 0)
+        out[known, at + places[known, k]] = 1.0
+        at += width
+    return out
+
+
 def init_weights(sizes: list[int], seed: int = SEED) -> list[np.ndarray]:
     rng = np.random.default_rng(seed)
     ws = []
@@ -160,9 +182,9 @@ class MLPModel:
 
     def continue_fit(self, df: DataFrame) -> "MLPModel":
         """One round over the new rows from the stored weights, with the stored preprocessing and no early stopping."""
-        frame = design_rows(df, self.stats, self.spec, 0.0)
+        blocks = row_blocks(design_rows(df, self.stats, self.spec, 0.0), self.stats)
         state = Adam.start(self.weights, self.params)
-        state, _ = one_round(frame, {0: state}, self.stats, 0, True)
+        state, _ = one_round(blocks, {0: state}, self.stats, 0, True)
         return MLPModel(self.spec, self.params, self.stats, state[0].ws)
 
     def predict(self, df: DataFrame) -> DataFrame:
@@ -197,9 +219,21 @@ def design_rows(df: DataFrame, st: FitStats, spec: TableSpec, validation: float)
     return spread(rows.withColumn("__v", bucket < int(validation * 1000)), "mlp-rows")
 
 
-def one_round(frame: DataFrame, states: dict[int, Adam], st: FitStats, rnd: int, train: bool):
+def row_blocks(frame: DataFrame, st: FitStats) -> RDD:
+    """Inputs (as ``coded``), targets and validation flags of each Arrow batch of design rows, as bytes. Rounds read these instead of the rows."""
+
+    def cut(batches):
+        for pdf in batches:
+            if len(pdf):
+                parts = *coded(pdf, st), pdf["__y"].to_numpy(np.float64), pdf["__v"].to_numpy(bool)
+                yield pd.DataFrame({c: [a.tobytes()] for c, a in zip("xpyv", parts)})
+
+    return frame.coalesce(WORKERS).mapInPandas(cut, "x binary, p binary, y binary, v binary").rdd
+
+
+def one_round(blocks: RDD, states: dict[int, Adam], st: FitStats, rnd: int, train: bool):
     """One job: (averaged states, validation figures by model) after each task has streamed its share of the rows."""
-    sc = frame.sparkSession.sparkContext
+    sc = blocks.context
     sent = sc.broadcast({k: (s.flat(), [w.shape for w in s.ws], {"learning_rate_init": s.lr, "alpha": s.alpha, "batch_size": s.size}) for k, s in states.items()})
 
     def local(batches):
@@ -210,8 +244,10 @@ def one_round(frame: DataFrame, states: dict[int, Adam], st: FitStats, rnd: int,
             figures[k] = np.zeros(5)  # train rows, validation rows, squared errors, sum and squares of y
         before = {k: [w.copy() for w in a.ws] for k, a in own.items()}
         rng = np.random.default_rng(SEED + rnd)
-        for pdf in batches:
-            x, y, v = design(pdf, st), pdf["__y"].to_numpy(np.float64), pdf["__v"].to_numpy(bool)
+        for block in batches:
+            y, v = np.frombuffer(block["y"], np.float64), np.frombuffer(block["v"], bool)
+            x, p = np.frombuffer(block["x"], np.float64), np.frombuffer(block["p"], np.int32)
+            x = decoded(x.reshape(len(y), len(st.numerical)), p.reshape(len(y), len(st.categorical)), st)
             for k, a in own.items():
                 if v.any():
                     e = forward(before[k], x[v])[0] - y[v]
@@ -222,21 +258,15 @@ def one_round(frame: DataFrame, states: dict[int, Adam], st: FitStats, rnd: int,
         for k, a in own.items():
             flat = a.flat() * figures[k][0]
             parts = [flat[i : i + CHUNK] for i in range(0, len(flat), CHUNK)] if figures[k][0] else []
-            yield pd.DataFrame(
-                {"model": k, "chunk": [-1, *range(len(parts))], "vec": [figures[k].tobytes(), *(p.tobytes() for p in parts)]}
-            )
+            yield (k, -1), figures[k]
+            yield from (((k, i), part) for i, part in enumerate(parts))
 
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = np.sum([np.frombuffer(b, np.float64) for b in pdf["vec"]], axis=0)  # at most WORKERS chunks
-        return pd.DataFrame({"model": [pdf["model"][0]], "chunk": [pdf["chunk"][0]], "vec": [total.tobytes()]})
-
-    schema = "model int, chunk int, vec binary"
-    got = frame.coalesce(WORKERS).mapInPandas(local, schema).groupBy("model", "chunk").applyInPandas(add, schema).collect()
+    got = blocks.mapPartitions(local).reduceByKey(np.add).collect()  # at most WORKERS chunks of a key
     sent.unpersist()
-    figures = {r["model"]: np.frombuffer(r["vec"], np.float64) for r in got if r["chunk"] == -1}
+    figures = {k: vec for (k, i), vec in got if i == -1}
     out = {}
     for k, s in states.items():
-        parts = [np.frombuffer(r["vec"], np.float64) for r in sorted((r for r in got if r["model"] == k and r["chunk"] >= 0), key=lambda r: r["chunk"])]
+        parts = [vec for _, vec in sorted(((i, vec) for (o, i), vec in got if o == k and i >= 0), key=lambda p: p[0])]
         rows = figures[k][0] if k in figures else 0
         params = {"learning_rate_init": s.lr, "alpha": s.alpha, "batch_size": s.size}
         out[k] = Adam.from_flat(np.concatenate(parts) / rows, s.ws, params) if rows else s
@@ -261,7 +291,14 @@ def train_together(df: DataFrame, spec: TableSpec, points: list[dict], max_round
     ps = [{**MLP_DEFAULT, **p} for p in points]
     st = stats or fit_stats(df, spec, scale=True)
     width = len(st.numerical) + sum(len(st.categories.get(c, [])) for c in st.categorical)
-    frame = design_rows(df, st, spec, float(ps[0]["validation_fraction"]))
+    blocks = row_blocks(design_rows(df, st, spec, float(ps[0]["validation_fraction"])), st).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _trained(blocks, spec, ps, st, width, max_rounds)
+    finally:
+        blocks.unpersist()
+
+
+def _trained(blocks: RDD, spec: TableSpec, ps: list[dict], st: FitStats, width: int, max_rounds: int | None) -> list[MLPModel]:
     states = {k: Adam.start(init_weights([width, *p["hidden_layer_sizes"], 1]), p) for k, p in enumerate(ps)}
     best = {k: (None, s.ws, 0) for k, s in states.items()}  # R2, weights, rounds without progress
     running = dict(states)
@@ -271,10 +308,10 @@ def train_together(df: DataFrame, spec: TableSpec, points: list[dict], max_round
             break
         last = {k for k in running if rnd == int(max_rounds or ps[k]["max_iter"])}
         closing = all(k in last or best[k][2] + 1 >= int(ps[k]["n_iter_no_change"]) for k in running)
-        after, figures = one_round(frame, running, st, rnd, not closing)
+        after, figures = one_round(blocks, running, st, rnd, not closing)
         # A pass that may be the last only scores, which is short; its steps are taken if a model goes on.
         if closing and any(k not in last and _gains(figures.get(k), best[k][0], ps[k]) for k in running):
-            after, _ = one_round(frame, running, st, rnd, True)
+            after, _ = one_round(blocks, running, st, rnd, True)
         for k, s in list(running.items()):
             score, (top, _, stale) = _r2(figures.get(k)), best[k]
             if score is None:

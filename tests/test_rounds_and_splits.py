@@ -1,10 +1,13 @@
 """A split evaluates the adapter once; files of a fit are a multiple of the cores; the network's last pass takes no steps in vain."""
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from batchlens import catalog
 from batchlens.models import base, mlp
+from batchlens.models.base import PFX
+from batchlens.operators.preprocess import FitStats
 from batchlens.spec import TRIPS_EV
 
 SMALL_NET = {"hidden_layer_sizes": (4,), "n_iter_no_change": 2, "tol": 10.0, "max_iter": 9}
@@ -39,9 +42,9 @@ def test_files_are_a_multiple_of_the_cores():
 def _passes(monkeypatch):
     passes, one_round = [], mlp.one_round
 
-    def told(frame, states, st, rnd, train):
+    def told(blocks, states, st, rnd, train):
         passes.append((rnd, train))
-        return one_round(frame, states, st, rnd, train)
+        return one_round(blocks, states, st, rnd, train)
 
     monkeypatch.setattr(mlp, "one_round", told)
     return passes
@@ -61,3 +64,22 @@ def test_a_pass_that_turned_out_not_to_be_the_last_takes_its_steps(spark, monkey
     model = mlp.MLPModel.fit(_rows(spark), TRIPS_EV, SMALL_NET)
     assert passes == [(0, True), (1, True), (2, False), (2, True), (3, True), (4, False)]
     assert all(np.isfinite(w).all() for w in model.weights)
+
+
+def test_rounds_read_kept_blocks_of_numbers(spark, monkeypatch):
+    held, decoded = spark.sparkContext._jsc.getPersistentRDDs, []
+    one_round = mlp.one_round
+    monkeypatch.setattr(mlp, "one_round", lambda blocks, *a: decoded.append(blocks.is_cached) or one_round(blocks, *a))
+    before = len(held())
+    mlp.MLPModel.fit(_rows(spark), TRIPS_EV, SMALL_NET)
+    assert decoded == [True, True, True] and len(held()) == before
+    st = mlp.fit_stats(_rows(spark), TRIPS_EV, scale=True)
+    row = mlp.row_blocks(mlp.design_rows(_rows(spark), st, TRIPS_EV, 0.1), st).first()
+    assert len(row["x"]) == 300 * 8 * len(TRIPS_EV.numerical) and len(row["p"]) == 1200 and len(row["y"]) == 2400 and len(row["v"]) == 300
+
+
+def test_coded_rows_decode_to_the_design():
+    st = FitStats(["n"], ["a", "b", "c"], categories={"a": ["x", "y"], "b": [], "c": ["1", "2", "3"]})
+    pdf = pd.DataFrame({PFX + "n": [0.5, np.nan, -2.0, 7.0], PFX + "a": ["y", None, "z", "x"], PFX + "b": ["q", "q", None, "q"], PFX + "c": ["3", "1", "2", "4"]})
+    assert np.array_equal(mlp.decoded(*mlp.coded(pdf, st), st), mlp.design(pdf, st), equal_nan=True)
+    assert mlp.decoded(*mlp.coded(pdf, st), st).sum(axis=1)[[0, 2, 3]].tolist() == [2.5, -1.0, 8.0]
